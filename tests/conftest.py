@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import os
+import sys
+from datetime import UTC, datetime, timedelta
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tidemark.schemas import TICK  # noqa: E402
+from tidemark.session import get_session  # noqa: E402
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+BASE = datetime(2026, 6, 9, 12, 0, 0, tzinfo=UTC)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = get_session(master="local[4]", shuffle_partitions=4)
+    yield s
+
+
+def at(sec: float) -> datetime:
+    return (BASE + timedelta(seconds=sec)).replace(tzinfo=None)
+
+
+def make_ticks(spark, rows):
+    """rows: (sec, price[, volume[, asset[, ts_sec]]]); ts = ingested_at unless ts_sec given."""
+    out = []
+    for r in rows:
+        sec, price = r[0], r[1]
+        vol = r[2] if len(r) > 2 else 1000.0
+        asset = r[3] if len(r) > 3 else "bitcoin"
+        ts_sec = r[4] if len(r) > 4 else sec
+        out.append((asset, at(ts_sec), at(sec), float(price), vol, None, None))
+    return spark.createDataFrame(out, TICK)
+
+
+class SequentialDetector:
+    """Plain model of the per-key detector, used as the test oracle."""
+
+    def __init__(self, window_s, threshold, warmup_s=0):
+        self.w = timedelta(seconds=window_s)
+        self.window_s = window_s
+        self.th = threshold
+        self.warm = timedelta(seconds=warmup_s)
+        self.samples = []
+
+    def update(self, asset, ts, price, volume):
+        cutoff = ts - self.w
+        while self.samples and self.samples[0][0] < cutoff:
+            self.samples.pop(0)
+        out = []
+        if self.samples and ts - self.samples[0][0] >= self.warm:
+            for metric, idx, value in (("price", 1, price), ("volume", 2, volume)):
+                if value is None:
+                    continue
+                vals = [s[idx] for s in self.samples if s[idx] is not None]
+                if not vals:
+                    continue
+                base = sum(vals) / len(vals)
+                if base == 0:
+                    continue
+                ch = (value - base) / base
+                if abs(ch) > self.th:
+                    out.append((asset, metric, value, base, ch, len(self.samples), ts))
+        self.samples.append((ts, price, volume))
+        return out

@@ -90,32 +90,52 @@ def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence
                                              .otherwise(F.array(F.col("_home"))))))
         pk = pk + ["_bk"]
 
+    # The same-ts part runs first: its sort (key, bucket, ts, arrival) also
+    # satisfies the range part's (key, bucket, ts), so the stage sorts once.
     same_ts = (Window.partitionBy(*pk, "_t").orderBy(*arrival)
                .rowsBetween(Window.unboundedPreceding, -1))
-    exprs: list[Column] = []
+    # Hash on (key, bucket) satisfies both window distributions: one exchange.
+    df = df.repartition(*pk)
     if moments:
         whole = Window.partitionBy(*pk)
         for c in columns:
             df = df.withColumn(f"_c_{c}", F.min(c).over(whole))
 
+    def centred(c):
+        y = F.col(c) - F.col(f"_c_{c}")
+        return y, y * y
+
+    q_aggs = {"_qn": F.count(F.lit(1)), "_qo": F.min("_t")}
+    for c in columns:
+        q_aggs[f"_qs_{c}"] = F.sum(c)
+        q_aggs[f"_qk_{c}"] = F.count(c)
+        if moments:
+            y, yy = centred(c)
+            q_aggs[f"_qy_{c}"] = F.sum(y)
+            q_aggs[f"_qz_{c}"] = F.sum(yy)
+    df = df.select("*", *[a.over(same_ts).alias(n) for n, a in q_aggs.items()])
+
+    def add(a, q):
+        return F.coalesce(a, F.lit(0.0)) + F.coalesce(F.col(q), F.lit(0.0))
+
+    exprs: list[Column] = []
     for w in windows_s:
         w = int(w)
         prior = Window.partitionBy(*pk).orderBy("_t").rangeBetween(-w * _US, -1)
-
-        exprs.append((F.count(F.lit(1)).over(prior) + F.count(F.lit(1)).over(same_ts))
-                     .alias(f"_n_{w}"))
-        exprs.append(F.least(F.min("_t").over(prior), F.min("_t").over(same_ts)).alias(f"_old_{w}"))
+        exprs.append((F.count(F.lit(1)).over(prior) + F.col("_qn")).alias(f"_n_{w}"))
+        # _qo is null or equal to _t (same-ts peers), so least(_t, _qo) == _t;
+        # referencing the same-ts output keeps the optimizer from transposing
+        # the two windows, which would bring back a second full sort.
+        exprs.append(F.least(F.min(F.least("_t", "_qo")).over(prior), F.col("_qo"))
+                     .alias(f"_old_{w}"))
         for c in columns:
-            exprs.append((F.coalesce(F.sum(c).over(prior), F.lit(0.0))
-                          + F.coalesce(F.sum(c).over(same_ts), F.lit(0.0))).alias(f"_s_{w}_{c}"))
-            exprs.append((F.count(c).over(prior) + F.count(c).over(same_ts)).alias(f"_k_{w}_{c}"))
+            exprs.append(add(F.sum(c).over(prior), f"_qs_{c}").alias(f"_s_{w}_{c}"))
+            exprs.append((F.count(c).over(prior) + F.col(f"_qk_{c}")).alias(f"_k_{w}_{c}"))
             if moments:
-                y = F.col(c) - F.col(f"_c_{c}")
-                exprs.append((F.coalesce(F.sum(y).over(prior), F.lit(0.0))
-                              + F.coalesce(F.sum(y).over(same_ts), F.lit(0.0))).alias(f"_y_{w}_{c}"))
-                exprs.append((F.coalesce(F.sum(y * y).over(prior), F.lit(0.0))
-                              + F.coalesce(F.sum(y * y).over(same_ts), F.lit(0.0))).alias(f"_z_{w}_{c}"))
-    out = df.select("*", *exprs)
+                y, yy = centred(c)
+                exprs.append(add(F.sum(y).over(prior), f"_qy_{c}").alias(f"_y_{w}_{c}"))
+                exprs.append(add(F.sum(yy).over(prior), f"_qz_{c}").alias(f"_z_{w}_{c}"))
+    out = df.select("*", *exprs).drop(*q_aggs)
     if bucket_s:
         out = out.where(F.col("_bk") == F.col("_home")).drop("_bk", "_home")
     return out
