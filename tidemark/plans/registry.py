@@ -42,5 +42,7 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load_all() -> None:
     """Import every plan module so its queries register."""
     from tidemark.plans import (  # noqa: F401
+        ingest,
         market,
+        tables,
     )

@@ -82,3 +82,62 @@ FROM events
 
 def sql_ticks(hourly_ts: bool = False) -> str:
     return SQL_TICKS.format(ts="date_trunc('hour', ts)" if hourly_ts else "ts")
+
+
+# ---------------------------------------------------------------------------
+# Landed payloads built from the shared tables
+# ---------------------------------------------------------------------------
+def event_price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``/simple/price``-shaped poll per event, keyed by ``event_type``:
+
+    * ``error`` events are quoted in ``eur`` only (no ``usd`` price: skipped);
+    * ``view`` events carry no ``last_updated_at`` (time falls back to the poll);
+    * ``last_updated_at`` is the poll second minus ``props.k`` seconds;
+    * ``k = 0`` gives a JSON null volume; ``value > 480`` a malformed price.
+    """
+    ev = load(spark, sf_dir, "events")
+    ts = F.col("ts").cast(T.TimestampType())
+    k = F.get_json_object(F.col("props"), "$.k").cast(T.LongType())
+    cur = F.when(F.col("event_type") == "error", F.lit("eur")).otherwise(F.lit("usd"))
+    price = F.when(F.col("value") > 480, F.lit('"n/a"')).otherwise(F.col("value").cast("string"))
+    vol = F.when(k == 0, F.lit("null")).otherwise(k.cast("double").cast("string"))
+    last = F.when(F.col("event_type") != "view",
+                  F.concat(F.lit(', "last_updated_at": '), (F.unix_seconds(ts) - k).cast("string")))
+    body = F.concat(
+        F.lit('{"'), F.col("event_type"), F.lit('": {"'), cur, F.lit('": '), price,
+        F.lit(', "'), cur, F.lit('_market_cap": '), (F.col("value") * F.lit(1000.0)).cast("string"),
+        F.lit(', "'), cur, F.lit('_24h_vol": '), vol,
+        F.lit(', "'), cur, F.lit('_24h_change": '), (k.cast("double") - F.lit(50.0)).cast("string"),
+        F.coalesce(last, F.lit("")), F.lit("}}"))
+    return ev.select(body.alias("payload"), ts.alias("ingested_at"))
+
+
+def customer_market_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``/coins/markets``-shaped arrays built from ``customer``: one payload
+    per nation and block of 100 customer keys (payloads stay bounded), polled
+    at 2024-01-01 plus the nation key in hours. ``BUILDING`` customers lack a
+    ``symbol`` (rejected); a negative balance gives no image."""
+    c = load(spark, sf_dir, "customer")
+    row = F.struct(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.lower("c_mktsegment")).alias("symbol"),
+        F.col("c_name").alias("name"),
+        F.when(F.col("c_acctbal") >= 0,
+               F.concat(F.lit("img/"), F.col("c_custkey").cast("string"), F.lit(".png"))).alias("image"),
+        F.col("c_acctbal").alias("max_supply"))
+    polled = (F.lit("2024-01-01 00:00:00").cast(T.TimestampType())
+              + F.make_interval(hours=F.col("c_nationkey")))
+    return (c.groupBy("c_nationkey", F.floor(F.col("c_custkey") / 100).alias("_blk"))
+             .agg(F.to_json(F.collect_list(row)).alias("payload"))
+             .select("payload", polled.alias("ingested_at")))
+
+
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON records for the contract check: ``value`` above 480 is
+    sent as the string ``"n/a"`` (a type breach)."""
+    ev = load(spark, sf_dir, "events")
+    value = F.when(F.col("value") > 480, F.lit('"n/a"')).otherwise(F.col("value").cast("string"))
+    rec = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"),
+                   F.lit(', "event_type": "'), F.col("event_type"), F.lit('", "value": '), value,
+                   F.lit(', "props": '), F.col("props"), F.lit("}"))
+    return ev.select(F.col("event_id").alias("record_id"), rec.alias("payload"))
