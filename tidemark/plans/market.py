@@ -114,3 +114,138 @@ def trailing_alerts_multi_window(spark, sf):
     out = A.multi_window_alerts(event_ticks(spark, sf, hourly_ts=True),
                                 (3 * 3600, FIX_WINDOW_S, 24 * 3600), FIX_THRESHOLD, FIX_WARMUP_S)
     return _r9(out, "baseline", "change_pct")
+
+
+@register("zscore_alerts", f"""
+WITH t AS ({sql_ticks(True)}),
+w AS (
+  SELECT a.asset_id, a.ts, a.price, a.volume_24h, count(b.asset_id) AS samples,
+         avg(b.price) AS m_price, stddev_pop(b.price) AS sd_price,
+         avg(b.volume_24h) AS m_volume, stddev_pop(b.volume_24h) AS sd_volume, min(b.ts) AS oldest
+  FROM t a LEFT JOIN t b
+    ON b.asset_id = a.asset_id AND b.ingested_at < a.ingested_at
+   AND b.ts >= a.ts - INTERVAL {FIX_WINDOW_S} SECOND
+  GROUP BY a.asset_id, a.ts, a.ingested_at, a.price, a.volume_24h),
+c AS (
+  SELECT asset_id, ts, samples, oldest, 'price' AS metric, price AS value, m_price AS mean, sd_price AS sd FROM w
+  UNION ALL
+  SELECT asset_id, ts, samples, oldest, 'volume', volume_24h, m_volume, sd_volume FROM w)
+SELECT asset_id, metric, value, round(mean, 6) AS mean, round(sd, 6) AS stddev,
+       round((value - mean) / sd, 6) AS zscore, CAST(2.0 AS DOUBLE) AS k,
+       CAST({FIX_WINDOW_S} AS INTEGER) AS window_s, samples, ts
+FROM c
+WHERE samples > 0 AND ts - oldest >= INTERVAL {FIX_WARMUP_S} SECOND AND value IS NOT NULL
+  AND sd > 0 AND abs(value - mean) > 2.0 * sd
+""")
+def zscore_alerts(spark, sf):
+    """|value - mean| above 2 standard deviations of the trailing 6 h."""
+    out = A.zscore_alerts(event_ticks(spark, sf, hourly_ts=True), FIX_WINDOW_S, 2.0, FIX_WARMUP_S)
+    return out.select(*[F.round(c, 6).alias(c) if c in ("mean", "stddev", "zscore") else F.col(c)
+                        for c in out.columns])
+
+
+@register("late_ticks", """
+WITH t AS (
+  SELECT event_type AS asset_id, ts AS ingested_at,
+         ts - to_minutes(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS ts
+  FROM events),
+m AS (
+  SELECT *, max(ts) OVER (PARTITION BY asset_id ORDER BY ingested_at
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_max_ts
+  FROM t)
+SELECT asset_id, ts, ingested_at, prior_max_ts,
+       (epoch_us(prior_max_ts) - epoch_us(ts)) / 1000000.0 AS lag_s
+FROM m WHERE ts < prior_max_ts
+""")
+def late_ticks(spark, sf):
+    """Source times running behind earlier arrivals of the same asset
+    (arrival = event time, the source clock lagging by ``props.k`` minutes)."""
+    t = event_ticks(spark, sf).withColumn(
+        "ts", F.col("ts") - F.make_interval(mins=F.col("change_24h").cast("int") + 50))
+    out = A.late_ticks(t)
+    return out.select("asset_id", "ts", "ingested_at", "prior_max_ts", "lag_s")
+
+
+@register("newest_n", f"""
+SELECT * FROM ({sql_ticks()}) t ORDER BY ingested_at DESC, asset_id LIMIT 10
+""")
+def newest_n(spark, sf):
+    """the ten newest ticks."""
+    from tidemark.operators.marts import newest
+    return newest(event_ticks(spark, sf), 10)
+
+
+@register("latest_per_asset", f"""
+SELECT * FROM ({sql_ticks()}) t
+QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY ingested_at DESC) = 1
+""")
+def latest_per_asset(spark, sf):
+    """last price per asset."""
+    from tidemark.operators.marts import latest_per_asset as op
+    return op(event_ticks(spark, sf))
+
+
+@register("recent_n_per_asset", f"""
+SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY ingested_at DESC) AS rank
+FROM ({sql_ticks()}) t
+QUALIFY rank <= 25
+""")
+def recent_n_per_asset(spark, sf):
+    """the 25 newest ticks of every asset."""
+    from tidemark.operators.marts import recent_per_asset
+    return recent_per_asset(event_ticks(spark, sf), 25).withColumn("rank", F.col("rank").cast("long"))
+
+
+@register("realtime_candles", _candle_sql("date_trunc('hour', ingested_at)"))
+def realtime_candles(spark, sf):
+    """Hourly rollup materialised through 2024-01-20 plus live buckets."""
+    ticks = event_ticks(spark, sf)
+    mark = "2024-01-20 00:00:00"
+    stored = C.candles(ticks.where(F.col("ingested_at") < F.lit(mark).cast("timestamp")), "1 hour")
+    return C.realtime_candles(stored, ticks, mark, "1 hour")
+
+
+@register("refresh_candles", _candle_sql("date_trunc('hour', ingested_at)").replace(
+    "GROUP BY ALL", "WHERE ingested_at < TIMESTAMP '2024-01-15 23:00:00' GROUP BY ALL"))
+def refresh_candles(spark, sf):
+    """A rollup last computed at 12:30 on 2024-01-15 (its 12:00 bucket is
+    partial) refreshed at midnight with a 1 day / 1 hour policy."""
+    ticks = event_ticks(spark, sf)
+    stale = C.candles(ticks.where(F.col("ingested_at") < F.lit("2024-01-15 12:30:00").cast("timestamp")),
+                      "1 hour")
+    return C.refresh(stale, ticks, "2024-01-16 00:00:00", "1 day", "1 hour", "1 hour")
+
+
+def _alert_fields_sql() -> str:
+    return _alert_sql(hourly=True).replace(
+        "SELECT asset_id, metric, value, round(baseline, 9) AS baseline,\n       round((value - baseline) / baseline, 9) AS change_pct,",
+        "SELECT asset_id, metric, value, baseline,\n       round((value - baseline) / baseline, 6) AS change_pct,")
+
+
+@register("alert_json", f"""
+SELECT asset_id, metric, value, round(baseline, 9) AS baseline, change_pct, threshold, window_s, samples,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS ts
+FROM ({_alert_fields_sql()}) a
+""")
+def alert_json(spark, sf):
+    """Alert records serialised to JSON and read back field by field."""
+    from tidemark.functions.formatting import alert_json as to_json
+    alerts = A.trailing_alerts(event_ticks(spark, sf, hourly_ts=True), FIX_WINDOW_S,
+                               FIX_THRESHOLD, FIX_WARMUP_S)
+    fields = "asset_id string, metric string, value double, baseline double, change_pct double, " \
+             "threshold double, window_s int, samples long, ts string"
+    parsed = to_json(alerts).select(F.from_json("value", fields).alias("r")).select("r.*")
+    return parsed.withColumn("baseline", F.round("baseline", 9))
+
+
+@register("alert_text", f"""
+SELECT 'ALERT ' || CASE WHEN change_pct > 0 THEN '▲' ELSE '▼' END || ' ' || asset_id || ' ' || metric
+       || ' ' || printf('%+.2f%%', change_pct * 100) || ' vs ' || CAST(window_s // 60 AS VARCHAR)
+       || 'm avg (value=' || printf('%.4g', value) || ', baseline=' || printf('%.4g', baseline)
+       || ', n=' || CAST(samples AS VARCHAR) || ')' AS value
+FROM ({_alert_sql(hourly=True)}) a
+""")
+def alert_text(spark, sf):
+    """Console lines of the alerts (9-place values, as in the alert queries)."""
+    from tidemark.functions.formatting import alert_text as to_text
+    return to_text(trailing_alerts_ties(spark, sf))
