@@ -44,5 +44,6 @@ def load_all() -> None:
     from tidemark.plans import (  # noqa: F401
         ingest,
         market,
+        quality,
         tables,
     )
