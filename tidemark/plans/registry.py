@@ -43,6 +43,7 @@ def load_all() -> None:
     """Import every plan module so its queries register."""
     from tidemark.plans import (  # noqa: F401
         ingest,
+        lakehouse,
         market,
         quality,
         tables,
