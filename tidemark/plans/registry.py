@@ -44,6 +44,7 @@ def load_all() -> None:
     from tidemark.plans import (  # noqa: F401
         ingest,
         lakehouse,
+        maintenance,
         market,
         quality,
         tables,
