@@ -47,5 +47,6 @@ def load_all() -> None:
         maintenance,
         market,
         quality,
+        streams,
         tables,
     )
