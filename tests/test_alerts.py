@@ -175,3 +175,22 @@ def test_late_ticks(spark):
             (3, 1.0, 1.0, "a", 25), (4, 1.0, 1.0, "a", 5), (5, 1.0, 1.0, "b", 1)]
     out = sorted((r.ts, r.lag_s) for r in late_ticks(make_ticks(spark, rows)).collect())
     assert out == [(at(5), 20.0), (at(15), 5.0)]
+
+
+@pytest.mark.parametrize("warmup_s", [0, 10, 90])
+def test_prefix_frame_equals_sliding(spark, warmup_s):
+    rows = _random_rows(21, n=300)
+    ticks = make_ticks(spark, rows)
+    want = _model(rows, 60, 0.05, warmup_s)
+    got = [(r.asset_id, r.metric, r.value, r.baseline, r.change_pct, r.samples, r.ts) for r in
+           trailing_alerts(ticks, 60, 0.05, warmup_s, bucket_s=600, frame="prefix").collect()]
+    key = lambda r: (r[0], r[6], r[1], r[2])
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert g[:3] == w[:3] and g[5:] == w[5:]
+        assert g[3] == pytest.approx(w[3], rel=1e-12)
+    z_prefix = {(r.asset_id, r.metric, r.ts) for r in
+                zscore_alerts(ticks, 60, 1.5, warmup_s, bucket_s=600, frame="prefix").collect()}
+    z_slide = {(r.asset_id, r.metric, r.ts) for r in
+               zscore_alerts(ticks, 60, 1.5, warmup_s, bucket_s=600).collect()}
+    assert z_prefix == z_slide

@@ -64,18 +64,30 @@ def _metric_map(metrics) -> dict[str, str]:
 def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence[str],
                    keys: Sequence[str] = ("asset_id",), time: str = "ts",
                    arrival: Sequence[str] = ("ingested_at",), bucket_s: int | str | None = "auto",
-                   moments: bool = False) -> DataFrame:
-    """Per tick and window: sum, non-null count (and centred second moment)
-    of each column over the trailing window, plus ``samples`` and ``oldest``.
-
-    Output columns (``w`` = window seconds, ``c`` = column):
-    ``_t`` (micros of ``time``), ``_n_w`` samples, ``_old_w`` oldest micros,
-    ``_s_w_c`` sum, ``_k_w_c`` count, and with ``moments`` ``_y_w_c`` / ``_z_w_c``
-    = sums of ``c - centre`` and its square, ``_c_c`` = centre.
+                   moments: bool = False, warmup_s: int = 0, frame: str = "sliding") -> DataFrame:
+    """Per tick and window: sum and non-null count (and centred moments) of
+    each column over the trailing window, ``samples`` and readiness.
+
+    Output columns (``w`` = window seconds, ``c`` = column): ``_t`` (micros
+    of ``time``), ``_n_w`` samples, ``_rdy_w`` ready flag, ``_s_w_c`` sum,
+    ``_k_w_c`` count, and with ``moments`` ``_y_w_c`` / ``_z_w_c`` = sums of
+    ``c - centre`` and its square, ``_c_c`` = centre.
+
+    ``frame="sliding"`` sums each window directly (exact; Spark re-aggregates
+    a range frame whenever its bounds move, about rows x rows-per-window of
+    work, cheap when windows hold a few hundred readings or timestamps are
+    frozen in runs). ``frame="prefix"`` is O(rows): running sums of all
+    earlier readings minus running sums of the evicted ones, both restarting
+    at every time bucket, so the cancellation error stays within about
+    ``bucket_s / window_s`` ulps of the window sum. Use it for dense windows.
     """
+    if frame not in ("sliding", "prefix"):
+        raise ValueError("frame must be 'sliding' or 'prefix'")
     wmax = max(int(w) for w in windows_s)
     if bucket_s == "auto":
         bucket_s = auto_bucket_s(wmax)
+    if frame == "prefix" and not bucket_s:
+        raise ValueError("frame='prefix' needs time buckets to bound its running sums")
     df = ticks.withColumn("_t", micros(time))
     pk = list(keys)
     if bucket_s:
@@ -90,66 +102,108 @@ def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence
                                              .otherwise(F.array(F.col("_home"))))))
         pk = pk + ["_bk"]
 
-    # The same-ts part runs first: its sort (key, bucket, ts, arrival) also
-    # satisfies the range part's (key, bucket, ts), so the stage sorts once.
-    same_ts = (Window.partitionBy(*pk, "_t").orderBy(*arrival)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    # Hash on (key, bucket) satisfies both window distributions: one exchange.
+    # Hash on (key, bucket) satisfies every window distribution below: one exchange.
     df = df.repartition(*pk)
     if moments:
         whole = Window.partitionBy(*pk)
         for c in columns:
             df = df.withColumn(f"_c_{c}", F.min(c).over(whole))
 
-    def centred(c):
-        y = F.col(c) - F.col(f"_c_{c}")
-        return y, y * y
+    def measures(c):
+        """(suffix, value) pairs summed per column."""
+        out = [("s", F.col(c))]
+        if moments:
+            y = F.col(c) - F.col(f"_c_{c}")
+            out += [("y", y), ("z", y * y)]
+        return out
+
+    warm_us = int(warmup_s) * _US
+    if frame == "prefix":
+        out = _prefix_stats(df, pk, windows_s, columns, arrival, measures, warm_us)
+    else:
+        out = _sliding_stats(df, pk, windows_s, columns, arrival, measures, warm_us)
+    if bucket_s:
+        out = out.where(F.col("_bk") == F.col("_home")).drop("_bk", "_home")
+    return out
+
+
+def _zero(c: Column) -> Column:
+    return F.coalesce(c, F.lit(0.0))
+
 
+def _sliding_stats(df, pk, windows_s, columns, arrival, measures, warm_us):
+    # part q: rows of the same (key, ts) that arrived earlier. It runs first:
+    # its sort (key, bucket, ts, arrival) also satisfies the range part's
+    # (key, bucket, ts), so the stage sorts once.
+    same_ts = (Window.partitionBy(*pk, "_t").orderBy(*arrival)
+               .rowsBetween(Window.unboundedPreceding, -1))
     q_aggs = {"_qn": F.count(F.lit(1)), "_qo": F.min("_t")}
     for c in columns:
-        q_aggs[f"_qs_{c}"] = F.sum(c)
         q_aggs[f"_qk_{c}"] = F.count(c)
-        if moments:
-            y, yy = centred(c)
-            q_aggs[f"_qy_{c}"] = F.sum(y)
-            q_aggs[f"_qz_{c}"] = F.sum(yy)
+        for suf, v in measures(c):
+            q_aggs[f"_q{suf}_{c}"] = F.sum(v)
     df = df.select("*", *[a.over(same_ts).alias(n) for n, a in q_aggs.items()])
 
-    def add(a, q):
-        return F.coalesce(a, F.lit(0.0)) + F.coalesce(F.col(q), F.lit(0.0))
-
     exprs: list[Column] = []
     for w in windows_s:
         w = int(w)
+        # part r: readings with ts in [t - window, t - 1 microsecond]
         prior = Window.partitionBy(*pk).orderBy("_t").rangeBetween(-w * _US, -1)
-        exprs.append((F.count(F.lit(1)).over(prior) + F.col("_qn")).alias(f"_n_{w}"))
+        n = F.count(F.lit(1)).over(prior) + F.col("_qn")
         # _qo is null or equal to _t (same-ts peers), so least(_t, _qo) == _t;
         # referencing the same-ts output keeps the optimizer from transposing
         # the two windows, which would bring back a second full sort.
-        exprs.append(F.least(F.min(F.least("_t", "_qo")).over(prior), F.col("_qo"))
-                     .alias(f"_old_{w}"))
+        oldest = F.least(F.min(F.least("_t", "_qo")).over(prior), F.col("_qo"))
+        exprs.append(n.alias(f"_n_{w}"))
+        exprs.append(((n > 0) & (F.col("_t") - oldest >= F.lit(warm_us))).alias(f"_rdy_{w}"))
         for c in columns:
-            exprs.append(add(F.sum(c).over(prior), f"_qs_{c}").alias(f"_s_{w}_{c}"))
             exprs.append((F.count(c).over(prior) + F.col(f"_qk_{c}")).alias(f"_k_{w}_{c}"))
-            if moments:
-                y, yy = centred(c)
-                exprs.append(add(F.sum(y).over(prior), f"_qy_{c}").alias(f"_y_{w}_{c}"))
-                exprs.append(add(F.sum(yy).over(prior), f"_qz_{c}").alias(f"_z_{w}_{c}"))
-    out = df.select("*", *exprs).drop(*q_aggs)
-    if bucket_s:
-        out = out.where(F.col("_bk") == F.col("_home")).drop("_bk", "_home")
-    return out
+            for suf, v in measures(c):
+                exprs.append((_zero(F.sum(v).over(prior)) + _zero(F.col(f"_q{suf}_{c}")))
+                             .alias(f"_{suf}_{w}_{c}"))
+    return df.select("*", *exprs).drop(*q_aggs)
+
+
+def _prefix_stats(df, pk, windows_s, columns, arrival, measures, warm_us):
+    # every earlier reading in (ts, arrival) order: a growing ROWS frame
+    earlier = (Window.partitionBy(*pk).orderBy("_t", *arrival)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    up = {"_un": F.count(F.lit(1))}
+    for c in columns:
+        up[f"_uk_{c}"] = F.count(c)
+        for suf, v in measures(c):
+            up[f"_u{suf}_{c}"] = F.sum(v)
+    df = df.select("*", *[a.over(earlier).alias(n) for n, a in up.items()])
 
+    def upto(us):
+        # readings with ts <= t - us: a growing RANGE frame; its sort
+        # (key, bucket, ts) is a prefix of the one above, so no new sort
+        return Window.partitionBy(*pk).orderBy("_t").rangeBetween(Window.unboundedPreceding, -us)
 
-def _ready(w: int, warmup_s: int) -> Column:
-    return (F.col(f"_n_{w}") > 0) & (F.col("_t") - F.col(f"_old_{w}") >= F.lit(int(warmup_s) * _US))
+    exprs: list[Column] = []
+    for w in windows_s:
+        w = int(w)
+        gone = upto(w * _US + 1)  # evicted: ts < t - window
+        n = F.col("_un") - F.count(F.lit(1)).over(gone)
+        exprs.append(n.alias(f"_n_{w}"))
+        if warm_us > 0:
+            old_enough = F.count(F.lit(1)).over(upto(warm_us)) - F.count(F.lit(1)).over(gone)
+            exprs.append((old_enough > 0).alias(f"_rdy_{w}"))
+        else:
+            exprs.append((n > 0).alias(f"_rdy_{w}"))
+        for c in columns:
+            exprs.append((F.col(f"_uk_{c}") - F.count(c).over(gone)).alias(f"_k_{w}_{c}"))
+            for suf, v in measures(c):
+                exprs.append((_zero(F.col(f"_u{suf}_{c}")) - _zero(F.sum(v).over(gone)))
+                             .alias(f"_{suf}_{w}_{c}"))
+    return df.select("*", *exprs).drop(*up)
 
 
 def trailing_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S,
                     threshold: float = DEFAULT_THRESHOLD, warmup_s: int = DEFAULT_WARMUP_S,
                     metrics=DEFAULT_METRICS, keys: Sequence[str] = ("asset_id",),
                     time: str = "ts", arrival: Sequence[str] = ("ingested_at",),
-                    bucket_s: int | str | None = "auto") -> DataFrame:
+                    bucket_s: int | str | None = "auto", frame: str = "sliding") -> DataFrame:
     """Deviation alerts against the trailing-window mean.
 
     Output: ``keys, metric, value, baseline, change_pct, threshold, window_s,
@@ -158,23 +212,24 @@ def trailing_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S,
     ``change_pct``, as in the sequential rule).
     """
     return multi_window_alerts(ticks, (window_s,), threshold, warmup_s, metrics, keys,
-                               time, arrival, bucket_s)
+                               time, arrival, bucket_s, frame)
 
 
 def multi_window_alerts(ticks: DataFrame, windows_s: Sequence[int] = (DEFAULT_WINDOW_S,),
                         threshold: float = DEFAULT_THRESHOLD, warmup_s: int = DEFAULT_WARMUP_S,
                         metrics=DEFAULT_METRICS, keys: Sequence[str] = ("asset_id",),
                         time: str = "ts", arrival: Sequence[str] = ("ingested_at",),
-                        bucket_s: int | str | None = "auto") -> DataFrame:
+                        bucket_s: int | str | None = "auto", frame: str = "sliding") -> DataFrame:
     """The deviation rule for several windows in one pass (one exchange,
     one sort); long output distinguished by ``window_s``."""
     mm = _metric_map(metrics)
     cols = list(dict.fromkeys(mm.values()))
-    stats = trailing_stats(ticks, windows_s, cols, keys, time, arrival, bucket_s)
+    stats = trailing_stats(ticks, windows_s, cols, keys, time, arrival, bucket_s,
+                           warmup_s=warmup_s, frame=frame)
     cands = []
     for w in windows_s:
         w = int(w)
-        ready = _ready(w, warmup_s)
+        ready = F.col(f"_rdy_{w}")
         for name, c in mm.items():
             k = F.col(f"_k_{w}_{c}")
             base = F.when(k > 0, F.col(f"_s_{w}_{c}") / k)
@@ -197,9 +252,10 @@ def zscore_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S, k: float =
                   warmup_s: int = DEFAULT_WARMUP_S, metrics=DEFAULT_METRICS,
                   keys: Sequence[str] = ("asset_id",), time: str = "ts",
                   arrival: Sequence[str] = ("ingested_at",),
-                  bucket_s: int | str | None = "auto") -> DataFrame:
+                  bucket_s: int | str | None = "auto", frame: str = "sliding") -> DataFrame:
     """E7 (our definition): over the same window samples, alert when
-    ``|value - mean| > k * stddev_pop``; a zero deviation never alerts.
+    ``|value - mean| > k * stddev_pop``; a zero deviation never alerts (a
+    variance under 1e-10 of the mean square counts as zero).
 
     Moments are carried centred on a per-partition constant against
     cancellation. Output: ``keys, metric, value, mean, stddev, zscore, k,
@@ -208,14 +264,17 @@ def zscore_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S, k: float =
     mm = _metric_map(metrics)
     cols = list(dict.fromkeys(mm.values()))
     w = int(window_s)
-    stats = trailing_stats(ticks, (w,), cols, keys, time, arrival, bucket_s, moments=True)
-    ready = _ready(w, warmup_s)
+    stats = trailing_stats(ticks, (w,), cols, keys, time, arrival, bucket_s, moments=True,
+                           warmup_s=warmup_s, frame=frame)
+    ready = F.col(f"_rdy_{w}")
     cands = []
     for name, c in mm.items():
         n = F.col(f"_k_{w}_{c}").cast(T.DoubleType())
         m1 = F.col(f"_y_{w}_{c}") / n
-        var = F.col(f"_z_{w}_{c}") / n - m1 * m1
-        sd = F.sqrt(F.greatest(var, F.lit(0.0)))
+        msq = F.col(f"_z_{w}_{c}") / n
+        var = msq - m1 * m1
+        # a variance below 1e-10 of the mean square is rounding noise: zero
+        sd = F.when(var > F.lit(1e-10) * msq, F.sqrt(var)).otherwise(F.lit(0.0))
         mean = F.col(f"_c_{c}") + m1
         value = F.col(c).cast(T.DoubleType())
         dev = value - mean

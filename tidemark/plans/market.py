@@ -60,27 +60,32 @@ def candles_weekly(spark, sf):
     return C.rollup_candles(C.candles(event_ticks(spark, sf), "1 hour"), "week")
 
 
+_DEFAULT_SQL_METRICS = (("price", "price"), ("volume", "volume_24h"))
+
+
 def _alert_sql(hourly: bool, windows=(FIX_WINDOW_S,), threshold=FIX_THRESHOLD,
-               warmup=FIX_WARMUP_S) -> str:
+               warmup=FIX_WARMUP_S, metrics=_DEFAULT_SQL_METRICS) -> str:
     parts = []
+    cols = list(dict.fromkeys(c for _, c in metrics))
+    avgs = ", ".join(f"avg(b.{c}) AS base_{c}" for c in cols)
+    acols = ", ".join(f"a.{c}" for c in cols)
     for w in windows:
         parts.append(f"""
-SELECT a.asset_id, a.ts, a.price, a.volume_24h, {w} AS window_s,
-       count(b.asset_id) AS samples, avg(b.price) AS base_price,
-       avg(b.volume_24h) AS base_volume, min(b.ts) AS oldest
+SELECT a.asset_id, a.ts, {acols}, {w} AS window_s,
+       count(b.asset_id) AS samples, {avgs}, min(b.ts) AS oldest
 FROM t a LEFT JOIN t b
   ON b.asset_id = a.asset_id AND b.ingested_at < a.ingested_at
  AND b.ts >= a.ts - INTERVAL {w} SECOND
-GROUP BY a.asset_id, a.ts, a.ingested_at, a.price, a.volume_24h""")
+GROUP BY a.asset_id, a.ts, a.ingested_at, {acols}""")
     stats = " UNION ALL ".join(parts)
+    per_metric = "\n  UNION ALL\n".join(
+        f"  SELECT asset_id, ts, window_s, samples, oldest, '{name}' AS metric, {c} AS value, "
+        f"base_{c} AS baseline FROM w" for name, c in metrics)
     return f"""
 WITH t AS ({sql_ticks(hourly)}),
 w AS ({stats}),
 c AS (
-  SELECT asset_id, ts, window_s, samples, oldest, 'price' AS metric, price AS value,
-         base_price AS baseline FROM w
-  UNION ALL
-  SELECT asset_id, ts, window_s, samples, oldest, 'volume', volume_24h, base_volume FROM w
+{per_metric}
 )
 SELECT asset_id, metric, value, round(baseline, 9) AS baseline,
        round((value - baseline) / baseline, 9) AS change_pct,
@@ -116,6 +121,27 @@ def trailing_alerts_multi_window(spark, sf):
     return _r9(out, "baseline", "change_pct")
 
 
+@register("trailing_alerts_dense", _alert_sql(hourly=False, windows=(24 * 3600,)))
+def trailing_alerts_dense(spark, sf):
+    """E1 with a 24 h window (many readings per window) on the O(rows)
+    prefix frame."""
+    out = A.trailing_alerts(event_ticks(spark, sf), 24 * 3600, FIX_THRESHOLD, FIX_WARMUP_S,
+                            frame="prefix")
+    return _r9(out, "baseline", "change_pct")
+
+
+_ANY = (("market_cap", "market_cap"), ("change_24h", "change_24h"))
+
+
+@register("trailing_alerts_any_metric", _alert_sql(hourly=True, metrics=_ANY))
+def trailing_alerts_any_metric(spark, sf):
+    """Alerts on market cap and on the signed 24 h change (a negative
+    baseline flips the sign of ``change_pct``, as in the sequential rule)."""
+    out = A.trailing_alerts(event_ticks(spark, sf, hourly_ts=True), FIX_WINDOW_S, FIX_THRESHOLD,
+                            FIX_WARMUP_S, metrics=dict(_ANY))
+    return _r9(out, "baseline", "change_pct")
+
+
 @register("zscore_alerts", f"""
 WITH t AS ({sql_ticks(True)}),
 w AS (
