@@ -128,3 +128,16 @@ def test_feed_outages_across_days(spark):
     got = sorted(tuple(r)[1:] for r in Q.feed_outages(polls).collect())
     assert got == [(datetime(2024, 1, 1, 23, 59), datetime(2024, 1, 2, 0, 0), 2, datetime(2024, 1, 2, 0, 1)),
                    (datetime(2024, 1, 3, 0, 0), datetime(2024, 1, 3, 0, 0), 1, None)]
+
+
+def test_erasure_and_audit(spark):
+    from tidemark.operators.privacy import erase, erasure_audit, mask_text
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id int, text string")
+    subjects = spark.createDataFrame([(2,), (2,)], "doc_id int")
+    assert sorted(r.doc_id for r in erase(docs, subjects, "doc_id").collect()) == [1, 3]
+    audit = erasure_audit(docs, subjects, "doc_id", "req-1", "2024-01-01").collect()[0]
+    assert (audit.request_id, audit.rows_removed) == ("req-1", 1)
+    txt = spark.createDataFrame([("mail x.y@host.example.org, card 4111111111111111, ip 10.0.0.1, "
+                                  "call +1 (555) 123-4567",)], "t string")
+    assert txt.select(mask_text("t").alias("m")).collect()[0].m == \
+        "mail <email>, card <card>, ip <ip>, call <phone>"

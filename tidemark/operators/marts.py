@@ -69,6 +69,22 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, object, str]]) ->
     return out
 
 
+def build_marts(ticks: DataFrame, assets: DataFrame, width: str = "1 hour",
+                grains: Sequence[str] = ("day", "week"), key: str = "asset_id",
+                asset_key: str = "id") -> dict[str, DataFrame]:
+    """L3 gold layer: candles at ``width`` from silver ticks, rolled up to
+    each calendar grain, each joined to the asset dimension (size-checked
+    broadcast). Returns ``{"candles_<width>": df, "candles_<grain>": df, ...}``."""
+    from tidemark.operators.candles import candles, rollup_candles
+
+    dim = assets.withColumnRenamed(asset_key, key)
+    base = candles(ticks, width, (key,))
+    out = {f"candles_{width.replace(' ', '')}": enrich(base, dim, key)}
+    for g in grains:
+        out[f"candles_{g}"] = enrich(rollup_candles(base, g, (key,)), dim, key)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # Named, versioned KPIs
 # ---------------------------------------------------------------------------

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import keyed as K
 from tidemark.plans.registry import register
 from tidemark.sources import fixtures as FX
 from tidemark.sources import payloads as P
@@ -49,10 +48,8 @@ def silver_conform(spark, sf):
     payloads = FX.event_price_payloads(spark, sf)
     bronze = (P.land_bronze(payloads, "prices", "2024-02-01 00:00:00")
               .unionByName(P.land_bronze(payloads, "prices", "2024-02-02 00:00:00")))
-    # parse each landed row, keeping its landing time as the arrival order
-    rows = bronze.select("payload", "ingested_at", "landed_at")
-    typed = P.parse_prices(rows, vs="usd", keep=("landed_at",))
-    return K.insert_ignore(None, typed, ["asset_id", "ingested_at"], ["landed_at"]).drop("landed_at")
+    ticks, _ = P.conform(bronze, vs="usd", order=("landed_at",))
+    return ticks
 
 
 _MARKETS_SQL = """

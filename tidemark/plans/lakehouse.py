@@ -133,3 +133,22 @@ def bus_records(spark, sf):
         "key", F.get_json_object("value", "$.event_type").alias("event_type"),
         F.get_json_object("value", "$.value").cast("double").alias("value"),
         F.get_json_object(F.get_json_object("value", "$.props"), "$.k").cast("long").alias("k"))
+
+
+@register("gold_marts", """
+WITH t AS (SELECT event_type AS asset_id, ts AS ingested_at, value AS price,
+                  nullif(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0) AS volume_24h FROM events),
+c AS (SELECT asset_id, date_trunc('day', ingested_at) AS bucket,
+             arg_min_null(price, ingested_at) AS open, max(price) AS high, min(price) AS low,
+             arg_max_null(price, ingested_at) AS close,
+             arg_max_null(volume_24h, ingested_at) AS volume_24h, count(*) AS ticks
+      FROM t GROUP BY ALL)
+SELECT c.*, upper(substr(asset_id, 1, 3)) AS symbol, upper(substr(asset_id, 1, 1)) || substr(asset_id, 2) AS name
+FROM c
+""")
+def gold_marts(spark, sf):
+    """L3: daily candles of the gold layer with the asset dimension attached."""
+    ticks = FX.event_ticks(spark, sf)
+    assets = ticks.select(F.col("asset_id").alias("id")).distinct().select(
+        "id", F.upper(F.substring("id", 1, 3)).alias("symbol"), F.initcap("id").alias("name"))
+    return M.build_marts(ticks, assets, "1 hour", ("day",))["candles_day"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.ingest import _PARSED_SQL
 from tidemark.plans.market import FIX_THRESHOLD, FIX_WARMUP_S, FIX_WINDOW_S, _alert_sql, _candle_sql, _r9
 from tidemark.plans.registry import register
-from tidemark.schemas import PAYLOAD, TICK
+from tidemark.schemas import TICK
 from tidemark.sources import fixtures as FX
 from tidemark.sources import store as S
 from tidemark.streaming import jobs as J
@@ -58,10 +58,10 @@ def stream_insert_ignore(spark, sf):
     store, one file per trigger; the replay adds nothing."""
     landing, store = S.scratch_path(spark, "payloads"), S.scratch_path(spark, "store")
     payloads = FX.event_price_payloads(spark, sf).coalesce(1)
-    payloads.write.mode("append").parquet(landing)
-    payloads.write.mode("append").parquet(landing)
-    from tidemark.sources.payloads import parse_prices
-    ticks = parse_prices(spark.readStream.schema(PAYLOAD).option("maxFilesPerTrigger", 1).parquet(landing))
+    from tidemark.sources.payloads import parse_prices, read_payloads, write_landed
+    write_landed(payloads, landing)  # polls land as JSON lines
+    write_landed(payloads, landing)
+    ticks = parse_prices(read_payloads(spark, landing, streaming=True, fmt="json", max_files_per_trigger=1))
     J.start_tick_store(ticks, store, S.scratch_path(spark, "ckpt")).awaitTermination()
     return spark.read.parquet(store)
 
@@ -81,3 +81,17 @@ def alert_log(spark, sf):
               "threshold double, window_s int, samples long, ts string")
     parsed = spark.read.text(out).select(F.from_json("value", fields).alias("r")).select("r.*")
     return parsed.withColumn("baseline", F.round("baseline", 9))
+
+
+@register("stream_dedup_unchanged", """
+SELECT DISTINCT event_type AS asset_id, date_trunc('hour', ts) AS ts FROM events
+""")
+def stream_dedup_unchanged(spark, sf):
+    """B7 streaming: repeated polls of an unchanged source reading dropped
+    within the watermark; one row per (asset, source time) remains."""
+    out, ck = S.scratch_path(spark, "dedup"), S.scratch_path(spark, "ckpt")
+    deduped = J.stream_dedup_unchanged(_landed_ticks(spark, sf), "2 hours")
+    q = (deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+                .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(TICK).parquet(out).select("asset_id", "ts")

@@ -19,11 +19,20 @@ from pyspark.sql import types as T
 from tidemark.schemas import MARKET_PAYLOAD, PAYLOAD, PRICE_PAYLOAD, TICK_COLUMNS
 
 
+# Landed JSON carries the poll time as ISO-8601 with microseconds.
+JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def read_payloads(spark: SparkSession, path: str, streaming: bool = False, fmt: str = "json",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = None,
+                  options: dict[str, str] | None = None) -> DataFrame:
     """Landed polls as ``(payload, ingested_at)``, batch or streaming."""
     reader = spark.readStream if streaming else spark.read
     reader = reader.schema(PAYLOAD).format(fmt)
+    if fmt == "json":
+        reader = reader.option("timestampFormat", JSON_TS_FORMAT)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
@@ -131,9 +140,30 @@ def _market_rows(payloads: DataFrame) -> DataFrame:
                            F.explode(F.from_json(F.col("payload"), MARKET_PAYLOAD)).alias("m"))
 
 
+def conform(bronze: DataFrame, vs: str = "usd", order: Sequence[str] = ("landed_at",),
+            key: Sequence[str] = ("asset_id", "ingested_at")) -> tuple[DataFrame, DataFrame]:
+    """L2 silver conform of landed price polls: parse and type (A2, B1-B3),
+    deduplicate on the tick key with the first landing winning (C3), and
+    quarantine what cannot be read. Returns ``(ticks, rejects)``."""
+    from tidemark.operators.keyed import first_per_key
+
+    keep = [c for c in order if c in bronze.columns]
+    typed = parse_prices(bronze, vs=vs, keep=keep)
+    good = first_per_key(typed, list(key), list(order) if keep else ["ingested_at"])
+    return good.select(*TICK_COLUMNS), price_rejects(bronze.select("payload", "ingested_at"), vs)
+
+
 # ---------------------------------------------------------------------------
 # Bronze landing and the contract check
 # ---------------------------------------------------------------------------
+def write_landed(payloads: DataFrame, path: str, fmt: str = "json") -> None:
+    """Land polls as files (JSON lines by default) for :func:`read_payloads`."""
+    w = payloads.write.mode("append").format(fmt)
+    if fmt == "json":
+        w = w.option("timestampFormat", JSON_TS_FORMAT)
+    w.save(path)
+
+
 def land_bronze(df: DataFrame, source: str, now=None) -> DataFrame:
     """L1: raw rows as landed, tagged with source, landing time and date
     (the partition column). Nothing is changed or dropped."""

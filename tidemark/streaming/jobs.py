@@ -33,6 +33,17 @@ def stream_candles(ticks: DataFrame, width: str = "1 minute", watermark: str = "
                       "volume_24h", "ticks")
 
 
+def stream_dedup_unchanged(ticks: DataFrame, delay: str = "10 minutes",
+                           keys: Sequence[str] = ("asset_id", "ts"),
+                           time: str = "ingested_at") -> DataFrame:
+    """B7 streaming: drop repeated polls of an unchanged source reading.
+    State is kept only while the watermark is within ``delay``; which of the
+    duplicates inside one micro-batch survives is not defined (use the batch
+    ``dedup_unchanged`` in ``foreachBatch`` when the first must win), and a
+    reading frozen for longer than ``delay`` is emitted again."""
+    return ticks.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 def start_update_log(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                      name: str | None = None) -> StreamingQuery:
     """Persist an ``update``-mode stream as (rows, ``_batch``) Parquet; the
