@@ -7,6 +7,8 @@ checkpoint, and returns a lazy read of what the sink wrote.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidemark.plans.ingest import _PARSED_SQL
@@ -20,9 +22,20 @@ from tidemark.streaming.detector import _out_schema, stream_alerts
 
 
 def _landed_ticks(spark, sf):
+    """Land the ticks week by week (each write after the previous one, so
+    file times follow event time) and stream them one file per trigger:
+    every micro-batch, and so every state call, holds about a week."""
     path = S.scratch_path(spark, "landing")
-    FX.event_ticks(spark, sf, hourly_ts=True).write.parquet(path)
-    return spark.readStream.schema(TICK).parquet(path)
+    ticks = FX.event_ticks(spark, sf, hourly_ts=True)
+    week = F.date_trunc("week", "ingested_at")
+    span = ticks.agg(F.min(week).alias("lo"), F.max(week).alias("hi")).collect()[0]  # one row
+    start = span["lo"]
+    while start is not None and start <= span["hi"]:
+        end = start + dt.timedelta(days=7)
+        (ticks.where((F.col("ingested_at") >= F.lit(start)) & (F.col("ingested_at") < F.lit(end)))
+              .coalesce(1).write.mode("append").parquet(path))
+        start = end
+    return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _detector_run(spark, sf):

@@ -73,7 +73,9 @@ def make_step(window_s: int, threshold: float, warmup_s: int, metrics: dict[str,
         if frames:
             pdf = pd.concat(frames).sort_values(list(arrival), kind="stable")
             t_us = (pd.to_datetime(pdf[time]).astype("int64") // 1000).tolist()
-            cur = [pdf[c].tolist() for c in cols]
+            # NaN -> None once per batch, so the loop only tests identity
+            cur = [pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in cols]
+            idx = [(name, cols.index(c)) for name, c in names]
             tvals = pdf[time].tolist()
             head = 0
             for i, t in enumerate(t_us):
@@ -82,14 +84,16 @@ def make_step(window_s: int, threshold: float, warmup_s: int, metrics: dict[str,
                     head += 1
                 n = len(ts) - head
                 if n > 0 and t - ts[head] >= warm_us:
-                    for name, c in names:
-                        j = cols.index(c)
+                    for name, j in idx:
                         v = cur[j][i]
-                        if v is None or pd.isna(v):
+                        if v is None:
                             continue
-                        window = [x for x in vals[j][head:] if x is not None and not pd.isna(x)]
+                        window = vals[j][head:]
+                        if None in window:
+                            window = [x for x in window if x is not None]
                         if not window:
                             continue
+                        # left-to-right sum over the window, as the sequential rule
                         base = sum(window) / len(window)
                         if base == 0:
                             continue
@@ -99,9 +103,8 @@ def make_step(window_s: int, threshold: float, warmup_s: int, metrics: dict[str,
                                         int(window_s), n, tvals[i]))
                 ts.append(t)
                 for j in range(len(cols)):
-                    v = cur[j][i]
-                    vals[j].append(None if v is None or pd.isna(v) else float(v))
-                # compact the evicted head now and then (amortised O(1) per tick)
+                    vals[j].append(cur[j][i])
+                # drop the evicted head now and then (amortised O(1) per tick)
                 if head > 1024 and head * 2 > len(ts):
                     ts, vals, head = ts[head:], [v[head:] for v in vals], 0
             ts, vals = ts[head:], [v[head:] for v in vals]
