@@ -21,7 +21,8 @@ def _cols(names: str | Sequence[str]) -> list[str]:
 
 
 def _pick(df: DataFrame, key, order, last: bool) -> DataFrame:
-    """One row per key: the one with the smallest (or largest) ``order``.
+    """One row per key: the one with the smallest (or largest) ``order``
+    (ties broken by the other columns).
 
     A hash aggregate of ``min_by/max_by(struct(row), struct(order))``: it is
     partially aggregated before the exchange, so a hot key costs one row per
@@ -30,7 +31,9 @@ def _pick(df: DataFrame, key, order, last: bool) -> DataFrame:
     key, order = _cols(key), _cols(order)
     rest = [c for c in df.columns if c not in key]
     row = F.struct(*[F.col(c) for c in rest])
-    by = F.struct(*[F.col(c) for c in order])
+    # the remaining columns break ties, so the pick never depends on which
+    # task saw a row first (rows equal on everything are interchangeable)
+    by = F.struct(*[F.col(c) for c in order + [c for c in rest if c not in order]])
     agg = (F.max_by if last else F.min_by)(row, by).alias("_r")
     return df.groupBy(*key).agg(agg).select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
