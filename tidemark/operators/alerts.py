@@ -64,7 +64,7 @@ def _metric_map(metrics) -> dict[str, str]:
 def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence[str],
                    keys: Sequence[str] = ("asset_id",), time: str = "ts",
                    arrival: Sequence[str] = ("ingested_at",), bucket_s: int | str | None = "auto",
-                   moments: bool = False, warmup_s: int = 0, frame: str = "sliding") -> DataFrame:
+                   moments: bool = False, warmup_s: int = 0, frame: str = "auto") -> DataFrame:
     """Per tick and window: sum and non-null count (and centred moments) of
     each column over the trailing window, ``samples`` and readiness.
 
@@ -79,13 +79,17 @@ def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence
     frozen in runs). ``frame="prefix"`` is O(rows): running sums of all
     earlier readings minus running sums of the evicted ones, both restarting
     at every time bucket, so the cancellation error stays within about
-    ``bucket_s / window_s`` ulps of the window sum. Use it for dense windows.
+    ``bucket_s / window_s`` ulps of the window sum. ``frame="auto"`` (the
+    default) takes ``prefix`` when time buckets are on, ``sliding`` otherwise.
     """
-    if frame not in ("sliding", "prefix"):
-        raise ValueError("frame must be 'sliding' or 'prefix'")
+    if frame not in ("auto", "sliding", "prefix"):
+        raise ValueError("frame must be 'auto', 'sliding' or 'prefix'")
     wmax = max(int(w) for w in windows_s)
     if bucket_s == "auto":
         bucket_s = auto_bucket_s(wmax)
+    if frame == "auto":
+        # O(rows) whenever buckets bound the running sums, else exact sliding
+        frame = "prefix" if bucket_s else "sliding"
     if frame == "prefix" and not bucket_s:
         raise ValueError("frame='prefix' needs time buckets to bound its running sums")
     df = ticks.withColumn("_t", micros(time))
@@ -203,7 +207,7 @@ def trailing_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S,
                     threshold: float = DEFAULT_THRESHOLD, warmup_s: int = DEFAULT_WARMUP_S,
                     metrics=DEFAULT_METRICS, keys: Sequence[str] = ("asset_id",),
                     time: str = "ts", arrival: Sequence[str] = ("ingested_at",),
-                    bucket_s: int | str | None = "auto", frame: str = "sliding") -> DataFrame:
+                    bucket_s: int | str | None = "auto", frame: str = "auto") -> DataFrame:
     """Deviation alerts against the trailing-window mean.
 
     Output: ``keys, metric, value, baseline, change_pct, threshold, window_s,
@@ -219,7 +223,7 @@ def multi_window_alerts(ticks: DataFrame, windows_s: Sequence[int] = (DEFAULT_WI
                         threshold: float = DEFAULT_THRESHOLD, warmup_s: int = DEFAULT_WARMUP_S,
                         metrics=DEFAULT_METRICS, keys: Sequence[str] = ("asset_id",),
                         time: str = "ts", arrival: Sequence[str] = ("ingested_at",),
-                        bucket_s: int | str | None = "auto", frame: str = "sliding") -> DataFrame:
+                        bucket_s: int | str | None = "auto", frame: str = "auto") -> DataFrame:
     """The deviation rule for several windows in one pass (one exchange,
     one sort); long output distinguished by ``window_s``."""
     mm = _metric_map(metrics)
@@ -258,8 +262,9 @@ def zscore_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S, k: float =
     variance under 1e-10 of the mean square counts as zero).
 
     Moments are carried centred on a per-partition constant against
-    cancellation. Output: ``keys, metric, value, mean, stddev, zscore, k,
-    window_s, samples, ts``.
+    cancellation. The variance ``E[y^2] - E[y]^2`` cancels on its own, so the
+    default frame is the exact ``sliding`` one. Output: ``keys, metric,
+    value, mean, stddev, zscore, k, window_s, samples, ts``.
     """
     mm = _metric_map(metrics)
     cols = list(dict.fromkeys(mm.values()))
