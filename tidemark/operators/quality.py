@@ -219,7 +219,7 @@ def drift(df: DataFrame, col: str, period: Column | str, base, edges: Sequence[f
     p = (F.col("c") + s) / (F.sum("c").over(tot) + s * F.lit(nb))
     full = full.select("period", "bin", "c", p.alias("p"))
     base_p = full.where(F.col("period") == F.lit(base)).select("bin", F.col("p").alias("q"))
-    j = full.join(F.broadcast(base_p), "bin")
+    j = full.join(F.broadcast(base_p), "bin")  # one row per bin: bounded by len(edges) + 1
     return j.groupBy("period").agg(
         F.sum((F.col("p") - F.col("q")) * F.log(F.col("p") / F.col("q"))).alias("psi"),
         F.sum("c").alias("rows"))
