@@ -53,8 +53,8 @@ def to_ntz(df: DataFrame) -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` (an upper bound for file scans)."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(str(size))  # py4j hands back an int or a BigInt proxy
     except Exception:  # noqa: BLE001 -- no JVM handle (e.g. Spark Connect)
         return None
 

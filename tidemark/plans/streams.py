@@ -21,10 +21,17 @@ from tidemark.streaming import jobs as J
 from tidemark.streaming.detector import _out_schema, stream_alerts
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
 def _landed_ticks(spark, sf):
     """Land the ticks week by week (each write after the previous one, so
     file times follow event time) and stream them one file per trigger:
-    every micro-batch, and so every state call, holds about a week."""
+    every micro-batch, and so every state call, holds about a week. The
+    landing is written once per application and scale, then reused."""
+    memo = (spark.sparkContext.applicationId, sf)
+    if memo in _LANDED:
+        return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(_LANDED[memo])
     path = S.scratch_path(spark, "landing")
     ticks = FX.event_ticks(spark, sf, hourly_ts=True)
     week = F.date_trunc("week", "ingested_at")
@@ -35,6 +42,7 @@ def _landed_ticks(spark, sf):
         (ticks.where((F.col("ingested_at") >= F.lit(start)) & (F.col("ingested_at") < F.lit(end)))
               .coalesce(1).write.mode("append").parquet(path))
         start = end
+    _LANDED[memo] = path
     return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(path)
 
 

@@ -119,8 +119,9 @@ def stream_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S,
                   metrics=DEFAULT_METRICS, key: str = "asset_id",
                   arrival: Sequence[str] = ("ingested_at",)) -> DataFrame:
     """Streaming deviation alerts (same output columns as the batch
-    operator). Works on a streaming DataFrame; on a static one it gives the
-    exact arrival-order result, one task per key."""
+    operator), for streaming DataFrames. The arrival-order result over a
+    stored table is this job run over its files with ``availableNow`` and a
+    bounded ``maxFilesPerTrigger``."""
     mm = _metric_map(metrics)
     cols = list(dict.fromkeys(mm.values()))
     need = list(dict.fromkeys([key, "ts", *arrival, *cols]))
