@@ -124,6 +124,29 @@ def freshness(df: DataFrame, time: str, now, max_age_s: float,
     return out.select(*by, "newest", age.alias("age_s"), (age <= F.lit(float(max_age_s))).alias("fresh"))
 
 
+def integrity(df: DataFrame, refs: Sequence[tuple[str, DataFrame, str]] = (),
+              accepted_values: dict[str, Sequence] | None = None) -> DataFrame:
+    """L10 silver-to-gold tests: for each ``(column, parent, parent_key)`` the
+    number of rows whose value has no parent (nulls are not checked), and for
+    each ``column -> values`` the rows outside the accepted set. Report
+    ``(test, column, violations)``; parent keys go through the size-checked
+    broadcast in :func:`~tidemark.operators.keyed.fk_split`."""
+    from tidemark.operators.keyed import fk_split
+
+    parts = []
+    for col, parent, pkey in refs:
+        _, orphans = fk_split(df.where(F.col(col).isNotNull()).select(col), parent, col, pkey)
+        parts.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit(f"references:{col}").alias("test"), F.lit(col).alias("column"), "violations"))
+    if accepted_values:
+        rules = [accepted(c, v) for c, v in accepted_values.items()]
+        parts.append(check(df, rules).select(F.col("rule").alias("test"), "column", "violations"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # L11 reconciliation
 # ---------------------------------------------------------------------------

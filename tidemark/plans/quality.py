@@ -210,3 +210,24 @@ def distribution_drift(spark, sf):
     ev = FX.load(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     out = Q.drift(ev, "value", F.date_trunc("week", "ts"), "2024-01-01 00:00:00", _EDGES)
     return out.select("period", F.round("psi", 9).alias("psi"), F.col("rows").cast("long"))
+
+
+@register("integrity_report", """
+SELECT 'references:l_orderkey' AS test, 'l_orderkey' AS "column", count(*) AS violations
+FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'P')
+UNION ALL
+SELECT 'references:l_partkey', 'l_partkey', count(*) FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)
+UNION ALL
+SELECT 'accepted:l_returnflag', 'l_returnflag', count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N'))
+FROM lineitem
+""")
+def integrity_report(spark, sf):
+    """Line items against their orders (pending ones removed) and parts,
+    and the return flag restricted to A and N."""
+    li = FX.load(spark, sf, "lineitem")
+    orders = FX.load(spark, sf, "orders").where(F.col("o_orderstatus") != "P")
+    parts = FX.load(spark, sf, "part")
+    return Q.integrity(li, [("l_orderkey", orders, "o_orderkey"), ("l_partkey", parts, "p_partkey")],
+                       {"l_returnflag": ["A", "N"]})
