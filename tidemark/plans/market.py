@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import formatting as FMT
 from tidemark.operators import alerts as A
 from tidemark.operators import candles as C
+from tidemark.operators import marts as M
 from tidemark.plans.registry import register
 from tidemark.sources.fixtures import event_ticks, sql_ticks
 
@@ -186,9 +188,7 @@ FROM m WHERE ts < prior_max_ts
 def late_ticks(spark, sf):
     """Source times running behind earlier arrivals of the same asset
     (arrival = event time, the source clock lagging by ``props.k`` minutes)."""
-    t = event_ticks(spark, sf).withColumn(
-        "ts", F.col("ts") - F.make_interval(mins=F.col("change_24h").cast("int") + 50))
-    out = A.late_ticks(t)
+    out = A.late_ticks(event_ticks(spark, sf, source_lag=True))
     return out.select("asset_id", "ts", "ingested_at", "prior_max_ts", "lag_s")
 
 
@@ -197,8 +197,7 @@ SELECT * FROM ({sql_ticks()}) t ORDER BY ingested_at DESC, asset_id LIMIT 10
 """)
 def newest_n(spark, sf):
     """the ten newest ticks."""
-    from tidemark.operators.marts import newest
-    return newest(event_ticks(spark, sf), 10)
+    return M.newest(event_ticks(spark, sf), 10)
 
 
 @register("latest_per_asset", f"""
@@ -207,8 +206,7 @@ QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY ingested_at DESC) = 1
 """)
 def latest_per_asset(spark, sf):
     """last price per asset."""
-    from tidemark.operators.marts import latest_per_asset as op
-    return op(event_ticks(spark, sf))
+    return M.latest_per_asset(event_ticks(spark, sf))
 
 
 @register("recent_n_per_asset", f"""
@@ -218,8 +216,7 @@ QUALIFY rank <= 25
 """)
 def recent_n_per_asset(spark, sf):
     """the 25 newest ticks of every asset."""
-    from tidemark.operators.marts import recent_per_asset
-    return recent_per_asset(event_ticks(spark, sf), 25).withColumn("rank", F.col("rank").cast("long"))
+    return M.recent_per_asset(event_ticks(spark, sf), 25).withColumn("rank", F.col("rank").cast("long"))
 
 
 @register("realtime_candles", _candle_sql("date_trunc('hour', ingested_at)"))
@@ -255,12 +252,11 @@ FROM ({_alert_fields_sql()}) a
 """)
 def alert_json(spark, sf):
     """Alert records serialised to JSON and read back field by field."""
-    from tidemark.functions.formatting import alert_json as to_json
     alerts = A.trailing_alerts(event_ticks(spark, sf, hourly_ts=True), FIX_WINDOW_S,
                                FIX_THRESHOLD, FIX_WARMUP_S)
     fields = "asset_id string, metric string, value double, baseline double, change_pct double, " \
              "threshold double, window_s int, samples long, ts string"
-    parsed = to_json(alerts).select(F.from_json("value", fields).alias("r")).select("r.*")
+    parsed = FMT.alert_json(alerts).select(F.from_json("value", fields).alias("r")).select("r.*")
     return parsed.withColumn("baseline", F.round("baseline", 9))
 
 
@@ -273,5 +269,4 @@ FROM ({_alert_sql(hourly=True)}) a
 """)
 def alert_text(spark, sf):
     """Console lines of the alerts (9-place values, as in the alert queries)."""
-    from tidemark.functions.formatting import alert_text as to_text
-    return to_text(trailing_alerts_ties(spark, sf))
+    return FMT.alert_text(trailing_alerts_ties(spark, sf))

@@ -43,11 +43,14 @@ def _k(props: str = "props"):
 
 
 def event_ticks(spark: SparkSession, sf_dir: str, hourly_ts: bool = False,
-                asset: str = "event_type") -> DataFrame:
-    """``events`` as ticks (see the module table)."""
+                asset: str = "event_type", source_lag: bool = False) -> DataFrame:
+    """``events`` as ticks (see the module table). ``source_lag=True`` makes
+    the source clock run ``props.k`` minutes behind the poll (late ticks)."""
     ev = load(spark, sf_dir, "events")
     ingested = F.col("ts").cast(T.TimestampType())
     src_ts = F.date_trunc("hour", ingested) if hourly_ts else ingested
+    if source_lag:
+        src_ts = src_ts - F.make_interval(mins=_k().cast(T.IntegerType()))
     return ev.select(
         F.col(asset).cast(T.StringType()).alias("asset_id"),
         src_ts.alias("ts"),
