@@ -43,6 +43,24 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+_SPARK_TO_DUCK = {
+    "string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT",
+    "smallint": "SMALLINT", "tinyint": "TINYINT",
+}
+
+
+def type_mismatches(spark_schema, duck_res) -> list[str]:
+    duck = {d[0]: str(d[1]) for d in duck_res.description}
+    out = []
+    for f in spark_schema.fields:
+        want = _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        got = duck.get(f.name)
+        if got is not None and got != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} / duck {got}")
+    return out
+
+
 def compare(spark_rows, spark_cols, duck_rows, duck_cols):
     if sorted(spark_cols) != sorted(duck_cols):
         return "schema", f"{sorted(spark_cols)} != {sorted(duck_cols)}"
@@ -91,12 +109,15 @@ def main(argv):
         try:
             res = con.execute(oracles[name])
             dcols = [d[0] for d in res.description]
+            types = type_mismatches(df.schema, res)
             drows = res.fetchall()
         except Exception as e:  # noqa: BLE001
             summary[name] = "sql-error"
             print(f"{name:40s} SQL ERROR {str(e)[:400]}")
             continue
         status, msg = compare(rows, cols, drows, dcols)
+        if status == "ok" and types:
+            status, msg = "types", "; ".join(types)
         summary[name] = status
         print(f"{name:40s} {status:7s} {len(rows)} rows  spark {t1 - t0:.1f}s  {msg[:600]}")
     print(json.dumps(summary))

@@ -28,7 +28,7 @@ def feed_outages(spark, sf):
 
 @register("feed_cadence", f"""
 SELECT event_type AS asset_id, date_trunc('day', ts) AS period_start, count(*) AS polls,
-       72.0 AS expected, count(*) / 72.0 AS coverage,
+       CAST(72.0 AS DOUBLE) AS expected, count(*) / 72.0 AS coverage,
        count(DISTINCT date_trunc('hour', ts)) AS distinct_ts,
        1.0 - count(DISTINCT date_trunc('hour', ts)) / count(*) AS stale_ratio
 FROM events GROUP BY ALL
