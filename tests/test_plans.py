@@ -49,3 +49,10 @@ def test_broadcast_only_when_small(spark):
         assert broadcast_if_small(cust, 1) is cust
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_first_per_key_limits_before_the_exchange(spark):
+    from tidemark.operators.keyed import first_per_key
+    li = load(spark, SF001, "lineitem")
+    plan = _plan(first_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"]))
+    assert "WindowGroupLimit" in plan and "Partial" in plan

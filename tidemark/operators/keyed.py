@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import broadcast_if_small
 
@@ -20,22 +21,31 @@ def _cols(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def _orderable(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return True
+
+
 def _pick(df: DataFrame, key, order, last: bool) -> DataFrame:
     """One row per key: the one with the smallest (or largest) ``order``
-    (ties broken by the other columns).
+    (ties broken by the other orderable columns, so the pick never depends
+    on which task saw a row first).
 
-    A hash aggregate of ``min_by/max_by(struct(row), struct(order))``: it is
-    partially aggregated before the exchange, so a hot key costs one row per
-    map task on the wire, never a whole group in one task.
+    ``row_number() = 1`` plans a partial WindowGroupLimit before the
+    exchange: every map task forwards one row per key, so a hot key costs a
+    row per task on the wire, never a whole group in one task.
     """
     key, order = _cols(key), _cols(order)
-    rest = [c for c in df.columns if c not in key]
-    row = F.struct(*[F.col(c) for c in rest])
-    # the remaining columns break ties, so the pick never depends on which
-    # task saw a row first (rows equal on everything are interchangeable)
-    by = F.struct(*[F.col(c) for c in order + [c for c in rest if c not in order]])
-    agg = (F.max_by if last else F.min_by)(row, by).alias("_r")
-    return df.groupBy(*key).agg(agg).select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    ties = [c for c in df.columns if c not in key and c not in order and _orderable(types[c])]
+    by = [F.col(c).desc() if last else F.col(c).asc() for c in order + ties]
+    w = Window.partitionBy(*key).orderBy(*by)
+    return df.withColumn("_pick", F.row_number().over(w)).where(F.col("_pick") == 1).drop("_pick")
 
 
 def first_per_key(df: DataFrame, key, order) -> DataFrame:
