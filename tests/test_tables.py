@@ -141,3 +141,22 @@ def test_erasure_and_audit(spark):
                                   "call +1 (555) 123-4567",)], "t string")
     assert txt.select(mask_text("t").alias("m")).collect()[0].m == \
         "mail <email>, card <card>, ip <ip>, call <phone>"
+
+
+def test_erase_in_store_rewrites_only_touched_days(spark):
+    ticks = make_ticks(spark, [(d * 86400 + s, 1.0, 1.0, a) for d in range(3) for s in (0, 60)
+                               for a in ("x", "y")])
+    path = S.scratch_path(spark, "test-store")
+    S.append_ticks(ticks, path)
+    untouched = {f.getPath().getName() for f in S._fs(spark, path)[0].listStatus(
+        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/ingest_date=2026-06-10"))}
+    subjects = spark.createDataFrame([(at(0),), (at(2 * 86400 + 60),)], "ingested_at timestamp")
+    report = sorted((r.ingest_date.day, r.rows_removed) for r in
+                    S.erase_in_store(spark, path, subjects, "ingested_at").collect())
+    assert report == [(9, 2), (11, 2)]
+    left = spark.read.parquet(path)
+    assert left.count() == 8
+    assert left.where(F.col("ingested_at").isin(at(0), at(2 * 86400 + 60))).count() == 0
+    after = {f.getPath().getName() for f in S._fs(spark, path)[0].listStatus(
+        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/ingest_date=2026-06-10"))}
+    assert after == untouched  # the day without subjects was not rewritten

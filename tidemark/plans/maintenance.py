@@ -12,6 +12,7 @@ from tidemark.operators import candles as C
 from tidemark.plans.market import _candle_sql
 from tidemark.plans.registry import register
 from tidemark.sources import store as S
+from tidemark.sources import fixtures as FX
 from tidemark.sources.fixtures import event_ticks, sql_ticks
 
 
@@ -66,3 +67,17 @@ def refresh_persisted(spark, sf):
     stale.withColumn("bucket_date", F.to_date("bucket")).write.partitionBy("bucket_date").parquet(path)
     S.refresh_table(spark, path, ticks, "2024-01-16 00:00:00", "1 day", "1 hour", "1 hour")
     return spark.read.parquet(path).drop("bucket_date")
+
+
+@register("erase_in_store", f"""
+SELECT t.*, CAST(t.ingested_at AS DATE) AS ingest_date FROM ({sql_ticks()}) t
+WHERE t.ingested_at NOT IN (SELECT ts FROM events WHERE user_id = 7)
+""")
+def erase_in_store(spark, sf):
+    """L15 on the tick store: every poll of user 7 erased, rewriting only the
+    day partitions that held one."""
+    path = _store(spark, sf)
+    subjects = FX.load(spark, sf, "events").where(F.col("user_id") == 7) \
+        .select(F.col("ts").cast("timestamp").alias("ingested_at"))
+    S.erase_in_store(spark, path, subjects, "ingested_at")
+    return spark.read.parquet(path)

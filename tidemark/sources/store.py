@@ -174,3 +174,22 @@ def refresh_table(spark: SparkSession, rollup_path: str, ticks: DataFrame, now,
                   now, start_offset, end_offset, width, keys)
     overwrite_partitions(new.withColumn("bucket_date", F.to_date("bucket")), rollup_path,
                          scratch_path(spark, "refresh"), "bucket_date")
+
+
+def erase_in_store(spark: SparkSession, path: str, subjects: DataFrame, key: str,
+                   partition_col: str = PART) -> DataFrame:
+    """L15 on a stored table: remove every row of the listed subjects,
+    rewriting only the partitions that hold any (found with a semi join; the
+    list of touched partitions is small). Returns ``(partition, rows_removed)``."""
+    from tidemark.operators.privacy import erase
+
+    table = spark.read.parquet(path)
+    subj = subjects.select(F.col(key)).distinct()
+    hits = table.join(subj, key, "left_semi")
+    report = hits.groupBy(partition_col).agg(F.count(F.lit(1)).alias("rows_removed")).collect()
+    if report:
+        touched = [r[partition_col] for r in report]
+        kept = erase(table.where(F.col(partition_col).isin(touched)), subj, key)
+        overwrite_partitions(kept, path, scratch_path(spark, "erase"), partition_col)
+    return spark.createDataFrame(report, f"{partition_col} date, rows_removed long") if report else \
+        spark.createDataFrame([], f"{partition_col} date, rows_removed long")
