@@ -29,7 +29,7 @@ def _landed_ticks(spark, sf):
     file times follow event time) and stream them one file per trigger:
     every micro-batch, and so every state call, holds about a week. The
     landing is written once per application and scale, then reused."""
-    memo = (spark.sparkContext.applicationId, sf)
+    memo = (spark.conf.get("spark.app.id", None) or spark.conf.get("spark.app.name", ""), sf)
     if memo in _LANDED:
         return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(_LANDED[memo])
     path = S.scratch_path(spark, "landing")
