@@ -210,6 +210,11 @@ def trailing_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S,
                     bucket_s: int | str | None = "auto", frame: str = "auto") -> DataFrame:
     """Deviation alerts against the trailing-window mean.
 
+    ``arrival`` orders readings sharing one ``ts`` and must be unique per key
+    (the tick key ``(asset_id, ingested_at)``; deduplicate with
+    ``insert_ignore`` first), otherwise the order among equal arrivals is
+    undefined.
+
     Output: ``keys, metric, value, baseline, change_pct, threshold, window_s,
     samples, ts``. ``metrics`` maps an alert metric name to its column (any
     stored metric can be alerted on; a negative baseline flips the sign of
