@@ -69,19 +69,28 @@ def current_from_log(spark: SparkSession, path: str, keys: Sequence[str]) -> Dat
 def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_id", "ingested_at"),
                      order: Sequence[str] = ("ingested_at",), trigger: dict | None = None) -> StreamingQuery:
     """Every micro-batch is made durable at once with insert-ignore
-    semantics: first row per key in the batch, keys already stored dropped
-    (only the day folders the batch touches are read), then appended."""
+    semantics: first row per key in the batch, keys already stored dropped,
+    then appended. The stored side is read only for the batch's days
+    (partition pruning) and its ``ingested_at`` range (Parquet statistics
+    skip the rest), so a trigger never rescans the table."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = S.with_partition(batch.select(*TICK_COLUMNS, *[c for c in order if c not in TICK_COLUMNS]))
-        days = [r[0] for r in batch.select(S.PART).distinct().collect()]  # a few dates per batch
-        if not days:
-            return
-        stored = None
-        if S.list_partitions(batch.sparkSession, path):
-            stored = batch.sparkSession.read.parquet(path).where(F.col(S.PART).isin(days))
-        new = insert_ignore(stored, batch, list(key), list(order), partition_col=S.PART)
-        new.select(*TICK_COLUMNS, S.PART).write.mode("append").option("compression", "zstd") \
-            .partitionBy(S.PART).parquet(path)
+        extra = [c for c in order if c not in TICK_COLUMNS]
+        batch = S.with_partition(batch.select(*TICK_COLUMNS, *extra)).persist()
+        try:
+            span = batch.agg(F.min("ingested_at").alias("lo"), F.max("ingested_at").alias("hi"),
+                             F.collect_set(S.PART).alias("days")).collect()[0]  # one row
+            if span["lo"] is None:
+                return
+            stored = None
+            if S.list_partitions(batch.sparkSession, path):
+                stored = (batch.sparkSession.read.parquet(path)
+                          .where(F.col(S.PART).isin(span["days"]))
+                          .where(F.col("ingested_at").between(span["lo"], span["hi"])))
+            new = insert_ignore(stored, batch, list(key), list(order), partition_col=S.PART)
+            new.select(*TICK_COLUMNS, S.PART).write.mode("append").option("compression", "zstd") \
+                .partitionBy(S.PART).parquet(path)
+        finally:
+            batch.unpersist()
 
     return (ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
                  .trigger(**(trigger or {"availableNow": True})).start())
