@@ -27,6 +27,12 @@ def test_trailing_window_one_exchange_one_sort(spark, frame):
     assert "_bk" in plan  # partitioned by (asset, time bucket), not by asset alone
 
 
+@pytest.mark.parametrize("frame", ["sliding", "prefix"])
+def test_zscore_one_exchange_one_sort(spark, frame):
+    plan = _plan(A.zscore_alerts(event_ticks(spark, SF001, hourly_ts=True), 21600, 2.0, 1800, frame=frame))
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
 def test_candles_partial_aggregate_and_pruned_scan(spark):
     plan = _plan(C.candles(event_ticks(spark, SF001), "5 minutes"))
     assert "partial_min_by" in plan and plan.count("Exchange") == 1

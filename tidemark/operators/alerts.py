@@ -109,9 +109,12 @@ def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence
     # Hash on (key, bucket) satisfies every window distribution below: one exchange.
     df = df.repartition(*pk)
     if moments:
-        whole = Window.partitionBy(*pk)
+        # centre = first non-null value of the partition, over a frame
+        # ordered like the ones below, so all of them share one sort
+        whole = (Window.partitionBy(*pk).orderBy("_t", *arrival)
+                 .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         for c in columns:
-            df = df.withColumn(f"_c_{c}", F.min(c).over(whole))
+            df = df.withColumn(f"_c_{c}", F.first(c, ignorenulls=True).over(whole))
 
     def measures(c):
         """(suffix, value) pairs summed per column."""
