@@ -18,18 +18,22 @@ from tidemark.schemas import TICK
 from tidemark.sources import fixtures as FX
 from tidemark.sources import store as S
 from tidemark.streaming import jobs as J
-from tidemark.streaming.detector import _out_schema, stream_alerts
+from tidemark.streaming.detector import stream_alerts
 
 
 _LANDED: dict[tuple[str, str], str] = {}
 
 
+def _memo(spark, sf):
+    return (spark.conf.get("spark.app.id", None) or spark.conf.get("spark.app.name", ""), sf)
+
+
 def _landed_ticks(spark, sf):
     """Land the ticks week by week (each write after the previous one, so
     file times follow event time) and stream them one file per trigger:
     every micro-batch, and so every state call, holds about a week. The
     landing is written once per application and scale, then reused."""
-    memo = (spark.conf.get("spark.app.id", None) or spark.conf.get("spark.app.name", ""), sf)
+    memo = _memo(spark, sf)
     if memo in _LANDED:
         return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(_LANDED[memo])
     path = S.scratch_path(spark, "landing")
@@ -47,12 +51,10 @@ def _landed_ticks(spark, sf):
 
 
 def _detector_run(spark, sf):
-    out, ck = S.scratch_path(spark, "alerts"), S.scratch_path(spark, "ckpt")
-    alerts = stream_alerts(_landed_ticks(spark, sf), FIX_WINDOW_S, FIX_THRESHOLD, FIX_WARMUP_S)
-    q = (alerts.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-               .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.schema(_out_schema("asset_id")).parquet(out)
+    _landed_ticks(spark, sf)
+    src = _LANDED[_memo(spark, sf)]
+    return J.replay_alerts(spark, src, S.scratch_path(spark, "alerts"), S.scratch_path(spark, "ckpt"),
+                           window_s=FIX_WINDOW_S, threshold=FIX_THRESHOLD, warmup_s=FIX_WARMUP_S)
 
 
 @register("stream_alerts", _alert_sql(hourly=True))
