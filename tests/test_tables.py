@@ -160,3 +160,21 @@ def test_erase_in_store_rewrites_only_touched_days(spark):
     after = {f.getPath().getName() for f in S._fs(spark, path)[0].listStatus(
         spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/ingest_date=2026-06-10"))}
     assert after == untouched  # the day without subjects was not rewritten
+
+
+def test_seed_assets_upserts_latest_poll(spark):
+    import json
+    from tidemark.sources.payloads import write_landed
+    landing, table = S.scratch_path(spark, "markets"), S.scratch_path(spark, "assets")
+    first = [{"id": "alpha", "symbol": "a", "name": "Alpha", "image": "x.png", "max_supply": 21.0}]
+    second = [{"id": "alpha", "symbol": "a", "name": "Alpha 2", "image": None, "max_supply": None},
+              {"id": "beta", "symbol": "b", "name": "Beta"}]
+    polls = spark.createDataFrame([(json.dumps(first), datetime(2024, 1, 1)),
+                                   (json.dumps(second), datetime(2024, 1, 2))],
+                                  "payload string, ingested_at timestamp")
+    write_landed(polls, landing)
+    out = {r.id: r for r in S.seed_assets(spark, landing, table, "2024-02-01").collect()}
+    assert out["alpha"].name == "Alpha 2" and out["alpha"].max_supply is None
+    again = {r.id: r for r in S.seed_assets(spark, landing, table, "2024-03-01").collect()}
+    assert again["alpha"].created_at == datetime(2024, 2, 1)
+    assert again["alpha"].updated_at == datetime(2024, 3, 1) and set(again) == {"alpha", "beta"}

@@ -193,3 +193,32 @@ def erase_in_store(spark: SparkSession, path: str, subjects: DataFrame, key: str
         overwrite_partitions(kept, path, scratch_path(spark, "erase"), partition_col)
     return spark.createDataFrame(report, f"{partition_col} date, rows_removed long") if report else \
         spark.createDataFrame([], f"{partition_col} date, rows_removed long")
+
+
+def replace_table(df: DataFrame, path: str, staging: str | None = None) -> None:
+    """Replace a whole (small, unpartitioned) table that ``df`` may read
+    from: stage the new version first, then overwrite from the stage."""
+    spark = df.sparkSession
+    staging = staging or scratch_path(spark, "replace")
+    df.write.mode("overwrite").parquet(staging)
+    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+
+
+def seed_assets(spark: SparkSession, market_landing: str, assets_path: str, now,
+                fmt: str = "json") -> DataFrame:
+    """Bootstrap (C2 + A3): landed market payloads parsed to assets and
+    upserted into the asset table (new ids inserted, known ids overwritten
+    with ``updated_at = now``, ``created_at`` kept). Idempotent apart from
+    ``updated_at``. Returns the new table."""
+    from tidemark.operators.keyed import upsert
+    from tidemark.schemas import ASSET
+    from tidemark.sources.payloads import parse_markets, read_payloads
+
+    fs, p = _fs(spark, assets_path)
+    current = spark.read.parquet(assets_path) if fs.exists(p) else spark.createDataFrame([], ASSET)
+    # several polls may carry an id: the latest poll (stamped on each row) wins
+    incoming = parse_markets(read_payloads(spark, market_landing, fmt=fmt)).select(
+        "id", "symbol", "name", "image_url", "max_supply", F.col("updated_at").alias("_seq"))
+    new = upsert(current, incoming, "id", ["symbol", "name", "image_url", "max_supply"], now, order="_seq")
+    replace_table(new, assets_path)
+    return spark.read.parquet(assets_path)
