@@ -126,3 +126,23 @@ def test_feed_fan_out_to_store_and_alert_log(spark):
     assert spark.read.parquet(store).count() == 40  # 20 polls x 2 assets, replay ignored
     lines = [json.loads(r.value) for r in spark.read.text(alerts).collect()]
     assert any(a["asset_id"] == "alpha" and a["metric"] == "price" for a in lines)
+
+
+def test_feed_runner_once(spark):
+    import json
+    from datetime import timedelta
+
+    from conftest import BASE
+
+    from tidemark.sources.payloads import write_landed
+    from tidemark.streaming.__main__ import main
+
+    polls = [(json.dumps({"alpha": {"usd": 100.0 if s < 12 else 150.0}}),
+              (BASE + timedelta(seconds=s)).replace(tzinfo=None)) for s in range(13)]
+    landing, store, alerts, ck = (S.scratch_path(spark, n) for n in ("land", "store", "alerts", "ck"))
+    write_landed(spark.createDataFrame(polls, "payload string, ingested_at timestamp"), landing)
+    main(["--landing", landing, "--store", store, "--alerts", alerts, "--checkpoint", ck,
+          "--warmup", "10", "--once"])
+    assert spark.read.parquet(store).count() == 13
+    lines = spark.read.text(alerts).collect()
+    assert len(lines) == 1 and '"value":150.0' in lines[0].value
