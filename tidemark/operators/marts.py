@@ -95,6 +95,7 @@ class Kpi:
     version: int
     owner: str
     expr: Column  # an aggregate expression
+    grain: str = "day"  # calendar grain of the period, for kpi_report
 
 
 def kpis(df: DataFrame, definitions: Sequence[Kpi], grain: Sequence[str | Column] = ()) -> DataFrame:
@@ -110,6 +111,26 @@ def kpis(df: DataFrame, definitions: Sequence[Kpi], grain: Sequence[str | Column
     return wide.select(*gcols, F.inline(entries))
 
 
+def kpi_report(df: DataFrame, definitions: Sequence[Kpi], time: str,
+               by: Sequence[str] = ()) -> DataFrame:
+    """D9 registry form: every KPI at its own calendar grain; ONE aggregate
+    pass per distinct grain, all grains in one long table
+    ``(by..., grain, period, kpi, version, owner, value)``."""
+    grains: dict[str, list[Kpi]] = {}
+    for d in definitions:
+        grains.setdefault(d.grain, []).append(d)
+    parts = []
+    for g, defs in grains.items():
+        period = F.date_trunc(g, F.col(time)).alias("period")
+        part = kpis(df, defs, [*[F.col(b) for b in by], period])
+        parts.append(part.select(*by, F.lit(g).alias("grain"), "period", "kpi", "version",
+                                 "owner", "value"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # Batch rows as bus events
 # ---------------------------------------------------------------------------

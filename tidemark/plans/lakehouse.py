@@ -122,6 +122,29 @@ def kpis(spark, sf):
     return M.kpis(facts, _kpi_defs(), [F.col("r_name"), F.date_trunc("year", "o_orderdate").alias("year")])
 
 
+@register("kpi_report", f"""
+WITH s AS ({_STAR_SQL}),
+m AS (SELECT r_name, date_trunc('month', o_orderdate) AS period,
+             CAST(sum(CAST(revenue AS DECIMAL(38, 6))) AS DOUBLE) AS k0, CAST(count(*) AS DOUBLE) AS k1
+      FROM s GROUP BY ALL),
+y AS (SELECT r_name, date_trunc('year', o_orderdate) AS period,
+             CAST(count(DISTINCT l_orderkey) AS DOUBLE) AS k2 FROM s GROUP BY ALL)
+SELECT r_name, 'month' AS grain, period, 'revenue' AS kpi, 2 AS version, 'finance' AS owner, k0 AS value FROM m
+UNION ALL SELECT r_name, 'month', period, 'order_lines', 1, 'operations', k1 FROM m
+UNION ALL SELECT r_name, 'year', period, 'orders', 1, 'operations', k2 FROM y
+""")
+def kpi_report(spark, sf):
+    """A KPI registry with per-KPI grains (monthly revenue and lines,
+    yearly orders) per region, one aggregate pass per grain."""
+    facts = star_join(spark, sf).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    defs = [
+        M.Kpi("revenue", 2, "finance", F.sum(F.col("revenue").cast("decimal(38,6)")), "month"),
+        M.Kpi("order_lines", 1, "operations", F.count(F.lit(1)), "month"),
+        M.Kpi("orders", 1, "operations", F.count_distinct("l_orderkey"), "year"),
+    ]
+    return M.kpi_report(facts, defs, "o_orderdate", by=["r_name"])
+
+
 @register("bus_records", """
 SELECT CAST(event_id AS VARCHAR) AS key, event_type, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
 FROM events
