@@ -146,3 +146,17 @@ def test_feed_runner_once(spark):
     assert spark.read.parquet(store).count() == 13
     lines = spark.read.text(alerts).collect()
     assert len(lines) == 1 and '"value":150.0' in lines[0].value
+
+
+def test_append_mode_candles_hold_back_the_open_bucket(spark):
+    from tidemark.streaming.jobs import stream_candles
+    rows = [(s, float(s)) for s in range(0, 3 * 3600, 600)]  # three hourly buckets
+    landing, out, ck = (S.scratch_path(spark, n) for n in ("land", "out", "ck"))
+    _land(spark, rows, landing, 3)
+    src = spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(landing)
+    q = (stream_candles(src, "1 hour", "10 minutes").writeStream.outputMode("append")
+         .format("parquet").option("path", out).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r.bucket, r.ticks) for r in spark.read.parquet(out).collect())
+    assert got == [(at(0), 6), (at(3600), 6)]  # the 2:00 bucket is still open

@@ -74,6 +74,16 @@ def stream_candles_q(spark, sf):
     return J.current_from_log(spark, out, ["asset_id", "bucket"])
 
 
+@register("stream_candle_table", _candle_sql("date_trunc('hour', ingested_at)"))
+def stream_candle_table(spark, sf):
+    """I4: an hourly candle table kept current by the stream, one bounded
+    micro-batch at a time (each merges its updated buckets)."""
+    out, ck = S.scratch_path(spark, "candle-table"), S.scratch_path(spark, "ckpt")
+    candles = J.stream_candles(_landed_ticks(spark, sf), "1 hour", "2 hours")
+    J.start_candle_table(candles, out, ck).awaitTermination()
+    return spark.read.parquet(out).drop("bucket_date")
+
+
 @register("stream_insert_ignore",
           f"SELECT *, CAST(ingested_at AS DATE) AS ingest_date FROM ({_PARSED_SQL}) p")
 def stream_insert_ignore(spark, sf):

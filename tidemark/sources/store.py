@@ -61,19 +61,24 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def list_partitions(spark: SparkSession, path: str) -> list[dt.date]:
-    """Dates of the partition folders (a listing, bounded by the day count)."""
+def list_partitions_of(spark: SparkSession, path: str, column: str) -> list[dt.date]:
+    """Dates of the ``column=`` partition folders (a listing, bounded by the day count)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(PART + "="):
+        if st.isDirectory() and name.startswith(column + "="):
             out.append(dt.date.fromisoformat(name.split("=", 1)[1]))
     return sorted(out)
 
 
+def list_partitions(spark: SparkSession, path: str) -> list[dt.date]:
+    """Ingest dates of the tick store."""
+    return list_partitions_of(spark, path, PART)
+
+
 def _fingerprint(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per-date row count and order-insensitive hash sum of the rows."""
     h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
