@@ -103,15 +103,18 @@ def unpriced(payloads: DataFrame, vs: str = "usd") -> DataFrame:
 
 def price_rejects(payloads: DataFrame, vs: str = "usd") -> DataFrame:
     """Quarantine of the price feed: unreadable payloads and assets with a
-    malformed number, with a reason."""
-    parsed = payloads.withColumn("_m", F.from_json(F.col("payload"), PRICE_PAYLOAD))
-    broken = parsed.where(F.col("payload").isNotNull() & F.col("_m").isNull()).select(
-        F.lit(None).cast("string").alias("asset_id"), "ingested_at", "payload",
-        F.lit("unreadable payload").alias("reason"))
-    typed = _typed(_exploded(payloads), vs, keep=("_f",)).where("_bad").select(
-        "asset_id", "ingested_at", F.to_json("_f").alias("payload"),
-        F.lit("malformed number").alias("reason"))
-    return broken.unionByName(typed)
+    malformed number, with a reason. One parse: ``explode_outer`` keeps a row
+    for a payload that did not parse, so both kinds come from one pass."""
+    parsed = payloads.select("ingested_at", "payload",
+                             F.from_json(F.col("payload"), PRICE_PAYLOAD).alias("_m"))
+    rows = parsed.select("ingested_at", "payload", F.col("_m").isNull().alias("_unread"),
+                         F.explode_outer("_m").alias("asset_id", "_f"))
+    unreadable = F.col("payload").isNotNull() & F.col("_unread")
+    bad = F.col("_f").isNotNull() & _malformed(F.col("_f"), vs)
+    return rows.where(unreadable | bad).select(
+        "asset_id", "ingested_at",
+        F.when(bad, F.to_json("_f")).otherwise(F.col("payload")).alias("payload"),
+        F.when(bad, F.lit("malformed number")).otherwise(F.lit("unreadable payload")).alias("reason"))
 
 
 def parse_markets(payloads: DataFrame, now=None) -> DataFrame:
