@@ -190,8 +190,11 @@ def contract(df: DataFrame, schema: T.StructType, column: str = "payload") -> tu
     """
     corrupt = "_corrupt_record"
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(corrupt, T.StringType(), True)])
-    parsed = df.withColumn("_p", F.from_json(
-        F.col(column), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}))
+    parsed_col = F.from_json(F.col(column), with_corrupt,
+                             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    # a one-element explode is a Generate: filters on its output cannot be
+    # pushed below it, so the record is parsed once, not once per reference
+    parsed = df.select("*", F.explode(F.array(parsed_col)).alias("_p"))
     bad = F.col(column).isNull() | F.col("_p").isNull() | F.col(f"_p.{corrupt}").isNotNull()
     others = [c for c in df.columns if c != column]
     good = parsed.where(~bad).select(*others, *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields])
