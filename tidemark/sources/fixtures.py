@@ -98,9 +98,9 @@ def event_price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     * ``last_updated_at`` is the poll second minus ``props.k`` seconds;
     * ``k = 0`` gives a JSON null volume; ``value > 480`` a malformed price.
     """
-    ev = load(spark, sf_dir, "events")
+    ev = load(spark, sf_dir, "events").withColumn("_k", _k().cast(T.LongType()))  # parsed once
     ts = F.col("ts").cast(T.TimestampType())
-    k = F.get_json_object(F.col("props"), "$.k").cast(T.LongType())
+    k = F.col("_k")
     cur = F.when(F.col("event_type") == "error", F.lit("eur")).otherwise(F.lit("usd"))
     price = F.when(F.col("value") > 480, F.lit('"n/a"')).otherwise(F.col("value").cast("string"))
     vol = F.when(k == 0, F.lit("null")).otherwise(k.cast("double").cast("string"))
