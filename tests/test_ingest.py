@@ -122,3 +122,11 @@ def test_alert_json_and_text(spark):
     down = trailing_alerts(make_ticks(spark, [(0, 61728.0), (1, 50000.0)]), 300, 0.02, 0)
     assert alert_text(down).collect()[0].value == \
         "ALERT ▼ bitcoin price -19.00% vs 5m avg (value=5e+04, baseline=6.173e+04, n=1)"
+
+
+def test_from_bus_maps_kafka_shaped_records(spark):
+    from tidemark.sources.payloads import from_bus
+    body = json.dumps({"alpha": {"usd": 3.5}}).encode()
+    recs = spark.createDataFrame([(b"k", bytearray(body), POLL)], "key binary, value binary, timestamp timestamp")
+    t = parse_prices(from_bus(recs)).collect()
+    assert [(r.asset_id, r.price, r.ingested_at) for r in t] == [("alpha", 3.5, POLL)]

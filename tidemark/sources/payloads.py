@@ -38,6 +38,15 @@ def read_payloads(spark: SparkSession, path: str, streaming: bool = False, fmt:
     return reader.load(path)
 
 
+def from_bus(records: DataFrame, value: str = "value", time: str = "timestamp") -> DataFrame:
+    """A1 from a message bus: Kafka-shaped records (``value`` bytes, broker
+    ``timestamp``) as landed polls ``(payload, ingested_at)``. Works on the
+    batch or streaming DataFrame of ``spark.readStream.format("kafka")`` when
+    the connector is on the classpath; nothing here depends on it."""
+    return records.select(F.col(value).cast("string").alias("payload"),
+                          F.col(time).cast("timestamp").alias("ingested_at"))
+
+
 def _exploded(payloads: DataFrame, vs: str = "usd", strict: bool = False,
               keep: Sequence[str] = ()) -> DataFrame:
     m = F.from_json(F.col("payload"), PRICE_PAYLOAD)
