@@ -38,33 +38,41 @@ def make_ticks(spark, rows):
     return spark.createDataFrame(out, TICK)
 
 
-class SequentialDetector:
-    """Plain model of the per-key detector, used as the test oracle."""
-
-    def __init__(self, window_s, threshold, warmup_s=0):
-        self.w = timedelta(seconds=window_s)
-        self.window_s = window_s
-        self.th = threshold
-        self.warm = timedelta(seconds=warmup_s)
-        self.samples = []
-
-    def update(self, asset, ts, price, volume):
-        cutoff = ts - self.w
-        while self.samples and self.samples[0][0] < cutoff:
-            self.samples.pop(0)
-        out = []
-        if self.samples and ts - self.samples[0][0] >= self.warm:
-            for metric, idx, value in (("price", 1, price), ("volume", 2, volume)):
-                if value is None:
-                    continue
-                vals = [s[idx] for s in self.samples if s[idx] is not None]
-                if not vals:
+def model_alerts(ticks, window_s, threshold, warmup_s=0):
+    """Test oracle: the detector rule over ONE key's ticks in arrival order.
+
+    ``ticks``: (asset, ts datetime, price, volume). Readings stay in arrival
+    order; a reading leaves the window when it is at the head and older than
+    ``ts - window``. Returns (asset, metric, value, baseline, change, samples, ts).
+    """
+    from datetime import timedelta
+
+    w, warm = timedelta(seconds=window_s), timedelta(seconds=warmup_s)
+    seen, head, out = [], 0, []
+    for asset, ts, price, volume in ticks:
+        while head < len(seen) and seen[head][0] < ts - w:
+            head += 1
+        live = seen[head:]
+        if live and ts - live[0][0] >= warm:
+            for metric, pos, value in (("price", 1, price), ("volume", 2, volume)):
+                vals = [r[pos] for r in live if r[pos] is not None]
+                if value is None or not vals or sum(vals) == 0:
                     continue
                 base = sum(vals) / len(vals)
-                if base == 0:
-                    continue
-                ch = (value - base) / base
-                if abs(ch) > self.th:
-                    out.append((asset, metric, value, base, ch, len(self.samples), ts))
-        self.samples.append((ts, price, volume))
-        return out
+                change = (value - base) / base
+                if abs(change) > threshold:
+                    out.append((asset, metric, value, base, change, len(live), ts))
+        seen.append((ts, price, volume))
+    return out
+
+
+def model_for_rows(rows, window_s, threshold, warmup_s=0):
+    """:func:`model_alerts` per key for ``make_ticks``-style rows
+    ``(sec, price, volume, asset, ts_sec)``, arrival order = (sec, asset)."""
+    per_key = {}
+    for sec, price, vol, asset, ts in sorted(rows, key=lambda r: (r[0], r[3])):
+        per_key.setdefault(asset, []).append((asset, at(ts), price, vol))
+    out = []
+    for ticks in per_key.values():
+        out.extend(model_alerts(ticks, window_s, threshold, warmup_s))
+    return out

@@ -6,7 +6,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import SequentialDetector, at, make_ticks
+from conftest import at, make_ticks, model_for_rows
 
 from tidemark.operators.alerts import late_ticks, multi_window_alerts, trailing_alerts, zscore_alerts
 
@@ -114,11 +114,7 @@ def _random_rows(seed, n=400, assets=3):
 
 
 def _model(rows, window_s, threshold, warmup_s):
-    dets, out = {}, []
-    for sec, price, vol, asset, ts in sorted(rows, key=lambda r: (r[0], r[3])):
-        d = dets.setdefault(asset, SequentialDetector(window_s, threshold, warmup_s))
-        out.extend(d.update(asset, at(ts), price, vol))
-    return out
+    return model_for_rows(rows, window_s, threshold, warmup_s)
 
 
 @pytest.mark.parametrize("bucket_s", ["auto", None, 120])

@@ -4,7 +4,7 @@ windows, warm-ups, thresholds, bucket widths, ties and null volumes."""
 from __future__ import annotations
 
 import pytest
-from conftest import SequentialDetector, at, make_ticks
+from conftest import make_ticks, model_for_rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -37,10 +37,7 @@ def test_detector_matches_model(spark, spec, window, warm, threshold, frame, buc
     rows = _rows(spec)
     if bucket != "auto" and bucket < window:
         bucket = "auto"
-    dets, want = {}, []
-    for sec, price, vol, asset, ts in sorted(rows, key=lambda r: (r[0], r[3])):
-        d = dets.setdefault(asset, SequentialDetector(window, threshold, warm))
-        want.extend((a[0], a[1], a[6], a[5]) for a in d.update(asset, at(ts), price, vol))
+    want = [(a[0], a[1], a[6], a[5]) for a in model_for_rows(rows, window, threshold, warm)]
     got = [(r.asset_id, r.metric, r.ts, r.samples) for r in
            trailing_alerts(make_ticks(spark, rows), window, threshold, warm, bucket_s=bucket,
                            frame=frame).collect()]

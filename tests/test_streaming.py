@@ -6,7 +6,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import SequentialDetector, at, make_ticks
+from conftest import at, make_ticks, model_for_rows
 
 from tidemark.operators.alerts import trailing_alerts
 from tidemark.schemas import TICK
@@ -81,10 +81,7 @@ def test_late_ticks_follow_arrival_order(spark):
     _run(spark, landing, out, ck, **DET)
     got = sorted((r.asset_id, r.ts, r.metric, r.samples) for r in
                  spark.read.schema(_out_schema("asset_id")).parquet(out).collect())
-    dets, want = {}, []
-    for sec, price, vol, asset, ts in sorted(rows, key=lambda r: (r[0], r[3])):
-        d = dets.setdefault(asset, SequentialDetector(60, 0.05, 10))
-        want.extend((a[0], a[6], a[1], a[5]) for a in d.update(asset, at(ts), price, vol))
+    want = [(a[0], a[6], a[1], a[5]) for a in model_for_rows(rows, 60, 0.05, 10)]
     assert got == sorted(want) and len(want) > 10
 
 
