@@ -113,22 +113,23 @@ def kpis(df: DataFrame, definitions: Sequence[Kpi], grain: Sequence[str | Column
 
 def kpi_report(df: DataFrame, definitions: Sequence[Kpi], time: str,
                by: Sequence[str] = ()) -> DataFrame:
-    """D9 registry form: every KPI at its own calendar grain; ONE aggregate
-    pass per distinct grain, all grains in one long table
-    ``(by..., grain, period, kpi, version, owner, value)``."""
-    grains: dict[str, list[Kpi]] = {}
+    """D9 registry form: every KPI at its own calendar grain, all grains in
+    one long table ``(by..., grain, period, kpi, version, owner, value)``.
+
+    One scan and one aggregate for all grains: each row is replicated once
+    per distinct grain (as grouping sets do) and grouped by
+    ``(by, grain, period)``; each KPI is then kept only at its own grain.
+    """
+    grains = list(dict.fromkeys(d.grain for d in definitions))
+    per_grain = F.explode(F.array(*[
+        F.struct(F.lit(g).alias("grain"), F.date_trunc(g, F.col(time)).alias("period"))
+        for g in grains])).alias("_g")
+    expanded = df.select("*", per_grain).select("*", "_g.grain", "_g.period").drop("_g")
+    long = kpis(expanded, definitions, [*[F.col(b) for b in by], F.col("grain"), F.col("period")])
+    own = F.lit(False)
     for d in definitions:
-        grains.setdefault(d.grain, []).append(d)
-    parts = []
-    for g, defs in grains.items():
-        period = F.date_trunc(g, F.col(time)).alias("period")
-        part = kpis(df, defs, [*[F.col(b) for b in by], period])
-        parts.append(part.select(*by, F.lit(g).alias("grain"), "period", "kpi", "version",
-                                 "owner", "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        own = own | ((F.col("kpi") == d.name) & (F.col("grain") == d.grain))
+    return long.where(own).select(*by, "grain", "period", "kpi", "version", "owner", "value")
 
 
 # ---------------------------------------------------------------------------
