@@ -126,25 +126,30 @@ def freshness(df: DataFrame, time: str, now, max_age_s: float,
 
 def integrity(df: DataFrame, refs: Sequence[tuple[str, DataFrame, str]] = (),
               accepted_values: dict[str, Sequence] | None = None) -> DataFrame:
-    """L10 silver-to-gold tests: for each ``(column, parent, parent_key)`` the
-    number of rows whose value has no parent (nulls are not checked), and for
-    each ``column -> values`` the rows outside the accepted set. Report
-    ``(test, column, violations)``; parent keys go through the size-checked
-    broadcast in :func:`~tidemark.operators.keyed.fk_split`."""
-    from tidemark.operators.keyed import fk_split
-
-    parts = []
-    for col, parent, pkey in refs:
-        _, orphans = fk_split(df.where(F.col(col).isNotNull()).select(col), parent, col, pkey)
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(f"references:{col}").alias("test"), F.lit(col).alias("column"), "violations"))
-    if accepted_values:
-        rules = [accepted(c, v) for c, v in accepted_values.items()]
-        parts.append(check(df, rules).select(F.col("rule").alias("test"), "column", "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """L10 silver-to-gold tests in one pass over ``df``: for each
+    ``(column, parent, parent_key)`` the rows whose non-null value has no
+    parent, and for each ``column -> values`` the rows outside the accepted
+    set. Each parent contributes its distinct keys with a marker through a
+    left join (size-checked broadcast); one aggregate counts everything.
+    Report ``(test, column, violations)``."""
+    from tidemark.functions.columns import broadcast_if_small
+
+    tests: list[tuple[str, str, Column]] = []
+    cols = list(dict.fromkeys([c for c, _, _ in refs] + list(accepted_values or {})))
+    base = df.select(*cols)
+    for i, (col, parent, pkey) in enumerate(refs):
+        marker = f"_has_{i}"
+        keys = parent.select(F.col(pkey).alias(col)).distinct().withColumn(marker, F.lit(True))
+        base = base.join(broadcast_if_small(keys), col, "left")
+        tests.append((f"references:{col}", col, F.col(col).isNotNull() & F.col(marker).isNull()))
+    for col, values in (accepted_values or {}).items():
+        rule = accepted(col, values)
+        tests.append((rule.name, col, rule.violated()))
+    counts = base.agg(*[F.count_if(cond).alias(f"_v{i}") for i, (_, _, cond) in enumerate(tests)])
+    entries = F.array(*[F.struct(F.lit(name).alias("test"), F.lit(col).alias("column"),
+                                 F.col(f"_v{i}").alias("violations"))
+                        for i, (name, col, _) in enumerate(tests)])
+    return counts.select(F.inline(entries))
 
 
 # ---------------------------------------------------------------------------
