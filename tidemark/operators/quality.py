@@ -230,6 +230,10 @@ def drift(df: DataFrame, col: str, period: Column | str, base, edges: Sequence[f
     ``psi = sum((p - q) * ln(p / q))`` with ``p = (count + s) / (total + s * bins)``.
     Values below the first edge fall in bin 0, at or above the last in the
     last bin. Output: ``period, psi, rows``.
+
+    One pass over ``df``: a pivoted aggregate gives one row per period with a
+    count per bin (empty bins are 0); the base period's counts reach every
+    row through a window over that small per-period table.
     """
     per = F.col(period) if isinstance(period, str) else period
     edges = [float(e) for e in edges]
@@ -237,20 +241,21 @@ def drift(df: DataFrame, col: str, period: Column | str, base, edges: Sequence[f
     b = F.lit(0)
     for e in edges:
         b = b + F.when(F.col(col) >= F.lit(e), 1).otherwise(0)
-    hist = df.where(F.col(col).isNotNull()).groupBy(per.alias("period"), b.alias("bin")) \
-             .agg(F.count(F.lit(1)).alias("c"))
-    periods = hist.select("period").distinct()
-    bins = periods.select("period", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("bin"))
-    full = bins.join(hist, ["period", "bin"], "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    tot = Window.partitionBy("period")
-    s = F.lit(float(smoothing))
-    p = (F.col("c") + s) / (F.sum("c").over(tot) + s * F.lit(nb))
-    full = full.select("period", "bin", "c", p.alias("p"))
-    base_p = full.where(F.col("period") == F.lit(base)).select("bin", F.col("p").alias("q"))
-    j = full.join(F.broadcast(base_p), "bin")  # one row per bin: bounded by len(edges) + 1
-    return j.groupBy("period").agg(
-        F.sum((F.col("p") - F.col("q")) * F.log(F.col("p") / F.col("q"))).alias("psi"),
-        F.sum("c").alias("rows"))
+    hist = (df.where(F.col(col).isNotNull()).select(per.alias("period"), b.alias("bin"))
+              .groupBy("period").pivot("bin", list(range(nb))).count())
+    counts = [F.coalesce(F.col(str(i)), F.lit(0)) for i in range(nb)]
+    total = sum(counts[1:], counts[0])
+    s_ = F.lit(float(smoothing))
+    probs = [(c + s_) / (total + s_ * F.lit(nb)) for c in counts]
+    rows = hist.select("period", total.alias("rows"), *[p.alias(f"_p{i}") for i, p in enumerate(probs)])
+    everything = Window.partitionBy()  # one row per period: small
+    is_base = F.col("period") == F.lit(base).cast("timestamp")
+    with_q = rows.select("*", *[F.max(F.when(is_base, F.col(f"_p{i}"))).over(everything).alias(f"_q{i}")
+                                for i in range(nb)])
+    terms = [(F.col(f"_p{i}") - F.col(f"_q{i}")) * F.log(F.col(f"_p{i}") / F.col(f"_q{i}"))
+             for i in range(nb)]
+    psi = sum(terms[1:], terms[0])
+    return with_q.select("period", psi.alias("psi"), "rows")
 
 
 # ---------------------------------------------------------------------------
