@@ -207,10 +207,14 @@ def volume_anomaly(df: DataFrame, time: str, grain: str = "day", lookback: int =
     """
     period = F.date_trunc(grain, F.col(time))
     counts = df.groupBy(*by, period.alias("period")).agg(F.count(F.lit(1)).alias("n"))
-    span = counts.groupBy(*by).agg(F.min("period").alias("_lo"), F.max("period").alias("_hi"))
+    # one row per key holding its per-period counts (bounded by the number of
+    # periods, not rows), expanded over the full calendar: a single scan
+    per_key = counts.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct("period", "n"))).alias("_m"),
+        F.min("period").alias("_lo"), F.max("period").alias("_hi"))
     step = F.expr(f"INTERVAL 1 {grain.upper()}")
-    cal = span.select(*by, F.explode(F.sequence("_lo", "_hi", step)).alias("period"))
-    filled = cal.join(counts, [*by, "period"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    filled = (per_key.select(*by, "_m", F.explode(F.sequence("_lo", "_hi", step)).alias("period"))
+                     .select(*by, "period", F.coalesce(F.col("_m")[F.col("period")], F.lit(0)).alias("n")))
     w = Window.partitionBy(*by).orderBy("period").rowsBetween(-lookback, -1)
     nd = F.col("n").cast("double")
     out = filled.select(*by, "period", "n", F.avg(nd).over(w).alias("mean"),
