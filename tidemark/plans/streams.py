@@ -22,6 +22,8 @@ from tidemark.streaming.detector import stream_alerts
 
 
 _LANDED: dict[tuple[str, str], str] = {}
+# state partitions of the fixture streams (five assets): one per local core
+STATE_PARTITIONS = 8
 
 
 def _memo(spark, sf):
@@ -54,7 +56,8 @@ def _detector_run(spark, sf):
     _landed_ticks(spark, sf)
     src = _LANDED[_memo(spark, sf)]
     return J.replay_alerts(spark, src, S.scratch_path(spark, "alerts"), S.scratch_path(spark, "ckpt"),
-                           window_s=FIX_WINDOW_S, threshold=FIX_THRESHOLD, warmup_s=FIX_WARMUP_S)
+                           partitions=STATE_PARTITIONS, window_s=FIX_WINDOW_S,
+                           threshold=FIX_THRESHOLD, warmup_s=FIX_WARMUP_S)
 
 
 @register("stream_alerts", _alert_sql(hourly=True))
@@ -70,7 +73,7 @@ def stream_candles_q(spark, sf):
     update mode; the current candle is the last update of each bucket."""
     out, ck = S.scratch_path(spark, "candles"), S.scratch_path(spark, "ckpt")
     candles = J.stream_candles(_landed_ticks(spark, sf), "1 hour", "2 hours")
-    J.start_update_log(candles, out, ck).awaitTermination()
+    J.start_update_log(candles, out, ck, partitions=STATE_PARTITIONS).awaitTermination()
     return J.current_from_log(spark, out, ["asset_id", "bucket"])
 
 
@@ -80,7 +83,7 @@ def stream_candle_table(spark, sf):
     micro-batch at a time (each merges its updated buckets)."""
     out, ck = S.scratch_path(spark, "candle-table"), S.scratch_path(spark, "ckpt")
     candles = J.stream_candles(_landed_ticks(spark, sf), "1 hour", "2 hours")
-    J.start_candle_table(candles, out, ck).awaitTermination()
+    J.start_candle_table(candles, out, ck, partitions=STATE_PARTITIONS).awaitTermination()
     return spark.read.parquet(out).drop("bucket_date")
 
 
@@ -109,7 +112,7 @@ def alert_log(spark, sf):
     """K2: streaming alerts appended as JSON lines, read back field by field."""
     out, ck = S.scratch_path(spark, "alertlog"), S.scratch_path(spark, "ckpt")
     alerts = stream_alerts(_landed_ticks(spark, sf), FIX_WINDOW_S, FIX_THRESHOLD, FIX_WARMUP_S)
-    J.start_alert_log(alerts, out, ck, fmt="json").awaitTermination()
+    J.start_alert_log(alerts, out, ck, fmt="json", partitions=STATE_PARTITIONS).awaitTermination()
     fields = ("asset_id string, metric string, value double, baseline double, change_pct double, "
               "threshold double, window_s int, samples long, ts string")
     parsed = spark.read.text(out).select(F.from_json("value", fields).alias("r")).select("r.*")
@@ -124,7 +127,8 @@ def stream_dedup_unchanged(spark, sf):
     within the watermark; one row per (asset, source time) remains."""
     out, ck = S.scratch_path(spark, "dedup"), S.scratch_path(spark, "ckpt")
     deduped = J.stream_dedup_unchanged(_landed_ticks(spark, sf), "2 hours")
-    q = (deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-                .trigger(availableNow=True).start())
+    with J.state_partitions(spark, STATE_PARTITIONS):
+        q = (deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+                    .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(TICK).parquet(out).select("asset_id", "ts")

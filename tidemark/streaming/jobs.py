@@ -13,12 +13,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+import contextlib
+
 from tidemark.functions.formatting import alert_json, alert_text
 from tidemark.operators.keyed import insert_ignore
 from tidemark.schemas import TICK_COLUMNS
 from tidemark.sources import store as S
 
 
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Start a stateful query with ``n`` state partitions. Structured
+    Streaming records the count in the checkpoint at the first start (later
+    restarts keep it), so it should match the key count and throughput, not
+    the session's batch default."""
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def stream_candles(ticks: DataFrame, width: str = "1 minute", watermark: str = "10 minutes",
                    keys: Sequence[str] = ("asset_id",), time: str = "ingested_at") -> DataFrame:
     """I4: candles kept incrementally up to date. ``update`` output mode
@@ -45,7 +65,7 @@ def stream_dedup_unchanged(ticks: DataFrame, delay: str = "10 minutes",
 
 
 def start_update_log(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                     name: str | None = None) -> StreamingQuery:
+                     name: str | None = None, partitions: int | None = None) -> StreamingQuery:
     """Persist an ``update``-mode stream as (rows, ``_batch``) Parquet; the
     current value of a key is its row of the highest batch (see
     :func:`current_from_log`)."""
@@ -57,11 +77,13 @@ def start_update_log(stream: DataFrame, path: str, checkpoint: str, trigger: dic
         .foreachBatch(write)
     if name:
         w = w.queryName(name)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    with state_partitions(stream.sparkSession, partitions):
+        return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def start_candle_table(candles_stream: DataFrame, path: str, checkpoint: str,
-                       keys: Sequence[str] = ("asset_id",), trigger: dict | None = None) -> StreamingQuery:
+                       keys: Sequence[str] = ("asset_id",), trigger: dict | None = None,
+                       partitions: int | None = None) -> StreamingQuery:
     """I4 as a table: each ``update``-mode micro-batch replaces its candles in
     a Parquet table partitioned by ``bucket_date``; only the days it touches
     are rewritten (stored rows of those days minus the updated keys, plus
@@ -83,8 +105,9 @@ def start_candle_table(candles_stream: DataFrame, path: str, checkpoint: str,
         finally:
             batch.unpersist()
 
-    return (candles_stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-                          .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())
+    with state_partitions(candles_stream.sparkSession, partitions):
+        return (candles_stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+                              .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())
 
 
 def current_from_log(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
@@ -124,17 +147,19 @@ def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_i
 
 
 def start_alert_log(alerts: DataFrame, path: str, checkpoint: str, fmt: str = "json",
-                    trigger: dict | None = None) -> StreamingQuery:
+                    trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
     """K2/K3: append alerts as text lines (JSON records or console lines);
     exactly-once through the file sink's log."""
     lines = alert_json(alerts) if fmt == "json" else alert_text(alerts)
-    return (lines.writeStream.format("text").option("path", path)
-                 .option("checkpointLocation", checkpoint).outputMode("append")
-                 .trigger(**(trigger or {"availableNow": True})).start())
+    with state_partitions(alerts.sparkSession, partitions):
+        return (lines.writeStream.format("text").option("path", path)
+                     .option("checkpointLocation", checkpoint).outputMode("append")
+                     .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def replay_alerts(spark: SparkSession, source: str, out: str, checkpoint: str,
-                  fmt: str = "parquet", max_files_per_trigger: int = 1, **detector) -> DataFrame:
+                  fmt: str = "parquet", max_files_per_trigger: int = 1, partitions: int | None = None,
+                  **detector) -> DataFrame:
     """I3 over history: the exact arrival-order alerts of stored ticks, by
     running the streaming detector over the files (oldest first, a bounded
     number per trigger) to completion. Returns the alerts written to ``out``."""
@@ -143,8 +168,9 @@ def replay_alerts(spark: SparkSession, source: str, out: str, checkpoint: str,
 
     ticks = (spark.readStream.schema(TICK).format(fmt)
              .option("maxFilesPerTrigger", max_files_per_trigger).load(source))
-    q = (stream_alerts(ticks, **detector).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with state_partitions(spark, partitions):
+        q = (stream_alerts(ticks, **detector).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(_out_schema(detector.get("key", "asset_id"))).parquet(out)
 
