@@ -7,7 +7,7 @@ checkpoint, and returns a lazy read of what the sink wrote.
 
 from __future__ import annotations
 
-import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -31,25 +31,28 @@ def _memo(spark, sf):
 
 
 def _landed_ticks(spark, sf):
-    """Land the ticks week by week (each write after the previous one, so
-    file times follow event time) and stream them one file per trigger:
-    every micro-batch, and so every state call, holds about a week. The
-    landing is written once per application and scale, then reused."""
+    """Land the ticks as files that each hold a contiguous time range (one
+    parallel write, range-partitioned on time) and stream them one file per
+    trigger. File sources take the oldest files first, so the files' times
+    are stamped in range order (a metadata-only step): the stream sees the
+    ticks in time order, every micro-batch holds one bounded file, and no
+    task ever holds more than its range. Written once per application and
+    scale, then reused."""
     memo = _memo(spark, sf)
-    if memo in _LANDED:
-        return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(_LANDED[memo])
-    path = S.scratch_path(spark, "landing")
-    ticks = FX.event_ticks(spark, sf, hourly_ts=True)
-    week = F.date_trunc("week", "ingested_at")
-    span = ticks.agg(F.min(week).alias("lo"), F.max(week).alias("hi")).collect()[0]  # one row
-    start = span["lo"]
-    while start is not None and start <= span["hi"]:
-        end = start + dt.timedelta(days=7)
-        (ticks.where((F.col("ingested_at") >= F.lit(start)) & (F.col("ingested_at") < F.lit(end)))
-              .coalesce(1).write.mode("append").parquet(path))
-        start = end
-    _LANDED[memo] = path
-    return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(path)
+    if memo not in _LANDED:
+        path = S.scratch_path(spark, "landing")
+        ticks = FX.event_ticks(spark, sf, hourly_ts=True)
+        files = max(4, spark.sparkContext.defaultParallelism)
+        (ticks.repartitionByRange(files, "ingested_at").sortWithinPartitions("ingested_at")
+              .write.parquet(path))
+        fs, root = S._fs(spark, path)
+        parts = sorted((st.getPath() for st in fs.listStatus(root)
+                        if st.getPath().getName().startswith("part-")), key=lambda q: q.getName())
+        first = int(time.time() * 1000) - 1000 * len(parts)
+        for i, part in enumerate(parts):  # part-00000 holds the earliest range
+            fs.setTimes(part, first + 1000 * i, -1)
+        _LANDED[memo] = path
+    return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(_LANDED[memo])
 
 
 def _detector_run(spark, sf):
