@@ -15,7 +15,9 @@ classes are kept as postings; (4) each token's classes are held against one
 hub of about their size, verified on the texts, and linked: large groups of
 near copies cost one pair per member; (5) whatever pair is left, sharing enough
 prefix tokens between two components, is verified too, so no link that joins
-components is lost.
+components is lost. In (4) and (5) a pair is only built if bounds on what two
+sets can share, from the places of a shared token and from parity bits of the
+whole sets, allow a link.
 
 Nulls and edge cases: null or empty texts and texts without words have the
 empty set and link with nothing; rows without doc_id are returned with their
@@ -33,7 +35,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import connected_components, place_factors, scatter, words, written
@@ -46,7 +48,7 @@ LONGEST_MATCH = 8
 #: Cost of a candidate against that of a prefix row.
 CANDIDATE_COST = 4.0
 
-SIGNATURE = "doc_id long, n int, fp1 long, fp2 long, l int, prefix array<long>"
+SIGNATURE = "doc_id long, n int, fp1 long, fp2 long, l int, last long, parity array<long>, prefix array<long>"
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -112,17 +114,29 @@ def required(n, percent: int):
     return -(-percent * n // 100)
 
 
-def signature(h: np.ndarray, counts: np.ndarray, background: float, bits: int, percent: int) -> tuple[int, np.ndarray]:
-    """The match length ``l`` with the least estimated cost, and that prefix."""
+def parity(h: np.ndarray) -> np.ndarray:
+    """256 bits, each the parity of how many tokens fall on it: two sets differ
+    in at least as many tokens as their bits differ."""
+    odd = np.bincount((h & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def signature(
+    h: np.ndarray, counts: np.ndarray, background: float, bits: int, percent: int,
+) -> tuple[int, int, np.ndarray]:
+    """The match length ``l`` with the least estimated cost, the count of the
+    prefix's last token, and the prefix. Tokens are ordered by count, then by
+    hash as a signed number."""
     n = len(h)
     t = int(required(n, percent))
     seen = counts[_buckets(h, bits)]
-    order = np.lexsort((h, seen))[: n - t + min(LONGEST_MATCH, t)]
+    order = np.lexsort((h.view(np.int64), seen))[: n - t + min(LONGEST_MATCH, t)]
     partners = np.cumsum(np.maximum(seen[order] - 1 - background, 0.0))
     length = np.arange(1, min(LONGEST_MATCH, t) + 1)
     cost = (n - t + length) + CANDIDATE_COST * partners[n - t + length - 1] / length
     best = int(np.argmin(cost)) + 1
-    return best, h[order[: n - t + best]]
+    order = order[: n - t + best]
+    return best, int(seen[order[-1]]), h[order]
 
 
 def signatures(docs: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
@@ -135,21 +149,24 @@ def signatures(docs: DataFrame, width: int, percent: int, bits: int) -> DataFram
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = shared.value
         for b in batches:
-            n, f1, f2, ls, prefixes = [], [], [], [], []
+            n, f1, f2, ls, lasts, bits_, prefixes = [], [], [], [], [], [], []
             for t in b.column("text").to_pylist():
                 h = shingles(t, width)
                 n.append(len(h))
                 f1.append(int(scatter(h, 0xA24BAED4963EE407).sum(dtype=np.uint64)))
                 f2.append(int(scatter(h, 0x9FB21C651E98DF25).sum(dtype=np.uint64)))
-                best, prefix = signature(h, seen, background, bits, percent) if len(h) else (0, h)
+                best, last, prefix = signature(h, seen, background, bits, percent) if len(h) else (0, 0, h)
                 ls.append(best)
+                lasts.append(last)
+                bits_.append(parity(h))
                 prefixes.append(prefix.view(np.int64))
             cols = [
                 b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int32()),
                 pa.array(np.array(f1, np.uint64).view(np.int64)), pa.array(np.array(f2, np.uint64).view(np.int64)),
-                pa.array(ls, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())),
+                pa.array(ls, pa.int32()), pa.array(lasts, pa.int64()),
+                pa.array(bits_, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "fp1", "fp2", "l", "prefix"])
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "fp1", "fp2", "l", "last", "parity", "prefix"])
 
     return docs.select("doc_id", "text").mapInArrow(sign, SIGNATURE)
 
@@ -194,16 +211,49 @@ def jaccard_components(
     signed = written(signatures(docs, width, percent, bits), "signatures")
     real = signed.where("n > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("fp1", "fp2", "n").agg(
-        F.min("doc_id").alias("key"), F.min_by(F.struct("l", "prefix"), "doc_id").alias("p"))
+        F.min("doc_id").alias("key"), F.min_by(F.struct("l", "last", "parity", "prefix"), "doc_id").alias("p"))
     tokens = classes.select("key", "n", F.col("p.l").alias("l"), F.posexplode("p.prefix").alias("pos", "token"))
     met = tokens.groupBy("token").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi")
-    postings = written(tokens.join(met.select("token"), "token"), "postings")
+    # of two prefixes, what the one that ends first holds of the other set lies in
+    # the other prefix; so its tokens without a posting aren't shared, and of its
+    # n tokens at most ``live`` are, ``before`` of them rarer than this one
+    of = Window.partitionBy("key", "n")
+    t = f"({percent}L * n + 99L) div 100L"
+    ends = classes.select(
+        "key", "n", F.struct(F.col("p.last").alias("c"), F.element_at("p.prefix", -1).alias("t")).alias("end"),
+        F.col("p.parity").alias("parity"))
+    postings = written(
+        tokens.join(met.select("token"), "token").join(ends, ["key", "n"])
+        .withColumn("live", F.expr(f"{t} - l") + F.count("*").over(of))
+        .withColumn("before", F.row_number().over(of.orderBy("pos")) - 1),
+        "postings",
+    )
+
+    def enough(x: str, y: str, overlap: str) -> str:
+        return f"{100 + percent}L * ({overlap}) >= {percent}L * ({x}n + {y}n)"
+
+    def rest(x: str, y: str) -> str:
+        """Most tokens that a pair can share from this one on."""
+        return (
+            f"CASE WHEN {x}end <= {y}end THEN least({x}live - {x}before, {y}n - {y}pos)"
+            f" ELSE least({x}n - {x}pos, {y}live - {y}before) END"
+        )
 
-    # (4) one hub per token and size class
+    def can_link(x: str, y: str) -> str:
+        """Whether a pair that shares this token can be similar enough."""
+        differ = " + ".join(f"bit_count({x}parity[{i}] ^ {y}parity[{i}])" for i in range(4))
+        return " AND ".join([
+            _near(x + "n", y + "n", percent), enough(x, y, f"least({x}before, {y}before) + {rest(x, y)}"),
+            # the overlap is half of what the sizes have beyond the difference
+            f"{100 + percent}L * ({x}n + {y}n - ({differ})) >= {2 * percent}L * ({x}n + {y}n)",
+        ])
+
+    # (4) one hub per token and size class: the one with the fewest rarer tokens,
+    # which is what a group of near copies has in common
     sized = postings.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))))
-    hubs = sized.groupBy("token", "band").agg(F.min(F.struct("key", "n", "l")).alias("hub"))
+    hubs = sized.groupBy("token", "band").agg(F.min(F.struct("before", "key", "n", "l", "live", "pos", "end", "parity")).alias("hub"))
     stars = (
-        sized.join(hubs, ["token", "band"]).where("key <> hub.key").where(_near("n", "hub.n", percent))
+        sized.join(hubs, ["token", "band"]).where("key <> hub.key").where(can_link("", "hub."))
         .groupBy(F.col("key").alias("x"), F.col("hub.key").alias("y"))
         .agg(F.count("*").alias("c"), F.min(F.least("l", "hub.l")).alias("l")).where("c >= l").select("x", "y")
     )
@@ -217,16 +267,16 @@ def jaccard_components(
     )
     placed = written(placed, "placed")
     open_ = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = placed.join(open_.select("token"), "token")
-    a, b = rest.alias("a"), rest.alias("b")
+    left = placed.join(open_.select("token"), "token")
+    a, b = left.alias("a"), left.alias("b")
     pairs = (
-        a.join(b, F.expr(f"a.token = b.token AND a.key < b.key AND a.component <> b.component AND {_near('a.n', 'b.n', percent)}"))
-        .groupBy(F.col("a.key").alias("x"), F.col("b.key").alias("y"), F.col("a.n").alias("nx"), F.col("b.n").alias("ny"))
+        a.join(b, F.expr(f"a.token = b.token AND a.key < b.key AND a.component <> b.component AND {can_link('a.', 'b.')}"))
+        .groupBy(F.col("a.key").alias("x"), F.col("b.key").alias("y"), F.col("a.n").alias("xn"), F.col("b.n").alias("yn"))
         .agg(F.count("*").alias("c"), F.min(F.least("a.l", "b.l")).alias("l"),
-             F.max("a.pos").alias("px"), F.max("b.pos").alias("py"))
+             F.min(F.expr(rest("a.", "b."))).alias("rest"))
         .where("c >= l")
         # behind the last shared token no more can be shared than either set has left
-        .where(f"{100 + percent}L * (c + least(nx - px, ny - py) - 1) >= {percent}L * (nx + ny)")
+        .where(enough("x", "y", "c + rest - 1"))
         .select("x", "y").distinct()
     )
     more = written(verify(docs, pairs, width, percent), "links")
