@@ -79,7 +79,7 @@ def strength(n1: np.ndarray, n0: np.ndarray, docs1: float, docs0: float) -> np.n
 
 
 def fit(
-    rows: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int], list[int]]], bits: int = BITS,
+    rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[list[int], list[int]]], bits: int = BITS,
     l1: float = 1e-3, counter: float = 1.0, steps: int = 200, rate: float = 0.5, least: float = 3.0,
 ) -> tuple[np.ndarray, float]:
     """Weights and offset: full-batch AdaGrad with soft thresholding.
@@ -159,7 +159,7 @@ def train(
         .mapInArrow(extract, "doc_id long, y int, ids array<int>, others array<array<array<int>>>")
         .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
     )
-    ids = rows.column("ids").to_pylist()
+    ids = [r.values.to_numpy() for r in rows.column("ids")]
     pairs = [(a, b) for mine in rows.column("others").to_pylist() for a, b in mine]
     return fit(ids, np.asarray(rows.column("y").to_pylist(), float), pairs, bits, **options)
 
