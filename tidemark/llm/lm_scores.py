@@ -1,6 +1,7 @@
 """Stupid-backoff scores from n-gram counts of the whole corpus.
 
-Documents are dealt by hash into chunks of bounded bytes. A chunk explodes its
+Documents are dealt by hash into chunks of bounded bytes, packed by a task into
+one compressed row per chunk. A chunk explodes its
 texts into n-grams of every order, columnar, and sends each distinct one once
 with its count, in one packed row per bucket of the hash space. A bucket is one
 partition of the count table: it adds up the chunks' counts and sends each chunk
@@ -20,6 +21,8 @@ ignored. N-grams are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -63,6 +66,17 @@ def ngrams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.nda
     return n, out
 
 
+def bundle(t: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(t)
+    return sink.getvalue().to_pybytes()
+
+
+def unbundle(bundles: pa.ChunkedArray) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in bundles])
+
+
 def edges(buckets: int) -> np.ndarray:
     """Where buckets 1, 2, ... of the hash space begin."""
     return np.array([2**64 * i // buckets for i in range(1, buckets)], np.uint64)
@@ -93,13 +107,22 @@ def lm_scores(
     ).first()
     chunks, total = max(1, -(-int(size["bytes"] or 0) // chunk_bytes)), int(size["words"] or 0)
     begins = edges(chunks)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = pa.Table.from_batches([b]).sort_by("chunk")
+            ids, starts = np.unique(t.column("chunk").to_numpy(), return_index=True)
+            ends = [*starts[1:], t.num_rows]
+            rows = [bundle(t.select(["doc_id", "text"]).slice(a, e - a).combine_chunks()) for a, e in zip(starts, ends)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(rows, pa.binary())], names=["chunk", "docs"])
+
     dealt = docs.select(
         F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(chunks)).cast("int").alias("chunk"),
         F.col("doc_id").cast("long"), "text",
-    )
+    ).mapInArrow(gather, "chunk int, docs binary")
 
     def ask(t: pa.Table) -> pa.Table:
-        _, h = ngrams(t.column("text").to_pylist(), order)
+        _, h = ngrams(unbundle(t.column("docs")).column("text").to_pylist(), order)
         seen, count = np.unique(np.concatenate(h), return_counts=True)
         if len(seen) and seen[0] == 0:
             seen, count = seen[1:], count[1:]
@@ -125,6 +148,7 @@ def lm_scores(
         })
 
     def judge(texts: pa.Table, totals: pa.Table) -> pa.Table:
+        texts = unbundle(texts.column("docs"))
         n, h = ngrams(texts.column("text").to_pylist(), order)
         seen, place = np.unique(np.concatenate(h), return_inverse=True)
         got = totals.sort_by("bucket").column("totals").to_pylist()
