@@ -26,10 +26,11 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 from tidemark.llm.common import written
 
@@ -50,12 +51,24 @@ def _digest(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([sha1_32(bytes(p)) for p in payloads], dtype=object)
 
 
+@F.pandas_udf(BinaryType())
+def _pack(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for payloads in parts:
+        yield pd.Series([zstandard.ZstdCompressor().compress(bytes(p)) for p in payloads], dtype=object)
+
+
+@F.pandas_udf(BinaryType())
+def _unpack(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for packed in parts:
+        yield pd.Series([zstandard.ZstdDecompressor().decompress(bytes(p)) for p in packed], dtype=object)
+
+
 def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """``page_id, url, payload, digest, refers_to`` per page; refers_to is null
     for a response.
 
     The hub of each payload is found on digests alone and joined back on the
-    digest, with no payload in that shuffle; payloads move once, by page_id.
+    digest, with no payload in that shuffle; payloads move once, by page_id, packed.
     """
     id_ = F.col("page_id").cast("long")
     body = pages.select(
@@ -69,10 +82,10 @@ def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         known.join(first, ["digest", "n"]).where("page_id <> hub")
         .select("page_id", F.col("digest").alias("of"), "hub").distinct()
     )
-    sealed = body.withColumn("digest", _digest("payload"))
+    sealed = body.withColumn("digest", _digest("payload")).withColumn("payload", _pack("payload"))
     return sealed.alias("b").join(
         revisits.alias("r"), F.expr("b.page_id = r.page_id AND b.digest = r.of"), "left",
-    ).select("b.page_id", "url", "payload", "digest", F.col("hub").alias("refers_to"))
+    ).select("b.page_id", "url", _unpack("payload").alias("payload"), "digest", F.col("hub").alias("refers_to"))
 
 
 def record(page_id: Column, url: Column, payload: Column, digest: Column, refers_to: Column) -> Column:
