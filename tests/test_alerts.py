@@ -174,19 +174,34 @@ def test_late_ticks(spark):
 
 
 @pytest.mark.parametrize("warmup_s", [0, 10, 90])
-def test_prefix_frame_equals_sliding(spark, warmup_s):
+def test_buckets_do_not_change_the_result(spark, warmup_s):
     rows = _random_rows(21, n=300)
     ticks = make_ticks(spark, rows)
     want = _model(rows, 60, 0.05, warmup_s)
-    got = [(r.asset_id, r.metric, r.value, r.baseline, r.change_pct, r.samples, r.ts) for r in
-           trailing_alerts(ticks, 60, 0.05, warmup_s, bucket_s=600, frame="prefix").collect()]
     key = lambda r: (r[0], r[6], r[1], r[2])
-    assert len(got) == len(want)
-    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
-        assert g[:3] == w[:3] and g[5:] == w[5:]
-        assert g[3] == pytest.approx(w[3], rel=1e-12)
-    z_prefix = {(r.asset_id, r.metric, r.ts) for r in
-                zscore_alerts(ticks, 60, 1.5, warmup_s, bucket_s=600, frame="prefix").collect()}
-    z_slide = {(r.asset_id, r.metric, r.ts) for r in
-               zscore_alerts(ticks, 60, 1.5, warmup_s, bucket_s=600).collect()}
-    assert z_prefix == z_slide
+    for bucket in (60, 600, None):
+        got = [(r.asset_id, r.metric, r.value, r.baseline, r.change_pct, r.samples, r.ts) for r in
+               trailing_alerts(ticks, 60, 0.05, warmup_s, bucket_s=bucket).collect()]
+        assert len(got) == len(want)
+        for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+            assert g[:3] == w[:3] and g[5:] == w[5:]
+            assert g[3] == pytest.approx(w[3], rel=1e-12)
+
+
+@pytest.mark.parametrize("odd", [1e17, float("inf"), float("nan"), -1e300])
+@pytest.mark.parametrize("bucket", ["auto", 60, None])
+def test_an_evicted_reading_leaves_nothing_behind(spark, odd, bucket):
+    rows = [(0, odd)] + [(s, 100.0 + s % 3 * 0.1) for s in range(100, 400, 5)]
+    out = trailing_alerts(make_ticks(spark, rows), 60, 0.02, 0, bucket_s=bucket)
+    assert out.count() == 0
+
+
+def test_zscore_after_a_level_shift(spark):
+    rows = [(0, 1.0)] + [(100 + s, 60000 + (0.3 if s % 2 else -0.3)) for s in range(60)] + [(160, 60010.0)]
+    out = zscore_alerts(make_ticks(spark, rows), 60, 20.0, 0, metrics=["price"]).collect()
+    assert [(r.value, round(r.zscore, 1)) for r in out] == [(60010.0, 33.3)]
+
+
+def test_a_constant_window_has_no_zscore(spark):
+    rows = [(s, 0.1) for s in range(130)] + [(130, 5.0)]
+    assert zscore_alerts(make_ticks(spark, rows), 60, 1.0, 0, metrics=["price"]).count() == 0

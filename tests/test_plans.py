@@ -17,20 +17,17 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("frame", ["sliding", "prefix"])
-def test_trailing_window_one_exchange_one_sort(spark, frame):
-    df = A.multi_window_alerts(event_ticks(spark, SF001, hourly_ts=True), (3600, 21600), 1.0, 1800,
-                               frame=frame)
+def test_trailing_window_one_exchange(spark):
+    df = A.multi_window_alerts(event_ticks(spark, SF001, hourly_ts=True), (3600, 21600), 1.0, 1800)
     plan = _plan(df)
-    assert plan.count("Exchange hashpartitioning(asset_id") == 1
-    assert plan.count("Sort [") == 1
+    assert plan.count("Exchange") == 1
+    assert "unboundedfollowing" not in plan.lower().replace("$()", "")  # growing frames only
     assert "_bk" in plan  # partitioned by (asset, time bucket), not by asset alone
 
 
-@pytest.mark.parametrize("frame", ["sliding", "prefix"])
-def test_zscore_one_exchange_one_sort(spark, frame):
-    plan = _plan(A.zscore_alerts(event_ticks(spark, SF001, hourly_ts=True), 21600, 2.0, 1800, frame=frame))
-    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+def test_zscore_one_exchange(spark):
+    plan = _plan(A.zscore_alerts(event_ticks(spark, SF001, hourly_ts=True), 21600, 2.0, 1800))
+    assert plan.count("Exchange") == 1
 
 
 def test_candles_partial_aggregate_and_pruned_scan(spark):

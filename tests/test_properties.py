@@ -31,16 +31,15 @@ def _rows(spec):
 
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
 @given(spec=tick_lists, window=st.sampled_from([10, 60, 300]), warm=st.sampled_from([0, 5, 60]),
-       threshold=st.sampled_from([0.0, 0.01, 0.05]), frame=st.sampled_from(["sliding", "prefix"]),
+       threshold=st.sampled_from([0.0, 0.01, 0.05]),
        bucket=st.sampled_from(["auto", 600]))
-def test_detector_matches_model(spark, spec, window, warm, threshold, frame, bucket):
+def test_detector_matches_model(spark, spec, window, warm, threshold, bucket):
     rows = _rows(spec)
     if bucket != "auto" and bucket < window:
         bucket = "auto"
     want = [(a[0], a[1], a[6], a[5]) for a in model_for_rows(rows, window, threshold, warm)]
     got = [(r.asset_id, r.metric, r.ts, r.samples) for r in
-           trailing_alerts(make_ticks(spark, rows), window, threshold, warm, bucket_s=bucket,
-                           frame=frame).collect()]
+           trailing_alerts(make_ticks(spark, rows), window, threshold, warm, bucket_s=bucket).collect()]
     assert sorted(got) == sorted(want)
 
 

@@ -16,12 +16,14 @@ Semantics of one tick ``x`` of one key (the sequential detector's rule):
 
 Plan (no join, one exchange):
 
-* part ``r`` = ``RANGE BETWEEN window PRECEDING AND 1 microsecond PRECEDING``
-  over the key ordered by ``ts``; part ``q`` = rows of the same ``(key, ts)``
-  that arrived earlier. The parts are disjoint and are added, never
-  subtracted, so nothing cancels.
-* time is cut into buckets of width ``bucket_s >= window`` and each row is
-  also copied into the next bucket when its window reaches it (a halo of
+* time is cut into blocks as wide as the window, so a window is the tail of
+  the previous block and the head of its own. Heads are running aggregates;
+  the tail is a running aggregate from the block's end, looked up at the last
+  evicted reading. Values are only ever added, so a reading that has left the
+  window, however large or infinite, leaves nothing behind, and the work is
+  O(rows). Counts are differences of running integer counts.
+* time is also cut into buckets of width ``bucket_s >= window`` and each row
+  is copied into the next bucket when its window reaches it (a halo of
   about ``window / bucket_s`` of the rows). Windows then partition by
   ``(key, bucket)``, so a key holding a third of all rows is spread over as
   many tasks as it has buckets; only rows of their home bucket are kept.
@@ -64,34 +66,18 @@ def _metric_map(metrics) -> dict[str, str]:
 def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence[str],
                    keys: Sequence[str] = ("asset_id",), time: str = "ts",
                    arrival: Sequence[str] = ("ingested_at",), bucket_s: int | str | None = "auto",
-                   moments: bool = False, warmup_s: int = 0, frame: str = "auto") -> DataFrame:
-    """Per tick and window: sum and non-null count (and centred moments) of
-    each column over the trailing window, ``samples`` and readiness.
+                   moments: bool = False, warmup_s: int = 0) -> DataFrame:
+    """Per tick and window: sum and non-null count (and moments) of each
+    column over the trailing window, ``samples`` and readiness.
 
     Output columns (``w`` = window seconds, ``c`` = column): ``_t`` (micros
     of ``time``), ``_n_w`` samples, ``_rdy_w`` ready flag, ``_s_w_c`` sum,
-    ``_k_w_c`` count, and with ``moments`` ``_y_w_c`` / ``_z_w_c`` = sums of
-    ``c - centre`` and its square, ``_c_c`` = centre.
-
-    ``frame="sliding"`` sums each window directly (exact; Spark re-aggregates
-    a range frame whenever its bounds move, about rows x rows-per-window of
-    work, cheap when windows hold a few hundred readings or timestamps are
-    frozen in runs). ``frame="prefix"`` is O(rows): running sums of all
-    earlier readings minus running sums of the evicted ones, both restarting
-    at every time bucket, so the cancellation error stays within about
-    ``bucket_s / window_s`` ulps of the window sum. ``frame="auto"`` (the
-    default) takes ``prefix`` when time buckets are on, ``sliding`` otherwise.
+    ``_k_w_c`` count, and with ``moments`` ``_m_w_c`` (mean) and ``_v_w_c``
+    (sum of squared deviations).
     """
-    if frame not in ("auto", "sliding", "prefix"):
-        raise ValueError("frame must be 'auto', 'sliding' or 'prefix'")
     wmax = max(int(w) for w in windows_s)
     if bucket_s == "auto":
         bucket_s = auto_bucket_s(wmax)
-    if frame == "auto":
-        # O(rows) whenever buckets bound the running sums, else exact sliding
-        frame = "prefix" if bucket_s else "sliding"
-    if frame == "prefix" and not bucket_s:
-        raise ValueError("frame='prefix' needs time buckets to bound its running sums")
     df = ticks.withColumn("_t", micros(time))
     pk = list(keys)
     if bucket_s:
@@ -108,27 +94,7 @@ def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence
 
     # Hash on (key, bucket) satisfies every window distribution below: one exchange.
     df = df.repartition(*pk)
-    if moments:
-        # centre = first non-null value of the partition, over a frame
-        # ordered like the ones below, so all of them share one sort
-        whole = (Window.partitionBy(*pk).orderBy("_t", *arrival)
-                 .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        for c in columns:
-            df = df.withColumn(f"_c_{c}", F.first(c, ignorenulls=True).over(whole))
-
-    def measures(c):
-        """(suffix, value) pairs summed per column."""
-        out = [("s", F.col(c))]
-        if moments:
-            y = F.col(c) - F.col(f"_c_{c}")
-            out += [("y", y), ("z", y * y)]
-        return out
-
-    warm_us = int(warmup_s) * _US
-    if frame == "prefix":
-        out = _prefix_stats(df, pk, windows_s, columns, arrival, measures, warm_us)
-    else:
-        out = _sliding_stats(df, pk, windows_s, columns, arrival, measures, warm_us)
+    out = _block_stats(df, pk, windows_s, columns, arrival, moments, int(warmup_s) * _US)
     if bucket_s:
         out = out.where(F.col("_bk") == F.col("_home")).drop("_bk", "_home")
     return out
@@ -138,79 +104,78 @@ def _zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 
 
-def _sliding_stats(df, pk, windows_s, columns, arrival, measures, warm_us):
-    # part q: rows of the same (key, ts) that arrived earlier. It runs first:
-    # its sort (key, bucket, ts, arrival) also satisfies the range part's
-    # (key, bucket, ts), so the stage sorts once.
-    same_ts = (Window.partitionBy(*pk, "_t").orderBy(*arrival)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    q_aggs = {"_qn": F.count(F.lit(1)), "_qo": F.min("_t")}
-    for c in columns:
-        q_aggs[f"_qk_{c}"] = F.count(c)
-        for suf, v in measures(c):
-            q_aggs[f"_q{suf}_{c}"] = F.sum(v)
-    df = df.select("*", *[a.over(same_ts).alias(n) for n, a in q_aggs.items()])
-
-    exprs: list[Column] = []
-    for w in windows_s:
-        w = int(w)
-        # part r: readings with ts in [t - window, t - 1 microsecond]
-        prior = Window.partitionBy(*pk).orderBy("_t").rangeBetween(-w * _US, -1)
-        n = F.count(F.lit(1)).over(prior) + F.col("_qn")
-        # _qo is null or equal to _t (same-ts peers), so least(_t, _qo) == _t;
-        # referencing the same-ts output keeps the optimizer from transposing
-        # the two windows, which would bring back a second full sort.
-        oldest = F.least(F.min(F.least("_t", "_qo")).over(prior), F.col("_qo"))
-        exprs.append(n.alias(f"_n_{w}"))
-        exprs.append(((n > 0) & (F.col("_t") - oldest >= F.lit(warm_us))).alias(f"_rdy_{w}"))
-        for c in columns:
-            exprs.append((F.count(c).over(prior) + F.col(f"_qk_{c}")).alias(f"_k_{w}_{c}"))
-            for suf, v in measures(c):
-                exprs.append((_zero(F.sum(v).over(prior)) + _zero(F.col(f"_q{suf}_{c}")))
-                             .alias(f"_{suf}_{w}_{c}"))
-    return df.select("*", *exprs).drop(*q_aggs)
-
-
-def _prefix_stats(df, pk, windows_s, columns, arrival, measures, warm_us):
-    # every earlier reading in (ts, arrival) order: a growing ROWS frame
-    earlier = (Window.partitionBy(*pk).orderBy("_t", *arrival)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    up = {"_un": F.count(F.lit(1))}
-    for c in columns:
-        up[f"_uk_{c}"] = F.count(c)
-        for suf, v in measures(c):
-            up[f"_u{suf}_{c}"] = F.sum(v)
-    df = df.select("*", *[a.over(earlier).alias(n) for n, a in up.items()])
+def _block_stats(df, pk, windows_s, columns, arrival, moments, warm_us):
+    start, here = Window.unboundedPreceding, Window.currentRow
+    in_order = Window.partitionBy(*pk).orderBy("_t", *arrival)
 
     def upto(us):
-        # readings with ts <= t - us: a growing RANGE frame; its sort
-        # (key, bucket, ts) is a prefix of the one above, so no new sort
-        return Window.partitionBy(*pk).orderBy("_t").rangeBetween(Window.unboundedPreceding, -us)
+        # readings with ts <= t - us: a growing frame
+        return Window.partitionBy(*pk).orderBy("_t").rangeBetween(start, -us)
 
-    exprs: list[Column] = []
+    def parts(over):
+        """The aggregates of every column over one frame."""
+        out = []
+        for c in columns:
+            v = F.col(c).cast(T.DoubleType())
+            out += [F.count(v).over(over).alias(f"k_{c}"), _zero(F.sum(v).over(over)).alias(f"s_{c}")]
+            if moments:
+                out += [_zero(F.avg(v).over(over)).alias(f"m_{c}"),
+                        _zero(F.var_pop(v).over(over) * F.count(v).over(over)).alias(f"v_{c}"),
+                        F.min(v).over(over).alias(f"lo_{c}"), F.max(v).over(over).alias(f"hi_{c}")]
+        return F.struct(*out)
+
+    done = list(df.columns)
+    df = df.withColumn("_un", F.count(F.lit(1)).over(in_order.rowsBetween(start, -1)))
     for w in windows_s:
         w = int(w)
-        gone = upto(w * _US + 1)  # evicted: ts < t - window
-        n = F.col("_un") - F.count(F.lit(1)).over(gone)
-        exprs.append(n.alias(f"_n_{w}"))
+        w_us = w * _US
+        block = Window.partitionBy(*pk, "_blk")
+        ordered = block.orderBy("_t", *arrival)
+        df = (df.withColumn("_blk", F.expr(f"(_t - pmod(_t, {w_us}L)) div {w_us}L"))
+                .withColumn("_head", parts(ordered.rowsBetween(start, -1)))
+                .withColumn("_all", F.struct("_blk", parts(ordered.rowsBetween(start, here)).alias("p")))
+                # all of the block's readings with a later source time
+                .withColumn("_after", F.struct("_blk", parts(
+                    block.orderBy(F.col("_t").desc()).rangeBetween(start, -1)).alias("p")))
+                .withColumn("_before", F.lag("_all").over(in_order))
+                .withColumn("_before", F.first("_before").over(ordered.rowsBetween(start, here)))
+                .withColumn("_gone", F.last("_after").over(upto(w_us + 1)))
+                .withColumn("_left", F.col("_un") - F.count(F.lit(1)).over(upto(w_us + 1))))
+        tail = (F.when(F.col("_gone._blk") == F.col("_blk") - 1, F.col("_gone.p"))
+                 .when(F.col("_before._blk") == F.col("_blk") - 1, F.col("_before.p")))
+        df = df.withColumn("_tail", tail)
+        ready = F.col("_left") > 0
         if warm_us > 0:
-            old_enough = F.count(F.lit(1)).over(upto(warm_us)) - F.count(F.lit(1)).over(gone)
-            exprs.append((old_enough > 0).alias(f"_rdy_{w}"))
-        else:
-            exprs.append((n > 0).alias(f"_rdy_{w}"))
+            # some reading of the window is old enough: at least warm-up, at most the window
+            old = F.count(F.lit(1)).over(upto(warm_us)) - (F.col("_un") - F.col("_left"))
+            ready = old > 0
+        new = {f"_n_{w}": F.col("_left"), f"_rdy_{w}": ready}
         for c in columns:
-            exprs.append((F.col(f"_uk_{c}") - F.count(c).over(gone)).alias(f"_k_{w}_{c}"))
-            for suf, v in measures(c):
-                exprs.append((_zero(F.col(f"_u{suf}_{c}")) - _zero(F.sum(v).over(gone)))
-                             .alias(f"_{suf}_{w}_{c}"))
-    return df.select("*", *exprs).drop(*up)
+            ka, kb = F.col(f"_head.k_{c}"), F.coalesce(F.col(f"_tail.k_{c}"), F.lit(0))
+            new[f"_k_{w}_{c}"] = ka + kb
+            new[f"_s_{w}_{c}"] = F.col(f"_head.s_{c}") + _zero(F.col(f"_tail.s_{c}"))
+            if moments:
+                n = (ka + kb).cast(T.DoubleType())
+                apart = F.when((ka > 0) & (kb > 0), F.col(f"_head.m_{c}") - F.col(f"_tail.m_{c}")).otherwise(F.lit(0.0))
+                base = F.when(kb > 0, F.col(f"_tail.m_{c}")).otherwise(F.col(f"_head.m_{c}"))
+                # equal readings deviate by nothing, whatever their mean rounds to
+                lo = F.least(F.col(f"_head.lo_{c}"), F.col(f"_tail.lo_{c}"))
+                same = lo == F.greatest(F.col(f"_head.hi_{c}"), F.col(f"_tail.hi_{c}"))
+                new[f"_m_{w}_{c}"] = F.when(same, lo).otherwise(
+                    base + F.when(n > 0, apart * ka / n).otherwise(F.lit(0.0)))
+                new[f"_v_{w}_{c}"] = F.when(same, F.lit(0.0)).otherwise(
+                    F.col(f"_head.v_{c}") + _zero(F.col(f"_tail.v_{c}"))
+                    + F.when(n > 0, apart * apart * ka * kb / n).otherwise(F.lit(0.0)))
+        done += list(new)
+        df = df.withColumns(new)
+    return df.select(*done)
 
 
 def trailing_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S,
                     threshold: float = DEFAULT_THRESHOLD, warmup_s: int = DEFAULT_WARMUP_S,
                     metrics=DEFAULT_METRICS, keys: Sequence[str] = ("asset_id",),
                     time: str = "ts", arrival: Sequence[str] = ("ingested_at",),
-                    bucket_s: int | str | None = "auto", frame: str = "auto") -> DataFrame:
+                    bucket_s: int | str | None = "auto") -> DataFrame:
     """Deviation alerts against the trailing-window mean.
 
     ``arrival`` orders readings sharing one ``ts`` and must be unique per key
@@ -224,20 +189,20 @@ def trailing_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S,
     ``change_pct``, as in the sequential rule).
     """
     return multi_window_alerts(ticks, (window_s,), threshold, warmup_s, metrics, keys,
-                               time, arrival, bucket_s, frame)
+                               time, arrival, bucket_s)
 
 
 def multi_window_alerts(ticks: DataFrame, windows_s: Sequence[int] = (DEFAULT_WINDOW_S,),
                         threshold: float = DEFAULT_THRESHOLD, warmup_s: int = DEFAULT_WARMUP_S,
                         metrics=DEFAULT_METRICS, keys: Sequence[str] = ("asset_id",),
                         time: str = "ts", arrival: Sequence[str] = ("ingested_at",),
-                        bucket_s: int | str | None = "auto", frame: str = "auto") -> DataFrame:
+                        bucket_s: int | str | None = "auto") -> DataFrame:
     """The deviation rule for several windows in one pass (one exchange,
     one sort); long output distinguished by ``window_s``."""
     mm = _metric_map(metrics)
     cols = list(dict.fromkeys(mm.values()))
     stats = trailing_stats(ticks, windows_s, cols, keys, time, arrival, bucket_s,
-                           warmup_s=warmup_s, frame=frame)
+                           warmup_s=warmup_s)
     cands = []
     for w in windows_s:
         w = int(w)
@@ -247,7 +212,8 @@ def multi_window_alerts(ticks: DataFrame, windows_s: Sequence[int] = (DEFAULT_WI
             base = F.when(k > 0, F.col(f"_s_{w}_{c}") / k)
             value = F.col(c).cast(T.DoubleType())
             change = F.when(base != 0, (value - base) / base)
-            fire = ready & value.isNotNull() & (F.abs(change) > F.lit(float(threshold)))
+            # an infinite baseline gives no change
+            fire = ready & value.isNotNull() & ~F.isnan(change) & (F.abs(change) > F.lit(float(threshold)))
             cands.append(F.struct(
                 F.lit(name).alias("metric"), value.alias("value"), base.alias("baseline"),
                 change.alias("change_pct"), F.lit(w).alias("window_s"),
@@ -264,34 +230,28 @@ def zscore_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S, k: float =
                   warmup_s: int = DEFAULT_WARMUP_S, metrics=DEFAULT_METRICS,
                   keys: Sequence[str] = ("asset_id",), time: str = "ts",
                   arrival: Sequence[str] = ("ingested_at",),
-                  bucket_s: int | str | None = "auto", frame: str = "sliding") -> DataFrame:
+                  bucket_s: int | str | None = "auto") -> DataFrame:
     """E7 (our definition): over the same window samples, alert when
-    ``|value - mean| > k * stddev_pop``; a zero deviation never alerts (a
-    variance under 1e-10 of the mean square counts as zero).
+    ``|value - mean| > k * stddev_pop``; a zero deviation never alerts.
 
-    Moments are carried centred on a per-partition constant against
-    cancellation. The variance ``E[y^2] - E[y]^2`` cancels on its own, so the
-    default frame is the exact ``sliding`` one. Output: ``keys, metric,
-    value, mean, stddev, zscore, k, window_s, samples, ts``.
+    Means and squared deviations of a window's two parts are merged pairwise,
+    so a level that left the window takes no precision with it. Output:
+    ``keys, metric, value, mean, stddev, zscore, k, window_s, samples, ts``.
     """
     mm = _metric_map(metrics)
     cols = list(dict.fromkeys(mm.values()))
     w = int(window_s)
     stats = trailing_stats(ticks, (w,), cols, keys, time, arrival, bucket_s, moments=True,
-                           warmup_s=warmup_s, frame=frame)
+                           warmup_s=warmup_s)
     ready = F.col(f"_rdy_{w}")
     cands = []
     for name, c in mm.items():
         n = F.col(f"_k_{w}_{c}").cast(T.DoubleType())
-        m1 = F.col(f"_y_{w}_{c}") / n
-        msq = F.col(f"_z_{w}_{c}") / n
-        var = msq - m1 * m1
-        # a variance below 1e-10 of the mean square is rounding noise: zero
-        sd = F.when(var > F.lit(1e-10) * msq, F.sqrt(var)).otherwise(F.lit(0.0))
-        mean = F.col(f"_c_{c}") + m1
+        mean = F.col(f"_m_{w}_{c}")
+        sd = F.when(n > 0, F.sqrt(F.col(f"_v_{w}_{c}") / n)).otherwise(F.lit(0.0))
         value = F.col(c).cast(T.DoubleType())
         dev = value - mean
-        ok = ready & value.isNotNull() & (n > 0) & (sd > 0)
+        ok = ready & value.isNotNull() & (n > 0) & (sd > 0) & ~F.isnan(sd)
         fire = ok & (F.abs(dev) > F.lit(float(k)) * sd)
         cands.append(F.struct(
             F.lit(name).alias("metric"), value.alias("value"),
