@@ -178,3 +178,54 @@ def test_seed_assets_upserts_latest_poll(spark):
     again = {r.id: r for r in S.seed_assets(spark, landing, table, "2024-03-01").collect()}
     assert again["alpha"].created_at == datetime(2024, 2, 1)
     assert again["alpha"].updated_at == datetime(2024, 3, 1) and set(again) == {"alpha", "beta"}
+
+
+def _ticks(spark, rows):
+    """(asset, 'YYYY-MM-DD HH:MM:SS', price) rows as ticks."""
+    from datetime import datetime
+
+    from tidemark.schemas import TICK
+
+    at_ = datetime.fromisoformat
+    return spark.createDataFrame([(a, at_(t), at_(t), p, None, None, None) for a, t, p in rows], TICK)
+
+
+def test_erasure_drops_emptied_days_and_staging(spark, tmp_path):
+    import glob
+
+    path = str(tmp_path / "store")
+    S.append_ticks(_ticks(spark, [
+        ("x", "2024-01-01 00:00:00", 1.0), ("x", "2024-01-01 01:00:00", 2.0),
+        ("x", "2024-01-02 00:00:00", 3.0), ("y", "2024-01-02 00:00:00", 4.0), ("y", "2024-01-03 00:00:00", 5.0)]), path)
+    report = S.erase_in_store(spark, path, spark.createDataFrame([("x",)], "asset_id string"), "asset_id", request_id="r1")
+    assert sorted((r.request_id, str(r.ingest_date), r.rows_removed) for r in report.collect()) == [
+        ("r1", "2024-01-01", 2), ("r1", "2024-01-02", 1)]
+    assert sorted((r.asset_id, r.price) for r in spark.read.parquet(path).collect()) == [("y", 4.0), ("y", 5.0)]
+    S.erase_in_store(spark, path, spark.createDataFrame([("y",)], "asset_id string"), "asset_id")
+    assert S.list_partitions(spark, path) == []
+    from tidemark.session import checkpoint_root
+    assert not glob.glob(f"{checkpoint_root(spark)}/tidemark/erase-*")
+
+
+def test_retention_keeps_days_that_the_rollup_lacks(spark, tmp_path):
+    from tidemark.operators.candles import candles
+
+    path = str(tmp_path / "store")
+    ticks = _ticks(spark, [(a, f"2024-01-0{d} 00:00:0{s}", 1.0) for a in "xy" for d in (1, 2, 3, 4) for s in (0, 1)])
+    S.append_ticks(ticks, path)
+    rollup = candles(ticks, "1 hour").where("NOT (asset_id = 'y' AND to_date(bucket) = DATE '2024-01-02')")
+    got = {str(r.ingest_date): r.action for r in S.apply_retention(
+        spark, path, 1, "2024-01-04 00:00:00", dry_run=False, rollup=rollup).collect()}
+    assert got == {"2024-01-01": "dropped", "2024-01-02": "kept: not rolled up"}
+
+
+def test_seeding_applies_rows_in_turn(spark, tmp_path):
+    import json
+    from datetime import datetime
+
+    rows = [{"id": "a", "symbol": "s", "name": n} for n in ("old", "new")] + [{"id": "b", "symbol": "s", "name": "b"}]
+    landing = str(tmp_path / "landing")
+    spark.createDataFrame([(json.dumps(rows), datetime(2024, 1, 1))], "payload string, ingested_at timestamp").write.json(
+        landing, timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    out = S.seed_assets(spark, landing, str(tmp_path / "assets"), "2024-01-02 00:00:00")
+    assert {r.id: r.name for r in out.collect()} == {"a": "new", "b": "b"}

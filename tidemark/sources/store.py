@@ -4,8 +4,10 @@ that maintain it (A7, K1, K4, K5, D7 persistence).
 Partitions are whole days of ``ingested_at``. Rewrites never edit a live
 partition in place: the new data is written to a staging folder under the
 session's ``spark.checkpoint.dir``, verified, and then swapped in with a
-dynamic partition overwrite (Spark's commit protocol), so a lost executor
-only re-runs tasks and a failed job leaves the table as it was.
+dynamic partition overwrite, so a lost executor only re-runs tasks. Staging
+is deleted after the swap. A swap is not atomic: one writer at a time, and a
+job that dies inside it is run again (its staging folder then still holds
+the new data).
 """
 
 from __future__ import annotations
@@ -79,6 +81,12 @@ def list_partitions(spark: SparkSession, path: str) -> list[dt.date]:
     return list_partitions_of(spark, path, PART)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the store or of its staging area."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def _fingerprint(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per-date row count and order-insensitive hash sum of the rows."""
     h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
@@ -96,6 +104,7 @@ def overwrite_partitions(df: DataFrame, path: str, staging: str, partition_col:
     staged = df.sparkSession.read.parquet(staging)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .option("compression", "zstd").partitionBy(partition_col).parquet(path))
+    drop_folder(df.sparkSession, staging)
 
 
 class VerificationFailed(RuntimeError):
@@ -134,6 +143,7 @@ def compact(spark: SparkSession, path: str, older_than_days: int, now,
         raise VerificationFailed(f"compaction of {bad[0][PART]} does not match the original")
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .option("compression", "zstd").partitionBy(PART).parquet(path))
+    drop_folder(spark, staging)
     return spark.createDataFrame(rows, report.schema)
 
 
@@ -141,24 +151,31 @@ def apply_retention(spark: SparkSession, path: str, keep_days: int, now,
                     dry_run: bool = True, rollup: DataFrame | None = None) -> DataFrame:
     """K5 (off by default: ``dry_run=True`` only reports): drop whole raw
     partitions older than ``keep_days`` before ``now``. With ``rollup``
-    given, dates its candles do not yet cover are refused (kept).
+    given, a date is kept unless the ``ticks`` its candles count are as many as
+    the date's raw ticks, for every asset, and newer candles exist.
     Returns ``(ingest_date, action)`` with action ``drop``/``dropped``/``kept: not rolled up``."""
     today = (dt.datetime.fromisoformat(str(now)) if not isinstance(now, dt.datetime) else now).date()
     cutoff = today - dt.timedelta(days=int(keep_days))
-    covered_until = None
-    if rollup is not None:
-        last = rollup.agg(F.max("bucket").alias("m")).collect()[0]["m"]
-        covered_until = last.date() if last is not None else dt.date.min
+    old = [d for d in list_partitions(spark, path) if d < cutoff]
+    uncovered: set[dt.date] = set()
+    if rollup is not None and old:
+        raw = (spark.read.parquet(path).where(F.col(PART) < F.lit(cutoff))
+               .groupBy(PART, "asset_id").agg(F.count(F.lit(1)).alias("raw")))
+        held = (rollup.groupBy(F.to_date("bucket").alias(PART), "asset_id")
+                .agg(F.sum("ticks").alias("held")))
+        missing = raw.join(held, [PART, "asset_id"], "left").where(
+            F.coalesce("held", F.lit(0)) < F.col("raw")).select(PART).distinct()
+        uncovered = {r[PART] for r in missing.collect()}  # dates, as many as folders
+        last = rollup.agg(F.max("bucket").alias("m")).first()["m"]
+        # the day of the newest candle may still grow
+        uncovered |= {d for d in old if last is None or d >= last.date()}
     rows = []
-    for d in list_partitions(spark, path):
-        if d >= cutoff:
-            continue
-        if covered_until is not None and d >= covered_until:
+    for d in old:
+        if d in uncovered:
             rows.append((d, "kept: not rolled up"))
             continue
         if not dry_run:
-            fs, _ = _fs(spark, path)
-            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{PART}={d.isoformat()}"), True)
+            drop_folder(spark, f"{path}/{PART}={d.isoformat()}")
         rows.append((d, "drop" if dry_run else "dropped"))
     return spark.createDataFrame(rows, f"{PART} date, action string")
 
@@ -174,30 +191,43 @@ def refresh_table(spark: SparkSession, rollup_path: str, ticks: DataFrame, now,
     lo, hi = refresh_window(now, start_offset, end_offset, width)
     touched = (F.col("bucket_date") >= F.to_date(lo)) & (F.col("bucket_date") <= F.to_date(hi))
     days = stored.where(touched).drop("bucket_date")
-    new = refresh(days, ticks.where((F.to_date("ingested_at") >= F.to_date(lo))
-                                    & (F.to_date("ingested_at") <= F.to_date(hi))),
-                  now, start_offset, end_offset, width, keys)
+    # the store's folders are pruned by the partition column
+    day = F.col(PART) if PART in ticks.columns else F.to_date("ingested_at")
+    new = refresh(days, ticks.where((day >= F.to_date(lo)) & (day <= F.to_date(hi))), now, start_offset, end_offset, width, keys)
     overwrite_partitions(new.withColumn("bucket_date", F.to_date("bucket")), rollup_path,
                          scratch_path(spark, "refresh"), "bucket_date")
 
 
 def erase_in_store(spark: SparkSession, path: str, subjects: DataFrame, key: str,
-                   partition_col: str = PART) -> DataFrame:
+                   partition_col: str = PART, request_id: str | None = None) -> DataFrame:
     """L15 on a stored table: remove every row of the listed subjects,
     rewriting only the partitions that hold any (found with a semi join; the
-    list of touched partitions is small). Returns ``(partition, rows_removed)``."""
+    list of touched partitions is small). A partition that held nothing else
+    is dropped. Before it reports, the job reads the table again and fails if
+    a subject's row is left. Returns ``(request_id, partition, rows_removed)``."""
     from tidemark.operators.privacy import erase
 
+    schema = f"request_id string, {partition_col} date, rows_removed long"
     table = spark.read.parquet(path)
     subj = subjects.select(F.col(key)).distinct()
     hits = table.join(subj, key, "left_semi")
-    report = hits.groupBy(partition_col).agg(F.count(F.lit(1)).alias("rows_removed")).collect()
-    if report:
-        touched = [r[partition_col] for r in report]
-        kept = erase(table.where(F.col(partition_col).isin(touched)), subj, key)
+    report = hits.groupBy(partition_col).agg(F.count(F.lit(1)).alias("n")).collect()  # touched folders
+    if not report:
+        return spark.createDataFrame([], schema)
+    touched = [r[partition_col] for r in report]
+    kept = erase(table.where(F.col(partition_col).isin(touched)), subj, key)
+    left = {r[partition_col] for r in kept.select(partition_col).distinct().collect()}
+    if left:
         overwrite_partitions(kept, path, scratch_path(spark, "erase"), partition_col)
-    return spark.createDataFrame(report, f"{partition_col} date, rows_removed long") if report else \
-        spark.createDataFrame([], f"{partition_col} date, rows_removed long")
+    for d in touched:
+        if d not in left:
+            drop_folder(spark, f"{path}/{partition_col}={d.isoformat()}")
+    if list_partitions_of(spark, path, partition_col):
+        spark.catalog.refreshByPath(path)
+        again = spark.read.schema(table.schema).parquet(path)
+        if again.where(F.col(partition_col).isin(touched)).join(subj, key, "left_semi").take(1):
+            raise VerificationFailed("rows of an erased subject are still stored")
+    return spark.createDataFrame([(request_id, r[partition_col], r["n"]) for r in report], schema)
 
 
 def replace_table(df: DataFrame, path: str, staging: str | None = None) -> None:
@@ -207,6 +237,7 @@ def replace_table(df: DataFrame, path: str, staging: str | None = None) -> None:
     staging = staging or scratch_path(spark, "replace")
     df.write.mode("overwrite").parquet(staging)
     spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    drop_folder(spark, staging)
 
 
 def seed_assets(spark: SparkSession, market_landing: str, assets_path: str, now,
@@ -221,9 +252,10 @@ def seed_assets(spark: SparkSession, market_landing: str, assets_path: str, now,
 
     fs, p = _fs(spark, assets_path)
     current = spark.read.parquet(assets_path) if fs.exists(p) else spark.createDataFrame([], ASSET)
-    # several polls may carry an id: the latest poll (stamped on each row) wins
-    incoming = parse_markets(read_payloads(spark, market_landing, fmt=fmt)).select(
-        "id", "symbol", "name", "image_url", "max_supply", F.col("updated_at").alias("_seq"))
+    # rows apply in turn: the latest poll wins, and the last row within a payload
+    incoming = parse_markets(read_payloads(spark, market_landing, fmt=fmt), position="_pos").select(
+        "id", "symbol", "name", "image_url", "max_supply",
+        F.struct(F.col("updated_at").alias("polled"), "_pos").alias("_seq"))
     new = upsert(current, incoming, "id", ["symbol", "name", "image_url", "max_supply"], now, order="_seq")
     replace_table(new, assets_path)
     return spark.read.parquet(assets_path)
