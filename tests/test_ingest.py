@@ -130,3 +130,74 @@ def test_from_bus_maps_kafka_shaped_records(spark):
     recs = spark.createDataFrame([(b"k", bytearray(body), POLL)], "key binary, value binary, timestamp timestamp")
     t = parse_prices(from_bus(recs)).collect()
     assert [(r.asset_id, r.price, r.ingested_at) for r in t] == [("alpha", 3.5, POLL)]
+
+
+def test_contract_requires_required_fields(spark):
+    from pyspark.sql import types as T
+
+    from tidemark.sources import payloads as P
+
+    schema = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType(), True)])
+    rows = [(1, '{"a": 1}'), (2, "{}"), (3, '{"a": null, "b": "x"}'), (4, "not json"), (5, None), (6, '{"a": "x"}')]
+    good, rejects = P.contract(spark.createDataFrame(rows, "i int, payload string"), schema)
+    assert [r.i for r in good.collect()] == [1]
+    assert {r.i: r.reason for r in rejects.collect()} == {
+        2: "missing required field", 3: "missing required field", 4: "does not match contract",
+        5: "does not match contract", 6: "does not match contract"}
+    strict = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType(), False)])
+    assert P.schema_changes(schema, strict) == ["b became required"]
+
+
+def test_markets_lose_nothing(spark):
+    from datetime import datetime
+
+    from tidemark.sources import payloads as P
+
+    at_ = datetime(2024, 1, 1)
+    rows = [("not json", at_), ("[]", at_), ('[{"id": "a", "symbol": "s", "name": "n", "max_supply": "n/a"},'
+                                              '{"id": "b", "symbol": "s", "name": "n", "max_supply": 3}, {"id": "c"}]', at_)]
+    df = spark.createDataFrame(rows, "payload string, ingested_at timestamp")
+    assert sorted(r.id for r in P.parse_markets(df).collect()) == ["a", "b"]
+    assert sorted(tuple(r.reasons) for r in P.market_rejects(df).collect()) == [
+        ("malformed max_supply",), ("missing symbol", "missing name"), ("unreadable payload",)]
+
+
+def test_a_stopped_feed_is_seen(spark):
+    from tidemark.operators import quality as Q
+
+    rows = [("x", f"2024-01-{d:02d} 0{h}:00:00") for d in range(1, 11) for h in range(3)]
+    rows += [("y", f"2024-01-{d:02d} 00:00:00") for d in range(1, 21)]
+    df = spark.createDataFrame(rows, "k string, t string").selectExpr("k", "cast(t AS timestamp) AS t")
+    out = {(r.k, r.period.day): (r.n, r.anomaly) for r in Q.volume_anomaly(df, "t", by=["k"]).collect()}
+    assert len(out) == 40 and out["x", 11] == (0, True) and out["x", 20][0] == 0
+    later = Q.volume_anomaly(df, "t", by=["k"], now="2024-01-25 12:00:00")
+    assert later.count() == 50
+
+
+def test_cadence_reports_empty_periods(spark):
+    from tidemark.operators import quality as Q
+
+    rows = [("x", "2024-01-01 00:10:00"), ("x", "2024-01-01 03:10:00"), ("y", "2024-01-01 01:00:00")]
+    df = spark.createDataFrame(rows, "asset_id string, t string").selectExpr(
+        "asset_id", "cast(t AS timestamp) AS ts", "cast(t AS timestamp) AS ingested_at")
+    out = {(r.asset_id, r.period_start.hour): (r.polls, r.coverage, r.stale_ratio) for r in Q.feed_cadence(df, 3600).collect()}
+    assert out == {("x", 0): (1, 1.0, 0.0), ("x", 1): (0, 0.0, None), ("x", 2): (0, 0.0, None), ("x", 3): (1, 1.0, 0.0),
+                   ("y", 1): (1, 1.0, 0.0), ("y", 2): (0, 0.0, None), ("y", 3): (0, 0.0, None)}
+
+
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    import pytest
+
+    from tidemark import session
+
+    class Conf(dict):
+        get = dict.get
+
+    class Cluster:
+        conf = Conf({"spark.master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Cluster())
+    Cluster.conf = Conf({"spark.master": "local-cluster[2,1,1024]"})
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Cluster())

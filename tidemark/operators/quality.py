@@ -197,24 +197,32 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str],
 # ---------------------------------------------------------------------------
 # L12 volume anomaly, L13 distribution drift
 # ---------------------------------------------------------------------------
+def calendar_filled(per: DataFrame, by: Sequence[str], period: str, step: str, now=None) -> DataFrame:
+    """``by, period`` for every period from a key's first one up to the last
+    period of any key (or the one that holds ``now``): a key that stops is
+    seen from then on. One row per key and period; joined, not collected."""
+    span = per.groupBy(*by).agg(F.min(period).alias("_lo"))
+    last = per.agg(F.max(period).alias("_hi"))  # one row
+    if now is not None:
+        last = last.select(F.greatest("_hi", F.lit(now).cast("timestamp")).alias("_hi"))
+    return (span.crossJoin(F.broadcast(last))
+            .select(*by, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias(period)))
+
+
 def volume_anomaly(df: DataFrame, time: str, grain: str = "day", lookback: int = 7,
-                   k: float = 3.0, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per period (empty periods filled from a calendar so a zero-row day
-    is seen) against the mean and population stddev of the ``lookback``
+                   k: float = 3.0, by: Sequence[str] = (), now=None) -> DataFrame:
+    """Rows per period (empty periods filled from a calendar that runs to the
+    last period of any key, or to ``now``, so a key that stops is seen)
+    against the mean and population stddev of the ``lookback``
     preceding periods; ``anomaly`` when ``|n - mean| > k * stddev`` (a zero
     stddev flags any change). Only the small per-period summary is windowed.
     Output: ``by, period, n, mean, stddev, z, anomaly``.
     """
     period = F.date_trunc(grain, F.col(time))
     counts = df.groupBy(*by, period.alias("period")).agg(F.count(F.lit(1)).alias("n"))
-    # one row per key holding its per-period counts (bounded by the number of
-    # periods, not rows), expanded over the full calendar: a single scan
-    per_key = counts.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("period", "n"))).alias("_m"),
-        F.min("period").alias("_lo"), F.max("period").alias("_hi"))
-    step = F.expr(f"INTERVAL 1 {grain.upper()}")
-    filled = (per_key.select(*by, "_m", F.explode(F.sequence("_lo", "_hi", step)).alias("period"))
-                     .select(*by, "period", F.coalesce(F.col("_m")[F.col("period")], F.lit(0)).alias("n")))
+    calendar = calendar_filled(counts, by, "period", f"1 {grain.upper()}", now)
+    filled = (calendar.join(counts, [*by, "period"], "left")
+              .select(*by, "period", F.coalesce("n", F.lit(0)).alias("n")))
     w = Window.partitionBy(*by).orderBy("period").rowsBetween(-lookback, -1)
     nd = F.col("n").cast("double")
     out = filled.select(*by, "period", "n", F.avg(nd).over(w).alias("mean"),
@@ -297,15 +305,20 @@ def feed_outages(polls: DataFrame, feed: str = "feed_id", time: str = "polled_at
 
 
 def feed_cadence(ticks: DataFrame, interval_s: float = 1.0, period: str = "1 hour",
-                 keys: Sequence[str] = ("asset_id",), time: str = "ingested_at") -> DataFrame:
+                 keys: Sequence[str] = ("asset_id",), time: str = "ingested_at", now=None) -> DataFrame:
     """Observed polls against expected per asset and period, and the
-    share of polls that repeated an unchanged source reading.
+    share of polls that repeated an unchanged source reading. Periods without
+    a poll are reported with coverage 0 (and no stale ratio), up to the last
+    period of any asset or ``now``.
     Output: ``keys, period_start, polls, expected, coverage, distinct_ts, stale_ratio``."""
     from tidemark.operators.candles import bucket_of
 
     expected = width_micros(period) / (float(interval_s) * 1e6)
-    out = ticks.groupBy(*keys, bucket_of(time, period).alias("period_start")).agg(
+    seen = ticks.groupBy(*keys, bucket_of(time, period).alias("period_start")).agg(
         F.count(F.lit(1)).alias("polls"), F.count_distinct("ts").alias("distinct_ts"))
+    out = (calendar_filled(seen, keys, "period_start", period, now)
+           .join(seen, [*keys, "period_start"], "left").na.fill(0, ["polls", "distinct_ts"]))
     return out.select(*keys, "period_start", "polls", F.lit(expected).alias("expected"),
                       (F.col("polls") / F.lit(expected)).alias("coverage"), "distinct_ts",
-                      (F.lit(1.0) - F.col("distinct_ts") / F.col("polls")).alias("stale_ratio"))
+                      F.when(F.col("polls") > 0, F.lit(1.0) - F.col("distinct_ts") / F.col("polls"))
+                      .alias("stale_ratio"))

@@ -32,6 +32,11 @@ SELECT event_type AS asset_id, date_trunc('day', ts) AS period_start, count(*) A
        count(DISTINCT date_trunc('hour', ts)) AS distinct_ts,
        1.0 - count(DISTINCT date_trunc('hour', ts)) / count(*) AS stale_ratio
 FROM events GROUP BY ALL
+UNION ALL
+SELECT asset_id, period_start, 0, 72.0, 0.0, 0, NULL FROM (
+  SELECT asset_id, unnest(generate_series(lo, (SELECT date_trunc('day', max(ts)) FROM events), INTERVAL 1 DAY)) AS period_start
+  FROM (SELECT event_type AS asset_id, date_trunc('day', min(ts)) AS lo FROM events GROUP BY 1))
+WHERE (asset_id, period_start) NOT IN (SELECT (event_type, date_trunc('day', ts)) FROM events)
 """)
 def feed_cadence(spark, sf):
     """Polls per asset and day against one every 20 minutes; the source
@@ -168,7 +173,7 @@ def reconcile_totals(spark, sf):
 
 @register("volume_anomaly", """
 WITH n AS (SELECT event_type, date_trunc('day', ts) AS period, count(*) AS n FROM events GROUP BY ALL),
-span AS (SELECT event_type, min(period) AS lo, max(period) AS hi FROM n GROUP BY ALL),
+span AS (SELECT event_type, min(period) AS lo, (SELECT max(period) FROM n) AS hi FROM n GROUP BY event_type),
 cal AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS period FROM span),
 f AS (SELECT cal.event_type, cal.period, coalesce(n.n, 0) AS n
       FROM cal LEFT JOIN n ON cal.event_type = n.event_type AND cal.period = n.period),

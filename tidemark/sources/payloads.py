@@ -126,30 +126,44 @@ def price_rejects(payloads: DataFrame, vs: str = "usd") -> DataFrame:
         F.when(bad, F.lit("malformed number")).otherwise(F.lit("unreadable payload")).alias("reason"))
 
 
-def parse_markets(payloads: DataFrame, now=None) -> DataFrame:
+def parse_markets(payloads: DataFrame, now=None, position: str | None = None) -> DataFrame:
     """A3: market payload (JSON array) to asset rows; rows lacking ``id``,
     ``symbol`` or ``name`` are left out (see :func:`market_rejects`).
-    ``created_at``/``updated_at`` are set to ``now`` (or the poll time)."""
+    ``created_at``/``updated_at`` are set to ``now`` (or the poll time);
+    ``position`` names a column for a row's place in its payload."""
     rows = _market_rows(payloads)
     stamp = F.lit(now).cast("timestamp") if now is not None else F.col("ingested_at")
     ok = F.col("m.id").isNotNull() & F.col("m.symbol").isNotNull() & F.col("m.name").isNotNull()
+    place = [F.col("_pos").alias(position)] if position else []
     return rows.where(ok).select(
         F.col("m.id").alias("id"), F.col("m.symbol").alias("symbol"), F.col("m.name").alias("name"),
         F.col("m.image").alias("image_url"), F.col("m.max_supply").try_cast("double").alias("max_supply"),
-        stamp.alias("created_at"), stamp.alias("updated_at"))
+        stamp.alias("created_at"), stamp.alias("updated_at"), *place)
 
 
 def market_rejects(payloads: DataFrame) -> DataFrame:
+    """What :func:`parse_markets` leaves out or blanks: rows without a required
+    field, a ``max_supply`` that is no number, and payloads that can't be read
+    (``row`` then holds the payload)."""
     rows = _market_rows(payloads)
-    missing = F.array_compact(F.array(*[
-        F.when(F.col(f"m.{k}").isNull(), F.lit(f"missing {k}")) for k in ("id", "symbol", "name")]))
-    return (rows.select("ingested_at", F.to_json("m").alias("row"), missing.alias("reasons"))
+    supply = F.col("m.max_supply")
+    reasons = F.array_compact(F.array(
+        F.when(F.col("m").isNull(), F.lit("unreadable payload")),
+        *[F.when(F.col("m").isNotNull() & F.col(f"m.{k}").isNull(), F.lit(f"missing {k}"))
+          for k in ("id", "symbol", "name")],
+        F.when(supply.isNotNull() & supply.try_cast("double").isNull(), F.lit("malformed max_supply"))))
+    return (rows.select("ingested_at", F.coalesce(F.to_json("m"), F.col("payload")).alias("row"),
+                        reasons.alias("reasons"))
                 .where(F.size("reasons") > 0))
 
 
 def _market_rows(payloads: DataFrame) -> DataFrame:
-    return payloads.select("ingested_at",
-                           F.explode(F.from_json(F.col("payload"), MARKET_PAYLOAD)).alias("m"))
+    """One row per array entry with its place; unreadable payloads and null
+    entries give a null entry, an empty array gives nothing."""
+    parsed = F.from_json(F.col("payload"), MARKET_PAYLOAD)
+    return (payloads.select("ingested_at", "payload", parsed.alias("_a"))
+            .where(F.col("_a").isNull() | (F.size("_a") > 0))
+            .select("ingested_at", "payload", F.posexplode_outer("_a").alias("_pos", "m")))
 
 
 def conform(bronze: DataFrame, vs: str = "usd", order: Sequence[str] = ("landed_at",),
@@ -192,28 +206,37 @@ def write_bronze(df: DataFrame, path: str) -> None:
 
 def contract(df: DataFrame, schema: T.StructType, column: str = "payload") -> tuple[DataFrame, DataFrame]:
     """Parse JSON records against a versioned schema. Records that do not
-    conform (unreadable, or a field of the wrong type) are rejected at the edge.
+    conform (unreadable, a field of the wrong type, or a required field missing
+    or null) are rejected at the edge.
 
     Returns ``(good, rejects)``: ``good`` has the schema's fields plus the
     other input columns; ``rejects`` keeps the raw record and a reason.
     """
     corrupt = "_corrupt_record"
-    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(corrupt, T.StringType(), True)])
+    loose = [T.StructField(f.name, f.dataType, True) for f in schema.fields]
+    with_corrupt = T.StructType(loose + [T.StructField(corrupt, T.StringType(), True)])
     parsed_col = F.from_json(F.col(column), with_corrupt,
                              {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
     # a one-element explode is a Generate: filters on its output cannot be
     # pushed below it, so the record is parsed once, not once per reference
     parsed = df.select("*", F.explode(F.array(parsed_col)).alias("_p"))
-    bad = F.col(column).isNull() | F.col("_p").isNull() | F.col(f"_p.{corrupt}").isNotNull()
+    missing = F.lit(False)
+    for f in schema.fields:
+        if not f.nullable:
+            missing = missing | F.col(f"_p.{f.name}").isNull()
+    unread = F.col(column).isNull() | F.col("_p").isNull() | F.col(f"_p.{corrupt}").isNotNull()
+    bad = unread | missing
     others = [c for c in df.columns if c != column]
     good = parsed.where(~bad).select(*others, *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields])
-    rejects = parsed.where(bad).select(*others, F.col(column), F.lit("does not match contract").alias("reason"))
+    rejects = parsed.where(bad).select(*others, F.col(column), F.when(unread, F.lit("does not match contract"))
+                                       .otherwise(F.lit("missing required field")).alias("reason"))
     return good, rejects
 
 
 def schema_changes(old: T.StructType, new: T.StructType) -> list[str]:
     """L9 compatibility: a new nullable field is fine; a removed field, a
-    changed type, or a new required field breaks the contract."""
+    changed type, a new required field, or a change of nullability breaks the
+    contract."""
     problems = []
     new_fields = {f.name: f for f in new.fields}
     for f in old.fields:
@@ -224,6 +247,8 @@ def schema_changes(old: T.StructType, new: T.StructType) -> list[str]:
             problems.append(f"retyped {f.name}: {f.dataType.simpleString()} -> {g.dataType.simpleString()}")
         elif f.nullable is False and g.nullable:
             problems.append(f"{f.name} became nullable")
+        elif f.nullable and not g.nullable:
+            problems.append(f"{f.name} became required")
     old_names = {f.name for f in old.fields}
     for g in new.fields:
         if g.name not in old_names and not g.nullable:
