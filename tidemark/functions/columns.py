@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 # Dimension sides at or below this estimate are broadcast explicitly; above it
 # the join stays a shuffle join and AQE may still broadcast from runtime sizes.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# The estimate is of compressed, pruned bytes, so the limit is low.
+DEFAULT_BROADCAST_BYTES = 1024 * 1024
 
 
 _UNIT_MICROS = {
@@ -51,7 +52,7 @@ def to_ntz(df: DataFrame) -> DataFrame:
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of ``df`` (an upper bound for file scans)."""
+    """Optimizer size estimate of ``df`` (compressed bytes for file scans)."""
     try:
         size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         return int(str(size))  # py4j hands back an int or a BigInt proxy

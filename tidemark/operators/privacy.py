@@ -75,10 +75,13 @@ def erasure_audit(df: DataFrame, subjects: DataFrame, key: str, request_id: str,
 
 
 def entitled_view(df: DataFrame, tags: Mapping[str, str], entitlements: Sequence[str],
-                  salt: str = "", hidden: Sequence[str] = ("restricted",)) -> DataFrame:
+                  salt: str, hidden: Sequence[str] = ("restricted",)) -> DataFrame:
     """A projection chosen by the reader's entitlements: a tagged column
     is clear when its tag is entitled, absent when its tag is in ``hidden``
-    and not entitled, and tokenised otherwise. Untagged columns are clear."""
+    and not entitled, and tokenised otherwise. Untagged columns are clear.
+    An empty salt is refused: unsalted hashes of names can be guessed."""
+    if not salt:
+        raise ValueError("entitled_view needs a salt")
     out = []
     for c in df.columns:
         tag = tags.get(c)

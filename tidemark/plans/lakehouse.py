@@ -41,14 +41,14 @@ def erase_subjects(spark, sf):
 
 
 @register("entitled_view", """
-SELECT c_custkey, sha256('' || c_name) AS c_name, c_nationkey, c_mktsegment FROM customer
+SELECT c_custkey, sha256('s3cr3t-salt' || c_name) AS c_name, c_nationkey, c_mktsegment FROM customer
 """)
 def entitled_view(spark, sf):
     """A reader entitled to ``segment`` data only: names tokenised,
     balances (restricted) absent."""
     c = FX.load(spark, sf, "customer")
     tags = {"c_name": "pii", "c_acctbal": "restricted", "c_mktsegment": "segment"}
-    return PV.entitled_view(c, tags, ["segment"])
+    return PV.entitled_view(c, tags, ["segment"], "s3cr3t-salt")
 
 
 def _star(spark, sf):

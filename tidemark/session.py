@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CONF_HELP = f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share"
 
 
 def pin_utc(spark: SparkSession) -> None:
@@ -41,8 +44,7 @@ def get_session(
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.streaming.stateStore.providerClass",
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -56,11 +58,14 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, versioned tables and stream checkpoints.
 
-    Read from ``spark.checkpoint.dir``; only when the session leaves it unset
-    (local runs, tests) a private scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``. Only a local master may leave it unset
+    (tests): a scratch folder is then made, as all tasks share the machine. A
+    cluster session must name a folder that driver and executors share.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
+            raise RuntimeError(CONF_HELP)
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     try:

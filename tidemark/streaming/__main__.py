@@ -14,7 +14,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tidemark.session import pin_utc
+from tidemark.session import ROCKSDB, pin_utc
 from tidemark.streaming.jobs import start_feed
 
 
@@ -29,14 +29,19 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--window", type=int, default=300)
     ap.add_argument("--threshold", type=float, default=0.02)
     ap.add_argument("--warmup", type=int, default=30)
+    ap.add_argument("--max-files", type=int, default=100, help="landed files per trigger")
+    ap.add_argument("--partitions", type=int, help="state partitions, fixed at the first start")
+    ap.add_argument("--console", action="store_true", help="also print each alert's line")
     ap.add_argument("--once", action="store_true")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("tidemark-feed").getOrCreate()
+    spark = (SparkSession.builder.appName("tidemark-feed")
+             .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB).getOrCreate())
     pin_utc(spark)
     trigger = {"availableNow": True} if a.once else {"processingTime": "1 second"}
     queries = start_feed(spark, a.landing, a.store, a.alerts, a.checkpoint, vs=a.vs, fmt=a.format,
                          detector=dict(window_s=a.window, threshold=a.threshold, warmup_s=a.warmup),
-                         trigger=trigger)
+                         trigger=trigger, max_files_per_trigger=a.max_files, partitions=a.partitions,
+                         console=a.console)
     for q in queries:
         q.awaitTermination()
 

@@ -133,8 +133,13 @@ def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_i
                 return
             stored = None
             if S.list_partitions(batch.sparkSession, path):
-                stored = (batch.sparkSession.read.parquet(path)
-                          .where(F.col(S.PART).isin(span["days"]))
+                # only the folders of the batch's days are listed and read
+                days = set(S.list_partitions(batch.sparkSession, path)) & set(span["days"])
+                folders = [f"{path}/{S.PART}={d.isoformat()}" for d in sorted(days)]
+                stored = (batch.sparkSession.read.schema(batch.select(*TICK_COLUMNS, S.PART).schema)
+                          .option("basePath", path).parquet(*folders) if folders
+                          else batch.select(*TICK_COLUMNS, S.PART).limit(0))
+                stored = (stored
                           .where(F.col("ingested_at").between(span["lo"], span["hi"])))
             new = insert_ignore(stored, batch, list(key), list(order), partition_col=S.PART)
             new.select(*TICK_COLUMNS, S.PART).write.mode("append").option("compression", "zstd") \
@@ -175,18 +180,37 @@ def replay_alerts(spark: SparkSession, source: str, out: str, checkpoint: str,
     return spark.read.schema(_out_schema(detector.get("key", "asset_id"))).parquet(out)
 
 
+def start_alert_console(alerts: DataFrame, checkpoint: str, trigger: dict | None = None,
+                        partitions: int | None = None) -> StreamingQuery:
+    """K3: each alert's console line on the driver's standard output."""
+    with state_partitions(alerts.sparkSession, partitions):
+        return (alert_text(alerts).writeStream.format("console").option("truncate", False)
+                     .option("checkpointLocation", checkpoint).outputMode("append")
+                     .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def start_feed(spark: SparkSession, landing: str, store_path: str, alert_path: str,
                checkpoint_root: str, vs: str = "usd", detector: dict | None = None,
-               trigger: dict | None = None, fmt: str = "parquet") -> list[StreamingQuery]:
+               trigger: dict | None = None, fmt: str = "parquet", max_files_per_trigger: int = 100,
+               partitions: int | None = None, console: bool = False) -> list[StreamingQuery]:
     """One landed payload feed fanned out to persistence and alerting as
-    two queries with their own checkpoints (one failing never stops the other)."""
+    queries with their own checkpoints (one failing never stops the others).
+    A backlog is worked off ``max_files_per_trigger`` files at a time."""
     from tidemark.sources.payloads import parse_prices, read_payloads
     from tidemark.streaming.detector import stream_alerts
 
     def ticks():
-        return parse_prices(read_payloads(spark, landing, streaming=True, fmt=fmt), vs=vs)
-
-    q1 = start_tick_store(ticks(), store_path, f"{checkpoint_root}/store", trigger=trigger)
-    q2 = start_alert_log(stream_alerts(ticks(), **(detector or {})), alert_path,
-                         f"{checkpoint_root}/alerts", trigger=trigger)
-    return [q1, q2]
+        return parse_prices(read_payloads(spark, landing, streaming=True, fmt=fmt,
+                                          max_files_per_trigger=max_files_per_trigger), vs=vs)
+
+    def alerts():
+        return stream_alerts(ticks(), **(detector or {}))
+
+    started = [
+        start_tick_store(ticks(), store_path, f"{checkpoint_root}/store", trigger=trigger),
+        start_alert_log(alerts(), alert_path, f"{checkpoint_root}/alerts", trigger=trigger,
+                        partitions=partitions),
+    ]
+    if console:
+        started.append(start_alert_console(alerts(), f"{checkpoint_root}/console", trigger, partitions))
+    return started
