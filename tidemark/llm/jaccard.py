@@ -248,14 +248,15 @@ def jaccard_components(
             f"{100 + percent}L * ({x}n + {y}n - ({differ})) >= {2 * percent}L * ({x}n + {y}n)",
         ])
 
-    # (4) one hub per token and size class: the one with the fewest rarer tokens,
-    # which is what a group of near copies has in common
+    # (4) one hub per token and size class: the class with the fewest tokens of its
+    # own, as that is what a group of near copies has in common. Verification
+    # decides; what this misses, (5) finds
     sized = postings.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))))
-    hubs = sized.groupBy("token", "band").agg(F.min(F.struct("before", "key", "n", "l", "live", "pos", "end", "parity")).alias("hub"))
+    hubs = sized.groupBy("token", "band").agg(F.min(F.struct(
+        (F.col("n") - F.col("live")).alias("own"), "key", "n", "live", "before", "pos", "end", "parity")).alias("hub"))
     stars = (
         sized.join(hubs, ["token", "band"]).where("key <> hub.key").where(can_link("", "hub."))
-        .groupBy(F.col("key").alias("x"), F.col("hub.key").alias("y"))
-        .agg(F.count("*").alias("c"), F.min(F.least("l", "hub.l")).alias("l")).where("c >= l").select("x", "y")
+        .select(F.col("key").alias("x"), F.col("hub.key").alias("y")).distinct()
     )
     links = written(verify(docs, stars, width, percent), "star-links")
     found = connected_components(links.toDF("u", "v"))
