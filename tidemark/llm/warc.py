@@ -54,7 +54,7 @@ def _digest(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 @F.pandas_udf(BinaryType())
 def _pack(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for payloads in parts:
-        yield pd.Series([zstandard.ZstdCompressor().compress(bytes(p)) for p in payloads], dtype=object)
+        yield pd.Series([zstandard.ZstdCompressor(level=9).compress(bytes(p)) for p in payloads], dtype=object)
 
 
 @F.pandas_udf(BinaryType())
