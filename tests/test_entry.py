@@ -7,12 +7,13 @@ import pytest
 from conftest import SF001
 
 import __spark_entry__ as E
+from tidemark.plans.registry import QUERIES
 from tidemark.sources.fixtures import TABLES
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_of_the_core_has_an_oracle():
     qs, oracles = E.queries(), E.oracle_sql()
-    assert set(oracles) == set(qs) and len(qs) >= 60
+    assert set(QUERIES) <= set(oracles) <= set(qs) and len(QUERIES) >= 60
 
 
 def test_entry_runs_on_smallest_scale(spark):
