@@ -116,20 +116,18 @@ def kpi_report(df: DataFrame, definitions: Sequence[Kpi], time: str,
     """D9 registry form: every KPI at its own calendar grain, all grains in
     one long table ``(by..., grain, period, kpi, version, owner, value)``.
 
-    One scan and one aggregate for all grains: each row is replicated once
-    per distinct grain (as grouping sets do) and grouped by
-    ``(by, grain, period)``; each KPI is then kept only at its own grain.
+    One aggregate per distinct grain, of that grain's KPIs only: no row is
+    copied and each exchange carries partial aggregates, one row per group.
     """
-    grains = list(dict.fromkeys(d.grain for d in definitions))
-    per_grain = F.explode(F.array(*[
-        F.struct(F.lit(g).alias("grain"), F.date_trunc(g, F.col(time)).alias("period"))
-        for g in grains])).alias("_g")
-    expanded = df.select("*", per_grain).select("*", "_g.grain", "_g.period").drop("_g")
-    long = kpis(expanded, definitions, [*[F.col(b) for b in by], F.col("grain"), F.col("period")])
-    own = F.lit(False)
-    for d in definitions:
-        own = own | ((F.col("kpi") == d.name) & (F.col("grain") == d.grain))
-    return long.where(own).select(*by, "grain", "period", "kpi", "version", "owner", "value")
+    parts = []
+    for g in dict.fromkeys(d.grain for d in definitions):
+        own = [d for d in definitions if d.grain == g]
+        at = [F.lit(g).alias("grain"), F.date_trunc(g, F.col(time)).alias("period")]
+        parts.append(kpis(df, own, [*[F.col(b) for b in by], *at]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select(*by, "grain", "period", "kpi", "version", "owner", "value")
 
 
 # ---------------------------------------------------------------------------
