@@ -111,6 +111,37 @@ def test_compaction_is_lossless_and_retention_respects_rollups(spark):
     assert len(S.list_partitions(spark, path)) == 6  # dry run changed nothing
 
 
+def _files(spark, path):
+    return {r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()}
+
+
+def test_second_compaction_rewrites_changed_days_only(spark):
+    ticks = make_ticks(spark, [(d * 86400 + s, float(s)) for d in range(4) for s in range(0, 300, 60)])
+    path = S.scratch_path(spark, "test-store")
+    S.append_ticks(ticks, path)
+    assert S.compact(spark, path, 1, at(4 * 86400)).count() == 3
+    files = _files(spark, path)
+    assert S.compact(spark, path, 1, at(4 * 86400)).count() == 0
+    assert _files(spark, path) == files
+    S.append_ticks(make_ticks(spark, [(86400 + 7, 1.0)]), path)  # a late row reaches a compacted day
+    assert [r.ingest_date.day for r in S.compact(spark, path, 1, at(4 * 86400)).collect()] == [10]
+    assert len(_files(spark, path) & files) == len(files) - 1
+    assert spark.read.parquet(path).count() == 21
+
+
+def test_refresh_stores_its_mark(spark):
+    ticks = make_ticks(spark, [(s, float(s)) for s in range(0, 5 * 3600, 600)])
+    path = S.scratch_path(spark, "rollup")
+    empty = C.candles(ticks.limit(0), "1 hour")
+    empty.withColumn("bucket_date", F.to_date("bucket")).write.parquet(path)
+    assert S.completed_through(spark, path) is None
+    want = sorted(tuple(r) for r in C.candles(ticks, "1 hour").collect())
+    for hours in (3, 2):  # the mark doesn't move back
+        S.refresh_table(spark, path, ticks, at(hours * 3600), "1 day", "1 second", "1 hour")
+        assert S.completed_through(spark, path) == at(2 * 3600)
+        assert sorted(tuple(r) for r in S.realtime_table(spark, path, ticks, "1 hour").collect()) == want
+
+
 def test_quality_gate_raises(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "id int, s string")
     report = Q.check(df, [Q.not_null("s"), Q.accepted("s", ["x"])])

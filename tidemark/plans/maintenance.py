@@ -6,14 +6,17 @@ Each query first writes the store to a fresh folder under the session's
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import candles as C
+from tidemark.plans.ingest import _MARKETS_SQL
 from tidemark.plans.market import _candle_sql
 from tidemark.plans.registry import register
 from tidemark.sources import store as S
 from tidemark.sources import fixtures as FX
 from tidemark.sources.fixtures import event_ticks, sql_ticks
+from tidemark.sources.payloads import write_landed
 
 
 def _store(spark, sf):
@@ -33,13 +36,23 @@ def time_range_scan(spark, sf):
                         ["click", "view"])
 
 
-@register("compacted_equals_raw", f"SELECT *, CAST(ingested_at AS DATE) AS ingest_date FROM ({sql_ticks()}) t")
+@register("compacted_equals_raw", f"""
+SELECT *, CAST(ingested_at AS DATE) AS ingest_date,
+       CASE WHEN CAST(ingested_at AS DATE) < DATE '2024-01-24' THEN true END AS in_order
+FROM ({sql_ticks()}) t""")
 def compacted_equals_raw(spark, sf):
     """K4: days older than a week before 2024-01-31 compacted; the table
-    still holds exactly the raw ticks."""
+    still holds exactly the raw ticks, and every row of a compacted file
+    follows the one before it by asset, newest first."""
     path = _store(spark, sf)
     S.compact(spark, path, 7, "2024-01-31 00:00:00")
-    return spark.read.parquet(path)
+    rows = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = Window.partitionBy("_file").orderBy("_row")
+    asset, at = F.lag("asset_id").over(before), F.lag("ingested_at").over(before)
+    follows = asset.isNull() | (asset < F.col("asset_id")) | ((asset == F.col("asset_id")) & (at >= F.col("ingested_at")))
+    return rows.withColumn("in_order", F.when(F.col(S.PART) < F.lit("2024-01-24").cast("date"), follows)) \
+        .drop("_file", "_row")
 
 
 @register("after_retention", f"""
@@ -69,6 +82,35 @@ def refresh_persisted(spark, sf):
     return spark.read.parquet(path).drop("bucket_date")
 
 
+@register("realtime_persisted", _candle_sql("date_trunc('hour', ingested_at)"))
+def realtime_persisted(spark, sf):
+    """D6 on disk: the refreshed rollup up to its stored mark, live after it."""
+    ticks = event_ticks(spark, sf)
+    path = S.scratch_path(spark, "rollup")
+    stale = C.candles(ticks.where(F.col("ingested_at") < F.lit("2024-01-15 12:30:00").cast("timestamp")),
+                      "1 hour")
+    stale.withColumn("bucket_date", F.to_date("bucket")).write.partitionBy("bucket_date").parquet(path)
+    S.refresh_table(spark, path, ticks, "2024-01-16 00:00:00", "1 day", "1 hour", "1 hour")
+    return S.realtime_table(spark, path, ticks, "1 hour")
+
+
+@register("seed_assets", f"""
+SELECT id, symbol, 'Renamed' || substr(name, 9) AS name, image_url, max_supply,
+       TIMESTAMP '2024-03-01 00:00:00' AS created_at, TIMESTAMP '2024-03-02 00:00:00' AS updated_at
+FROM ({_MARKETS_SQL}) m
+""")
+def seed_assets(spark, sf):
+    """C2 + A3: market payloads that list each asset twice, under an old and
+    a new name, seed the asset table; the last row wins. A second run updates."""
+    old = FX.customer_market_payloads(spark, sf)
+    new = F.replace("payload", F.lit('"name":"Customer'), F.lit('"name":"Renamed'))
+    twice = F.concat(F.expr("substr(payload, 1, length(payload) - 1)"), F.lit(","), F.substring(new, 2, 2**31 - 1))
+    landing, assets = S.scratch_path(spark, "markets"), S.scratch_path(spark, "assets")
+    write_landed(old.withColumn("payload", twice), landing)
+    S.seed_assets(spark, landing, assets, "2024-03-01 00:00:00")
+    return S.seed_assets(spark, landing, assets, "2024-03-02 00:00:00")
+
+
 @register("erase_in_store", f"""
 SELECT t.*, CAST(t.ingested_at AS DATE) AS ingest_date FROM ({sql_ticks()}) t
 WHERE t.ingested_at NOT IN (SELECT ts FROM events WHERE user_id = 7)

@@ -25,8 +25,10 @@ JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 def read_payloads(spark: SparkSession, path: str, streaming: bool = False, fmt: str = "json",
                   max_files_per_trigger: int | None = None,
-                  options: dict[str, str] | None = None) -> DataFrame:
-    """Landed polls as ``(payload, ingested_at)``, batch or streaming."""
+                  options: dict[str, str] | None = None, sequence: str | None = None) -> DataFrame:
+    """Landed polls as ``(payload, ingested_at)``, batch or streaming.
+    ``sequence`` names a column for the place in landing order: file time,
+    file and block (rows of one block are in landing order already)."""
     reader = spark.readStream if streaming else spark.read
     reader = reader.schema(PAYLOAD).format(fmt)
     if fmt == "json":
@@ -35,7 +37,12 @@ def read_payloads(spark: SparkSession, path: str, streaming: bool = False, fmt:
         reader = reader.option(k, v)
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    polls = reader.load(path)
+    if sequence is None:
+        return polls
+    return polls.select("*", F.struct(
+        F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block")).alias(sequence))
 
 
 def from_bus(records: DataFrame, value: str = "value", time: str = "timestamp") -> DataFrame:

@@ -111,6 +111,40 @@ class VerificationFailed(RuntimeError):
     pass
 
 
+MARKS = "_compacted"
+
+
+def _state_of_day(fs, folder) -> str:
+    """File count, bytes and newest file time of a day's folder."""
+    files = [st for st in fs.listStatus(folder) if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+    newest = max((st.getModificationTime() for st in files), default=0)
+    return f"{len(files)}.{sum(st.getLen() for st in files)}.{newest}"
+
+
+def uncompacted(spark: SparkSession, path: str, before: dt.date) -> list[dt.date]:
+    """Days before ``before`` that were never compacted or changed since: their
+    mark under ``_compacted`` (a folder that reads skip) is missing or tells of
+    other files."""
+    fs, root = _fs(spark, path)
+    marks = _fs(spark, f"{path}/{MARKS}")[1]
+    held = {st.getPath().getName() for st in fs.listStatus(marks)} if fs.exists(marks) else set()
+    cold = [d for d in list_partitions(spark, path) if d < before]
+    return [d for d in cold
+            if f"{d.isoformat()}.{_state_of_day(fs, _fs(spark, f'{path}/{PART}={d.isoformat()}')[1])}" not in held]
+
+
+def _mark_compacted(spark: SparkSession, path: str, days: Sequence[dt.date]) -> None:
+    fs, marks = _fs(spark, f"{path}/{MARKS}")
+    fs.mkdirs(marks)
+    names = {d.isoformat() for d in days}
+    for st in fs.listStatus(marks):  # one empty file per compacted day
+        if st.getPath().getName().split(".")[0] in names:
+            fs.delete(st.getPath(), False)
+    for d in days:
+        state = _state_of_day(fs, _fs(spark, f"{path}/{PART}={d.isoformat()}")[1])
+        fs.create(_fs(spark, f"{path}/{MARKS}/{d.isoformat()}.{state}")[1]).close()
+
+
 def compact(spark: SparkSession, path: str, older_than_days: int, now,
             max_records_per_file: int = 5_000_000) -> DataFrame:
     """K4: rewrite cold partitions (older than ``older_than_days`` before
@@ -120,10 +154,15 @@ def compact(spark: SparkSession, path: str, older_than_days: int, now,
     together and sorted while splitting a hot asset-day over several tasks
     (range bounds come from a sample). Lossless by check: per date the row
     count and an order-insensitive row-hash sum of the staged copy must equal
-    the originals before anything is swapped. Returns the per-date report.
+    the originals before anything is swapped. Days compacted before and
+    unchanged since are left alone, so a daily run costs a day. Returns the
+    report of the dates it rewrote.
     """
-    cutoff = F.date_sub(F.to_date(F.lit(now).cast("timestamp")), int(older_than_days))
-    src = spark.read.parquet(path).where(F.col(PART) < cutoff)
+    today = (dt.datetime.fromisoformat(str(now)) if not isinstance(now, dt.datetime) else now).date()
+    days = uncompacted(spark, path, today - dt.timedelta(days=int(older_than_days)))
+    if not days:
+        return spark.createDataFrame([], f"{PART} date, rows long, verified boolean")
+    src = spark.read.parquet(path).where(F.col(PART).isin(days))
     cols = [c for c in src.columns if c != PART]
     staging = scratch_path(spark, "compact")
     laid_out = (src.repartitionByRange(F.col(PART), F.col("asset_id"), F.col("ingested_at"))
@@ -144,6 +183,7 @@ def compact(spark: SparkSession, path: str, older_than_days: int, now,
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .option("compression", "zstd").partitionBy(PART).parquet(path))
     drop_folder(spark, staging)
+    _mark_compacted(spark, path, days)
     return spark.createDataFrame(rows, report.schema)
 
 
@@ -184,7 +224,9 @@ def refresh_table(spark: SparkSession, rollup_path: str, ticks: DataFrame, now,
                   end_offset: str, width: str = "1 minute", keys: Sequence[str] = ("asset_id",)) -> None:
     """D7 persisted: recompute the refresh window and swap in only the
     touched ``bucket_date`` partitions, each written whole (kept buckets of
-    those days plus the fresh ones), so no bucket outside the window is lost."""
+    those days plus the fresh ones), so no bucket outside the window is lost.
+    The end of the window is stored beside the table as its completed-through
+    mark, which never moves back."""
     from tidemark.operators.candles import refresh, refresh_window
 
     stored = spark.read.parquet(rollup_path)
@@ -196,6 +238,32 @@ def refresh_table(spark: SparkSession, rollup_path: str, ticks: DataFrame, now,
     new = refresh(days, ticks.where((day >= F.to_date(lo)) & (day <= F.to_date(hi))), now, start_offset, end_offset, width, keys)
     overwrite_partitions(new.withColumn("bucket_date", F.to_date("bucket")), rollup_path,
                          scratch_path(spark, "refresh"), "bucket_date")
+    mark, held = spark.range(1).select(hi.alias("m")).first()["m"], completed_through(spark, rollup_path)
+    if held is None or mark > held:
+        (spark.createDataFrame([(mark,)], "completed_through timestamp").coalesce(1)
+              .write.mode("append").parquet(f"{rollup_path}/{COMPLETED}"))
+
+
+COMPLETED = "_completed_through"
+
+
+def completed_through(spark: SparkSession, rollup_path: str):
+    """The stored mark of a refreshed rollup (null: never refreshed): the
+    largest one, so a mark is added in one step and never missing."""
+    fs, p = _fs(spark, f"{rollup_path}/{COMPLETED}")
+    if not fs.exists(p):
+        return None
+    marks = spark.read.schema("completed_through timestamp").parquet(f"{rollup_path}/{COMPLETED}")
+    return marks.agg(F.max("completed_through")).first()[0]  # one row per refresh
+
+
+def realtime_table(spark: SparkSession, rollup_path: str, ticks: DataFrame, width: str = "1 minute",
+                   keys: Sequence[str] = ("asset_id",)) -> DataFrame:
+    """D6 on a stored rollup: its buckets up to the stored mark, live ones after."""
+    from tidemark.operators.candles import realtime_candles
+
+    stored = spark.read.parquet(rollup_path).drop("bucket_date")
+    return realtime_candles(stored, ticks, completed_through(spark, rollup_path), width, keys)
 
 
 def erase_in_store(spark: SparkSession, path: str, subjects: DataFrame, key: str,
