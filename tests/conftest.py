@@ -38,31 +38,36 @@ def make_ticks(spark, rows):
     return spark.createDataFrame(out, TICK)
 
 
+def departures(times, window):
+    """For each reading the index of the tick at which it leaves the window:
+    the first one after it, and not before its predecessor's, whose window
+    starts behind it (none: the number of ticks)."""
+    out = []
+    for j, t in enumerate(times):
+        after = max([j + 1, *out[-1:]])
+        out.append(next((i for i in range(after, len(times)) if times[i] - window > t), len(times)))
+    return out
+
+
 def model_alerts(ticks, window_s, threshold, warmup_s=0):
-    """Test oracle: the detector rule over ONE key's ticks in arrival order.
+    """Test oracle by definition: tick ``i`` is held against the readings
+    before it that depart after ``i``.
 
-    ``ticks``: (asset, ts datetime, price, volume). Readings stay in arrival
-    order; a reading leaves the window when it is at the head and older than
-    ``ts - window``. Returns (asset, metric, value, baseline, change, samples, ts).
+    ``ticks``: ONE key's (asset, ts datetime, price, volume) in arrival order.
+    Returns (asset, metric, value, baseline, change, samples, ts).
     """
-    from datetime import timedelta
-
-    w, warm = timedelta(seconds=window_s), timedelta(seconds=warmup_s)
-    seen, head, out = [], 0, []
-    for asset, ts, price, volume in ticks:
-        while head < len(seen) and seen[head][0] < ts - w:
-            head += 1
-        live = seen[head:]
-        if live and ts - live[0][0] >= warm:
-            for metric, pos, value in (("price", 1, price), ("volume", 2, volume)):
-                vals = [r[pos] for r in live if r[pos] is not None]
-                if value is None or not vals or sum(vals) == 0:
-                    continue
-                base = sum(vals) / len(vals)
-                change = (value - base) / base
-                if abs(change) > threshold:
-                    out.append((asset, metric, value, base, change, len(live), ts))
-        seen.append((ts, price, volume))
+    leaves = departures([t[1] for t in ticks], timedelta(seconds=window_s))
+    out = []
+    for i, (asset, ts, *values) in enumerate(ticks):
+        window = [t for t, gone in zip(ticks[:i], leaves) if gone > i]
+        if not window or ts - window[0][1] < timedelta(seconds=warmup_s):
+            continue
+        for metric, value, column in zip(("price", "volume"), values, (2, 3)):
+            held = [t[column] for t in window if t[column] is not None]
+            if value is not None and held and sum(held):
+                base = sum(held) / len(held)
+                if abs((value - base) / base) > threshold:
+                    out.append((asset, metric, value, base, (value - base) / base, len(window), ts))
     return out
 
 

@@ -85,6 +85,26 @@ def test_late_ticks_follow_arrival_order(spark):
     assert got == sorted(want) and len(want) > 10
 
 
+def test_evicted_outliers_leave_no_trace_in_the_stream(spark):
+    rows = [(0, 1e17), (1, float("inf"))] + [(100 + s, 100.0 + s % 3) for s in range(60)]
+    landing, out, ck = (S.scratch_path(spark, n) for n in ("land", "out", "ck"))
+    _land(spark, rows, landing, 3)
+    _run(spark, landing, out, ck, window_s=60, threshold=0.05, warmup_s=1)
+    assert spark.read.schema(_out_schema("asset_id")).parquet(out).where("value < 1e6").count() == 0
+
+
+def test_first_landed_row_wins_within_a_batch(spark):
+    from tidemark.sources.payloads import parse_prices, read_payloads, write_landed
+    from tidemark.streaming.jobs import start_tick_store
+    landing, store = S.scratch_path(spark, "land"), S.scratch_path(spark, "store")
+    polls = [('{"a": {"usd": %d}}' % p, at(0)) for p in (100, 90, 95)]
+    write_landed(spark.createDataFrame(polls, "payload string, ingested_at timestamp").coalesce(1), landing)
+    write_landed(spark.createDataFrame([('{"a": {"usd": 80}}', at(0))], "payload string, ingested_at timestamp"), landing)
+    ticks = parse_prices(read_payloads(spark, landing, streaming=True, sequence="_landed"), keep=["_landed"])
+    start_tick_store(ticks, store, S.scratch_path(spark, "ck"), order=["_landed"]).awaitTermination()
+    assert [r.price for r in spark.read.parquet(store).collect()] == [100.0]
+
+
 @pytest.mark.parametrize("fmt", ["json", "text"])
 def test_alert_log_sink(spark, fmt):
     from tidemark.streaming.jobs import start_alert_log

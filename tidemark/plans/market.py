@@ -160,8 +160,10 @@ def trailing_alerts_any_metric(spark, sf):
     return _r9(out, "baseline", "change_pct")
 
 
-@register("zscore_alerts", f"""
-WITH t AS ({sql_ticks(True)}),
+def _zscore_sql(ticks: str, digits: int) -> str:
+    """Large scores are compared in tens: doubles hold no more of them."""
+    return f"""
+WITH t AS ({ticks}),
 w AS (
   SELECT a.asset_id, a.ts, a.price, a.volume_24h, count(b.asset_id) AS samples,
          avg(b.price) AS m_price, stddev_pop(b.price) AS sd_price,
@@ -174,18 +176,40 @@ c AS (
   SELECT asset_id, ts, samples, oldest, 'price' AS metric, price AS value, m_price AS mean, sd_price AS sd FROM w
   UNION ALL
   SELECT asset_id, ts, samples, oldest, 'volume', volume_24h, m_volume, sd_volume FROM w)
-SELECT asset_id, metric, value, round(mean, 6) AS mean, round(sd, 6) AS stddev,
-       round((value - mean) / sd, 6) AS zscore, CAST(2.0 AS DOUBLE) AS k,
+SELECT asset_id, metric, value, round(mean, {digits}) AS mean, round(sd, {digits}) AS stddev,
+       CASE WHEN abs((value - mean) / sd) < 1000 THEN round((value - mean) / sd, {digits})
+            ELSE round((value - mean) / sd, -1) END AS zscore, CAST(2.0 AS DOUBLE) AS k,
        CAST({FIX_WINDOW_S} AS INTEGER) AS window_s, samples, ts
 FROM c
 WHERE samples > 0 AND ts - oldest >= INTERVAL {FIX_WARMUP_S} SECOND AND value IS NOT NULL
   AND sd > 0 AND abs(value - mean) > 2.0 * sd
-""")
+"""
+
+
+def _zscores(ticks, digits):
+    out = A.zscore_alerts(ticks, FIX_WINDOW_S, 2.0, FIX_WARMUP_S)
+    z = F.when(F.abs("zscore") < 1000, F.round("zscore", digits)).otherwise(F.round("zscore", -1))
+    return out.withColumn("zscore", z).select(
+        *[F.round(c, digits).alias(c) if c in ("mean", "stddev") else F.col(c) for c in out.columns])
+
+
+@register("zscore_alerts", _zscore_sql(sql_ticks(True), 6))
 def zscore_alerts(spark, sf):
     """|value - mean| above 2 standard deviations of the trailing 6 h."""
-    out = A.zscore_alerts(event_ticks(spark, sf, hourly_ts=True), FIX_WINDOW_S, 2.0, FIX_WARMUP_S)
-    return out.select(*[F.round(c, 6).alias(c) if c in ("mean", "stddev", "zscore") else F.col(c)
-                        for c in out.columns])
+    return _zscores(event_ticks(spark, sf, hourly_ts=True), 6)
+
+
+# a price that jumps from 1 to 60000 at noon of every day, with a small jitter
+_SHIFT = "CASE WHEN hour({ts}) < 12 THEN 1.0D ELSE 60000.0D END + {p} / 1000.0D"
+
+
+@register("zscore_alerts_shift", _zscore_sql(
+    "SELECT * REPLACE (" + _SHIFT.replace("0D", "0").format(ts="ingested_at", p="price")
+    + f" AS price) FROM ({sql_ticks(True)}) s", 3))
+def zscore_alerts_shift(spark, sf):
+    """E7 across a shift of level far above the jitter on either side."""
+    ticks = event_ticks(spark, sf, hourly_ts=True)
+    return _zscores(ticks.withColumn("price", F.expr(_SHIFT.format(ts="ingested_at", p="price"))), 3)
 
 
 @register("late_ticks", """

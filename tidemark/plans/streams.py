@@ -13,61 +13,113 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.ingest import _PARSED_SQL
 from tidemark.plans.market import FIX_THRESHOLD, FIX_WARMUP_S, FIX_WINDOW_S, _alert_sql, _candle_sql, _r9
-from tidemark.plans.registry import register
+from tidemark.plans.registry import ORACLES, register
 from tidemark.schemas import TICK
 from tidemark.sources import fixtures as FX
 from tidemark.sources import store as S
+from tidemark.sources.payloads import parse_prices, read_payloads, write_landed
 from tidemark.streaming import jobs as J
 from tidemark.streaming.detector import stream_alerts
 
 
-_LANDED: dict[tuple[str, str], str] = {}
 # state partitions of the fixture streams (five assets): one per local core
 STATE_PARTITIONS = 8
-
-
-def _memo(spark, sf):
-    return (spark.conf.get("spark.app.id", None) or spark.conf.get("spark.app.name", ""), sf)
+DETECTOR = dict(window_s=FIX_WINDOW_S, threshold=FIX_THRESHOLD, warmup_s=FIX_WARMUP_S)
+
+
+def _land_in_order(spark, df, fmt="parquet"):
+    """Land rows as files that each hold a contiguous time range (one
+    parallel write, range-partitioned on time). File sources take the oldest
+    files first, so the fixture's files are stamped in range order: the
+    stream sees the rows in time order, and no micro-batch holds more than
+    its files."""
+    path = S.scratch_path(spark, "landing")
+    files = max(4, spark.sparkContext.defaultParallelism)
+    write_landed(df.repartitionByRange(files, "ingested_at").sortWithinPartitions("ingested_at"), path, fmt)
+    fs, root = S._fs(spark, path)
+    parts = sorted((st.getPath() for st in fs.listStatus(root)
+                    if st.getPath().getName().startswith("part-")), key=lambda q: q.getName())
+    first = int(time.time() * 1000) - 1000 * len(parts)
+    for i, part in enumerate(parts):  # part-00000 holds the earliest range
+        fs.setTimes(part, first + 1000 * i, -1)
+    return path
 
 
 def _landed_ticks(spark, sf):
-    """Land the ticks as files that each hold a contiguous time range (one
-    parallel write, range-partitioned on time) and stream them one file per
-    trigger. File sources take the oldest files first, so the files' times
-    are stamped in range order (a metadata-only step): the stream sees the
-    ticks in time order, every micro-batch holds one bounded file, and no
-    task ever holds more than its range. Written once per application and
-    scale, then reused."""
-    memo = _memo(spark, sf)
-    if memo not in _LANDED:
-        path = S.scratch_path(spark, "landing")
-        ticks = FX.event_ticks(spark, sf, hourly_ts=True)
-        files = max(4, spark.sparkContext.defaultParallelism)
-        (ticks.repartitionByRange(files, "ingested_at").sortWithinPartitions("ingested_at")
-              .write.parquet(path))
-        fs, root = S._fs(spark, path)
-        parts = sorted((st.getPath() for st in fs.listStatus(root)
-                        if st.getPath().getName().startswith("part-")), key=lambda q: q.getName())
-        first = int(time.time() * 1000) - 1000 * len(parts)
-        for i, part in enumerate(parts):  # part-00000 holds the earliest range
-            fs.setTimes(part, first + 1000 * i, -1)
-        _LANDED[memo] = path
-    return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(_LANDED[memo])
-
-
-def _detector_run(spark, sf):
-    _landed_ticks(spark, sf)
-    src = _LANDED[_memo(spark, sf)]
-    return J.replay_alerts(spark, src, S.scratch_path(spark, "alerts"), S.scratch_path(spark, "ckpt"),
-                           partitions=STATE_PARTITIONS, window_s=FIX_WINDOW_S,
-                           threshold=FIX_THRESHOLD, warmup_s=FIX_WARMUP_S)
+    path = _land_in_order(spark, FX.event_ticks(spark, sf, hourly_ts=True))
+    return spark.readStream.schema(TICK).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _detector_run(spark, ticks):
+    return J.replay_alerts(spark, _land_in_order(spark, ticks), S.scratch_path(spark, "alerts"),
+                           S.scratch_path(spark, "ckpt"), partitions=STATE_PARTITIONS, **DETECTOR)
+
+
+def _arrival_sql(ticks: str) -> str:
+    """The detector's rule in arrival order: a reading leaves once all earlier
+    ones have left and a tick's window starts behind it. ``h`` is the place of
+    the oldest reading that is left when tick ``i`` comes."""
+    return f"""
+WITH RECURSIVE t AS (
+  SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY ingested_at) AS i FROM ({ticks}) x
+), s AS (
+  SELECT asset_id, CAST(1 AS BIGINT) AS i, CAST(1 AS BIGINT) AS h FROM t WHERE t.i = 1
+  UNION ALL
+  SELECT s.asset_id, n.i, min(b.i)
+  FROM s JOIN t n ON n.asset_id = s.asset_id AND n.i = s.i + 1
+  JOIN t b ON b.asset_id = s.asset_id AND b.i BETWEEN s.h AND n.i
+          AND (b.i = n.i OR b.ts >= n.ts - INTERVAL {FIX_WINDOW_S} SECOND)
+  GROUP BY s.asset_id, n.i
+), w AS (
+  SELECT a.asset_id, a.ts, a.price, a.volume_24h, a.i - s.h AS samples, min_by(b.ts, b.i) AS oldest,
+         avg(b.price) AS base_price, avg(b.volume_24h) AS base_volume
+  FROM t a JOIN s ON s.asset_id = a.asset_id AND s.i = a.i
+  JOIN t b ON b.asset_id = a.asset_id AND b.i >= s.h AND b.i < a.i
+  GROUP BY a.asset_id, a.i, a.ts, a.price, a.volume_24h, s.h
+), c AS (
+  SELECT asset_id, ts, samples, oldest, 'price' AS metric, price AS value, base_price AS baseline FROM w
+  UNION ALL SELECT asset_id, ts, samples, oldest, 'volume', volume_24h, base_volume FROM w
+)
+SELECT asset_id, metric, value, round(baseline, 9) AS baseline, round((value - baseline) / baseline, 9) AS change_pct,
+       CAST({FIX_THRESHOLD} AS DOUBLE) AS threshold, CAST({FIX_WINDOW_S} AS INTEGER) AS window_s, samples, ts
+FROM c
+WHERE ts - oldest >= INTERVAL {FIX_WARMUP_S} SECOND AND value IS NOT NULL AND baseline <> 0
+  AND abs((value - baseline) / baseline) > {FIX_THRESHOLD}
+"""
 
 
 @register("stream_alerts", _alert_sql(hourly=True))
 def stream_alerts_q(spark, sf):
     """The stateful streaming detector; equal to the batch operator
     since source times never decrease in arrival order here."""
-    return _r9(_detector_run(spark, sf), "baseline", "change_pct")
+    return _r9(_detector_run(spark, FX.event_ticks(spark, sf, hourly_ts=True)), "baseline", "change_pct")
+
+
+_LATE_TICKS_SQL = """
+SELECT event_type AS asset_id, ts - to_minutes(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS ts,
+       ts AS ingested_at, value AS price,
+       nullif(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0) AS volume_24h
+FROM events
+"""
+
+
+@register("stream_alerts_late", _arrival_sql(_LATE_TICKS_SQL))
+def stream_alerts_late(spark, sf):
+    """Source times behind earlier arrivals, neither dropped nor reordered."""
+    return _r9(_detector_run(spark, FX.event_ticks(spark, sf, source_lag=True)), "baseline", "change_pct")
+
+
+@register("stream_alerts_restart", _alert_sql(hourly=True))
+def stream_alerts_restart(spark, sf):
+    """The job is stopped half-way and started again; the window's
+    readings are still there, so no alert is missed, repeated or warmed up for."""
+    ticks = FX.event_ticks(spark, sf, hourly_ts=True)
+    half = F.col("ingested_at") < F.lit("2024-01-16 00:00:00").cast("timestamp")
+    landing, out, ck = (S.scratch_path(spark, n) for n in ("landing", "alerts", "ckpt"))
+    for part in (ticks.where(half), ticks.where(~half)):
+        part.coalesce(1).write.mode("append").parquet(landing)
+        alerts = J.replay_alerts(spark, landing, out, ck, partitions=STATE_PARTITIONS, **DETECTOR)
+    return _r9(alerts, "baseline", "change_pct")
 
 
 @register("stream_candles", _candle_sql("date_trunc('hour', ingested_at)"))
@@ -93,18 +145,53 @@ def stream_candle_table(spark, sf):
 @register("stream_insert_ignore",
           f"SELECT *, CAST(ingested_at AS DATE) AS ingest_date FROM ({_PARSED_SQL}) p")
 def stream_insert_ignore(spark, sf):
-    """Price payloads landed twice (a replay) streamed into the tick
-    store, one file per trigger; the replay adds nothing."""
+    """Price payloads landed twice, the second time with other prices,
+    streamed into the tick store: the first landing wins, also where both
+    meet in one micro-batch."""
     landing, store = S.scratch_path(spark, "payloads"), S.scratch_path(spark, "store")
     payloads = FX.event_price_payloads(spark, sf)  # parallel write; file order does not matter here
-    from tidemark.sources.payloads import parse_prices, read_payloads, write_landed
+    other = F.regexp_replace("payload", '"usd": ([0-9])', '"usd": 9$1')
     write_landed(payloads, landing)  # polls land as JSON lines
-    write_landed(payloads, landing)
-    ticks = parse_prices(read_payloads(spark, landing, streaming=True, fmt="json", max_files_per_trigger=1))
-    J.start_tick_store(ticks, store, S.scratch_path(spark, "ckpt")).awaitTermination()
+    write_landed(payloads.withColumn("payload", other), landing)
+    polls = read_payloads(spark, landing, streaming=True, fmt="json", max_files_per_trigger=3, sequence="_landed")
+    ticks = parse_prices(polls, keep=["_landed"])
+    J.start_tick_store(ticks, store, S.scratch_path(spark, "ckpt"), order=("_landed",)).awaitTermination()
     return spark.read.parquet(store)
 
 
+@register("feed_fan_out", f"""
+SELECT 'store' AS part, asset_id, ingested_at AS time, 'price' AS metric, price AS value, NULL::BIGINT AS samples
+FROM ({_PARSED_SQL}) p
+UNION ALL
+SELECT 'alert', asset_id, date_trunc('second', ts), metric, value, samples FROM ({_arrival_sql(_PARSED_SQL)}) a
+""")
+def feed_fan_out(spark, sf):
+    """One landing fanned out to the tick store and the alert log, both
+    read back (an alert line tells its time to the second)."""
+    landing = _land_in_order(spark, FX.event_price_payloads(spark, sf), "json")
+    store, log, ck = (S.scratch_path(spark, n) for n in ("store", "alertlog", "ckpt"))
+    for q in J.start_feed(spark, landing, store, log, ck, fmt="json", detector=DETECTOR,
+                          max_files_per_trigger=1, partitions=STATE_PARTITIONS):
+        q.awaitTermination()
+    stored = spark.read.parquet(store).select(
+        F.lit("store").alias("part"), "asset_id", F.col("ingested_at").alias("time"), F.lit("price").alias("metric"),
+        F.col("price").alias("value"), F.lit(None).cast("long").alias("samples"))
+    line = F.from_json("value", "asset_id string, metric string, value double, samples long, ts timestamp")
+    alerts = spark.read.text(log).select(line.alias("r")).select(
+        F.lit("alert").alias("part"), "r.asset_id", F.date_trunc("second", "r.ts").alias("time"), "r.metric",
+        "r.value", "r.samples")
+    return stored.unionByName(alerts)
+
+
+@register("alert_lines_stream", ORACLES["alert_text"])
+def alert_lines_stream(spark, sf):
+    """K3: streaming alerts as the console's lines, appended to a log."""
+    out, ck = S.scratch_path(spark, "lines"), S.scratch_path(spark, "ckpt")
+    alerts = _r9(stream_alerts(_landed_ticks(spark, sf), **DETECTOR), "baseline", "change_pct")
+    J.start_alert_log(alerts, out, ck, fmt="text", partitions=STATE_PARTITIONS).awaitTermination()
+    return spark.read.text(out)
+
+
 @register("alert_log", f"""
 SELECT asset_id, metric, value, round(baseline, 9) AS baseline, round((value - baseline) / baseline, 6) AS change_pct,
        threshold, window_s, samples, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS ts

@@ -8,6 +8,12 @@ samples stay in arrival order and eviction pops only from the head, exactly
 like the sequential detector, so an old sample behind a newer one survives
 until the head leaves.
 
+A window's sum is that of an older half, kept as running sums from its end
+back to every reading, and of a younger half, a running total; when the older
+half is used up, the younger one becomes it. So a tick costs O(1) on average,
+and as sums only ever grow by addition, a huge or infinite reading leaves no
+trace once it is evicted.
+
 State per key is the window's samples, about ``window_s x rate`` entries
 (300 at one tick per second). With a checkpoint location the state survives
 restarts (the reference loses it and warms up again).
@@ -16,6 +22,7 @@ restarts (the reference loses it and warms up again).
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -51,6 +58,14 @@ def _out_schema(key: str) -> T.StructType:
     ])
 
 
+def _from_the_end(values: list) -> tuple[list, list]:
+    """Sum and count of the values from each place to the end, nulls left out;
+    one place more than there are values, for nothing left."""
+    sums = list(accumulate((x if x is not None else 0.0 for x in reversed(values)), initial=0.0))
+    counts = list(accumulate((x is not None for x in reversed(values)), initial=0))
+    return sums[::-1], counts[::-1]
+
+
 def make_step(window_s: int, threshold: float, warmup_s: int, metrics: dict[str, str],
               key: str, arrival: Sequence[str], time: str = "ts"):
     """The per-key state function (also usable on plain pandas frames in tests)."""
@@ -77,24 +92,33 @@ def make_step(window_s: int, threshold: float, warmup_s: int, metrics: dict[str,
             cur = [pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in cols]
             idx = [(name, cols.index(c)) for name, c in names]
             tvals = pdf[time].tolist()
-            head = 0
+            head, first, mid = 0, 0, 0  # the older half is first..mid, less what left
+            older, younger = [], []
+
+            def turn():
+                """All readings become the older half."""
+                nonlocal first, mid, older, younger
+                first, mid = head, len(ts)
+                older = [_from_the_end(v[head:]) for v in vals]
+                younger = [(0.0, 0)] * len(cols)
+
+            turn()
             for i, t in enumerate(t_us):
                 cutoff = t - w_us
                 while head < len(ts) and ts[head] < cutoff:
                     head += 1
+                if head > mid:
+                    turn()
                 n = len(ts) - head
                 if n > 0 and t - ts[head] >= warm_us:
                     for name, j in idx:
                         v = cur[j][i]
                         if v is None:
                             continue
-                        window = vals[j][head:]
-                        if None in window:
-                            window = [x for x in window if x is not None]
-                        if not window:
+                        total, count = older[j][0][head - first] + younger[j][0], older[j][1][head - first] + younger[j][1]
+                        if not count:
                             continue
-                        # left-to-right sum over the window, as the sequential rule
-                        base = sum(window) / len(window)
+                        base = total / count
                         if base == 0:
                             continue
                         ch = (v - base) / base
@@ -103,10 +127,10 @@ def make_step(window_s: int, threshold: float, warmup_s: int, metrics: dict[str,
                                         int(window_s), n, tvals[i]))
                 ts.append(t)
                 for j in range(len(cols)):
-                    vals[j].append(cur[j][i])
-                # drop the evicted head now and then (amortised O(1) per tick)
-                if head > 1024 and head * 2 > len(ts):
-                    ts, vals, head = ts[head:], [v[head:] for v in vals], 0
+                    v = cur[j][i]
+                    vals[j].append(v)
+                    if v is not None:
+                        younger[j] = younger[j][0] + v, younger[j][1] + 1
             ts, vals = ts[head:], [v[head:] for v in vals]
             state.update(tuple([ts] + vals))
         yield pd.DataFrame(out, columns=out_cols)

@@ -120,12 +120,16 @@ def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_i
                      order: Sequence[str] = ("ingested_at",), trigger: dict | None = None) -> StreamingQuery:
     """Every micro-batch is made durable at once with insert-ignore
     semantics: first row per key in the batch, keys already stored dropped,
-    then appended. The stored side is read only for the batch's days
+    then appended. ``order`` says which row of a batch came first: give it the
+    landing sequence of ``read_payloads(sequence=...)``, carried through
+    ``parse_prices(keep=...)``; rows it leaves level go by their place in the
+    batch, that is in their file. The stored side is read only for the batch's days
     (partition pruning) and its ``ingested_at`` range (Parquet statistics
     skip the rest), so a trigger never rescans the table."""
     def write(batch: DataFrame, batch_id: int) -> None:
         extra = [c for c in order if c not in TICK_COLUMNS]
-        batch = S.with_partition(batch.select(*TICK_COLUMNS, *extra)).persist()
+        place = F.monotonically_increasing_id().alias("_place")
+        batch = S.with_partition(batch.select(*TICK_COLUMNS, *extra, place)).persist()
         try:
             span = batch.agg(F.min("ingested_at").alias("lo"), F.max("ingested_at").alias("hi"),
                              F.collect_set(S.PART).alias("days")).collect()[0]  # one row
@@ -141,7 +145,7 @@ def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_i
                           else batch.select(*TICK_COLUMNS, S.PART).limit(0))
                 stored = (stored
                           .where(F.col("ingested_at").between(span["lo"], span["hi"])))
-            new = insert_ignore(stored, batch, list(key), list(order), partition_col=S.PART)
+            new = insert_ignore(stored, batch, list(key), [*order, "_place"], partition_col=S.PART)
             new.select(*TICK_COLUMNS, S.PART).write.mode("append").option("compression", "zstd") \
                 .partitionBy(S.PART).parquet(path)
         finally:
@@ -199,15 +203,17 @@ def start_feed(spark: SparkSession, landing: str, store_path: str, alert_path: s
     from tidemark.sources.payloads import parse_prices, read_payloads
     from tidemark.streaming.detector import stream_alerts
 
-    def ticks():
-        return parse_prices(read_payloads(spark, landing, streaming=True, fmt=fmt,
-                                          max_files_per_trigger=max_files_per_trigger), vs=vs)
+    def ticks(*keep: str):
+        polls = read_payloads(spark, landing, streaming=True, fmt=fmt,
+                              max_files_per_trigger=max_files_per_trigger, sequence=keep[0] if keep else None)
+        return parse_prices(polls, vs=vs, keep=keep)
 
     def alerts():
         return stream_alerts(ticks(), **(detector or {}))
 
     started = [
-        start_tick_store(ticks(), store_path, f"{checkpoint_root}/store", trigger=trigger),
+        start_tick_store(ticks("_landed"), store_path, f"{checkpoint_root}/store", order=("_landed",),
+                         trigger=trigger),
         start_alert_log(alerts(), alert_path, f"{checkpoint_root}/alerts", trigger=trigger,
                         partitions=partitions),
     ]
