@@ -45,6 +45,8 @@ PERCENT = 80
 SKETCH_BITS = 20
 SLICES = 64
 LONGEST_MATCH = 8
+#: Parts that a class's rows are dealt to, one bit each.
+SALTS = 64
 #: Cost of a candidate against that of a prefix row.
 CANDIDATE_COST = 4.0
 
@@ -209,9 +211,11 @@ def jaccard_components(
     more).
     """
     signed = written(signatures(docs, width, percent, bits), "signatures")
+    signed = signed.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     real = signed.where("n > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("fp1", "fp2", "n").agg(
-        F.min("doc_id").alias("key"), F.min_by(F.struct("l", "last", "parity", "prefix"), "doc_id").alias("p"))
+        F.min("doc_id").alias("key"), F.min_by(F.struct("l", "last", "parity", "prefix"), "doc_id").alias("p"),
+        F.max("doc_id").alias("last_key"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"))
     tokens = classes.select("key", "n", F.col("p.l").alias("l"), F.posexplode("p.prefix").alias("pos", "token"))
     met = tokens.groupBy("token").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi")
     # of two prefixes, what the one that ends first holds of the other set lies in
@@ -283,14 +287,21 @@ def jaccard_components(
     more = written(verify(docs, pairs, width, percent), "links")
     found = connected_components(links.union(more).toDF("u", "v"))
 
-    keys = classes.select("fp1", "fp2", "n", "key")
-    return (
-        signed.select("doc_id", "n", "fp1", "fp2").join(keys, ["fp1", "fp2", "n"], "left")
-        .withColumn("key", F.when(F.col("doc_id").isNotNull(), F.coalesce("key", "doc_id")))
+    # a class's rows may be a third of all: they meet it by the salts they hold, and
+    # those of one row without links don't need to
+    keys = (
+        classes.select("fp1", "fp2", "n", "key", "last_key", "salts")
         .join(found.withColumnsRenamed({"id": "key"}), "key", "left")
+        .where("key < last_key OR component IS NOT NULL")
+        .select("fp1", "fp2", "n", "key", "component",
+                F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), i -> getbit(salts, i) = 1)")).alias("salt"))
+    )
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("key", "doc_id"))
+    return (
+        signed.select("doc_id", "n", "fp1", "fp2", "salt").join(keys, ["fp1", "fp2", "n", "salt"], "left")
         .select(
-            "doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("key").alias("class_id"),
-            F.coalesce("component", "key").alias("component_id"),
+            "doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("class_id"),
+            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", own)).alias("component_id"),
         )
     )
 
