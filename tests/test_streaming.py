@@ -177,3 +177,14 @@ def test_append_mode_candles_hold_back_the_open_bucket(spark):
     q.awaitTermination()
     got = sorted((r.bucket, r.ticks) for r in spark.read.parquet(out).collect())
     assert got == [(at(0), 6), (at(3600), 6)]  # the 2:00 bucket is still open
+
+
+def test_console_prints_every_alert_of_a_micro_batch(spark, capfd):
+    from tidemark.streaming.jobs import start_alert_console
+    rows = [(s, 105.0 if s == 16 else 100.0, 1000.0, f"coin{a}") for a in range(45) for s in range(17)]
+    landing, ck = (S.scratch_path(spark, n) for n in ("land", "ck"))
+    _land(spark, rows, landing, 1)
+    src = spark.readStream.schema(TICK).parquet(landing)
+    start_alert_console(stream_alerts(src, 300, 0.02, 10), ck, partitions=4).awaitTermination()
+    lines = [x for x in capfd.readouterr().out.splitlines() if x.startswith("ALERT ")]
+    assert sorted(x.split()[2] for x in lines) == sorted(f"coin{a}" for a in range(45))
