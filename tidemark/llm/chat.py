@@ -5,8 +5,9 @@ flattens them in order: text is escaped and stands as it is; an attachment
 becomes a placeholder, and its reference, offset and expanded token count go to
 the list of attachments. Turns are marked ``<|turn|>role<|text|>content<|end|>``.
 
-Inside texts ``\`` becomes ``\\`` and ``<|`` becomes ``<\|``, so no text holds
-``<|``: marks can't be forged, and undoing both escapes gives the text back.
+Inside texts ``\`` becomes ``\\`` and ``<|`` becomes ``<\|``, also where one part
+ends with ``<`` and the next begins with ``|``, so no content holds ``<|``: marks
+can't be forged, and undoing both escapes gives the text back.
 
 Nulls and edge cases: null texts, roles and references are empty; a null list of
 parts is an empty content; parts of other types are kept as text; rows of one
@@ -66,6 +67,17 @@ def flatten(p: Column) -> Column:
     return F.when(is_attachment(p), mark).otherwise(escape(p["text"]))
 
 
+def joined(parts: Column) -> Column:
+    """The parts' flattened forms in a row; a ``|`` that would meet the ``<`` of
+    the part before it is escaped. Attachments neither end with ``<`` nor begin
+    with ``|``."""
+    full = F.filter(F.transform(parts, flatten), lambda x: x != "")
+    pairs = F.arrays_zip(full.alias("part"), F.concat(F.array(F.lit("")), full).alias("before"))
+    meet = lambda z: z["before"].endswith("<") & z["part"].startswith("|")
+    # the last pair has no part: it is null and left out
+    return F.array_join(F.transform(pairs, lambda z: F.concat(F.when(meet(z), "\\").otherwise(""), z["part"])), "")
+
+
 def format_chats(messages: DataFrame) -> DataFrame:
     """``conv_id, formatted, loss_spans, attachments, expanded_tokens`` from
     rows of ``conv_id, turn, role, parts``.
@@ -76,7 +88,7 @@ def format_chats(messages: DataFrame) -> DataFrame:
     role, parts = F.coalesce("role", F.lit("")), F.coalesce("parts", F.array().cast(f"array<{PART}>"))
     turns = messages.select(
         "conv_id", F.struct(
-            "turn", role.alias("role"), F.array_join(F.transform(parts, flatten), "").alias("content"),
+            "turn", role.alias("role"), joined(parts).alias("content"),
             parts.alias("parts")).alias("t"),
     ).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
 
@@ -100,7 +112,7 @@ def format_chats(messages: DataFrame) -> DataFrame:
 
     def attached(z: Column, nth: Column) -> Column:
         ps = z["turns"]["parts"]
-        before = lambda i: F.char_length(F.array_join(F.transform(F.slice(ps, F.lit(1), i), flatten), ""))
+        before = lambda i: F.char_length(joined(F.slice(ps, F.lit(1), i)))
         rows = F.transform(ps, lambda p, i: F.struct(
             nth.alias("turn"), i.alias("part"), p["type"].alias("type"), F.coalesce(p["ref"], F.lit("")).alias("ref"),
             (z["places"]["start"] + z["places"]["head"] + before(i)).cast("bigint").alias("start"),
