@@ -188,3 +188,22 @@ def test_console_prints_every_alert_of_a_micro_batch(spark, capfd):
     start_alert_console(stream_alerts(src, 300, 0.02, 10), ck, partitions=4).awaitTermination()
     lines = [x for x in capfd.readouterr().out.splitlines() if x.startswith("ALERT ")]
     assert sorted(x.split()[2] for x in lines) == sorted(f"coin{a}" for a in range(45))
+
+
+def test_restart_lands_each_half_in_several_files_the_second_later(spark, monkeypatch):
+    from conftest import SF001
+
+    from tidemark.plans import streams
+    seen = []
+
+    def listed(spark, landing, *_, **__):
+        fs, root = S._fs(spark, landing)
+        seen.append({st.getPath().getName(): st.getModificationTime() for st in fs.listStatus(root)
+                     if st.getPath().getName().startswith("part-")})
+        return spark.createDataFrame([], _out_schema("asset_id"))
+
+    monkeypatch.setattr(streams.J, "replay_alerts", listed)
+    streams.stream_alerts_restart(spark, SF001)
+    first, second = seen[0], {k: t for k, t in seen[1].items() if k not in seen[0]}
+    assert len(first) >= 4 and len(second) >= 4
+    assert min(second.values()) > max(first.values())

@@ -27,19 +27,22 @@ STATE_PARTITIONS = 8
 DETECTOR = dict(window_s=FIX_WINDOW_S, threshold=FIX_THRESHOLD, warmup_s=FIX_WARMUP_S)
 
 
-def _land_in_order(spark, df, fmt="parquet"):
+def _land_in_order(spark, df, fmt="parquet", path=None):
     """Land rows as files that each hold a contiguous time range (one
     parallel write, range-partitioned on time). File sources take the oldest
     files first, so the fixture's files are stamped in range order: the
     stream sees the rows in time order, and no micro-batch holds more than
-    its files."""
-    path = S.scratch_path(spark, "landing")
+    its files. In a ``path`` that holds files already, the new ones come later."""
+    path = path or S.scratch_path(spark, "landing")
+    fs, root = S._fs(spark, path)
+    landed = {st.getPath().getName(): st.getModificationTime()
+              for st in (fs.listStatus(root) if fs.exists(root) else ())}
     files = max(4, spark.sparkContext.defaultParallelism)
     write_landed(df.repartitionByRange(files, "ingested_at").sortWithinPartitions("ingested_at"), path, fmt)
-    fs, root = S._fs(spark, path)
     parts = sorted((st.getPath() for st in fs.listStatus(root)
-                    if st.getPath().getName().startswith("part-")), key=lambda q: q.getName())
-    first = int(time.time() * 1000) - 1000 * len(parts)
+                    if st.getPath().getName().startswith("part-") and st.getPath().getName() not in landed),
+                   key=lambda q: q.getName())
+    first = max([int(time.time() * 1000) - 1000 * len(parts), *(t + 1000 for t in landed.values())])
     for i, part in enumerate(parts):  # part-00000 holds the earliest range
         fs.setTimes(part, first + 1000 * i, -1)
     return path
@@ -117,7 +120,7 @@ def stream_alerts_restart(spark, sf):
     half = F.col("ingested_at") < F.lit("2024-01-16 00:00:00").cast("timestamp")
     landing, out, ck = (S.scratch_path(spark, n) for n in ("landing", "alerts", "ckpt"))
     for part in (ticks.where(half), ticks.where(~half)):
-        part.coalesce(1).write.mode("append").parquet(landing)
+        _land_in_order(spark, part, path=landing)
         alerts = J.replay_alerts(spark, landing, out, ck, partitions=STATE_PARTITIONS, **DETECTOR)
     return _r9(alerts, "baseline", "change_pct")
 
