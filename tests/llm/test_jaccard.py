@@ -100,6 +100,24 @@ def test_odd_rows(make_docs):
     assert sorted(ids, key=str) == sorted([None, 1, 2, 3, 4, 5, 7, 8, 9, 10], key=str)
 
 
+def test_rows_that_repeat_or_lack_a_doc_id_are_judged_by_text(make_docs):
+    text = lambda name, edit="": " ".join(f"{name}{i}" for i in range(60)) + edit
+    rows = [
+        (20, text("a")), (20, text("b")), (20, text("b")),
+        (5, text("c")), (30, text("c", " z")), (30, text("d")),
+        (None, text("e")), (None, text("e")), (None, text("e", " z")),
+        (40, text("f")), (None, text("f")), (None, text("f", " z")), (41, text("g")),
+        (None, None), (None, None), (50, ""), (50, " "), (50, text("h")),
+    ]
+    for seed in range(2):
+        random.Random(seed).shuffle(rows)
+        kept = [(r.doc_id, r.text and r.text.split()[0] if r.text and r.text.strip() else "") for r in
+                jaccard.keep_one(make_docs(rows).repartition(3 + seed)).collect()]
+        assert sorted(kept, key=str) == sorted([
+            (20, "a0"), (20, "b0"), (5, "c0"), (30, "d0"), (None, "e0"), (40, "f0"), (41, "g0"),
+            (None, ""), (None, ""), (50, ""), (50, "h0")], key=str)
+
+
 def test_empty_table(make_docs):
     assert jaccard.jaccard_components(make_docs([])).count() == 0
     assert jaccard.keep_one(make_docs([])).count() == 0

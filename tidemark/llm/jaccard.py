@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, place_factors, scatter, words, written
+from tidemark.llm.common import connected_components, n_words, place_factors, scatter, words, written
 
 WIDTH = 5
 PERCENT = 80
@@ -307,12 +307,40 @@ def jaccard_components(
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each component: that of its smallest doc_id.
+    """``docs`` with one row of each component: that of its smallest doc_id, of
+    rows level in that the one with the smallest key.
 
-    Texts without words and rows without doc_id stay. Of rows that repeat a
-    doc_id, one stays.
+    Rows that repeat a doc_id or have none are keyed by a 64-bit hash of their
+    text instead: different texts of one doc_id are judged apart, and copies
+    without doc_id meet the others, behind rows that have one. Texts without
+    words stay, of those that repeat a doc_id one.
     """
-    found = jaccard_components(docs, **options)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    nameless = docs.where("doc_id IS NULL")
-    return docs.join(keep, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]).union(nameless)
+    named, nameless = docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NULL")
+    repeated = written(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty() and nameless.isEmpty():
+        found = jaccard_components(docs, **options)
+        keep = found.where("doc_id = component_id").select("doc_id")
+        return docs.join(keep, "doc_id", "left_semi").select(docs.columns)
+
+    row = F.struct(*docs.columns).alias("row")
+    single = named.join(repeated, "doc_id", "left_anti").select(row, F.col("doc_id").cast("long").alias("key"))
+    again = named.join(repeated, "doc_id", "left_semi").select(docs.columns)
+    wordless = n_words("text") == 0
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind]  # maps have no hash
+    odd = again.union(nameless).where(~wordless).select(row, F.xxhash64("text").alias("key"), F.xxhash64(*plain).alias("tie"))
+    alike = Window.partitionBy("key", "row.text").orderBy(F.col("row.doc_id").asc_nulls_last(), "tie")
+    odd = odd.withColumn("nth", F.row_number().over(alike)).where("nth = 1").select("row", "key")
+    keyed = written(single.union(odd), "keyed")
+
+    found = jaccard_components(keyed.select(F.col("key").alias("doc_id"), "row.text"), **options)
+    place = F.struct(F.col("row.doc_id").isNull().alias("last"), "row.doc_id", "key").alias("place")
+    keep = (
+        keyed.select("key", place).join(found.select(F.col("doc_id").alias("key"), "component_id"), "key")
+        .groupBy("component_id").agg(F.min("place").alias("first")).select("first.key")
+    )
+    of_id = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*plain))
+    empty = again.where(wordless).select(row, "doc_id", F.row_number().over(of_id).alias("nth")).where("nth = 1")
+    return (
+        keyed.join(keep, "key", "left_semi").select("row.*").union(empty.select("row.*"))
+        .union(nameless.where(wordless).select(docs.columns))
+    )
