@@ -13,9 +13,12 @@ from tidemark.llm import (
     jaccard,
     lm_scores,
     mixing,
+    periodic,
     quality_fm,
     quality_rules,
+    resample,
     sharding,
+    simhash,
     toxicity,
     warc,
 )
@@ -104,11 +107,56 @@ def op10_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         toxicity.toxic().cast("int").alias("predicted"))
 
 
+def op11_simhash_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by fingerprints at two differing bits or fewer."""
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op12_synchronising_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of all documents, of which every tenth repeats its tail."""
+    docs = with_periodic_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.collapse(docs)
+    said = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+        r["period"].cast("string"), F.lit("\n")))
+    # the runs are in order: a later one only wins by a greater exponent, compared by cross products
+    best = F.expr("""
+        reduce(runs, CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>),
+               (b, r) -> IF(b IS NULL OR r.length * b.period > b.length * r.period, r, b))""")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(said, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` where the words of each text whose doc_id has a crc32 divisible
+    by ten repeat from some word on: h = crc32, g = h / 10, of n words those
+    from a = g % n with period 1 + (n - a) / (3 + g % 8). Rows without doc_id or
+    words stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    w = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    tail = "transform(sequence(0L, n - a - 1L), i -> w[INT(a + i % (1L + (n - a) DIV (3L + g % 8L)))])"
+    chosen = F.col("doc_id").isNotNull() & (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    made = (
+        docs.where(chosen).withColumn("w", w).withColumn("g", F.floor(h / 10))
+        .withColumn("n", F.expr("CAST(size(w) AS BIGINT)")).withColumn("a", F.expr("g % n"))
+        .withColumn("text", F.array_join(F.concat(F.expr("slice(w, 1, INT(a))"), F.expr(tail)), " "))
+    )
+    return made.select(docs.columns).union(docs.where(~F.coalesce(chosen, F.lit(False))))
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of all documents, drawn towards the benchmark's words, with ranks."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_cube_mix, op2_ngram_jaccard_join, op3_quality_fm, op4_stupid_backoff, op5_adaptive_rules,
         op6_warc_chain, op7_edit_decontamination, op8_chat_parts, op9_virtual_slots, op10_counterfactual_toxicity,
+        op11_simhash_vp_trees, op12_synchronising_runs, op13_importance_resample,
     )
 }
 
