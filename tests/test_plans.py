@@ -1,4 +1,4 @@
-"""Plan shapes that matter at scale: one exchange and one sort for trailing
+"""Plan shapes that matter at scale: one exchange and three sorts for trailing
 windows, partial aggregation, partial top-N, size-checked broadcasts."""
 
 from __future__ import annotations
@@ -30,6 +30,15 @@ def test_zscore_one_exchange(spark):
     assert plan.count("Exchange") == 1
 
 
+@pytest.mark.parametrize("query", ["trailing_alerts", "trailing_alerts_multi_window", "zscore_alerts"])
+def test_trailing_windows_sort_three_times(spark, query):
+    from tidemark.plans.registry import QUERIES, load_all
+
+    load_all()
+    plan = _plan(QUERIES[query](spark, SF001))
+    assert plan.count("Sort [") == 3 and plan.count("Exchange") == 1
+
+
 def test_candles_partial_aggregate_and_pruned_scan(spark):
     plan = _plan(C.candles(event_ticks(spark, SF001), "5 minutes"))
     assert "partial_min_by" in plan and plan.count("Exchange") == 1

@@ -12,7 +12,7 @@ Semantics of one tick ``x`` of one key (the sequential detector's rule):
   fires when ``|change| > threshold`` (exactly the threshold does not) and
   never on a null or zero baseline;
 * ``samples`` counts every reading in the window, also those whose metric is
-  null.
+  null; NaN is a missing value like null, here as in the streaming detector.
 
 Plan (no join, one exchange):
 
@@ -31,6 +31,7 @@ Plan (no join, one exchange):
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -66,20 +67,28 @@ def _metric_map(metrics) -> dict[str, str]:
 def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence[str],
                    keys: Sequence[str] = ("asset_id",), time: str = "ts",
                    arrival: Sequence[str] = ("ingested_at",), bucket_s: int | str | None = "auto",
-                   moments: bool = False, warmup_s: int = 0) -> DataFrame:
+                   moments: bool = False, warmup_s: int = 0, age: str | None = None) -> DataFrame:
     """Per tick and window: sum and non-null count (and moments) of each
     column over the trailing window, ``samples`` and readiness.
 
-    Output columns (``w`` = window seconds, ``c`` = column): ``_t`` (micros
-    of ``time``), ``_n_w`` samples, ``_rdy_w`` ready flag, ``_s_w_c`` sum,
-    ``_k_w_c`` count, and with ``moments`` ``_m_w_c`` (mean) and ``_v_w_c``
-    (sum of squared deviations).
+    Output columns (``c`` = column), one row per tick and window: ``_t``
+    (micros of ``time``), ``_w`` window seconds, ``_x_c`` the tick's own value
+    (NaN is a missing value like null), ``_n`` samples, ``_rdy`` ready flag,
+    ``_s_c`` sum, ``_k_c`` count, and with ``moments`` ``_m_c`` (mean) and
+    ``_v_c`` (sum of squared deviations). ``time`` cuts the windows and must
+    order the ticks; ``age`` (the same column unless given) tells how old the
+    window's first reading is.
     """
-    wmax = max(int(w) for w in windows_s)
+    windows = sorted({int(w) for w in windows_s})
+    wmax = windows[-1]
     if bucket_s == "auto":
         bucket_s = auto_bucket_s(wmax)
-    df = ticks.withColumn("_t", micros(time))
+    numbers = {c: F.col(c).cast(T.DoubleType()) for c in columns}
+    df = ticks.withColumns({
+        "_t": micros(time), "_age": micros(age or time),
+        **{f"_x_{c}": F.when(~F.isnan(v), v) for c, v in numbers.items()}})
     pk = list(keys)
+    origin = F.lit(0)
     if bucket_s:
         if int(bucket_s) < wmax:
             raise ValueError("bucket_s must be at least the largest window")
@@ -91,32 +100,55 @@ def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence
                                                     F.array(F.col("_home"), reach))
                                              .otherwise(F.array(F.col("_home"))))))
         pk = pk + ["_bk"]
+        origin = F.col("_bk") * b_us
 
     # Hash on (key, bucket) satisfies every window distribution below: one exchange.
     df = df.repartition(*pk)
-    out = _block_stats(df, pk, windows_s, columns, arrival, moments, int(warmup_s) * _US)
+    out = None
+    for some in _one_scale(windows, int(bucket_s) if bucket_s else None):
+        part = _block_stats(df, pk, some, columns, arrival, moments, int(warmup_s) * _US, origin)
+        out = part if out is None else out.unionByName(part)
     if bucket_s:
         out = out.where(F.col("_bk") == F.col("_home")).drop("_bk", "_home")
-    return out
+    return out.drop("_age")
+
+
+def _one_scale(windows: list[int], bucket_s: int | None) -> list[list[int]]:
+    """The windows in groups that share their sorts: times are stretched until
+    all windows are as wide as their common multiple, which must fit a long."""
+    span = 2 * bucket_s * _US if bucket_s else 8 * 10**15  # of times from the bucket's start; else to the year 2223
+    if span * (math.lcm(*windows) // windows[0]) < 2**63:
+        return [windows]
+    return [[w] for w in windows]
 
 
 def _zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 
 
-def _block_stats(df, pk, windows_s, columns, arrival, moments, warm_us):
+def _block_stats(df, pk, windows, columns, arrival, moments, warm_us, origin):
+    """Three sorts serve all windows: by block backwards, by block forwards and
+    by (stretched) time; window functions of one order follow each other."""
     start, here = Window.unboundedPreceding, Window.currentRow
-    in_order = Window.partitionBy(*pk).orderBy("_t", *arrival)
-
-    def upto(us):
-        # readings with ts <= t - us: a growing frame
-        return Window.partitionBy(*pk).orderBy("_t").rangeBetween(start, -us)
+    wide = math.lcm(*windows)
+    kept = df.columns
+    df = df.withColumn("_w", F.explode(F.array(*map(F.lit, windows)))) if windows[1:] else df.withColumn(
+        "_w", F.lit(windows[0]))
+    df = df.withColumns({
+        "_blk": F.expr(f"(_t - pmod(_t, _w * {_US}L)) div (_w * {_US}L)"),
+        "_u": (F.col("_t") - origin) * F.expr(f"{wide}L div _w") if windows[1:] else F.col("_t")})
+    by = [*pk, "_w"]
+    block = Window.partitionBy(*by, "_blk")
+    ordered = block.orderBy("_t", *arrival)
+    in_order = Window.partitionBy(*by).orderBy("_blk", "_t", *arrival)
+    # readings that have left: with times below those of the window
+    gone = Window.partitionBy(*by).orderBy("_u").rangeBetween(start, -(wide * _US + 1))
 
     def parts(over):
         """The aggregates of every column over one frame."""
         out = []
         for c in columns:
-            v = F.col(c).cast(T.DoubleType())
+            v = F.col(f"_x_{c}")
             out += [F.count(v).over(over).alias(f"k_{c}"), _zero(F.sum(v).over(over)).alias(f"s_{c}")]
             if moments:
                 out += [_zero(F.avg(v).over(over)).alias(f"m_{c}"),
@@ -124,51 +156,45 @@ def _block_stats(df, pk, windows_s, columns, arrival, moments, warm_us):
                         F.min(v).over(over).alias(f"lo_{c}"), F.max(v).over(over).alias(f"hi_{c}")]
         return F.struct(*out)
 
-    done = list(df.columns)
-    df = df.withColumn("_un", F.count(F.lit(1)).over(in_order.rowsBetween(start, -1)))
-    for w in windows_s:
-        w = int(w)
-        w_us = w * _US
-        block = Window.partitionBy(*pk, "_blk")
-        ordered = block.orderBy("_t", *arrival)
-        df = (df.withColumn("_blk", F.expr(f"(_t - pmod(_t, {w_us}L)) div {w_us}L"))
-                .withColumn("_head", parts(ordered.rowsBetween(start, -1)))
-                .withColumn("_all", F.struct("_blk", parts(ordered.rowsBetween(start, here)).alias("p")))
-                # all of the block's readings with a later source time
-                .withColumn("_after", F.struct("_blk", parts(
-                    block.orderBy(F.col("_t").desc()).rangeBetween(start, -1)).alias("p")))
-                .withColumn("_before", F.lag("_all").over(in_order))
-                .withColumn("_before", F.first("_before").over(ordered.rowsBetween(start, here)))
-                .withColumn("_gone", F.last("_after").over(upto(w_us + 1)))
-                .withColumn("_left", F.col("_un") - F.count(F.lit(1)).over(upto(w_us + 1))))
-        tail = (F.when(F.col("_gone._blk") == F.col("_blk") - 1, F.col("_gone.p"))
-                 .when(F.col("_before._blk") == F.col("_blk") - 1, F.col("_before.p")))
-        df = df.withColumn("_tail", tail)
-        ready = F.col("_left") > 0
-        if warm_us > 0:
-            # some reading of the window is old enough: at least warm-up, at most the window
-            old = F.count(F.lit(1)).over(upto(warm_us)) - (F.col("_un") - F.col("_left"))
-            ready = old > 0
-        new = {f"_n_{w}": F.col("_left"), f"_rdy_{w}": ready}
-        for c in columns:
-            ka, kb = F.col(f"_head.k_{c}"), F.coalesce(F.col(f"_tail.k_{c}"), F.lit(0))
-            new[f"_k_{w}_{c}"] = ka + kb
-            new[f"_s_{w}_{c}"] = F.col(f"_head.s_{c}") + _zero(F.col(f"_tail.s_{c}"))
-            if moments:
-                n = (ka + kb).cast(T.DoubleType())
-                apart = F.when((ka > 0) & (kb > 0), F.col(f"_head.m_{c}") - F.col(f"_tail.m_{c}")).otherwise(F.lit(0.0))
-                base = F.when(kb > 0, F.col(f"_tail.m_{c}")).otherwise(F.col(f"_head.m_{c}"))
-                # equal readings deviate by nothing, whatever their mean rounds to
-                lo = F.least(F.col(f"_head.lo_{c}"), F.col(f"_tail.lo_{c}"))
-                same = lo == F.greatest(F.col(f"_head.hi_{c}"), F.col(f"_tail.hi_{c}"))
-                new[f"_m_{w}_{c}"] = F.when(same, lo).otherwise(
-                    base + F.when(n > 0, apart * ka / n).otherwise(F.lit(0.0)))
-                new[f"_v_{w}_{c}"] = F.when(same, F.lit(0.0)).otherwise(
-                    F.col(f"_head.v_{c}") + _zero(F.col(f"_tail.v_{c}"))
-                    + F.when(n > 0, apart * apart * ka * kb / n).otherwise(F.lit(0.0)))
-        done += list(new)
-        df = df.withColumns(new)
-    return df.select(*done)
+    # all of the block's readings with a later time
+    df = df.withColumn("_after", F.struct("_blk", parts(
+        block.orderBy(F.col("_t").desc()).rangeBetween(start, -1)).alias("p")))
+    df = (df.withColumn("_head", parts(ordered.rowsBetween(start, -1)))
+            .withColumn("_all", F.struct("_blk", parts(ordered.rowsBetween(start, here)).alias("p"))))
+    df = df.withColumns({
+        "_un": F.count(F.lit(1)).over(in_order.rowsBetween(start, -1)),
+        "_before": F.lag("_all").over(in_order),
+        "_next": F.lead("_age").over(in_order),
+        "_first": F.first("_age").over(in_order.rowsBetween(start, here))})
+    df = df.withColumn("_before", F.first("_before").over(ordered.rowsBetween(start, here)))
+    df = df.withColumns({
+        "_gone": F.last("_after").over(gone),
+        "_many": F.count(F.lit(1)).over(gone),
+        # the reading behind the last one that left is the window's first
+        "_oldest": F.max(F.struct("_un", "_next")).over(gone)})
+    tail = (F.when(F.col("_gone._blk") == F.col("_blk") - 1, F.col("_gone.p"))
+             .when(F.col("_before._blk") == F.col("_blk") - 1, F.col("_before.p")))
+    df = df.withColumn("_tail", tail)
+    oldest = F.when(F.col("_many") > 0, F.col("_oldest._next")).otherwise(F.col("_first"))
+    samples = F.col("_un") - F.col("_many")
+    new = {"_n": samples, "_rdy": (samples > 0) & (F.col("_age") - oldest >= warm_us)}
+    for c in columns:
+        ka, kb = F.col(f"_head.k_{c}"), F.coalesce(F.col(f"_tail.k_{c}"), F.lit(0))
+        new[f"_k_{c}"] = ka + kb
+        new[f"_s_{c}"] = F.col(f"_head.s_{c}") + _zero(F.col(f"_tail.s_{c}"))
+        if moments:
+            n = (ka + kb).cast(T.DoubleType())
+            apart = F.when((ka > 0) & (kb > 0), F.col(f"_head.m_{c}") - F.col(f"_tail.m_{c}")).otherwise(F.lit(0.0))
+            base = F.when(kb > 0, F.col(f"_tail.m_{c}")).otherwise(F.col(f"_head.m_{c}"))
+            # equal readings deviate by nothing, whatever their mean rounds to
+            lo = F.least(F.col(f"_head.lo_{c}"), F.col(f"_tail.lo_{c}"))
+            same = lo == F.greatest(F.col(f"_head.hi_{c}"), F.col(f"_tail.hi_{c}"))
+            new[f"_m_{c}"] = F.when(same, lo).otherwise(
+                base + F.when(n > 0, apart * ka / n).otherwise(F.lit(0.0)))
+            new[f"_v_{c}"] = F.when(same, F.lit(0.0)).otherwise(
+                F.col(f"_head.v_{c}") + _zero(F.col(f"_tail.v_{c}"))
+                + F.when(n > 0, apart * apart * ka * kb / n).otherwise(F.lit(0.0)))
+    return df.withColumns(new).select(*kept, "_w", *new)
 
 
 def trailing_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S,
@@ -197,33 +223,58 @@ def multi_window_alerts(ticks: DataFrame, windows_s: Sequence[int] = (DEFAULT_WI
                         metrics=DEFAULT_METRICS, keys: Sequence[str] = ("asset_id",),
                         time: str = "ts", arrival: Sequence[str] = ("ingested_at",),
                         bucket_s: int | str | None = "auto") -> DataFrame:
-    """The deviation rule for several windows in one pass (one exchange,
-    one sort); long output distinguished by ``window_s``."""
+    """The deviation rule for several windows in one pass: one exchange
+    and three sorts, of a row per tick and window; long output distinguished
+    by ``window_s``."""
+    return _deviations(ticks, windows_s, threshold, warmup_s, metrics, keys, time, arrival, bucket_s)
+
+
+def _deviations(ticks, windows_s, threshold, warmup_s, metrics, keys, time, arrival, bucket_s, clock=None):
     mm = _metric_map(metrics)
     cols = list(dict.fromkeys(mm.values()))
-    stats = trailing_stats(ticks, windows_s, cols, keys, time, arrival, bucket_s,
-                           warmup_s=warmup_s)
+    stats = trailing_stats(ticks, windows_s, cols, keys, clock or time, arrival, bucket_s,
+                           warmup_s=warmup_s, age=time)
     cands = []
-    for w in windows_s:
-        w = int(w)
-        ready = F.col(f"_rdy_{w}")
-        for name, c in mm.items():
-            k = F.col(f"_k_{w}_{c}")
-            base = F.when(k > 0, F.col(f"_s_{w}_{c}") / k)
-            value = F.col(c).cast(T.DoubleType())
-            change = F.when(base != 0, (value - base) / base)
-            # an infinite baseline gives no change
-            fire = ready & value.isNotNull() & ~F.isnan(change) & (F.abs(change) > F.lit(float(threshold)))
-            cands.append(F.struct(
-                F.lit(name).alias("metric"), value.alias("value"), base.alias("baseline"),
-                change.alias("change_pct"), F.lit(w).alias("window_s"),
-                F.col(f"_n_{w}").alias("samples"), fire.alias("fire")))
-    exploded = stats.select(*keys, time, F.explode(F.array(*cands)).alias("_a"))
+    for name, c in mm.items():
+        k = F.col(f"_k_{c}")
+        base = F.when(k > 0, F.col(f"_s_{c}") / k)
+        value = F.col(f"_x_{c}")
+        change = F.when(base != 0, (value - base) / base)
+        # an infinite baseline gives no change
+        fire = F.col("_rdy") & value.isNotNull() & ~F.isnan(change) & (F.abs(change) > F.lit(float(threshold)))
+        cands.append(F.struct(
+            F.lit(name).alias("metric"), value.alias("value"), base.alias("baseline"),
+            change.alias("change_pct"), fire.alias("fire")))
+    exploded = stats.select(*keys, time, "_w", "_n", F.explode(F.array(*cands)).alias("_a"))
     return (exploded.where(F.col("_a.fire"))
             .select(*keys, F.col("_a.metric").alias("metric"), F.col("_a.value").alias("value"),
                     F.col("_a.baseline").alias("baseline"), F.col("_a.change_pct").alias("change_pct"),
-                    F.lit(float(threshold)).alias("threshold"), F.col("_a.window_s").alias("window_s"),
-                    F.col("_a.samples").alias("samples"), F.col(time).alias("ts")))
+                    F.lit(float(threshold)).alias("threshold"), F.col("_w").alias("window_s"),
+                    F.col("_n").alias("samples"), F.col(time).alias("ts")))
+
+
+def arrival_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S,
+                   threshold: float = DEFAULT_THRESHOLD, warmup_s: int = DEFAULT_WARMUP_S,
+                   metrics=DEFAULT_METRICS, keys: Sequence[str] = ("asset_id",),
+                   time: str = "ts", arrival: Sequence[str] = ("ingested_at",),
+                   bucket_s: int | str | None = "auto") -> DataFrame:
+    """I3 over stored ticks: the arrival-order detector's alerts as a batch
+    query, without per-key Python.
+
+    The detector keeps readings as they arrive and only pops the first one,
+    while it lies more than a window before the new tick. A reading behind
+    another one in source time waits for it, and a late tick pops nothing that
+    was still there; so a reading leaves exactly when the running maximum of
+    source times first exceeds the maximum at the reading itself by more than a
+    window. With that maximum as the clock, which never falls in arrival
+    order, the window is a plain trailing one; only the warm-up looks at source
+    times, the tick's and that of the window's first reading. The maximum is
+    taken per (key, arrival day) and stitched by a per-day summary, so a hot
+    key spreads over days and buckets; while a clock stands still (a source
+    time far ahead of all others) the readings are one window, here as there.
+    """
+    clocked = _with_prior_max(ticks, keys, time, arrival).withColumn("_clock", F.greatest("_prior", time))
+    return _deviations(clocked, (window_s,), threshold, warmup_s, metrics, keys, time, arrival, bucket_s, "_clock")
 
 
 def zscore_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S, k: float = 3.0,
@@ -243,20 +294,20 @@ def zscore_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S, k: float =
     w = int(window_s)
     stats = trailing_stats(ticks, (w,), cols, keys, time, arrival, bucket_s, moments=True,
                            warmup_s=warmup_s)
-    ready = F.col(f"_rdy_{w}")
+    ready = F.col("_rdy")
     cands = []
     for name, c in mm.items():
-        n = F.col(f"_k_{w}_{c}").cast(T.DoubleType())
-        mean = F.col(f"_m_{w}_{c}")
-        sd = F.when(n > 0, F.sqrt(F.col(f"_v_{w}_{c}") / n)).otherwise(F.lit(0.0))
-        value = F.col(c).cast(T.DoubleType())
+        n = F.col(f"_k_{c}").cast(T.DoubleType())
+        mean = F.col(f"_m_{c}")
+        sd = F.when(n > 0, F.sqrt(F.col(f"_v_{c}") / n)).otherwise(F.lit(0.0))
+        value = F.col(f"_x_{c}")
         dev = value - mean
         ok = ready & value.isNotNull() & (n > 0) & (sd > 0) & ~F.isnan(sd)
         fire = ok & (F.abs(dev) > F.lit(float(k)) * sd)
         cands.append(F.struct(
             F.lit(name).alias("metric"), value.alias("value"),
             F.when(n > 0, mean).alias("mean"), F.when(n > 0, sd).alias("stddev"),
-            F.when(ok, dev / sd).alias("zscore"), F.col(f"_n_{w}").alias("samples"),
+            F.when(ok, dev / sd).alias("zscore"), F.col("_n").alias("samples"),
             fire.alias("fire")))
     exploded = stats.select(*keys, time, F.explode(F.array(*cands)).alias("_a"))
     return (exploded.where(F.col("_a.fire"))
@@ -279,8 +330,15 @@ def late_ticks(ticks: DataFrame, keys: Sequence[str] = ("asset_id",), time: str
     on ``(key, day)``: no task ever holds a whole key.
     Output: the tick columns plus ``prior_max_ts`` and ``lag_s``.
     """
-    first_arrival = arrival[0]
-    df = ticks.withColumn("_day", F.to_date(F.col(day_col or first_arrival)))
+    prior = _with_prior_max(ticks, keys, time, arrival, day_col).withColumnRenamed("_prior", "prior_max_ts")
+    out = prior.where(F.col(time) < F.col("prior_max_ts"))
+    return out.withColumn("lag_s", (micros("prior_max_ts") - micros(time)) / F.lit(float(_US)))
+
+
+def _with_prior_max(ticks: DataFrame, keys: Sequence[str], time: str, arrival: Sequence[str],
+                    day_col: str | None = None) -> DataFrame:
+    """``ticks`` with ``_prior``, the largest ``time`` of the key's earlier arrivals."""
+    df = ticks.withColumn("_day", F.to_date(F.col(day_col or arrival[0])))
     day_max = df.groupBy(*keys, "_day").agg(F.max(time).alias("_dmax"))
     before = (Window.partitionBy(*keys).orderBy("_day")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -289,6 +347,4 @@ def late_ticks(ticks: DataFrame, keys: Sequence[str] = ("asset_id",), time: str
               .rowsBetween(Window.unboundedPreceding, -1))
     joined = df.join(carry, [*keys, "_day"], "left")
     prior = F.greatest(F.max(time).over(within), F.col("_carry"))
-    out = joined.withColumn("prior_max_ts", prior).where(F.col(time) < F.col("prior_max_ts"))
-    return (out.withColumn("lag_s", (micros("prior_max_ts") - micros(time)) / F.lit(float(_US)))
-               .drop("_day", "_carry"))
+    return joined.withColumn("_prior", prior).drop("_day", "_carry")

@@ -115,31 +115,54 @@ def upsert(target: DataFrame, source: DataFrame, key, cols: Sequence[str], now,
     return j.select(*out)
 
 
-def cdc_apply(current: DataFrame, changes: DataFrame, key, order: str = "lsn",
-              op: str = "op", delete_value: str = "D", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """L4: merge change events into current state.
-
-    The latest change per key (by ``order``) decides: a delete removes the
-    row, anything else replaces it whole. ``current`` carries ``order`` too
-    (the version it reflects); a change not newer than it is ignored, so
-    replaying a batch, or an older batch, changes nothing. ``tiebreak``
-    columns order changes sharing one ``order`` value.
+def cdc_versions(current: DataFrame, changes: DataFrame, key, order: str = "lsn", op: str = "op",
+                 delete_value: str = "D", tiebreak: Sequence[str] = (), tombstones: DataFrame | None = None,
+                 forgotten=None) -> DataFrame:
+    """L4: the newest version of every key, ``current``'s columns and ``deleted``.
+
+    The latest change per key (by ``order``, then ``tiebreak``) replaces the
+    held version whole if it is newer. Held versions are the rows of
+    ``current`` and the ``tombstones(key, order)`` of deleted keys: with them
+    an older change finds the delete and changes nothing, however often and in
+    whatever order batches come. Tombstones up to ``forgotten`` may have been
+    dropped; a change that old of a key that isn't held could be one of theirs
+    and is ignored.
     """
     key = _cols(key)
     value_cols = [c for c in current.columns if c not in key and c != order]
     tb = [c for c in tiebreak if c not in value_cols]
     latest = last_per_key(changes.select(*key, order, op, *value_cols, *tb), key, [order, *tiebreak])
-    cur = current.withColumn("_in_cur", F.lit(True))
-    j = cur.alias("c").join(latest.alias("x"), key, "full_outer")
+    held = current.withColumn("deleted", F.lit(False))
+    if tombstones is not None:
+        gone = tombstones.select(*key, order, F.lit(True).alias("deleted"))
+        held = held.unionByName(gone, allowMissingColumns=True)
+    j = held.alias("c").join(latest.alias("x"), key, "full_outer")
+    unknown = F.col("c.deleted").isNull()
     newer = F.col(f"x.{order}").isNotNull() & (
         F.col(f"c.{order}").isNull() | (F.col(f"x.{order}") > F.col(f"c.{order}")))
-    take_change = newer
-    keep = (take_change & (F.col(f"x.{op}") != F.lit(delete_value))) | (
-        ~take_change & F.col("c._in_cur").isNotNull())
+    if forgotten is not None:
+        newer = newer & (~unknown | (F.col(f"x.{order}") > F.lit(forgotten)))
     out = [F.col(k) for k in key] + [
-        F.when(take_change, F.col(f"x.{c}")).otherwise(F.col(f"c.{c}")).alias(c)
-        for c in value_cols + [order]]
-    return j.where(keep).select(*out).select(*current.columns)
+        F.when(newer, F.col(f"x.{c}")).otherwise(F.col(f"c.{c}")).alias(c) for c in value_cols + [order]]
+    deleted = F.when(newer, F.col(f"x.{op}").eqNullSafe(F.lit(delete_value))).otherwise(F.col("c.deleted"))
+    return j.where(newer | ~unknown).select(*out, deleted.alias("deleted")).select(*current.columns, "deleted")
+
+
+def cdc_apply(current: DataFrame, changes: DataFrame, key, order: str = "lsn",
+              op: str = "op", delete_value: str = "D", tiebreak: Sequence[str] = (),
+              tombstones: DataFrame | None = None) -> DataFrame:
+    """L4: merge change events into current state.
+
+    The latest change per key (by ``order``) decides: a delete removes the
+    row, anything else replaces it whole. ``current`` carries ``order`` too
+    (the version it reflects); a change not newer than it is ignored. The
+    state alone doesn't know what was deleted: give the ``tombstones`` of
+    earlier deletes too, or let :func:`tidemark.sources.store.apply_changes`
+    keep both, and replaying any older batch changes nothing. ``tiebreak``
+    columns order changes sharing one ``order`` value.
+    """
+    merged = cdc_versions(current, changes, key, order, op, delete_value, tiebreak, tombstones)
+    return merged.where(~F.col("deleted")).select(*current.columns)
 
 
 def fk_split(child: DataFrame, parent: DataFrame, child_key, parent_key=None,

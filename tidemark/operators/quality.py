@@ -209,6 +209,13 @@ def calendar_filled(per: DataFrame, by: Sequence[str], period: str, step: str, n
             .select(*by, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias(period)))
 
 
+def _left_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on equal keys, where null is a key like any other."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(other, same, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def volume_anomaly(df: DataFrame, time: str, grain: str = "day", lookback: int = 7,
                    k: float = 3.0, by: Sequence[str] = (), now=None) -> DataFrame:
     """Rows per period (empty periods filled from a calendar that runs to the
@@ -221,8 +228,8 @@ def volume_anomaly(df: DataFrame, time: str, grain: str = "day", lookback: int =
     period = F.date_trunc(grain, F.col(time))
     counts = df.groupBy(*by, period.alias("period")).agg(F.count(F.lit(1)).alias("n"))
     calendar = calendar_filled(counts, by, "period", f"1 {grain.upper()}", now)
-    filled = (calendar.join(counts, [*by, "period"], "left")
-              .select(*by, "period", F.coalesce("n", F.lit(0)).alias("n")))
+    filled = _left_null_safe(calendar, counts, [*by, "period"]).select(
+        *by, "period", F.coalesce("n", F.lit(0)).alias("n"))
     w = Window.partitionBy(*by).orderBy("period").rowsBetween(-lookback, -1)
     nd = F.col("n").cast("double")
     out = filled.select(*by, "period", "n", F.avg(nd).over(w).alias("mean"),
@@ -316,8 +323,8 @@ def feed_cadence(ticks: DataFrame, interval_s: float = 1.0, period: str = "1 hou
     expected = width_micros(period) / (float(interval_s) * 1e6)
     seen = ticks.groupBy(*keys, bucket_of(time, period).alias("period_start")).agg(
         F.count(F.lit(1)).alias("polls"), F.count_distinct("ts").alias("distinct_ts"))
-    out = (calendar_filled(seen, keys, "period_start", period, now)
-           .join(seen, [*keys, "period_start"], "left").na.fill(0, ["polls", "distinct_ts"]))
+    calendar = calendar_filled(seen, keys, "period_start", period, now)
+    out = _left_null_safe(calendar, seen, [*keys, "period_start"]).na.fill(0, ["polls", "distinct_ts"])
     return out.select(*keys, "period_start", "polls", F.lit(expected).alias("expected"),
                       (F.col("polls") / F.lit(expected)).alias("coverage"), "distinct_ts",
                       F.when(F.col("polls") > 0, F.lit(1.0) - F.col("distinct_ts") / F.col("polls"))

@@ -42,6 +42,20 @@ def price_rejects(spark, sf):
     return P.price_rejects(FX.event_price_payloads(spark, sf)).drop("payload")
 
 
+@register("price_rejects_nan", """
+SELECT event_type AS asset_id, ts AS ingested_at, 'malformed number' AS reason
+FROM events WHERE event_type <> 'error' AND (value > 480 OR json_extract_string(props, '$.k') = '0')
+""")
+def price_rejects_nan(spark, sf):
+    """Prices and volumes sent as NaN are no numbers; no tick holds one."""
+    payloads = FX.event_price_payloads(spark, sf)
+    odd = F.replace(F.replace("payload", F.lit('"n/a"'), F.lit('"NaN"')), F.lit('_24h_vol": null'), F.lit('_24h_vol": "nan"'))
+    payloads = payloads.withColumn("payload", odd)
+    held = P.parse_prices(payloads).where(F.isnan("price") | F.isnan("volume_24h"))
+    return P.price_rejects(payloads).drop("payload").unionByName(
+        held.select("asset_id", "ingested_at", F.lit("stored").alias("reason")))
+
+
 @register("silver_conform", _PARSED_SQL)
 def silver_conform(spark, sf):
     """L1 + L2: payloads landed twice (a replay), parsed, first landing wins."""

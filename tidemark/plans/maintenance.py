@@ -82,6 +82,20 @@ def refresh_persisted(spark, sf):
     return spark.read.parquet(path).drop("bucket_date")
 
 
+@register("refresh_emptied_day", _candle_sql("date_trunc('hour', ingested_at)").replace(
+    "GROUP BY ALL", """WHERE ingested_at < TIMESTAMP '2024-01-16 23:00:00'
+  AND CAST(ingested_at AS DATE) <> DATE '2024-01-15' GROUP BY ALL"""))
+def refresh_emptied_day(spark, sf):
+    """All ticks of a day inside the window were removed; its candles go."""
+    ticks = event_ticks(spark, sf)
+    path = S.scratch_path(spark, "rollup")
+    stale = C.candles(ticks.where(F.col("ingested_at") < F.lit("2024-01-16 00:00:00").cast("timestamp")), "1 hour")
+    stale.withColumn("bucket_date", F.to_date("bucket")).write.partitionBy("bucket_date").parquet(path)
+    left = ticks.where(F.to_date("ingested_at") != F.lit("2024-01-15").cast("date"))
+    S.refresh_table(spark, path, left, "2024-01-17 00:00:00", "2 days", "1 hour", "1 hour")
+    return spark.read.parquet(path).drop("bucket_date")
+
+
 @register("realtime_persisted", _candle_sql("date_trunc('hour', ingested_at)"))
 def realtime_persisted(spark, sf):
     """D6 on disk: the refreshed rollup up to its stored mark, live after it."""
@@ -111,6 +125,20 @@ def seed_assets(spark, sf):
     return S.seed_assets(spark, landing, assets, "2024-03-02 00:00:00")
 
 
+@register("erase_undated", f"""
+SELECT t.*, CASE WHEN hour(ingested_at) <> 5 THEN CAST(t.ingested_at AS DATE) END AS ingest_date FROM ({sql_ticks()}) t
+WHERE asset_id NOT IN ('click', 'view')
+""")
+def erase_undated(spark, sf):
+    """Two assets erased from a store that also holds rows without a date."""
+    path = S.scratch_path(spark, "ticks")
+    dated = F.when(F.hour("ingested_at") != 5, F.to_date("ingested_at"))
+    event_ticks(spark, sf).withColumn(S.PART, dated).write.partitionBy(S.PART).parquet(path)
+    subjects = spark.createDataFrame([("click",), ("view",)], "asset_id string")
+    S.erase_in_store(spark, path, subjects, "asset_id")
+    return spark.read.parquet(path)
+
+
 @register("erase_in_store", f"""
 SELECT t.*, CAST(t.ingested_at AS DATE) AS ingest_date FROM ({sql_ticks()}) t
 WHERE t.ingested_at NOT IN (SELECT ts FROM events WHERE user_id = 7)

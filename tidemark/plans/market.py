@@ -134,18 +134,28 @@ def trailing_alerts_dense(spark, sf):
 _ODD_PRICE = "CASE WHEN hour({ts}) = 1 AND minute({ts}) < 20 THEN {inf} WHEN hour({ts}) = 2 AND minute({ts}) < 20 THEN 1e17 ELSE {p} END"
 
 
-@register("trailing_alerts_outlier", "SELECT * FROM (" + _alert_sql(
-    hourly=False, metrics=(("price", "price"),)).replace(
+def _digits_sql(x: str) -> str:
+    """Nine decimals, of large numbers nine significant digits."""
+    return f"CASE WHEN isinf({x}) THEN {x} WHEN abs({x}) < 1e6 THEN round({x}, 9) ELSE CAST(printf('%.8e', {x}) AS DOUBLE) END"
+
+
+def _digits(c: str):
+    x, large = F.col(c), F.format_string("%.8e", c).cast("double")
+    return F.when(F.abs(x) == float("inf"), x).when(F.abs(x) < 1e6, F.round(x, 9)).otherwise(large).alias(c)
+
+
+@register("trailing_alerts_outlier", _alert_sql(hourly=False, metrics=(("price", "price"),)).replace(
     "value AS price", _ODD_PRICE.format(ts="ts", inf="'inf'::DOUBLE", p="value") + " AS price")
-    + ") a WHERE abs(baseline) < 1e6 AND abs(value) < 1e6")
+    .replace("round(baseline, 9)", _digits_sql("baseline"))
+    .replace("round((value - baseline) / baseline, 9)", _digits_sql("((value - baseline) / baseline)")))
 def trailing_alerts_outlier(spark, sf):
-    """E1 after huge and infinite readings: they alert, and once they have
-    left the window the baseline is what it would be without them. (Alerts
-    on or against 1e17 are left out: decimals don't compare there.)"""
+    """E1 with huge and infinite readings: they alert, readings beside a huge
+    one do as well, and once it has left the window the baseline is what it
+    would be without it."""
     odd = F.expr(_ODD_PRICE.format(ts="ingested_at", inf="double('inf')", p="price"))
     ticks = event_ticks(spark, sf).withColumn("price", odd)
     out = A.trailing_alerts(ticks, FIX_WINDOW_S, FIX_THRESHOLD, FIX_WARMUP_S, metrics=["price"])
-    return _r9(out.where((F.abs("baseline") < 1e6) & (F.abs("value") < 1e6)), "baseline", "change_pct")
+    return out.select(*[_digits(c) if c in ("baseline", "change_pct") else c for c in out.columns])
 
 
 _ANY = (("market_cap", "market_cap"), ("change_24h", "change_24h"))

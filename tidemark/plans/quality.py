@@ -44,6 +44,21 @@ def feed_cadence(spark, sf):
     return Q.feed_cadence(FX.event_ticks(spark, sf, hourly_ts=True), interval_s=1200, period="1 day")
 
 
+@register("feed_cadence_null_key", """
+WITH e AS (SELECT nullif(event_type, 'error') AS asset_id, ts FROM events WHERE hour(ts) <> 9 OR event_type <> 'error'),
+n AS (SELECT asset_id, date_trunc('hour', ts) AS period_start, count(*) AS polls FROM e GROUP BY ALL),
+cal AS (SELECT asset_id, unnest(generate_series(lo, (SELECT max(period_start) FROM n), INTERVAL 1 HOUR)) AS period_start
+        FROM (SELECT asset_id, min(period_start) AS lo FROM n GROUP BY 1))
+SELECT cal.asset_id, cal.period_start, coalesce(n.polls, 0) AS polls, coalesce(n.polls, 0) / 3.0 AS coverage
+FROM cal LEFT JOIN n ON n.asset_id IS NOT DISTINCT FROM cal.asset_id AND n.period_start = cal.period_start
+""")
+def feed_cadence_null_key(spark, sf):
+    """Polls of an unknown asset (null) are counted like any other's."""
+    ticks = FX.event_ticks(spark, sf).where("hour(ingested_at) <> 9 OR asset_id <> 'error'") \
+        .withColumn("asset_id", F.nullif("asset_id", F.lit("error")))
+    return Q.feed_cadence(ticks, interval_s=1200, period="1 hour").select("asset_id", "period_start", "polls", "coverage")
+
+
 _LINE_RULES = [
     Q.not_null("l_shipdate"),
     Q.in_range("l_discount", 0.0, 0.08),
@@ -171,7 +186,7 @@ def reconcile_totals(spark, sf):
     return Q.reconcile(bronze, silver, ["day"], ["value"])
 
 
-@register("volume_anomaly", """
+_VOLUME_SQL = """
 WITH n AS (SELECT event_type, date_trunc('day', ts) AS period, count(*) AS n FROM events GROUP BY ALL),
 span AS (SELECT event_type, min(period) AS lo, (SELECT max(period) FROM n) AS hi FROM n GROUP BY event_type),
 cal AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS period FROM span),
@@ -183,7 +198,10 @@ SELECT event_type, period, n, round(mean, 9) AS mean, round(stddev, 9) AS stddev
        round(CASE WHEN stddev > 0 THEN (n - mean) / stddev END, 9) AS z,
        hist >= 7 AND CASE WHEN stddev > 0 THEN abs(n - mean) > 2.0 * stddev ELSE n <> mean END AS anomaly
 FROM w
-""")
+"""
+
+
+@register("volume_anomaly", _VOLUME_SQL)
 def volume_anomaly(spark, sf):
     """Events per type and day against the 7 days before, k = 2."""
     ev = FX.load(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -192,6 +210,17 @@ def volume_anomaly(spark, sf):
                         for c in out.columns])
 
 
+@register("volume_anomaly_null_key", _VOLUME_SQL.replace("FROM events", "FROM (SELECT ts, nullif(event_type, 'error') AS event_type FROM events) e")
+          .replace("cal.event_type = n.event_type", "cal.event_type IS NOT DISTINCT FROM n.event_type"))
+def volume_anomaly_null_key(spark, sf):
+    """Rows without a key have a volume of their own, not silence."""
+    ev = FX.load(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")) \
+        .withColumn("event_type", F.nullif("event_type", F.lit("error")))
+    out = Q.volume_anomaly(ev, "ts", "day", 7, 2.0, by=["event_type"])
+    return out.select(*[F.round(c, 9).alias(c) if c in ("mean", "stddev", "z") else F.col(c)
+                        for c in out.columns])
+
+
 _EDGES = [50.0, 100.0, 150.0, 200.0, 250.0, 300.0, 400.0]
 
 

@@ -11,13 +11,14 @@ import time
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import alerts as A
 from tidemark.plans.ingest import _PARSED_SQL
 from tidemark.plans.market import FIX_THRESHOLD, FIX_WARMUP_S, FIX_WINDOW_S, _alert_sql, _candle_sql, _r9
 from tidemark.plans.registry import ORACLES, register
 from tidemark.schemas import TICK
 from tidemark.sources import fixtures as FX
 from tidemark.sources import store as S
-from tidemark.sources.payloads import parse_prices, read_payloads, write_landed
+from tidemark.sources.payloads import parse_prices, price_rejects, read_payloads, write_landed
 from tidemark.streaming import jobs as J
 from tidemark.streaming.detector import stream_alerts
 
@@ -112,6 +113,36 @@ def stream_alerts_late(spark, sf):
     return _r9(_detector_run(spark, FX.event_ticks(spark, sf, source_lag=True)), "baseline", "change_pct")
 
 
+@register("arrival_alerts", _arrival_sql(_LATE_TICKS_SQL))
+def arrival_alerts(spark, sf):
+    """I3 over stored ticks: the arrival-order alerts as one batch plan."""
+    out = A.arrival_alerts(FX.event_ticks(spark, sf, source_lag=True), **DETECTOR)
+    return _r9(out, "baseline", "change_pct")
+
+
+_NAN_SQL = _alert_sql(hourly=True).replace("FROM events", """FROM (
+  SELECT ts, event_type, props, CASE WHEN minute(ts) % 10 <> 3 THEN value END AS value FROM events) e""")
+
+
+def _with_nan(ticks):
+    """Every tenth minute's prices are not a number."""
+    return ticks.withColumn("price", F.when(F.minute("ingested_at") % 10 != 3, F.col("price"))
+                            .otherwise(F.lit(float("nan"))))
+
+
+@register("alerts_nan", _NAN_SQL)
+def alerts_nan(spark, sf):
+    """A price that is NaN is missing: no alert, no part of a baseline."""
+    out = A.trailing_alerts(_with_nan(FX.event_ticks(spark, sf, hourly_ts=True)), **DETECTOR)
+    return _r9(out, "baseline", "change_pct")
+
+
+@register("stream_alerts_nan", _NAN_SQL)
+def stream_alerts_nan(spark, sf):
+    """The same rule for NaN in the streaming detector."""
+    return _r9(_detector_run(spark, _with_nan(FX.event_ticks(spark, sf, hourly_ts=True))), "baseline", "change_pct")
+
+
 @register("stream_alerts_restart", _alert_sql(hourly=True))
 def stream_alerts_restart(spark, sf):
     """The job is stopped half-way and started again; the window's
@@ -162,6 +193,41 @@ def stream_insert_ignore(spark, sf):
     return spark.read.parquet(store)
 
 
+@register("stream_poison_row", f"""
+SELECT 'store' AS part, asset_id, ingested_at, price FROM ({_PARSED_SQL}) p
+UNION ALL
+SELECT 'reject', event_type, NULL, NULL FROM events WHERE event_type <> 'error' AND value <= 480 AND minute(ts) = 7
+UNION ALL
+SELECT 'quarantine', event_type, NULL, value FROM events WHERE minute(ts) = 11
+""")
+def stream_poison_row(spark, sf):
+    """Polls that landed without a poll time among the others. The
+    parser rejects them; ticks that reach the store without one are
+    quarantined there; the stream runs on, and the store can be maintained."""
+    landing, store, ck = (S.scratch_path(spark, n) for n in ("payloads", "store", "ckpt"))
+    payloads = FX.event_price_payloads(spark, sf)
+    untimed = payloads.where(F.minute("ingested_at") == 7).withColumn("ingested_at", F.lit(None).cast("timestamp"))
+    write_landed(untimed, landing, "parquet")
+    write_landed(payloads, landing, "parquet")
+    polls = read_payloads(spark, landing, streaming=True, fmt="parquet", max_files_per_trigger=3, sequence="_landed")
+    keep = ["_landed"]
+    J.start_tick_store(parse_prices(polls, keep=keep), store, ck, order=keep).awaitTermination()
+    # ticks from elsewhere, keyless ones among them, through the same sink
+    ticks, other = FX.event_ticks(spark, sf), S.scratch_path(spark, "ticks")
+    ticks.where(F.minute("ingested_at") == 11).withColumn("ingested_at", F.lit(None).cast("timestamp")).write.parquet(other)
+    more = spark.readStream.schema(TICK).parquet(other)
+    J.start_tick_store(more, store, f"{ck}-more").awaitTermination()
+    S.compact(spark, store, 7, "2024-01-31 00:00:00")
+    none = F.lit(None)
+    rows = spark.read.parquet(store).select(F.lit("store").alias("part"), "asset_id", "ingested_at", "price")
+    rejects = price_rejects(spark.read.schema("payload string, ingested_at timestamp").parquet(landing))
+    rejects = rejects.where("reason = 'missing poll time'").select(
+        F.lit("reject").alias("part"), "asset_id", "ingested_at", none.cast("double").alias("price"))
+    kept_back = spark.read.parquet(f"{store}/{J.QUARANTINE}").select(
+        F.lit("quarantine").alias("part"), "asset_id", "ingested_at", "price")
+    return rows.unionByName(rejects).unionByName(kept_back)
+
+
 @register("feed_fan_out", f"""
 SELECT 'store' AS part, asset_id, ingested_at AS time, 'price' AS metric, price AS value, NULL::BIGINT AS samples
 FROM ({_PARSED_SQL}) p

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import keyed as K
 from tidemark.plans.registry import register
+from tidemark.sources import store as S
 from tidemark.sources.fixtures import event_ticks, load, sql_ticks
 
 # Every lineitem row is distinct on these, so "first" is fully determined.
@@ -92,7 +93,7 @@ def asset_upsert(spark, sf):
 _DESC = ", ".join(f"{c} DESC" for c in ["l_linenumber"] + LINE_ORDER)
 
 
-@register("cdc_apply", f"""
+_CDC_SQL = f"""
 WITH cur AS (SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(0 AS BIGINT) AS lsn
              FROM orders WHERE o_orderstatus <> 'P'),
 x AS (SELECT l_orderkey AS o_orderkey, l_linestatus AS o_orderstatus, l_extendedprice AS o_totalprice,
@@ -108,9 +109,11 @@ SELECT coalesce(ck, o_orderkey) AS o_orderkey,
        CASE WHEN newer THEN o_totalprice ELSE cp END AS o_totalprice,
        CASE WHEN newer THEN lsn ELSE cl END AS lsn
 FROM j WHERE (newer AND op <> 'D') OR (NOT newer AND ck IS NOT NULL)
-""")
-def cdc_apply(spark, sf):
-    """L4: line items read as change events of their order (``R`` = delete)."""
+"""
+
+
+def _cdc(spark, sf):
+    """Orders that aren't pending at lsn 0, and line items read as change events."""
     orders = load(spark, sf, "orders")
     current = (orders.where(F.col("o_orderstatus") != "P")
                .select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(0).cast("long").alias("lsn")))
@@ -120,9 +123,30 @@ def cdc_apply(spark, sf):
         F.col("l_extendedprice").alias("o_totalprice"), F.col("l_linenumber").cast("long").alias("lsn"),
         F.when(F.col("l_returnflag") == "R", F.lit("D")).otherwise(F.lit("U")).alias("op"),
         *LINE_ORDER)
+    return current, changes
+
+
+@register("cdc_apply", _CDC_SQL)
+def cdc_apply(spark, sf):
+    """L4: line items read as change events of their order (``R`` = delete)."""
+    current, changes = _cdc(spark, sf)
     return K.cdc_apply(current, changes, "o_orderkey", "lsn", tiebreak=LINE_ORDER)
 
 
+@register("cdc_replay", _CDC_SQL)
+def cdc_replay(spark, sf):
+    """L4 on a stored table: inserts, then the newest changes, then the older
+    ones and both again. Deleted orders stay deleted, whatever comes late."""
+    current, changes = _cdc(spark, sf)
+    inserts = current.select("*", F.lit("I").alias("op"), *[
+        F.lit(None).cast(changes.schema[c].dataType).alias(c) for c in LINE_ORDER])
+    old, new = changes.where("lsn <= 3"), changes.where("lsn > 3")
+    path = S.scratch_path(spark, "cdc")
+    for batch in (inserts, new, old, new, old.unionByName(inserts)):
+        S.apply_changes(spark, path, batch, "o_orderkey", "lsn", tiebreak=LINE_ORDER)
+    return spark.read.parquet(f"{path}/{S.ROWS}")
+
+
 @register("fk_orphans", """
 SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'P')

@@ -82,11 +82,12 @@ def _typed(df: DataFrame, vs: str, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def _malformed(f: Column, vs: str) -> Column:
-    """A present, non-null number field that does not parse."""
+    """A present, non-null number field that does not parse or is not a number (NaN)."""
     checks = []
     for key in (vs, f"{vs}_24h_vol", f"{vs}_market_cap", f"{vs}_24h_change", "last_updated_at"):
         v = f.getItem(key)
-        checks.append(v.isNotNull() & v.try_cast("double").isNull())
+        number = v.try_cast("double")
+        checks.append(v.isNotNull() & (number.isNull() | F.isnan(number)))
     out = checks[0]
     for c in checks[1:]:
         out = out | c
@@ -101,14 +102,16 @@ def parse_prices(payloads: DataFrame, vs: str = "usd", strict: bool = False,
       price 0 is kept;
     * ``ts`` = ``last_updated_at`` (epoch seconds) or else ``ingested_at``;
     * optional numbers stay null when absent;
-    * an asset with a malformed number is not a tick (see :func:`price_rejects`);
+    * an asset with a malformed number (NaN too) and a poll without a poll time,
+      which is part of a tick's key, give no tick (see :func:`price_rejects`);
       ``strict=True`` drops every asset of a poll holding one (the sequential
       client loses the whole poll in that case).
 
     ``keep`` names payload columns carried to every tick (e.g. landing time).
     """
     typed = _typed(_exploded(payloads, vs, strict, keep), vs, keep)
-    return typed.where(F.col("price").isNotNull() & ~F.col("_bad")).select(*TICK_COLUMNS, *keep)
+    whole = F.col("price").isNotNull() & F.col("ingested_at").isNotNull() & ~F.col("_bad")
+    return typed.where(whole).select(*TICK_COLUMNS, *keep)
 
 
 def unpriced(payloads: DataFrame, vs: str = "usd") -> DataFrame:
@@ -118,19 +121,22 @@ def unpriced(payloads: DataFrame, vs: str = "usd") -> DataFrame:
 
 
 def price_rejects(payloads: DataFrame, vs: str = "usd") -> DataFrame:
-    """Quarantine of the price feed: unreadable payloads and assets with a
-    malformed number, with a reason. One parse: ``explode_outer`` keeps a row
-    for a payload that did not parse, so both kinds come from one pass."""
+    """Quarantine of the price feed: unreadable payloads, assets with a
+    malformed number and priced assets of a poll without a poll time, with a
+    reason. One parse: ``explode_outer`` keeps a row for a payload that did
+    not parse, so all kinds come from one pass."""
     parsed = payloads.select("ingested_at", "payload",
                              F.from_json(F.col("payload"), PRICE_PAYLOAD).alias("_m"))
     rows = parsed.select("ingested_at", "payload", F.col("_m").isNull().alias("_unread"),
                          F.explode_outer("_m").alias("asset_id", "_f"))
     unreadable = F.col("payload").isNotNull() & F.col("_unread")
     bad = F.col("_f").isNotNull() & _malformed(F.col("_f"), vs)
-    return rows.where(unreadable | bad).select(
+    untimed = F.col("ingested_at").isNull() & F.col("_f").getItem(vs).isNotNull()
+    return rows.where(unreadable | bad | untimed).select(
         "asset_id", "ingested_at",
-        F.when(bad, F.to_json("_f")).otherwise(F.col("payload")).alias("payload"),
-        F.when(bad, F.lit("malformed number")).otherwise(F.lit("unreadable payload")).alias("reason"))
+        F.when(F.col("_f").isNotNull(), F.to_json("_f")).otherwise(F.col("payload")).alias("payload"),
+        F.when(bad, F.lit("malformed number")).when(untimed, F.lit("missing poll time"))
+         .otherwise(F.lit("unreadable payload")).alias("reason"))
 
 
 def parse_markets(payloads: DataFrame, now=None, position: str | None = None) -> DataFrame:

@@ -63,17 +63,40 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def list_partitions_of(spark: SparkSession, path: str, column: str) -> list[dt.date]:
-    """Dates of the ``column=`` partition folders (a listing, bounded by the day count)."""
+def _partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """What stands behind ``column=`` in the folder names (a listing, bounded by the day count)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(column + "="):
-            out.append(dt.date.fromisoformat(name.split("=", 1)[1]))
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(column + "="))
+
+
+def _date(value: str) -> dt.date | None:
+    try:
+        return dt.date.fromisoformat(value)
+    except ValueError:
+        return None
+
+
+def list_partitions_of(spark: SparkSession, path: str, column: str) -> list[dt.date]:
+    """Dates of the ``column=`` partition folders; folders that name no date
+    (rows without one) are left out, see :func:`undated_partitions`."""
+    return [d for v in _partition_values(spark, path, column) if (d := _date(v)) is not None]
+
+
+def undated_partitions(spark: SparkSession, path: str, column: str = PART) -> list[str]:
+    """Names of partition folders that name no date, such as the one of rows
+    without a time."""
+    return [f"{column}={v}" for v in _partition_values(spark, path, column) if _date(v) is None]
+
+
+#: Folder name that Spark gives to rows whose partition value is null.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_folder(path: str, column: str, value: dt.date | None) -> str:
+    return f"{path}/{column}={NO_VALUE if value is None else value.isoformat()}"
 
 
 def list_partitions(spark: SparkSession, path: str) -> list[dt.date]:
@@ -94,17 +117,27 @@ def _fingerprint(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def overwrite_partitions(df: DataFrame, path: str, staging: str, partition_col: str = PART,
-                         max_records_per_file: int | None = None) -> None:
+                         max_records_per_file: int | None = None,
+                         touched: Sequence[dt.date | None] = ()) -> None:
     """Swap in whole partitions: write ``df`` to ``staging`` first (cutting
-    the lineage to ``path``), then dynamic-overwrite just those partitions."""
+    the lineage to ``path``), then dynamic-overwrite just those partitions.
+    An overwrite never empties a partition, so those of ``touched`` for which
+    ``df`` has no row are dropped after it."""
     w = df.write.mode("overwrite").option("compression", "zstd")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.partitionBy(partition_col).parquet(staging)
-    staged = df.sparkSession.read.parquet(staging)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .option("compression", "zstd").partitionBy(partition_col).parquet(path))
-    drop_folder(df.sparkSession, staging)
+    spark = df.sparkSession
+    held = {f"{partition_col}={v}" for v in _partition_values(spark, staging, partition_col)}
+    if held:
+        staged = spark.read.schema(df.schema).parquet(staging)
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .option("compression", "zstd").partitionBy(partition_col).parquet(path))
+    for value in touched:
+        folder = partition_folder(path, partition_col, value)
+        if folder.rsplit("/", 1)[1] not in held:
+            drop_folder(spark, folder)
+    drop_folder(spark, staging)
 
 
 class VerificationFailed(RuntimeError):
@@ -193,7 +226,8 @@ def apply_retention(spark: SparkSession, path: str, keep_days: int, now,
     partitions older than ``keep_days`` before ``now``. With ``rollup``
     given, a date is kept unless the ``ticks`` its candles count are as many as
     the date's raw ticks, for every asset, and newer candles exist.
-    Returns ``(ingest_date, action)`` with action ``drop``/``dropped``/``kept: not rolled up``."""
+    Returns ``(ingest_date, action)`` with action ``drop``/``dropped``/``kept: not rolled up``;
+    folders without a date are kept and reported with a null date."""
     today = (dt.datetime.fromisoformat(str(now)) if not isinstance(now, dt.datetime) else now).date()
     cutoff = today - dt.timedelta(days=int(keep_days))
     old = [d for d in list_partitions(spark, path) if d < cutoff]
@@ -203,13 +237,14 @@ def apply_retention(spark: SparkSession, path: str, keep_days: int, now,
                .groupBy(PART, "asset_id").agg(F.count(F.lit(1)).alias("raw")))
         held = (rollup.groupBy(F.to_date("bucket").alias(PART), "asset_id")
                 .agg(F.sum("ticks").alias("held")))
-        missing = raw.join(held, [PART, "asset_id"], "left").where(
-            F.coalesce("held", F.lit(0)) < F.col("raw")).select(PART).distinct()
+        same = raw["asset_id"].eqNullSafe(held["asset_id"]) & (raw[PART] == held[PART])
+        missing = raw.join(held, same, "left").where(
+            F.coalesce("held", F.lit(0)) < F.col("raw")).select(raw[PART]).distinct()
         uncovered = {r[PART] for r in missing.collect()}  # dates, as many as folders
         last = rollup.agg(F.max("bucket").alias("m")).first()["m"]
         # the day of the newest candle may still grow
         uncovered |= {d for d in old if last is None or d >= last.date()}
-    rows = []
+    rows = [(None, f"kept: {name} has no date") for name in undated_partitions(spark, path)]
     for d in old:
         if d in uncovered:
             rows.append((d, "kept: not rolled up"))
@@ -224,7 +259,8 @@ def refresh_table(spark: SparkSession, rollup_path: str, ticks: DataFrame, now,
                   end_offset: str, width: str = "1 minute", keys: Sequence[str] = ("asset_id",)) -> None:
     """D7 persisted: recompute the refresh window and swap in only the
     touched ``bucket_date`` partitions, each written whole (kept buckets of
-    those days plus the fresh ones), so no bucket outside the window is lost.
+    those days plus the fresh ones), so no bucket outside the window is lost;
+    a day of the window that has no ticks any more goes.
     The end of the window is stored beside the table as its completed-through
     mark, which never moves back."""
     from tidemark.operators.candles import refresh, refresh_window
@@ -236,9 +272,11 @@ def refresh_table(spark: SparkSession, rollup_path: str, ticks: DataFrame, now,
     # the store's folders are pruned by the partition column
     day = F.col(PART) if PART in ticks.columns else F.to_date("ingested_at")
     new = refresh(days, ticks.where((day >= F.to_date(lo)) & (day <= F.to_date(hi))), now, start_offset, end_offset, width, keys)
+    ends = spark.range(1).select(F.to_date(lo).alias("first"), F.to_date(hi).alias("last"), hi.alias("m")).first()
+    inside = [d for d in list_partitions_of(spark, rollup_path, "bucket_date") if ends["first"] <= d <= ends["last"]]
     overwrite_partitions(new.withColumn("bucket_date", F.to_date("bucket")), rollup_path,
-                         scratch_path(spark, "refresh"), "bucket_date")
-    mark, held = spark.range(1).select(hi.alias("m")).first()["m"], completed_through(spark, rollup_path)
+                         scratch_path(spark, "refresh"), "bucket_date", touched=inside)
+    mark, held = ends["m"], completed_through(spark, rollup_path)
     if held is None or mark > held:
         (spark.createDataFrame([(mark,)], "completed_through timestamp").coalesce(1)
               .write.mode("append").parquet(f"{rollup_path}/{COMPLETED}"))
@@ -283,17 +321,15 @@ def erase_in_store(spark: SparkSession, path: str, subjects: DataFrame, key: str
     if not report:
         return spark.createDataFrame([], schema)
     touched = [r[partition_col] for r in report]
-    kept = erase(table.where(F.col(partition_col).isin(touched)), subj, key)
-    left = {r[partition_col] for r in kept.select(partition_col).distinct().collect()}
-    if left:
-        overwrite_partitions(kept, path, scratch_path(spark, "erase"), partition_col)
-    for d in touched:
-        if d not in left:
-            drop_folder(spark, f"{path}/{partition_col}={d.isoformat()}")
-    if list_partitions_of(spark, path, partition_col):
+    # rows without a partition value have a folder like any other
+    here = F.col(partition_col).isin([d for d in touched if d is not None])
+    here = F.coalesce(here, F.lit(None in touched))
+    kept = erase(table.where(here), subj, key)
+    overwrite_partitions(kept, path, scratch_path(spark, "erase"), partition_col, touched=touched)
+    if _partition_values(spark, path, partition_col):
         spark.catalog.refreshByPath(path)
         again = spark.read.schema(table.schema).parquet(path)
-        if again.where(F.col(partition_col).isin(touched)).join(subj, key, "left_semi").take(1):
+        if again.where(here).join(subj, key, "left_semi").take(1):
             raise VerificationFailed("rows of an erased subject are still stored")
     return spark.createDataFrame([(request_id, r[partition_col], r["n"]) for r in report], schema)
 
@@ -308,6 +344,57 @@ def replace_table(df: DataFrame, path: str, staging: str | None = None) -> None:
     drop_folder(spark, staging)
 
 
+ROWS, TOMBSTONES, FORGOTTEN = "rows", "_tombstones", "_forgotten"
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    fs, p = _fs(spark, path)
+    return spark.read.parquet(path) if fs.exists(p) else None
+
+
+def apply_changes(spark: SparkSession, path: str, changes: DataFrame, key, order: str = "lsn", op: str = "op",
+                  delete_value: str = "D", tiebreak: Sequence[str] = (), horizon: int | None = None) -> DataFrame:
+    """L4 on a stored table: merge change events into ``path/rows`` and keep a
+    tombstone (key and ``order``) of every deleted key beside it, so any older
+    batch may come again, in any order, and changes nothing.
+
+    Tombstones more than ``horizon`` below the newest ``order`` are dropped and
+    the highest dropped one is stored as a mark: changes up to it, of keys that
+    aren't held, are ignored from then on (without a horizon nothing is
+    forgotten). The columns of a new table are those of ``changes`` but ``op``
+    and ``tiebreak``. Both parts are staged in one write before either is
+    replaced; a job that dies in between is run again with the same changes,
+    which is harmless. Returns the new rows.
+    """
+    from tidemark.operators.keyed import _cols, cdc_versions
+
+    rows = _stored(spark, f"{path}/{ROWS}")
+    if rows is None:
+        rows = changes.drop(op, *tiebreak).limit(0)
+    marks = _stored(spark, f"{path}/{FORGOTTEN}")
+    mark = marks.agg(F.max("mark")).first()[0] if marks is not None else None  # one row per purge
+    merged = cdc_versions(rows, changes, key, order, op, delete_value, tiebreak,
+                          _stored(spark, f"{path}/{TOMBSTONES}"), mark)
+    staging = scratch_path(spark, "changes")
+    merged.write.partitionBy("deleted").option("compression", "zstd").parquet(staging)
+    staged = spark.read.schema(merged.schema).parquet(staging)
+    gone = staged.where("deleted").select(*_cols(key), order)
+    if horizon is not None:
+        newest = staged.agg(F.max(order)).first()[0]
+        if newest is not None:
+            dropped = gone.where(F.col(order) < F.lit(newest - horizon)).agg(F.max(order)).first()[0]
+            if dropped is not None:
+                # the mark goes first: without it a dropped tombstone's row could come back
+                (spark.createDataFrame([(int(dropped),)], "mark long").coalesce(1)
+                      .write.mode("append").parquet(f"{path}/{FORGOTTEN}"))
+            gone = gone.where(F.col(order) >= F.lit(newest - horizon))
+    # tombstones before rows: a job that dies here has only remembered more
+    gone.write.mode("overwrite").parquet(f"{path}/{TOMBSTONES}")
+    staged.where(~F.col("deleted")).drop("deleted").write.mode("overwrite").parquet(f"{path}/{ROWS}")
+    drop_folder(spark, staging)
+    return spark.read.parquet(f"{path}/{ROWS}")
+
+
 def seed_assets(spark: SparkSession, market_landing: str, assets_path: str, now,
                 fmt: str = "json") -> DataFrame:
     """Bootstrap (C2 + A3): landed market payloads parsed to assets and

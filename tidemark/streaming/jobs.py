@@ -117,6 +117,9 @@ def current_from_log(spark: SparkSession, path: str, keys: Sequence[str]) -> Dat
     return last_per_key(logged, list(keys), "_batch").drop("_batch")
 
 
+QUARANTINE = "_quarantine"
+
+
 def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_id", "ingested_at"),
                      order: Sequence[str] = ("ingested_at",), trigger: dict | None = None) -> StreamingQuery:
     """Every micro-batch is made durable at once with insert-ignore
@@ -126,14 +129,23 @@ def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_i
     ``parse_prices(keep=...)``; rows it leaves level go by their place in the
     batch, that is in their file. The stored side is read only for the batch's days
     (partition pruning) and its ``ingested_at`` range (Parquet statistics
-    skip the rest), so a trigger never rescans the table."""
+    skip the rest), so a trigger never rescans the table. Rows that lack a part
+    of the key can't be stored under it; they go to ``path/_quarantine`` (a
+    folder that reads of the table skip), one folder per micro-batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
         extra = [c for c in order if c not in TICK_COLUMNS]
         place = F.monotonically_increasing_id().alias("_place")
-        batch = S.with_partition(batch.select(*TICK_COLUMNS, *extra, place)).persist()
+        cached = batch = S.with_partition(batch.select(*TICK_COLUMNS, *extra, place)).persist()
         try:
+            keyless = F.lit(False)
+            for k in dict.fromkeys([*key, "ingested_at"]):
+                keyless = keyless | F.col(k).isNull()
             span = batch.agg(F.min("ingested_at").alias("lo"), F.max("ingested_at").alias("hi"),
-                             F.collect_set(S.PART).alias("days")).collect()[0]  # one row
+                             F.collect_set(S.PART).alias("days"), F.count_if(keyless).alias("keyless")).collect()[0]
+            if span["keyless"]:
+                (batch.where(keyless).select(*TICK_COLUMNS).write.mode("overwrite")
+                      .parquet(f"{path}/{QUARANTINE}/batch={batch_id}"))
+            batch = batch.where(~keyless)
             if span["lo"] is None:
                 return
             stored = None
@@ -150,7 +162,7 @@ def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_i
             new.select(*TICK_COLUMNS, S.PART).write.mode("append").option("compression", "zstd") \
                 .partitionBy(S.PART).parquet(path)
         finally:
-            batch.unpersist()
+            cached.unpersist()
 
     return (ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
                  .trigger(**(trigger or {"availableNow": True})).start())
