@@ -5,7 +5,9 @@ aren't letters or digits one space. An item of m characters has an error budget
 of ``k = m * rate`` edits, less where its pieces would get shorter than
 ``piece_chars``. Cut into k + 1 pieces, one piece stays whole in any copy with k
 edits or fewer, so every copy shows up as an exact piece hit; Myers' bit-parallel
-distance then decides on the stretch around the hit.
+distance then decides on the stretch around the hit. A copy is a stretch of
+whole words: it begins and ends where a word of the text does or between two, so
+the item ``x`` is found in "an x here" and not in "next".
 
 Items are a stated query set: they are read in blocks of bounded size, and each
 block is one scan of all documents, with one automaton per task.
@@ -58,12 +60,19 @@ def masks(pattern: str) -> dict[str, int]:
     return out
 
 
-def myers(m: int, peq: dict[str, int], text: str, k: int) -> int:
+def uncut(text: str, i: int) -> bool:
+    """Whether a stretch may begin or end before place ``i``: no word is cut."""
+    return not 0 < i < len(text) or text[i - 1] == " " or text[i] == " "
+
+
+def myers(m: int, peq: dict[str, int], text: str, k: int, first: int | None = None) -> int:
     """Least edit distance of the pattern to any stretch of ``text``, or k + 1
-    if it is above k: columns of the distance table as bits of one integer."""
+    if it is above k: columns of the distance table as bits of one integer.
+    With ``first`` the stretch begins there and ends where no word is cut."""
     full, top = (1 << m) - 1, 1 << (m - 1)
     pv, mv, score, best = full, 0, m, k + 1
-    for c in text:
+    fixed = first is not None
+    for i, c in enumerate(text[first : first + m + k] if fixed else text, (first or 0) + 1):
         eq = peq.get(c, 0)
         xv = eq | mv
         xh = (((eq & pv) + pv) ^ pv) | eq
@@ -73,11 +82,12 @@ def myers(m: int, peq: dict[str, int], text: str, k: int) -> int:
             score += 1
         elif mh & top:
             score -= 1
-        if score < best:
+        if score < best and (not fixed or uncut(text, i)):
             best = score
             if not best:
                 break
-        ph, mh = ph << 1, mh << 1
+        # a stretch that begins anywhere costs nothing before it, else a step a character
+        ph, mh = ph << 1 | fixed, mh << 1
         pv = (mh | ~(xv | ph)) & full
         mv = ph & xv & full
     return best
@@ -103,7 +113,7 @@ class Matcher:
     def match(self, text: str) -> dict[int, int]:
         """Least edits of each item that ``text`` holds a copy of."""
         found: dict[int, int] = {}
-        done: dict[int, tuple[int, int]] = {}  # the last stretch searched
+        done: dict[int, int] = {}  # the last place searched
         for end, (n, where) in self.auto.iter(text):
             for at, off in where:
                 best = found.get(at)
@@ -113,17 +123,19 @@ class Matcher:
                 m = len(item)
                 start = end - n + 1 - off
                 lo, hi = max(0, start - k), start + m + k
-                if start >= 0 and text.startswith(item, start):
+                if start >= 0 and text.startswith(item, start) and uncut(text, start) and uncut(text, start + m):
                     found[at] = 0
                     continue
-                a, b = done.get(at, (0, -1))
-                if a <= lo and hi <= b:
+                if done.get(at) == start:
                     continue
-                done[at] = lo, hi
-                if k:
-                    d = myers(m, peq, text[lo:hi], k)
-                    if d <= k and (best is None or d < best):
-                        found[at] = d
+                done[at] = start
+                # first without regard to words: most hits that aren't copies end here
+                if k and myers(m, peq, text[lo:hi], k) <= k:
+                    for i in range(lo, min(len(text), max(0, start + k) + 1)):
+                        if uncut(text, i):
+                            d = myers(m, peq, text, k, i)
+                            if d <= k and (best is None or d < best):
+                                found[at] = best = d
         return found
 
 

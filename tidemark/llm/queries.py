@@ -135,15 +135,17 @@ def with_periodic_tails(docs: DataFrame) -> DataFrame:
     from a = g % n with period 1 + (n - a) / (3 + g % 8). Rows without doc_id or
     words stay as they are."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    w = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
     tail = "transform(sequence(0L, n - a - 1L), i -> w[INT(a + i % (1L + (n - a) DIV (3L + g % 8L)))])"
-    chosen = F.col("doc_id").isNotNull() & (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    made = (
-        docs.where(chosen).withColumn("w", w).withColumn("g", F.floor(h / 10))
-        .withColumn("n", F.expr("CAST(size(w) AS BIGINT)")).withColumn("a", F.expr("g % n"))
-        .withColumn("text", F.array_join(F.concat(F.expr("slice(w, 1, INT(a))"), F.expr(tail)), " "))
+    # w, and so all that comes of it, is null for rows that stay
+    return (
+        docs.withColumn("w", F.when(h % 10 == 0, words)).withColumn("w", F.when(F.size("w") > 0, F.col("w")))
+        .withColumn("g", F.floor(h / 10)).withColumn("n", F.expr("CAST(size(w) AS BIGINT)"))
+        .withColumn("a", F.expr("g % n"))
+        .withColumn("text", F.when(F.col("w").isNull(), F.col("text")).otherwise(
+            F.array_join(F.concat(F.expr("slice(w, 1, INT(a))"), F.expr(tail)), " ")))
+        .select(docs.columns)
     )
-    return made.select(docs.columns).union(docs.where(~F.coalesce(chosen, F.lit(False))))
 
 
 def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,9 +10,17 @@ pointer jumping from the start of each file then doubles its reach per round,
 over stretches, and only candidates that are reached are records. Magic inside
 a payload is never reached, and its bytes go back to the record around them.
 
+A chain must end exactly where its file does. Where it doesn't (a wrong length,
+a file cut short, a header without a length, a file that begins with something
+else) the record that leads nowhere isn't given out: from it on the file is
+reported as a stretch with the reason, so every byte of a file is in a verified
+record or in a report. On request reading goes on behind such a place with the
+first candidate whose chain leads to the file's end, and the report ends there.
+
 Nulls and edge cases: a null html is an empty payload; a null page_id is written
-as ``null`` and read as null; of equal payloads, rows that share the smallest
-page_id are all responses; payloads below ``least_bytes`` are all responses;
+as ``null`` and read as null, and is a revisit if any page with an id has its
+payload; of equal payloads, rows that share the smallest page_id are all
+responses, and so are they all if none has an id; payloads below ``least_bytes`` are all responses;
 null urls are empty, control characters in urls are written as %XX; an empty
 table gives no archive and an empty result; other columns are ignored.
 """
@@ -79,12 +87,12 @@ def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     first = known.where(F.col("n") >= least_bytes).groupBy("digest", "n").agg(
         F.min("page_id").alias("hub"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     revisits = (
-        known.join(first, ["digest", "n"]).where("page_id <> hub")
+        known.join(first, ["digest", "n"]).where("hub IS NOT NULL AND NOT page_id <=> hub")
         .select("page_id", F.col("digest").alias("of"), "hub").distinct()
     )
     sealed = body.withColumn("digest", _digest("payload")).withColumn("payload", _pack("payload"))
     return sealed.alias("b").join(
-        revisits.alias("r"), F.expr("b.page_id = r.page_id AND b.digest = r.of"), "left",
+        revisits.alias("r"), F.expr("b.page_id <=> r.page_id AND b.digest = r.of"), "left",
     ).select("b.page_id", "url", _unpack("payload").alias("payload"), "digest", F.col("hub").alias("refers_to"))
 
 
@@ -215,58 +223,117 @@ def _inside(pdf: pd.DataFrame) -> pd.DataFrame:
     return keep[["file", "block", "at", "reach"]]
 
 
-def reachable(candidates: DataFrame) -> DataFrame:
-    """Those of ``file, block, at, size, reach`` (offsets in the file) on the chain
-    from offset 0 of their file."""
-    local = candidates.groupBy("file", "block").applyInPandas(
-        _contract, "file string, block long, at long, reach long, beyond long")
-    nodes = written(local, "chains")
-    jump = nodes.select("file", "at", F.col("beyond").alias("to")).where("to IS NOT NULL")
+def _closure(seeds: DataFrame, jump: DataFrame, forward: bool) -> DataFrame:
+    """All places ``file, at`` that the jumps ``file, at, to`` lead to from
+    ``seeds``, or (backward) that lead to one; the reach doubles per round."""
     ends = written(jump, "jump-0")
-    reached = written(nodes.where("at = 0").select("file", "at"), "reached-0")
+    reached = written(seeds.select("file", "at").distinct(), "reached-0")
+    here, there = ("at", "to") if forward else ("to", "at")
     n, turn = reached.count(), 0
     while n:
         # what the chains of 2**turn jumps lead to, then chains twice as long
-        step = reached.join(ends, ["file", "at"]).select("file", F.col("to").alias("at"))
-        more = step.join(nodes.select("file", "at"), ["file", "at"])
+        step = ends.join(reached.select("file", F.col("at").alias(here)), ["file", here])
         turn += 1
-        reached = written(reached.union(more).distinct(), f"reached-{turn}")
+        reached = written(reached.union(step.select("file", F.col(there).alias("at"))).distinct(), f"reached-{turn}")
         last, n = n, reached.count()
         if n == last:
             break
         a, b = ends.alias("a"), ends.alias("b")
         ends = written(
             a.join(b, F.expr("a.file = b.file AND a.to = b.at")).select("a.file", "a.at", "b.to"), f"jump-{turn}")
+    return reached
+
+
+def _chains(candidates: DataFrame) -> DataFrame:
+    """``file, block, at, reach, beyond`` of ``file, block, at, size, reach``."""
+    local = candidates.groupBy("file", "block").applyInPandas(
+        _contract, "file string, block long, at long, reach long, beyond long")
+    return written(local, "chains")
+
+
+def reachable(nodes: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Those of ``nodes`` (offsets in the file) on the chains from ``seeds(file, at)``."""
+    jump = nodes.select("file", "at", F.col("beyond").alias("to")).where("to IS NOT NULL")
+    reached = _closure(seeds, jump, True)
     entered = nodes.join(reached.withColumn("entered", F.lit(True)), ["file", "at"], "left")
     entered = entered.withColumn("entered", F.coalesce("entered", F.lit(False)))
     return entered.select("file", "block", "at", "reach", "entered").groupBy("file", "block").applyInPandas(
         _inside, "file string, block long, at long, reach long")
 
 
+def _verified(spark: SparkSession, path: str, nodes: DataFrame, resync: bool) -> tuple[DataFrame, DataFrame]:
+    """The records of all chains that hold (``file, block, at, reach``), and what
+    doesn't: ``file, offset, bytes, reason``."""
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).where("size > 0")
+    files = written(files, "files")
+
+    def check(good: DataFrame, begins: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Chains that begin at ``begins(file, begin, size)``: their last records,
+        of which those with a reason lead nowhere."""
+        last = good.groupBy("file").agg(F.max_by(F.struct("at", "reach"), "at").alias("last"))
+        reason = (
+            F.when(F.col("last").isNull(), "no record at its start").when(F.col("last.reach").isNull(), "no length")
+            .when(F.col("last.reach") > F.col("size"), "cut short").when(F.col("last.reach") < F.col("size"), "no record at its end"))
+        ended = begins.join(last, "file", "left").select(
+            "file", "size", F.coalesce("last.at", "begin").alias("offset"), reason.alias("reason"))
+        bad = written(ended.where("reason IS NOT NULL"), "bad")
+        return good.join(bad.select("file", F.col("offset").alias("at")), ["file", "at"], "left_anti"), bad
+
+    good = written(reachable(nodes, nodes.where("at = 0")), "records")
+    good, bad = check(good, files.withColumn("begin", F.lit(0).cast("long")))
+    reports = bad.select("file", "offset", (F.col("size") - F.col("offset")).alias("bytes"), "reason")
+    if not resync or bad.isEmpty():
+        return good, reports
+    # candidates whose chain ends with the file; of each broken file the first one behind the break
+    jump = nodes.join(bad.select("file"), "file", "left_semi").select("file", "at", F.col("beyond").alias("to"))
+    to_end = _closure(bad.select("file", F.col("size").alias("at")), jump.where("to IS NOT NULL"), False)
+    again = (
+        to_end.join(bad, "file").where("at > offset AND at < size").groupBy("file").agg(F.min("at").alias("at"))
+    )
+    again = written(again, "again")
+    more = reachable(nodes, again).select(good.columns)
+    reports = bad.join(again, "file", "left").select(
+        "file", "offset", (F.coalesce("at", "size") - F.col("offset")).alias("bytes"), "reason")
+    return good.select("file", "block", "at", "reach").union(more.select("file", "block", "at", "reach")), reports
+
+
 def read_warc(spark: SparkSession, path: str, parse: Parser = as_is, schema: str = AS_IS) -> DataFrame:
-    """``file, offset`` and the parser's columns of each verified record.
+    """``file, offset`` and the parser's columns of each verified record."""
+    return read_verified(spark, path, parse, schema)[0]
+
+
+def read_verified(
+    spark: SparkSession, path: str, parse: Parser = as_is, schema: str = AS_IS, resync: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """``file, offset`` and the parser's columns of each verified record, and
+    ``file, offset, bytes, reason`` of each stretch that isn't in one.
 
     ``parse`` runs where a candidate is read, so with a parser that keeps little,
     little is moved; candidates that aren't reached are dropped with what it
     made of them. Records whose payload holds magic lie in several stretches;
-    those are read again, put together and parsed.
+    those are read again, put together and parsed. With ``resync`` records
+    behind a broken place are given out too, from the first candidate on whose
+    chain leads to the file's end; a whole record inside the broken one's
+    payload could be taken for it, so it isn't the default.
     """
     seen = written(candidates(spark, path, parse, schema), "candidates")
-    per = seen.groupBy("file", "block").agg(F.sum("size").alias("bytes"))
+    per = seen.groupBy("file", "block").agg(F.max(F.col("at") + F.col("size")).alias("bytes"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     bases = written(per.select(
         "file", "block", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base")), "bases")
     placed = seen.join(bases, ["file", "block"]).select(
         "file", "block", (F.col("at") + F.col("base")).alias("at"), "size",
         (F.col("reach") + F.col("base")).alias("reach"), "found")
-    good = written(reachable(placed.select("file", "block", "at", "size", "reach")), "records")
-    good = good.join(placed.select("file", "at", "size", "found"), ["file", "at"])
+    nodes = _chains(placed.select("file", "block", "at", "size", "reach"))
+    good, reports = _verified(spark, path, nodes, resync)
+    good = good.select("file", "at", "reach").join(placed.select("file", "at", "size", "found"), ["file", "at"])
     names = [f.name for f in StructType.fromDDL(schema)]
     whole = good.where("found IS NOT NULL").select("file", F.col("at").alias("offset"), "found.*")
-    cut = written(good.where("found IS NULL AND reach IS NOT NULL").select(
+    cut = written(good.where("found IS NULL").select(
         "file", F.col("at").alias("start"), F.col("reach").alias("stop")), "cut")
     if not cut.take(1):
-        return whole
+        return whole, reports
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _numbered(batches):
@@ -289,7 +356,8 @@ def read_warc(spark: SparkSession, path: str, parse: Parser = as_is, schema: str
         row = parse(parsed[0], data[parsed[1] : parsed[2]])
         return pd.DataFrame([(pdf["file"].iloc[0], pdf["start"].iloc[0], *row)], columns=["file", "offset", *names])
 
-    return whole.union(parts.groupBy("file", "start").applyInPandas(mend, f"file string, offset long, {schema}"))
+    mended = parts.groupBy("file", "start").applyInPandas(mend, f"file string, offset long, {schema}")
+    return whole.union(mended), reports
 
 
 def header(headers: str, name: str) -> str | None:
