@@ -12,6 +12,7 @@ import time
 from pyspark.sql import functions as F
 
 from tidemark.operators import alerts as A
+from tidemark.operators import candles as C
 from tidemark.plans.ingest import _PARSED_SQL
 from tidemark.plans.market import FIX_THRESHOLD, FIX_WARMUP_S, FIX_WINDOW_S, _alert_sql, _candle_sql, _r9
 from tidemark.plans.registry import ORACLES, register
@@ -19,6 +20,8 @@ from tidemark.schemas import TICK
 from tidemark.sources import fixtures as FX
 from tidemark.sources import store as S
 from tidemark.sources.payloads import parse_prices, price_rejects, read_payloads, write_landed
+from tidemark.streaming import candle_log as CL
+from tidemark.streaming import enrichment as E
 from tidemark.streaming import jobs as J
 from tidemark.streaming.detector import stream_alerts
 
@@ -176,6 +179,75 @@ def stream_candle_table(spark, sf):
     return spark.read.parquet(out).drop("bucket_date")
 
 
+@register("stream_candle_log", _candle_sql("date_trunc('hour', ingested_at)"))
+def stream_candle_log(spark, sf):
+    """I4: hourly candles as a log of partial candles, folded in mid-stream;
+    the second half of the stream brings late ticks of days long folded."""
+    landing, log, ck = (S.scratch_path(spark, n) for n in ("landing", "candle-log", "ckpt"))
+    ticks = FX.event_ticks(spark, sf)
+    late = F.minute("ingested_at") % 7 == 3
+    half = (F.col("ingested_at") < F.lit("2024-01-16 00:00:00").cast("timestamp")) & ~late
+    for part in (ticks.where(half), ticks.where(~half)):
+        _land_in_order(spark, part, path=landing)
+        stream = spark.readStream.schema(TICK).option("maxFilesPerTrigger", 2).parquet(landing)
+        CL.start_candle_log(stream, log, ck, "1 hour").awaitTermination()
+        if not CL.S.list_partitions_of(spark, f"{log}/{CL.BASE}", CL.DAY):
+            CL.fold(spark, log)
+    return CL.read_candles(spark, log)
+
+
+@register("refresh_invalidated", _candle_sql("date_trunc('hour', ingested_at)").replace(
+    "GROUP BY ALL", "WHERE ingested_at < TIMESTAMP '2024-01-20 23:00:00' GROUP BY ALL"))
+def refresh_invalidated(spark, sf):
+    """Ticks streamed into the store long after their hours were rolled up.
+    The sink notes the hours; a refresh of one day's window recomputes these
+    too and ends like a full rebuild."""
+    landing, store, rollup, ck = (S.scratch_path(spark, n) for n in ("landing", "store", "rollup", "ckpt"))
+    ticks = FX.event_ticks(spark, sf)
+    late = F.minute("ingested_at") % 7 == 3
+    cut = F.col("ingested_at") < F.lit("2024-01-16 00:00:00").cast("timestamp")
+
+    def land(part):
+        _land_in_order(spark, part, path=landing)
+        stream = spark.readStream.schema(TICK).option("maxFilesPerTrigger", 3).parquet(landing)
+        J.start_tick_store(stream, store, ck, rollups={rollup: "1 hour"}).awaitTermination()
+
+    land(ticks.where(cut & ~late))
+    spark.createDataFrame([], C.candles(ticks, "1 hour").withColumn("bucket_date", F.to_date("bucket")).schema) \
+        .write.parquet(rollup)
+    S.refresh_invalidated(spark, rollup, spark.read.parquet(store), "2024-01-16 00:00:00", "30 days", "1 hour", "1 hour")
+    land(ticks.where(~(cut & ~late)))
+    S.refresh_invalidated(spark, rollup, spark.read.parquet(store), "2024-01-21 00:00:00", "6 days", "1 hour", "1 hour")
+    return spark.read.parquet(rollup).drop("bucket_date")
+
+
+@register("stream_enrich", """
+SELECT CAST(e.event_id AS VARCHAR) AS key, e.event_id, e.user_id, e.value, c.c_mktsegment, c.c_nationkey
+FROM events e JOIN customer c ON c.c_custkey = e.user_id
+""")
+def stream_enrich(spark, sf):
+    """C4 live: events enriched with their customer and written back. Half of
+    the customers land after the first half of the events, whose records wait
+    for them; records of customers that never come stay in the buffer."""
+    landing, dims, out, ck = (S.scratch_path(spark, n) for n in ("landing", "dims", "enriched", "ckpt"))
+    events = FX.load(spark, sf, "events").select("event_id", "user_id", "value", F.col("ts").cast("timestamp").alias("ingested_at"))
+    customers = FX.load(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment", "c_nationkey")
+    table = E.VersionedTable(spark, dims)
+    table.put(customers.where("user_id % 2 = 0"))
+    half = F.col("ingested_at") < F.lit("2024-01-16 00:00:00").cast("timestamp")
+    schema = events.schema
+    for part in (events.where(half), events.where(~half)):
+        _land_in_order(spark, part, path=landing)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(landing)
+        E.start_enrichment(stream, dims, out, ck, "user_id", "event_id").awaitTermination()
+        if table.newest() == 1:
+            table.put(customers.where("user_id % 4 <> 1"))
+    table.put(customers)
+    E.settle(spark, dims, out, schema, "user_id", "event_id")
+    fields = "event_id long, user_id long, value double, c_mktsegment string, c_nationkey int"
+    return E.sent_records(spark, out).select("key", F.from_json("value", fields).alias("r")).select("key", "r.*")
+
+
 @register("stream_insert_ignore",
           f"SELECT *, CAST(ingested_at AS DATE) AS ingest_date FROM ({_PARSED_SQL}) p")
 def stream_insert_ignore(spark, sf):

@@ -282,6 +282,54 @@ def refresh_table(spark: SparkSession, rollup_path: str, ticks: DataFrame, now,
               .write.mode("append").parquet(f"{rollup_path}/{COMPLETED}"))
 
 
+INVALIDATED = "_invalidated"
+
+
+def record_invalidated(ticks: DataFrame, rollup_path: str, label: str, width: str = "1 minute") -> None:
+    """Note the buckets below the rollup's completed-through mark that
+    ``ticks`` fall into, in a folder of their own beside the rollup. Call it
+    before the ticks are stored: a job that dies in between has only noted a
+    bucket too many. ``label`` names the folder (a micro-batch; a replay
+    overwrites it)."""
+    from tidemark.operators.candles import bucket_of
+
+    spark = ticks.sparkSession
+    mark = completed_through(spark, rollup_path)
+    if mark is None:  # nothing is materialised
+        return
+    late = ticks.where(F.col("ingested_at") < F.lit(mark)).select(bucket_of("ingested_at", width).alias("bucket"))
+    late.distinct().write.mode("overwrite").parquet(f"{rollup_path}/{INVALIDATED}/{label}")
+
+
+def refresh_invalidated(spark: SparkSession, rollup_path: str, ticks: DataFrame, now, start_offset: str,
+                        end_offset: str, width: str = "1 minute", keys: Sequence[str] = ("asset_id",)) -> None:
+    """D7 driven by late ticks: :func:`refresh_table` that also recomputes the
+    noted buckets, however old, and nothing else. Days that hold neither are
+    not read. The notes go once the new candles are in."""
+    from tidemark.operators.candles import bucket_of, candles, refresh_window
+
+    fs, root = _fs(spark, f"{rollup_path}/{INVALIDATED}")
+    names = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
+    notes = [f"{rollup_path}/{INVALIDATED}/{n}" for n in names if fs.exists(_fs(spark, f"{rollup_path}/{INVALIDATED}/{n}/_SUCCESS")[1])]
+    if notes:
+        lo, hi = refresh_window(now, start_offset, end_offset, width)
+        buckets = spark.read.schema("bucket timestamp").parquet(*notes).distinct()
+        old = buckets.where(~((F.col("bucket") >= lo) & (F.col("bucket") < hi)))
+        days = [r[0] for r in old.select(F.to_date("bucket")).distinct().collect()]  # at most as many as folders
+        if days:
+            stored = spark.read.parquet(rollup_path).where(F.col("bucket_date").isin(days))
+            kept = stored.drop("bucket_date").join(old, "bucket", "left_anti")
+            day = F.col(PART) if PART in ticks.columns else F.to_date("ingested_at")
+            again = ticks.where(day.isin(days)).withColumn("bucket", bucket_of("ingested_at", width)).join(
+                old, "bucket", "left_semi").drop("bucket")
+            new = kept.unionByName(candles(again, width, keys).select(*kept.columns))
+            overwrite_partitions(new.withColumn("bucket_date", F.to_date("bucket")), rollup_path,
+                                 scratch_path(spark, "invalidated"), "bucket_date", touched=days)
+    refresh_table(spark, rollup_path, ticks, now, start_offset, end_offset, width, keys)
+    for note in notes:
+        drop_folder(spark, note)
+
+
 COMPLETED = "_completed_through"
 
 

@@ -121,7 +121,8 @@ QUARANTINE = "_quarantine"
 
 
 def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_id", "ingested_at"),
-                     order: Sequence[str] = ("ingested_at",), trigger: dict | None = None) -> StreamingQuery:
+                     order: Sequence[str] = ("ingested_at",), trigger: dict | None = None,
+                     rollups: dict[str, str] | None = None) -> StreamingQuery:
     """Every micro-batch is made durable at once with insert-ignore
     semantics: first row per key in the batch, keys already stored dropped,
     then appended. ``order`` says which row of a batch came first: give it the
@@ -131,7 +132,9 @@ def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_i
     (partition pruning) and its ``ingested_at`` range (Parquet statistics
     skip the rest), so a trigger never rescans the table. Rows that lack a part
     of the key can't be stored under it; they go to ``path/_quarantine`` (a
-    folder that reads of the table skip), one folder per micro-batch."""
+    folder that reads of the table skip), one folder per micro-batch.
+    ``rollups`` (path to bucket width) are told which of their completed
+    buckets the stored ticks fall into (:func:`tidemark.sources.store.refresh_invalidated`)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         extra = [c for c in order if c not in TICK_COLUMNS]
         place = F.monotonically_increasing_id().alias("_place")
@@ -159,6 +162,8 @@ def start_tick_store(ticks: DataFrame, path: str, checkpoint: str, key=("asset_i
                 stored = (stored
                           .where(F.col("ingested_at").between(span["lo"], span["hi"])))
             new = insert_ignore(stored, batch, list(key), [*order, "_place"], partition_col=S.PART)
+            for rollup, width in (rollups or {}).items():
+                S.record_invalidated(new, rollup, f"batch={batch_id}", width)
             new.select(*TICK_COLUMNS, S.PART).write.mode("append").option("compression", "zstd") \
                 .partitionBy(S.PART).parquet(path)
         finally:
