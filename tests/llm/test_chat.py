@@ -63,6 +63,21 @@ def test_attachments(spark):
     assert [r.formatted[s.start : s.start + s.length] for s in r.loss_spans] == ["yes"]
 
 
+def test_typed_parts_come_back(spark):
+    """References and texts that hold marks, ends of marks and escapes."""
+    refs = ["a", 'a"|>', "|>", "a|", "|", "<", "a<", "a<|", "\\", "\\>", "|\\>", "<|image:x|>", "<|end|>", "", "a\nb"]
+    rows = []
+    for i, ref in enumerate(refs):
+        for j, text in enumerate(["hi", "|>", "x|>hi", "end|>", "|x", "<|image:r|>", "\\", "a|>b|>c", "\\>"]):
+            rows.append((100 * i + j, 0, "user", [part("text", text), part("image", ref=ref), part("text", text), part("audio", ref=ref)]))
+    formatted = chat.format_chats(conversations(spark, rows))
+    assert "Python" not in chat.read_parts(formatted)._jdf.queryExecution().toString()
+    out = {r.conv_id: [(t.role, [tuple(p) for p in t.parts]) for t in r.turns] for r in chat.read_parts(formatted).collect()}
+    assert out == {
+        c: [(role, [(p[0], p[1] if p[0] == "text" else p[2]) for p in ps])] for c, _, role, ps in rows}
+    assert len({r.formatted for r in formatted.collect()}) == len(rows)
+
+
 def test_odd_rows(spark):
     long = "word " * 50000
     rows = [

@@ -60,6 +60,61 @@ def test_interactions_are_learnt():
     assert np.mean((np.array(z) > 0) == np.array(y, bool)) > 0.95
 
 
+def fm_loop(model, text, n_chars, bits):
+    """The machine's score from every pair of features."""
+    w0, w, v = model
+    words = sorted({zlib.crc32(x) & 2**bits - 1 for x in set(letters(text))})
+    at = [2**bits + i * Q.BINS + b for i, b in enumerate(Q.structure(text, n_chars))]
+    x = [(i, 1 / max(1, len(words)) ** 0.5) for i in words] + [(i, 1.0) for i in at]
+    z = w0 + sum(w[i] * a for i, a in x)
+    for n, (i, a) in enumerate(x):
+        for j, b in x[:n]:
+            z += float(v[i] @ v[j]) * a * b
+    return 1 / (1 + np.exp(-z))
+
+
+def labelled_table(spark, n=260):
+    docs = table(spark, SF01, "documents").where(f"doc_id < {n}")
+    return docs, table(spark, SF01, "labels")
+
+
+def test_quality_scores_against_all_pairs(spark):
+    docs, labels = labelled_table(spark)
+    model = Q.train(docs, labels, bits=10)
+    rows = Q.score_documents(docs, labels, bits=10).collect()
+    assert len({r.score for r in rows}) > 50
+    for r in rows[:60]:
+        assert r.score == pytest.approx(fm_loop(model, r.text, r.n_chars, 10), abs=1e-9)
+
+
+def test_toxicity_scores_against_a_loop(spark):
+    docs, labels = labelled_table(spark)
+    w, offset = T.train(docs, labels)
+    rows = T.score_documents(docs, labels).collect()
+    for r in rows:
+        ws = set(letters(r.text))
+        found = ws | {x[: T.STEM] + b"-" for x in ws if len(x) > T.STEM}
+        z = offset + sum(w[zlib.crc32(x) & len(w) - 1] for x in found)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+    assert len({round(r.score, 6) for r in rows}) > 5
+
+
+@pytest.mark.parametrize("op", [T, Q])
+def test_of_several_texts_of_one_id_one_is_learnt(make_docs, spark, op):
+    rows, labels = biased(80)
+    labels = spark.createDataFrame(labels, LABELS)
+    column = "toxic" if op is T else "quality"
+    labels = labels.withColumn(column, (labels.doc_id % 2).cast("int"))
+    again = [(i, "zzz " + t) for i, t in rows] + [(i, None) for i, _ in rows[:5]]
+    probe = make_docs([(999, "w1 w2 scum zzz"), (998, "w3")]).drop("n_chars")
+    got = []
+    for n in (1, 5):
+        docs = make_docs(rows + again).repartition(n).drop("n_chars")
+        scored = op.score_documents(docs.unionByName(probe), labels)
+        got.append(sorted((r.doc_id, r.score) for r in scored.where("doc_id > 900").collect()))
+    assert got[0] == got[1]
+
+
 def biased(n=600):
     """Sentences where a group is mostly named in toxic ones."""
     rng = random.Random(7)

@@ -71,6 +71,41 @@ def test_against_all_pairs(make_docs, bits):
     assert found(jaccard.jaccard_components(make_docs(docs), bits=bits)) == brute(docs)
 
 
+def test_a_template_that_all_share_makes_no_pairs(make_docs, spark, monkeypatch):
+    """Documents of one passage and enough words of their own, one of them with
+    a copy: pairs grow with documents, not with their square."""
+    template = [f"t{i}" for i in range(100)]
+    built = {}
+    verify = jaccard.verify
+    monkeypatch.setattr(jaccard, "verify", lambda docs, pairs, *a: verify(docs, count(pairs), *a))
+
+    def count(pairs):
+        built[n] = built.get(n, 0) + pairs.count()
+        return pairs
+
+    for n in (60, 120):
+        rows = [(i, " ".join(template + [f"own{i}x{j}" for j in range(12 + i % 7)])) for i in range(n)]
+        rows.append((n, rows[3][1] + " more"))
+        assert found(jaccard.jaccard_components(make_docs(rows))) == brute(rows)
+    assert built[120] <= 2.5 * built[60] and built[120] <= 4 * 120
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sizes_at_the_threshold(make_docs, seed):
+    """Pairs of unlike sizes that share exactly enough, or one token less."""
+    rng = random.Random(seed)
+    rows, at = [], 0
+    for g in range(14):
+        big = [f"g{g}w{i}" for i in range(rng.randint(30, 140))]
+        for cut in range(0, len(big) // 3, rng.randint(2, 6)):
+            rows.append((at, " ".join(big[cut:])))
+            rows.append((at + 1, " ".join(big[: len(big) - cut] + [f"x{at}y{i}" for i in range(rng.randint(0, 9))])))
+            at += 2
+    ids = rng.sample(range(10**4), len(rows))
+    rows = [(i, t) for i, (_, t) in zip(ids, rows)]
+    assert found(jaccard.jaccard_components(make_docs(rows), bits=8 + 6 * seed)) == brute(rows)
+
+
 def test_a_chain_through_members_is_one_component(make_docs):
     words = [f"w{i}" for i in range(100)]
     rows = [(i, " ".join(words[4 * i :] + [f"e{j}" for j in range(4 * i)])) for i in range(8)]

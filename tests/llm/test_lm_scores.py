@@ -41,6 +41,15 @@ def test_scores_match_the_definition(make_docs, chunk_bytes, order):
     assert [x[3] for x in out] == [pytest.approx(w, abs=1e-5) for w in want]
 
 
+@pytest.mark.parametrize("fan, group", [(2, 2), (4, 3), (8, 64)])
+def test_levels_of_the_count_table(make_docs, fan, group):
+    """Many chunks, few senders a bucket: totals come through several levels."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("a b c d e F f".split()) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    df = lm_scores(make_docs(list(enumerate(texts))), chunk_bytes=200, fan=fan, group=group)
+    assert [x[3] for x in got(df)] == [pytest.approx(w, abs=1e-5) for w in brute(texts)]
+
+
 def test_odd_rows(make_docs):
     want = brute([r[1] for r in ODD])
     out = got(lm_scores(make_docs(ODD), chunk_bytes=5000))

@@ -52,6 +52,32 @@ def test_edits_move_little(tmp_path, spark):
         **{(1, s): x for s, x in first.items()}, **{(2, s): x for s, x in grown.items()}}
 
 
+def test_a_grown_corpus_is_sharded_again(tmp_path, make_docs):
+    rng = random.Random(4)
+    docs = [(i, "w " * rng.randint(1, 300)) for i in range(400)]
+    path = str(tmp_path / "map")
+
+    def run(docs, shards):
+        rows = S.shard_documents(make_docs(docs), shards, 256, path).collect()
+        for k in range(shards):
+            mine = sorted(r.slot for r in rows if r.shard == k)
+            assert mine == list(range(len(mine)))
+        loads = [sum(r.size for r in rows if r.shard == k) for k in range(shards)]
+        assert max(loads) <= 1.1 * sum(loads) / shards
+        return {r.doc_id: r.shard for r in rows}
+
+    first = run(docs, 8)
+    m = S.SlotMap(make_docs([]).sparkSession, path)
+    assert run(docs, 8) == first and m.newest() == 1
+    grown = docs + [(1000 + i, "v " * rng.randint(1, 300)) for i in range(200)]
+    second = run(grown, 8)
+    assert sum(first[i] != second[i] for i in first) <= 40
+    third = run(grown, 9)
+    moved = [third[i] for i in second if second[i] != third[i]]
+    assert moved.count(8) >= 0.7 * len(moved) and len(moved) <= 1.7 * len(second) / 9 and m.newest() == 3
+    assert sorted({r.version for r in m.history().collect()}) == [1, 2, 3]
+
+
 def test_odd_rows(make_docs):
     rows = S.shard_documents(make_docs(ODD).selectExpr("*", "'x' AS shard", "'y' AS size"), shards=3).collect()
     assert len(rows) == len(ODD)

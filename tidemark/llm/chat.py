@@ -7,7 +7,9 @@ the list of attachments. Turns are marked ``<|turn|>role<|text|>content<|end|>``
 
 Inside texts ``\`` becomes ``\\`` and ``<|`` becomes ``<\|``, also where one part
 ends with ``<`` and the next begins with ``|``, so no content holds ``<|``: marks
-can't be forged, and undoing both escapes gives the text back.
+can't be forged, and undoing both escapes gives the text back. In a reference
+``|>`` becomes ``|\>`` too, so a placeholder ends where it says and typed parts
+can be read back; text parts that follow each other are one then.
 
 Nulls and edge cases: null texts, roles and references are empty; a null list of
 parts is an empty content; parts of other types are kept as text; rows of one
@@ -35,7 +37,7 @@ def escape(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    return F.regexp_replace(c, r"\\([\\|])", "$1")
+    return F.regexp_replace(c, r"\\([\\|>])", "$1")
 
 
 def text_part(text: Column) -> Column:
@@ -63,7 +65,8 @@ def is_attachment(p: Column) -> Column:
 
 def flatten(p: Column) -> Column:
     """What a part becomes in the formatted text."""
-    mark = F.concat(F.lit("<|"), p["type"], F.lit(":"), escape(p["ref"]), F.lit("|>"))
+    ref = F.replace(escape(p["ref"]), F.lit("|>"), F.lit("|\\>"))
+    mark = F.concat(F.lit("<|"), p["type"], F.lit(":"), ref, F.lit("|>"))
     return F.when(is_attachment(p), mark).otherwise(escape(p["text"]))
 
 
@@ -126,12 +129,44 @@ def format_chats(messages: DataFrame) -> DataFrame:
         "attachments", F.lit(0).cast("bigint"), lambda a, x: a + x["tokens"]))
 
 
+def _turns(formatted: str) -> Column:
+    """(role, content) of each turn, escaped as they stand."""
+    whole = F.filter(F.split(formatted, r"<\|end\|>"), lambda x: x != "")
+    return F.transform(whole, lambda x: F.split(F.substring_index(x, TURN, -1), r"<\|text\|>", 2))
+
+
+def read_parts(formatted: DataFrame) -> DataFrame:
+    """``conv_id, turns`` back from the formatted text: a turn is its role and
+    its parts as (type, value), the value a text or an attachment's reference."""
+    kinds = r"<\|(?:image|audio|document):"
+
+    def typed(x: Column) -> Column:
+        found = x.rlike("^" + kinds)
+        return F.struct(
+            F.when(found, F.regexp_extract(x, r"^<\|(\w+):", 1)).otherwise("text").alias("type"),
+            F.when(found, unescape(F.regexp_replace(x, rf"^{kinds}|\|>$", ""))).otherwise(unescape(x)).alias("value"))
+
+    def put(parts: Column, p: Column) -> Column:
+        """Append a part; a text goes on with a text before it."""
+        last = F.element_at(parts, -1)
+        both = F.struct(p["type"].alias("type"), F.concat(last["value"], p["value"]).alias("value"))
+        text = (F.size(parts) > 0) & (last["type"] == "text") & (p["type"] == "text")
+        return F.when(text, F.concat(F.slice(parts, F.lit(1), F.size(parts) - 1), F.array(both))).otherwise(
+            F.concat(parts, F.array(p)))
+
+    # a text may hold |>, so it may be cut there: its pieces are put together again,
+    # before escapes are undone, as none of them ends inside one
+    pieces = lambda c: F.filter(F.split(c, rf"(?={kinds})|(?<=\|>)"), lambda x: x != "")
+    none = F.array().cast("array<struct<type:string,value:string>>")
+    parts = lambda c: F.aggregate(F.transform(pieces(c), typed), none, put)
+    turns = F.transform(_turns("formatted"), lambda t: F.struct(unescape(t[0]).alias("role"), parts(t[1]).alias("parts")))
+    return formatted.select("conv_id", turns.alias("turns"))
+
+
 def read_chats(formatted: DataFrame) -> DataFrame:
     """``conv_id, turns, loss_text`` back from the formatted text and its spans;
     turns are (role, text) with escapes undone, placeholders left as they are."""
-    whole = F.filter(F.split("formatted", r"<\|end\|>"), lambda x: x != "")
-    turn = lambda x: F.split(F.substring_index(x, TURN, -1), r"<\|text\|>", 2)
-    turns = F.transform(F.transform(whole, turn), lambda x: F.struct(
+    turns = F.transform(_turns("formatted"), lambda x: F.struct(
         unescape(x[0]).alias("role"), unescape(x[1]).alias("text")))
     masked = F.transform("loss_spans", lambda s: unescape(
         F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))

@@ -34,6 +34,13 @@ def sample(labels: DataFrame, label: str, usable: Column, most: int) -> DataFram
     )
 
 
+def one_text(sampled: DataFrame) -> DataFrame:
+    """One row per ``doc_id``: of rows that repeat it the one with the smallest
+    text, so a rerun learns from the same."""
+    rest = [c for c in sampled.columns if c not in ("doc_id", "text")]
+    return sampled.groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("r")).select("doc_id", "r.*")
+
+
 def letters(text: str | None) -> list[bytes]:
     """Lower-case words of letters; what isn't a letter in ASCII cuts."""
     return text.lower().encode("utf-8").translate(_CUT).split() if text else []

@@ -9,24 +9,25 @@ The model is fitted on at most ``train_rows`` labelled documents (a bounded
 sample, whole texts) and applied to every whole text of every row.
 
 Nulls and edge cases: null and empty texts have no words and the bins of zero;
-a null n_chars has a bin of its own; rows without doc_id are scored and never
-learnt from; repeated rows are scored alike; without labelled rows, or with one
+a null n_chars, or none at all, has a bin of its own; rows without doc_id are
+scored and never learnt from; repeated rows are scored alike, and of different
+texts of one doc_id the smallest is learnt from; without labelled rows, or with one
 label only, the score is the smoothed rate of the label; empty tables give empty
 tables; other columns are left alone, and a clashing ``score`` is replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import log2
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.labelled import Buckets, fold, letters, sample
+from tidemark.llm.labelled import Buckets, fold, letters, one_text, sample
 
 BITS, FACTORS, BINS = 15, 8, 24
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
@@ -34,6 +35,7 @@ FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
 _UPPER, _DIGIT = bytes(range(65, 91)), bytes(range(48, 58))
 _SYMBOL, _POINT, _SPACE = b"#*$%&|<>{}[]=+~^_\\/@", b"!?", b" \t\n\r\x0b\x0c"
 N_STATS = 15
+SCORED_AT_ONCE = 256
 
 
 def structure(text: str | None, n_chars: int | None) -> list[int]:
@@ -137,31 +139,40 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = 10_000, bits: in
 
     # known has train_rows rows of two numbers at most
     rows = (
-        docs.select("doc_id", "text", "n_chars").join(F.broadcast(known), "doc_id")
-        .mapInArrow(extract, "doc_id long, y int, ids array<int>, n int")
-        .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+        one_text(docs.select("doc_id", "text", _n_chars(docs).alias("n_chars")).join(F.broadcast(known), "doc_id"))
+        .mapInArrow(extract, "doc_id long, y int, ids array<int>, n int").toArrow().sort_by("doc_id")
     )
     ids = [np.asarray(r.values, np.int32) for r in rows.column("ids")]
     return fit(list(zip(ids, rows.column("n").to_pylist())), np.asarray(rows.column("y").to_pylist(), float), bits, **options)
 
 
+def _n_chars(docs: DataFrame) -> Column:
+    return F.col("n_chars") if "n_chars" in docs.columns else F.lit(None).cast("long")
+
+
+def score_texts(model, texts: Iterable[str | None], n_chars: Iterable[int | None], bucket: Buckets, bits: int) -> np.ndarray:
+    """Scores (0 to 1) of texts under the machine ``(w0, w, v)``."""
+    got = [features(t, c, bucket, bits) for t, c in zip(texts, n_chars)]
+    out = [np.empty(0)]
+    for at in range(0, len(got), SCORED_AT_ONCE):
+        part = got[at : at + SCORED_AT_ONCE]
+        ids = np.concatenate([i for i, _ in part])
+        x = np.concatenate([values(len(i), n) for i, n in part])
+        starts = np.cumsum([0, *(len(i) for i, _ in part[:-1])])
+        out.append(raw_score(*model, ids, x, starts)[0])
+    return 1 / (1 + np.exp(-np.clip(np.concatenate(out), -40, 40)))
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, bits: int = BITS, **options) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1, higher: better) added or replaced."""
+    """``docs`` with ``score`` (0 to 1, higher: better) added or replaced.
+    ``n_chars`` is used where ``docs`` has it."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, bits=bits, **options))  # fixed size
 
     @F.pandas_udf("double")
     def score(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        w0, w, v = shared.value
         bucket = Buckets(bits)
         for texts, n_chars in parts:
-            out = []
-            for t, c in zip(texts, n_chars):
-                ids, n = features(t, None if c is None or pd.isna(c) else int(c), bucket, bits)
-                x = values(len(ids), n)
-                vx = v[ids] * x[:, None]
-                s = vx.sum(axis=0)
-                out.append(w0 + w[ids] @ x + 0.5 * (s @ s - (vx * vx).sum()))
-            z = np.clip(np.array(out, float), -40, 40)
-            yield pd.Series(1 / (1 + np.exp(-z)))
-
-    return docs.withColumn("score", score(F.col("text"), F.col("n_chars")))
+            known = [None if c is None or pd.isna(c) else int(c) for c in n_chars]
+            yield pd.Series(score_texts(shared.value, texts, known, bucket, bits))
+
+    return docs.withColumn("score", score(F.col("text"), _n_chars(docs)))

@@ -3,7 +3,9 @@
 A record's hash gives it one of some thousands of slots, for good. Bytes are
 added up per slot, and a versioned map says which shard holds a slot. The first
 map deals slots from the largest down to the lightest shard; later versions are
-edits: to even out or to add shards, single slots move and all others stay.
+edits: to even out or to add shards, single slots move and all others stay. A
+corpus that has grown is sharded again by the map's newest version, edited to its
+new bytes, so nearly all records stay where they are.
 
 Nulls and edge cases: a null text has 0 bytes and no checksum but the overhead;
 rows without doc_id hash by their size and checksum; repeated rows go to the
@@ -100,9 +102,35 @@ class SlotMap:
 
     def put(self, version: int, shards: dict[int, int]) -> DataFrame:
         rows = self.spark.createDataFrame(sorted(shards.items()), "virtual_slot int, shard int")
-        rows.coalesce(1).write.mode("errorifexists").parquet(self._at(version))
+        # what a job that died left there has no _SUCCESS and no reader
+        mode = "errorifexists" if version == self.newest() else "overwrite"
+        rows.coalesce(1).write.mode(mode).parquet(self._at(version))
         return self.get(version)
 
+    def newest(self) -> int | None:
+        """The highest version that was written whole; None without any."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return None
+        names = [st.getPath().getName() for st in fs.listStatus(root)]
+        versions = [int(n.split("=")[1]) for n in names if n.startswith("version=")]
+        whole = [v for v in versions if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self._at(v)}/_SUCCESS"))]
+        return max(whole, default=None)
+
+    def edited(self, weights: dict[int, int], shards: int, slots: int, slack: float = 0.02) -> DataFrame:
+        """The map for these bytes per slot: the newest version if it is even
+        enough, else an edit of it as the next one; without any, version 1."""
+        last = self.newest()
+        if last is None:
+            return self.put(1, assign(weights, shards, slots))
+        now = {r["virtual_slot"]: r["shard"] for r in self.get(last).collect()}  # a row per slot
+        if len(now) != slots:
+            raise ValueError(f"the map has {len(now)} slots, not {slots}: slots are fixed for good")
+        new = rebalance(now, weights, shards, slack)
+        return self.get(last) if new == now else self.put(last + 1, new)
+
     def get(self, version: int) -> DataFrame:
         return self.spark.read.schema("virtual_slot int, shard int").parquet(self._at(version))
 
@@ -113,8 +141,8 @@ class SlotMap:
 def shard_documents(
     docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, path: str | None = None,
 ) -> DataFrame:
-    """``doc_id, size, text_crc32, virtual_slot, shard, slot`` per row, and
-    version 1 of the map in ``path``.
+    """``doc_id, size, text_crc32, virtual_slot, shard, slot`` per row by the map
+    in ``path``: a new one, or one that is there, edited where that is needed.
 
     ``slot`` is the row's place in its shard, gapless from 0: the rows of the
     shard's earlier virtual slots, then its rank among those of its own. Ranks
@@ -124,7 +152,7 @@ def shard_documents(
     rows = written(with_slots(docs.select("doc_id", "text"), slots).drop("text"), "slotted")
     per = written(slot_bytes(rows), "slot-bytes")
     weights = {r["virtual_slot"]: r["bytes"] for r in per.collect()}  # one row per slot at most
-    chosen = SlotMap(spark, path).put(1, assign(weights, shards, slots))
+    chosen = SlotMap(spark, path).edited(weights, shards, slots)
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = per.join(chosen, "virtual_slot").select(
         "virtual_slot", "shard", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("start"))

@@ -10,7 +10,8 @@ sample, whole texts) and applied to every whole text of every row.
 
 Nulls and edge cases: null, empty and wordless texts get the score of a text
 without words; rows without doc_id are scored and never learnt from; repeated
-rows are scored alike; without labelled rows, or with one label only, the score
+rows are scored alike, and of different texts of one doc_id the smallest is
+learnt from; without labelled rows, or with one label only, the score
 is the smoothed rate of the label everywhere; empty tables give empty tables;
 only doc_id and text are read, other columns are left alone.
 """
@@ -22,10 +23,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.labelled import Buckets, Weights, fold, letters, sample
+from tidemark.llm.labelled import Buckets, Weights, fold, letters, one_text, sample
 
 BITS, STEM = 18, 5
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
@@ -79,14 +81,15 @@ def strength(n1: np.ndarray, n0: np.ndarray, docs1: float, docs0: float) -> np.n
 
 
 def fit(
-    rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[list[int], list[int]]], bits: int = BITS,
+    rows: list[np.ndarray], y: np.ndarray, changes: tuple[np.ndarray, np.ndarray, np.ndarray], bits: int = BITS,
     l1: float = 1e-3, counter: float = 1.0, steps: int = 200, rate: float = 0.5, least: float = 3.0,
 ) -> tuple[np.ndarray, float]:
     """Weights and offset: full-batch AdaGrad with soft thresholding.
 
     A feature counts as much as its :func:`strength`, so the penalty weighs less
     on those that tell the classes apart; below ``least`` it has no weight.
-    ``pairs`` are the hashed tokens of texts and of their counterfactuals.
+    ``changes`` are what texts and their counterfactuals don't share: number of
+    the pair, hashed token, and 1 where the text has it or -1.
     """
     prior = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))) if len(y) else 0.0
     w = np.zeros(2**bits)
@@ -101,9 +104,9 @@ def fit(
     place[used] = np.arange(len(used))
     scale = scale[used]
     doc, ids = doc[place[ids] >= 0], place[ids[place[ids] >= 0]]
-    d = [(i, place[x], sign) for i, p in enumerate(pairs) for side, sign in zip(p, (1.0, -1.0)) for x in side if place[x] >= 0]
-    d_pair, d_ids = (np.array([x[k] for x in d], np.int64) for k in (0, 1))
-    d_x = np.array([x[2] for x in d], float) * scale[d_ids]
+    d_pair, d_ids, d_x = (x[place[changes[1]] >= 0] for x in changes)
+    d_ids, n_pairs = place[d_ids], int(d_pair.max(initial=-1)) + 1
+    d_x = d_x * scale[d_ids]
     x = scale[ids]
     v, b, n = np.zeros(len(used)), prior, len(rows)
     g2, b2 = np.full(len(used), 1e-8), 1e-8
@@ -111,8 +114,8 @@ def fit(
         z = np.bincount(doc, v[ids] * x, n) + b
         e = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / n
         g = np.bincount(ids, e[doc] * x, len(used))
-        if len(d):
-            change = np.bincount(d_pair, v[d_ids] * d_x, len(pairs))
+        if n_pairs:
+            change = np.bincount(d_pair, v[d_ids] * d_x, n_pairs)
             g += 2 * counter / n * np.bincount(d_ids, change[d_pair] * d_x, len(used))
         g2 += g * g
         step = rate / np.sqrt(g2)
@@ -135,33 +138,39 @@ def train(
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = Buckets(bits)
         for b in batches:
-            ids, others = [], []
+            ids, swapped, gone, come = [], [], [], []
             for t in b.column("text").to_pylist():
                 ws = set(letters(t))
                 own = {bucket[w] for w in tokens(ws)}
                 ids.append(sorted(own))
-                mine = []
+                for out in (swapped, gone, come):
+                    out.append([])
                 for nth in range(n_swaps):
                     if (other := counterfactual(ws, swap, nth)) is not None:
                         changed = {bucket[w] for w in tokens(other)}
-                        mine.append([sorted(own - changed), sorted(changed - own)])
-                others.append(mine)
+                        a, b_ = sorted(own - changed), sorted(changed - own)
+                        swapped[-1] += [nth] * (len(a) + len(b_))
+                        gone[-1] += a + b_
+                        come[-1] += [1] * len(a) + [-1] * len(b_)
+            kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").cast(pa.int64()), b.column("y").cast(pa.int32()),
-                 pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(others, pa.list_(pa.list_(pa.list_(pa.int32()))))],
-                names=["doc_id", "y", "ids", "others"],
+                 *(pa.array(c, kind) for c in (ids, swapped, gone, come))],
+                names=["doc_id", "y", "ids", "nth", "token", "side"],
             )
 
     # known has train_rows rows of two numbers at most
     rows = (
-        docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "y")
-        .mapInArrow(extract, "doc_id long, y int, ids array<int>, others array<array<array<int>>>")
-        .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+        one_text(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "y"))
+        .mapInArrow(extract, "doc_id long, y int, ids array<int>, nth array<int>, token array<int>, side array<int>")
+        .toArrow().sort_by("doc_id")
     )
     ids = [r.values.to_numpy() for r in rows.column("ids")]
-    pairs = [(a, b) for mine in rows.column("others").to_pylist() for a, b in mine]
-    return fit(ids, np.asarray(rows.column("y").to_pylist(), float), pairs, bits, **options)
+    flat = {c: rows.column(c).combine_chunks().flatten().to_numpy() for c in ("nth", "token", "side")}
+    sizes = pc.list_value_length(rows.column("nth")).to_numpy()
+    pair = np.repeat(np.arange(len(ids)), sizes) * n_swaps + flat["nth"]
+    changes = pair, flat["token"], flat["side"].astype(float)
+    return fit(ids, np.asarray(rows.column("y").to_pylist(), float), changes, bits, **options)
 
 
 def scorer(spark, model: tuple[np.ndarray, float]):
