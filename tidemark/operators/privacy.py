@@ -12,24 +12,46 @@ from tidemark.functions.columns import broadcast_if_small
 
 # Mask patterns (Java regex, also valid RE2) applied in this
 # order (e-mail first, since addresses contain digits and dots), each match
-# replaced by its placeholder.
+# replaced by its placeholder. A card match is replaced only if it is one, see
+# :func:`is_card`.
 PII_PATTERNS = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<email>"),
     ("phone", r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}", "<phone>"),
-    ("card", r"\d{13,19}", "<card>"),
+    ("national", r"\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}", "<phone>"),
+    # groups of a card's digits, or a whole run of digits
+    ("card", r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d+|\d{4}[ -]\d{6}[ -]\d{5}|\d+", "<card>"),
     ("ip", r"(?:\d{1,3}\.){3}\d{1,3}", "<ip>"),
 )
 # A literal every match of the pattern contains: texts without it skip the
 # regex (a substring search instead of a backtracking scan of every position).
-_REQUIRED = {"email": "@", "phone": "+", "ip": "."}
+_REQUIRED = {"email": "@", "phone": "+", "national": "(", "ip": "."}
+#: Stands around candidates while they are told apart; no text holds it.
+_EDGE = "\uf8ff\ue000\uf8ff"
+
+
+def is_card(candidate: Column) -> Column:
+    """13 to 19 digits, with blanks or dashes or without, whose last one checks."""
+    digits = F.regexp_replace(candidate, "[ -]", "")
+    return F.char_length(digits).between(13, 19) & F.call_function("luhn_check", digits)
+
+
+def _mask_cards(c: Column, pattern: str, repl: str) -> Column:
+    """Candidates are put between edges, so cutting there leaves them at odd places."""
+    pieces = F.split(F.regexp_replace(c, f"({pattern})", f"{_EDGE}$1{_EDGE}"), _EDGE)
+    chosen = F.transform(pieces, lambda x, i: F.when((i % 2 == 1) & is_card(x), F.lit(repl)).otherwise(x))
+    return F.when(c.rlike(r"\d{4}"), F.array_join(chosen, "")).otherwise(c)
 
 
 def mask_text(col: str | Column, kinds: Sequence[str] | None = None) -> Column:
-    """Replace e-mails, phones, card-like digit runs and IPv4 addresses
-    inside free text with placeholders; whole text, JVM-side regex."""
+    """Replace e-mails, phones (international, or with an area code in
+    parentheses), card numbers (grouped or not, with a valid check digit) and
+    IPv4 addresses inside free text with placeholders; whole text, JVM-side."""
     c = F.col(col) if isinstance(col, str) else col
     for kind, pattern, repl in PII_PATTERNS:
         if kinds is None or kind in kinds:
+            if kind == "card":
+                c = _mask_cards(c, pattern, repl)
+                continue
             replaced = F.regexp_replace(c, pattern, repl)
             lit = _REQUIRED.get(kind)
             c = F.when(c.contains(lit), replaced).otherwise(c) if lit else replaced
@@ -46,7 +68,10 @@ def mask(df: DataFrame, columns: Sequence[str], kinds: Sequence[str] | None = No
 
 
 def token(col: str | Column, salt: str) -> Column:
-    """Deterministic, joinable token: ``sha256(salt || value)`` in hex."""
+    """Deterministic, joinable token: ``sha256(salt || value)`` in hex. An empty
+    salt is refused: unsalted hashes of names can be guessed."""
+    if not salt:
+        raise ValueError("a token needs a salt")
     c = F.col(col) if isinstance(col, str) else col
     return F.sha2(F.concat(F.lit(salt), c.cast("string")), 256)
 
@@ -79,7 +104,7 @@ def entitled_view(df: DataFrame, tags: Mapping[str, str], entitlements: Sequence
     """A projection chosen by the reader's entitlements: a tagged column
     is clear when its tag is entitled, absent when its tag is in ``hidden``
     and not entitled, and tokenised otherwise. Untagged columns are clear.
-    An empty salt is refused: unsalted hashes of names can be guessed."""
+    An empty salt is refused."""
     if not salt:
         raise ValueError("entitled_view needs a salt")
     out = []

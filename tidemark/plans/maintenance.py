@@ -13,6 +13,7 @@ from tidemark.operators import candles as C
 from tidemark.plans.ingest import _MARKETS_SQL
 from tidemark.plans.market import _candle_sql
 from tidemark.plans.registry import register
+from tidemark.sources import erasure as ER
 from tidemark.sources import store as S
 from tidemark.sources import fixtures as FX
 from tidemark.sources.fixtures import event_ticks, sql_ticks
@@ -151,3 +152,62 @@ def erase_in_store(spark, sf):
         .select(F.col("ts").cast("timestamp").alias("ingested_at"))
     S.erase_in_store(spark, path, subjects, "ingested_at")
     return spark.read.parquet(path)
+
+
+@register("erase_everywhere", f"""
+SELECT 'store' AS layer, asset_id, ingested_at AS time, price AS value FROM ({sql_ticks()}) t WHERE asset_id <> 'click'
+UNION ALL
+SELECT 'candles', asset_id, bucket, high FROM ({_candle_sql("date_trunc('hour', ingested_at)")}) c WHERE asset_id <> 'click'
+UNION ALL
+SELECT 'market', 'all', time_bucket(INTERVAL '1 hour', ingested_at), max(price) FROM ({sql_ticks()}) t
+WHERE asset_id <> 'click' GROUP BY 3
+UNION ALL
+SELECT 'alerts', event_type, ts, value FROM events WHERE event_type <> 'click' AND value > 300
+UNION ALL
+SELECT 'bronze', event_type, ts, NULL FROM events WHERE event_type <> 'click'
+UNION ALL
+SELECT 'audit', 'store', NULL, count(*) FROM events WHERE event_type = 'click'
+UNION ALL
+SELECT 'audit', 'alerts', NULL, count(*) FROM events WHERE event_type = 'click' AND value > 300
+UNION ALL
+SELECT 'audit', 'bronze', NULL, count(*) FROM events WHERE event_type = 'click'
+""")
+def erase_everywhere(spark, sf):
+    """L15 through all layers: one asset is gone from the tick store, its
+    candles, the market-wide candles (recomputed), the alert log and the landed
+    payloads; the audit tells how many rows went where."""
+    ticks = event_ticks(spark, sf)
+    store, hourly, market, alerts, bronze, audit = (
+        S.scratch_path(spark, n) for n in ("ticks", "candles", "market", "alerts", "bronze", "audit"))
+    S.append_ticks(ticks, store)
+    dated = lambda df: df.withColumn("bucket_date", F.to_date("bucket")).write.partitionBy("bucket_date")
+    dated(C.candles(ticks, "1 hour")).parquet(hourly)
+    whole = ticks.withColumn("asset_id", F.lit("all"))
+    dated(C.candles(whole, "1 hour", keys=())).parquet(market)
+    end = "2024-02-10 00:00:00"
+    S.refresh_table(spark, market, ticks, end, "1 day", "1 hour", "1 hour", keys=())
+    ticks.where("price > 300").select(F.to_json(F.struct("asset_id", "ingested_at", "price")).alias("value")).write.text(alerts)
+    write_landed(FX.event_price_payloads(spark, sf), bronze, "parquet")
+    layers = [
+        ER.Layer("market", "rollup", market, width="1 hour", keys=(), source="store"),
+        ER.Layer("store", "table", store), ER.Layer("candles", "table", hourly, partition="bucket_date"),
+        ER.Layer("alerts", "lines", alerts), ER.Layer("bronze", "payloads", bronze)]
+    subjects = spark.createDataFrame([("click",)], "asset_id string")
+    done = ER.erase_everywhere(spark, layers, subjects, "r1", "2024-03-01 00:00:00", audit)
+    none = F.lit(None)
+    line = F.from_json("value", "asset_id string, ingested_at timestamp, price double")
+    said = lambda layer, df, *c: df.select(F.lit(layer).alias("layer"), *[x.alias(n) for x, n in zip(c, ("asset_id", "time", "value"))])
+    col = F.col
+    parts = [
+        said("store", spark.read.parquet(store), col("asset_id"), col("ingested_at"), col("price")),
+        said("candles", spark.read.parquet(hourly), col("asset_id"), col("bucket"), col("high")),
+        said("market", spark.read.parquet(market), F.lit("all"), col("bucket"), col("high")),
+        said("alerts", spark.read.text(alerts).select(line.alias("r")).select("r.*"), col("asset_id"), col("ingested_at"), col("price")),
+        said("bronze", spark.read.parquet(bronze).select("ingested_at", F.explode(F.map_keys(F.from_json(
+            "payload", "map<string,string>"))).alias("asset_id")), col("asset_id"), col("ingested_at"), none.cast("double")),
+        said("audit", done.where("layer IN ('store', 'alerts', 'bronze')"), col("layer"), none.cast("timestamp"), col("rows_removed").cast("double")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.operators import alerts as A
 from tidemark.operators import candles as C
+from tidemark.operators.quality import in_range
 from tidemark.plans.ingest import _PARSED_SQL
 from tidemark.plans.market import FIX_THRESHOLD, FIX_WARMUP_S, FIX_WINDOW_S, _alert_sql, _candle_sql, _r9
 from tidemark.plans.registry import ORACLES, register
@@ -22,6 +24,8 @@ from tidemark.sources import store as S
 from tidemark.sources.payloads import parse_prices, price_rejects, read_payloads, write_landed
 from tidemark.streaming import candle_log as CL
 from tidemark.streaming import enrichment as E
+from tidemark.streaming import gates as G
+from tidemark.streaming import health as H
 from tidemark.streaming import jobs as J
 from tidemark.streaming.detector import stream_alerts
 
@@ -248,6 +252,79 @@ def stream_enrich(spark, sf):
     return E.sent_records(spark, out).select("key", F.from_json("value", fields).alias("r")).select("key", "r.*")
 
 
+@register("stream_first_readings", f"""
+SELECT * FROM ({FX.sql_ticks(True)}) t QUALIFY row_number() OVER (PARTITION BY asset_id, ts ORDER BY ingested_at) = 1
+""")
+def stream_first_readings(spark, sf):
+    """B7 exact: whole rows, as the batch operator gives them. Readings are known
+    for ten minutes behind the watermark, and renewed by each poll."""
+    out, ck = S.scratch_path(spark, "first"), S.scratch_path(spark, "ckpt")
+    with J.state_partitions(spark, STATE_PARTITIONS):
+        q = (H.stream_first_readings(_landed_ticks(spark, sf), "1 hour").writeStream.format("parquet")
+              .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(TICK).parquet(out)
+
+
+@register("stream_outages", """
+WITH p AS (SELECT user_id AS feed_id, ts AS polled_at, event_type <> 'error' AS ok FROM events),
+c AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (
+         PARTITION BY feed_id ORDER BY polled_at ROWS UNBOUNDED PRECEDING) AS c FROM p),
+r AS (SELECT *, CASE WHEN ok THEN c - 1 ELSE c END AS run FROM c),
+o AS (SELECT feed_id, min(polled_at) FILTER (WHERE NOT ok) AS outage_start,
+             max(polled_at) FILTER (WHERE NOT ok) AS outage_end, count(*) FILTER (WHERE NOT ok) AS skipped_polls,
+             min(polled_at) FILTER (WHERE ok) AS recovered_at
+      FROM r GROUP BY feed_id, run HAVING count(*) FILTER (WHERE NOT ok) > 0)
+SELECT feed_id, 'closed' AS event, * EXCLUDE (feed_id) FROM o WHERE recovered_at IS NOT NULL
+UNION ALL
+SELECT feed_id, 'opened', outage_start, NULL, NULL, NULL FROM o
+""")
+def stream_outages(spark, sf):
+    """A5 live: what opened and what closed, each once; the closed ones are the
+    batch report's."""
+    landing, out, ck = (S.scratch_path(spark, n) for n in ("polls", "outages", "ckpt"))
+    polls = FX.event_polls(spark, sf).withColumn("ingested_at", F.col("polled_at"))
+    _land_in_order(spark, polls, path=landing)
+    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+    with J.state_partitions(spark, STATE_PARTITIONS):
+        q = (H.stream_outages(stream).writeStream.format("parquet").option("path", out)
+              .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).drop("reason")
+
+
+@register("stream_gate", """
+WITH e AS (SELECT event_id, event_type, value, ts, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' THEN -value ELSE value END AS v
+           FROM events),
+t AS (SELECT *, CASE WHEN v < 0 OR v > 400 THEN 'range:value' END AS reason, CAST(ts AS DATE) = DATE '2024-01-10' AS held FROM e)
+SELECT CASE WHEN held OR reason IS NOT NULL THEN 'reject' ELSE 'good' END AS part, event_id, v AS value,
+       CASE WHEN reason IS NOT NULL THEN reason WHEN held THEN 'batch held back' END AS reasons
+FROM t
+""")
+def stream_gate(spark, sf):
+    """L6/L8 in flight: a file per day; the values of one day are negative, far
+    more than the rule tolerates. The stream stops there, with nothing of that
+    day stored; told to go on, it leaves the day out. A replay changes nothing."""
+    landing, out, ck = (S.scratch_path(spark, n) for n in ("days", "gated", "ckpt"))
+    bad = F.to_date("ingested_at") == F.lit("2024-01-10").cast("date")
+    rows = FX.load(spark, sf, "events").select("event_id", "value", F.col("ts").cast("timestamp").alias("ingested_at"))
+    rows = rows.withColumn("value", F.when(bad, -F.col("value")).otherwise(F.col("value")))
+    for part in (rows.where(F.col("ingested_at") < F.lit("2024-01-10").cast("timestamp")), rows.where(bad),
+                 rows.where(F.col("ingested_at") >= F.lit("2024-01-11").cast("timestamp"))):
+        _land_in_order(spark, part, path=landing)
+        stream = spark.readStream.schema(rows.schema).parquet(landing)
+        for how in ("halt", "divert"):
+            try:
+                G.start_gated_store(stream, [in_range("value", 0, 400, max_rate=0.5)], out, ck, how).awaitTermination()
+                break
+            except StreamingQueryException:
+                continue
+    schema = "event_id long, value double, reasons array<string>"
+    good, rejects = (G.gated(spark, out, part, schema) for part in (G.GOOD, G.REJECTS))
+    return good.select(F.lit("good").alias("part"), "event_id", "value", F.lit(None).cast("string").alias("reasons")).unionByName(
+        rejects.select(F.lit("reject").alias("part"), "event_id", "value", F.concat_ws(",", "reasons").alias("reasons")))
+
+
 @register("stream_insert_ignore",
           f"SELECT *, CAST(ingested_at AS DATE) AS ingest_date FROM ({_PARSED_SQL}) p")
 def stream_insert_ignore(spark, sf):

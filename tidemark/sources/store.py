@@ -301,30 +301,52 @@ def record_invalidated(ticks: DataFrame, rollup_path: str, label: str, width: st
     late.distinct().write.mode("overwrite").parquet(f"{rollup_path}/{INVALIDATED}/{label}")
 
 
+def _notes(spark: SparkSession, rollup_path: str) -> list[str]:
+    """Folders of noted buckets that were written whole."""
+    fs, root = _fs(spark, f"{rollup_path}/{INVALIDATED}")
+    names = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
+    folders = [f"{rollup_path}/{INVALIDATED}/{n}" for n in names]
+    return [f for f in folders if fs.exists(_fs(spark, f"{f}/_SUCCESS")[1])]
+
+
+def refresh_noted(spark: SparkSession, rollup_path: str, ticks: DataFrame, width: str = "1 minute",
+                  keys: Sequence[str] = ("asset_id",), inside=None) -> None:
+    """Recompute the buckets that :func:`record_invalidated` noted, and no
+    others; only their days are read and rewritten, and a day that has no candle
+    any more goes. Buckets of the condition ``inside`` are left to a refresh
+    that follows. The notes go once the new candles are in."""
+    from tidemark.operators.candles import bucket_of, candles
+
+    notes = _notes(spark, rollup_path)
+    if not notes:
+        return
+    old = spark.read.schema("bucket timestamp").parquet(*notes).distinct()
+    if inside is not None:
+        old = old.where(~inside)
+    days = [r[0] for r in old.select(F.to_date("bucket")).distinct().collect()]  # at most as many as folders
+    if days:
+        stored = spark.read.parquet(rollup_path).where(F.col("bucket_date").isin(days))
+        kept = stored.drop("bucket_date").join(old, "bucket", "left_anti")
+        day = F.col(PART) if PART in ticks.columns else F.to_date("ingested_at")
+        again = ticks.where(day.isin(days)).withColumn("bucket", bucket_of("ingested_at", width)).join(
+            old, "bucket", "left_semi").drop("bucket")
+        new = kept.unionByName(candles(again, width, keys).select(*kept.columns))
+        overwrite_partitions(new.withColumn("bucket_date", F.to_date("bucket")), rollup_path,
+                             scratch_path(spark, "invalidated"), "bucket_date", touched=days)
+    if inside is None:
+        for note in notes:
+            drop_folder(spark, note)
+
+
 def refresh_invalidated(spark: SparkSession, rollup_path: str, ticks: DataFrame, now, start_offset: str,
                         end_offset: str, width: str = "1 minute", keys: Sequence[str] = ("asset_id",)) -> None:
     """D7 driven by late ticks: :func:`refresh_table` that also recomputes the
-    noted buckets, however old, and nothing else. Days that hold neither are
-    not read. The notes go once the new candles are in."""
-    from tidemark.operators.candles import bucket_of, candles, refresh_window
+    noted buckets, however old. Days that hold neither are not read."""
+    from tidemark.operators.candles import refresh_window
 
-    fs, root = _fs(spark, f"{rollup_path}/{INVALIDATED}")
-    names = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
-    notes = [f"{rollup_path}/{INVALIDATED}/{n}" for n in names if fs.exists(_fs(spark, f"{rollup_path}/{INVALIDATED}/{n}/_SUCCESS")[1])]
-    if notes:
-        lo, hi = refresh_window(now, start_offset, end_offset, width)
-        buckets = spark.read.schema("bucket timestamp").parquet(*notes).distinct()
-        old = buckets.where(~((F.col("bucket") >= lo) & (F.col("bucket") < hi)))
-        days = [r[0] for r in old.select(F.to_date("bucket")).distinct().collect()]  # at most as many as folders
-        if days:
-            stored = spark.read.parquet(rollup_path).where(F.col("bucket_date").isin(days))
-            kept = stored.drop("bucket_date").join(old, "bucket", "left_anti")
-            day = F.col(PART) if PART in ticks.columns else F.to_date("ingested_at")
-            again = ticks.where(day.isin(days)).withColumn("bucket", bucket_of("ingested_at", width)).join(
-                old, "bucket", "left_semi").drop("bucket")
-            new = kept.unionByName(candles(again, width, keys).select(*kept.columns))
-            overwrite_partitions(new.withColumn("bucket_date", F.to_date("bucket")), rollup_path,
-                                 scratch_path(spark, "invalidated"), "bucket_date", touched=days)
+    lo, hi = refresh_window(now, start_offset, end_offset, width)
+    notes = _notes(spark, rollup_path)
+    refresh_noted(spark, rollup_path, ticks, width, keys, (F.col("bucket") >= lo) & (F.col("bucket") < hi))
     refresh_table(spark, rollup_path, ticks, now, start_offset, end_offset, width, keys)
     for note in notes:
         drop_folder(spark, note)
