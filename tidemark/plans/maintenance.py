@@ -186,7 +186,8 @@ def erase_everywhere(spark, sf):
     dated(C.candles(whole, "1 hour", keys=())).parquet(market)
     end = "2024-02-10 00:00:00"
     S.refresh_table(spark, market, ticks, end, "1 day", "1 hour", "1 hour", keys=())
-    ticks.where("price > 300").select(F.to_json(F.struct("asset_id", "ingested_at", "price")).alias("value")).write.text(alerts)
+    ticks.where("price > 300").select(F.to_json(F.struct(
+        "asset_id", F.col("ingested_at").cast("string").alias("ingested_at"), "price")).alias("value")).write.text(alerts)
     write_landed(FX.event_price_payloads(spark, sf), bronze, "parquet")
     layers = [
         ER.Layer("market", "rollup", market, width="1 hour", keys=(), source="store"),
@@ -195,14 +196,14 @@ def erase_everywhere(spark, sf):
     subjects = spark.createDataFrame([("click",)], "asset_id string")
     done = ER.erase_everywhere(spark, layers, subjects, "r1", "2024-03-01 00:00:00", audit)
     none = F.lit(None)
-    line = F.from_json("value", "asset_id string, ingested_at timestamp, price double")
+    line = F.from_json("value", "asset_id string, ingested_at string, price double")
     said = lambda layer, df, *c: df.select(F.lit(layer).alias("layer"), *[x.alias(n) for x, n in zip(c, ("asset_id", "time", "value"))])
     col = F.col
     parts = [
         said("store", spark.read.parquet(store), col("asset_id"), col("ingested_at"), col("price")),
         said("candles", spark.read.parquet(hourly), col("asset_id"), col("bucket"), col("high")),
         said("market", spark.read.parquet(market), F.lit("all"), col("bucket"), col("high")),
-        said("alerts", spark.read.text(alerts).select(line.alias("r")).select("r.*"), col("asset_id"), col("ingested_at"), col("price")),
+        said("alerts", spark.read.text(alerts).select(line.alias("r")).select("r.*"), col("asset_id"), col("ingested_at").cast("timestamp"), col("price")),
         said("bronze", spark.read.parquet(bronze).select("ingested_at", F.explode(F.map_keys(F.from_json(
             "payload", "map<string,string>"))).alias("asset_id")), col("asset_id"), col("ingested_at"), none.cast("double")),
         said("audit", done.where("layer IN ('store', 'alerts', 'bronze')"), col("layer"), none.cast("timestamp"), col("rows_removed").cast("double")),
