@@ -279,13 +279,15 @@ def jaccard_components(
     # the smaller of two sets, of equal ones that with the smaller key, is met in
     # the first part of its prefix, the other one in all of its prefix
     first = F.expr(f"pos < n - ({2 * percent}L * n + {99 + percent}L) div {100 + percent}L + l")
-    met_at = written(
-        placed.groupBy("token", "component").agg(F.max(first).alias("first")), "met-components")
+    met_at = placed.groupBy("token", "component").agg(F.max(first).alias("first"))
+    open_ = placed.groupBy("token").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(first).alias("first")).where("lo < hi AND first")
+    met_at = written(met_at.join(open_.select("token"), "token", "left_semi"), "met-components")
     c, d = met_at.alias("c"), met_at.alias("d")
     facing = c.join(d, F.expr("c.token = d.token AND c.component <> d.component AND c.first")).select(
         "c.token", F.col("c.component").alias("component"), F.col("d.component").alias("other"))
-    a = placed.where(first).join(facing, ["token", "component"]).alias("a")
-    b = placed.alias("b")
+    left = written(placed.join(met_at.select("token").distinct(), "token", "left_semi"), "open")
+    a, b = left.where(first).join(facing, ["token", "component"]).alias("a"), left.alias("b")
     pairs = (
         a.join(b, F.expr(
             "a.token = b.token AND a.other = b.component AND (a.n < b.n OR a.n = b.n AND a.key < b.key)"
