@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from conftest import SF01
@@ -47,6 +48,35 @@ def test_thresholds_follow_the_group(make_docs):
     assert not kept[2000] and not kept[2001]
 
 
+def plain_quartiles(rows, k):
+    """By the definition, in fractions; rows are (lang, source, bin)."""
+    share = lambda some, b: Fraction(sum(x <= b for x in some), len(some))
+    bins = sorted({b for *_, b in rows})
+    everything = [b for *_, b in rows]
+    out = {}
+    for lang, source in {r[:2] for r in rows}:
+        of_lang = [b for x, _, b in rows if x == lang]
+        own = [b for x, y, b in rows if (x, y) == (lang, source)]
+
+        def upto(b):
+            parent = (len(of_lang) * share(of_lang, b) + k * share(everything, b)) / (len(of_lang) + k)
+            return (len(own) * share(own, b) + k * parent) / (len(own) + k)
+
+        out[lang, source] = tuple(next(b for b in bins if upto(b) >= Fraction(i, 4)) for i in (1, 2, 3))
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 7, 100])
+def test_quartiles_take_a_weight_of_the_parents(spark, k):
+    rng = random.Random(k)
+    rows = [(rng.choice(["en", "de", None]), rng.choice(["a", "b", None]), rng.choice([0, 1, 2, 4, 8, 16])) for _ in range(200)]
+    rows += [("fr", "solo", 64)] + [("en", "big", 32)] * 99
+    own = spark.createDataFrame([(*r, "m") for r in rows], "lang string, source string, bin long, metric string")
+    own = own.groupBy("lang", "source", "metric", "bin").count().withColumnRenamed("count", "n")
+    got = {(r.lang, r.source): (r.q1, r.q2, r.q3) for r in Q.quartiles(own, k).collect()}
+    assert got == plain_quartiles(rows, k)
+
+
 def test_sketches_merge(make_docs):
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(50 + i)), "en", f"s{i % 3}") for i in range(60)]
     judged = Q.judge(make_docs(rows))

@@ -4,7 +4,9 @@ Each text gets a few counts; their rates per thousand are the metrics. A sketch
 is a log-linear histogram: an integer keeps its six leading bits, so a bin is
 right to about 3 %, sketches merge by adding bins in any order, and a lost task
 or a rerun gives the same sketch. There is one per (language, source), merged
-into one per language and one overall for groups of few documents. Thresholds
+into one per language and one overall; a group's sketch takes a fixed weight of
+its language's and that of all, which falls smoothly against its own as it grows,
+so no size of a group is treated apart. Thresholds
 lie ``factor`` spreads from the median, a spread being the distance of the
 quartile or the metric's ``least`` one, and are joined back to the documents.
 
@@ -36,7 +38,8 @@ METRICS = {
     "upper": ("n_upper", "word_chars", 1000, 20, False),
     "word_length": ("word_chars", "n_words", 100, 40, True),
 }
-FACTOR, LEAST_DOCS = 8, 100
+#: ``PRIOR_DOCS``: documents that a group takes from its parent's sketch.
+FACTOR, PRIOR_DOCS = 8, 100
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
 
 _UPPER = bytes(range(65, 91))
@@ -94,34 +97,54 @@ def sketches(judged: DataFrame) -> DataFrame:
     )
 
 
-def quartiles(merged: DataFrame, by: list[str]) -> DataFrame:
-    """Quartiles, as bins, of each sketch: ``by, metric, n, q1, q2, q3``."""
-    of = Window.partitionBy(*by, "metric")
-    upto = F.sum("n").over(of.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = merged.withColumn("upto", upto).withColumn("all", F.sum("n").over(of))
-    return ranked.groupBy(*by, "metric").agg(
-        F.max("all").alias("n"),
-        *[F.min(F.when(4 * F.col("upto") >= i * F.col("all"), F.col("bin"))).alias(f"q{i}") for i in (1, 2, 3)],
-    )
-
-
-def thresholds(judged: DataFrame, factor: int = FACTOR, least_docs: int = LEAST_DOCS) -> DataFrame:
+def _cumulated(grid: DataFrame, by: list[str], count: str) -> DataFrame:
+    """``count`` added up over the bins of each sketch."""
+    upto = Window.partitionBy(*by, "metric").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    return grid.withColumn(count, F.sum(F.coalesce(count, F.lit(0))).over(upto))
+
+
+def quartiles(own: DataFrame, prior_docs: int) -> DataFrame:
+    """Quartiles, as bins, of each language's and source's sketch with what it
+    takes from its parents: ``lang, source, metric, q1, q2, q3``.
+
+    A group counts as if it had ``prior_docs`` more documents, spread like its
+    language's, and the language likewise takes from all; so parents decide for
+    the smallest groups and matter ever less for larger ones. Counts stay whole
+    numbers: both sides of a comparison are multiplied by what would divide.
+    """
+    k = prior_docs
+    whole = own.groupBy("metric", "bin").agg(F.sum("n").alias("c2"))
+    of = Window.partitionBy("metric")
+    whole = _cumulated(whole.withColumn("n2", F.sum("c2").over(of)), [], "c2")
+    per_lang = own.groupBy("lang", "metric", "bin").agg(F.sum("n").alias("c1"))
+    langs = own.groupBy("lang", "metric").agg(F.sum("n").alias("n1"))
+    a, w, x = langs.alias("a"), whole.alias("w"), per_lang.alias("x")
+    grid = a.join(w, F.expr("a.metric = w.metric")).join(
+        x, F.expr("a.lang <=> x.lang AND a.metric = x.metric AND w.bin = x.bin"), "left",
+    ).select("a.lang", "a.metric", "w.bin", "c1", "c2", "n1", "n2")
+    grid = _cumulated(grid, ["lang"], "c1")
+    groups = own.groupBy("lang", "source", "metric").agg(F.sum("n").alias("n0"))
+    a, w, x = groups.alias("a"), grid.alias("w"), own.withColumnRenamed("n", "c0").alias("x")
+    full = a.join(w, F.expr("a.lang <=> w.lang AND a.metric = w.metric")).join(
+        x, F.expr("a.lang <=> x.lang AND a.source <=> x.source AND a.metric = x.metric AND w.bin = x.bin"), "left",
+    ).select("a.lang", "a.source", "a.metric", "w.bin", "c0", "c1", "c2", "n0", "n1", "n2")
+    full = _cumulated(full, ["lang", "source"], "c0")
+    d = {c: f"CAST({c} AS DECIMAL(38, 0))" for c in ("c0", "c1", "c2", "n0", "n1", "n2")}
+    upto = f"{d['c0']} * ({d['n1']} + {k}) * {d['n2']} + {k} * ({d['c1']} * {d['n2']} + {k} * {d['c2']})"
+    total = f"({d['n0']} + {k}) * ({d['n1']} + {k}) * {d['n2']}"
+    return full.groupBy("lang", "source", "metric").agg(
+        *[F.min(F.expr(f"CASE WHEN 4 * ({upto}) >= {i} * {total} THEN bin END")).alias(f"q{i}") for i in (1, 2, 3)])
+
+
+def thresholds(judged: DataFrame, factor: int = FACTOR, prior_docs: int = PRIOR_DOCS) -> DataFrame:
     """``lang, source`` and, per metric, ``<metric>_low`` and ``<metric>_high``."""
-    own = written(sketches(judged), "sketches")
-    levels = []
-    for level, by in enumerate((["lang", "source"], ["lang"], [])):
-        merged = own.groupBy(*by, "metric", "bin").agg(F.sum("n").alias("n"))
-        levels.append(quartiles(merged, by).select(*by, "metric", F.struct("n", "q1", "q2", "q3").alias(f"l{level}")))
-    a, b, c = (x.alias(f"t{i}") for i, x in enumerate(levels))
-    all_ = a.join(b, F.expr("t0.lang <=> t1.lang AND t0.metric = t1.metric")).join(c, F.expr("t0.metric = t2.metric"))
-    q = F.when(F.col("l0.n") >= least_docs, F.col("l0")).when(F.col("l1.n") >= least_docs, F.col("l1")).otherwise(F.col("l2"))
-    chosen = all_.select("t0.lang", "t0.source", "t0.metric", q.alias("q"))
+    chosen = quartiles(written(sketches(judged), "sketches"), prior_docs)
 
     def pick(metric: str, low: bool) -> Column:
         least = METRICS[metric][3]
         edge = (
-            F.col("q.q2") - factor * F.greatest(F.col("q.q2") - F.col("q.q1"), F.lit(least)) if low
-            else F.col("q.q2") + factor * F.greatest(F.col("q.q3") - F.col("q.q2"), F.lit(least))
+            F.col("q2") - factor * F.greatest(F.col("q2") - F.col("q1"), F.lit(least)) if low
+            else F.col("q2") + factor * F.greatest(F.col("q3") - F.col("q2"), F.lit(least))
         )
         return F.max(F.when(F.col("metric") == metric, edge))
 
@@ -129,11 +152,11 @@ def thresholds(judged: DataFrame, factor: int = FACTOR, least_docs: int = LEAST_
         *[pick(m, low).alias(f"{m}_{'low' if low else 'high'}") for m in METRICS for low in (True, False)])
 
 
-def judge(docs: DataFrame, factor: int = FACTOR, least_docs: int = LEAST_DOCS) -> DataFrame:
+def judge(docs: DataFrame, factor: int = FACTOR, prior_docs: int = PRIOR_DOCS) -> DataFrame:
     """``doc_id, lang, source``, the counts, the metrics, ``base_failed`` and ``kept``."""
     counted = docs.select("doc_id", "lang", "source", _counts("text").alias("c")).select("doc_id", "lang", "source", "c.*")
     counted = written(counted.withColumn("base_failed", base_failed()).select("*", *rates()), "counts")
-    limits = thresholds(counted.where("NOT base_failed"), factor, least_docs)
+    limits = thresholds(counted.where("NOT base_failed"), factor, prior_docs)
     inside = F.lit(True)
     for m, (_, _, _, _, below) in METRICS.items():
         inside &= F.col(m) <= F.col(f"{m}_high")

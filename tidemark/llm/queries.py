@@ -196,28 +196,32 @@ WITH t AS (
   ON symbols, dup_lines, repeats, upper_, word_length INTO NAME metric VALUE v
 ), b AS (
   SELECT lang, source, metric, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bin FROM m
-), q AS (
-  SELECT lv, lang, source, metric, max(alln) AS n,
-         min(bin) FILTER (4 * upto >= alln) AS q1, min(bin) FILTER (4 * upto >= 2 * alln) AS q2,
-         min(bin) FILTER (4 * upto >= 3 * alln) AS q3
-  FROM (
-    SELECT *, sum(n) OVER (PARTITION BY lv, lang, source, metric ORDER BY bin) AS upto,
-           sum(n) OVER (PARTITION BY lv, lang, source, metric) AS alln
-    FROM (
-      SELECT 0 AS lv, lang, source, metric, bin, count(*) AS n FROM b GROUP BY ALL
-      UNION ALL SELECT 1, lang, NULL, metric, bin, count(*) FROM b GROUP BY ALL
-      UNION ALL SELECT 2, NULL, NULL, metric, bin, count(*) FROM b GROUP BY ALL
-    )
-  ) GROUP BY ALL
+), w2 AS (
+  SELECT metric, bin, sum(n) OVER (PARTITION BY metric ORDER BY bin) AS c2, sum(n) OVER (PARTITION BY metric) AS n2
+  FROM (SELECT metric, bin, count(*) AS n FROM b GROUP BY ALL)
+), w1 AS (
+  SELECT l.lang, w2.metric, w2.bin, w2.c2, w2.n2, l.n1,
+         sum(coalesce(x.n, 0)) OVER (PARTITION BY l.lang, w2.metric ORDER BY w2.bin) AS c1
+  FROM (SELECT lang, metric, count(*) AS n1 FROM b GROUP BY ALL) l JOIN w2 ON w2.metric = l.metric
+  LEFT JOIN (SELECT lang, metric, bin, count(*) AS n FROM b GROUP BY ALL) x
+    ON x.lang IS NOT DISTINCT FROM l.lang AND x.metric = l.metric AND x.bin = w2.bin
+), w0 AS (
+  SELECT g.lang, g.source, w1.metric, w1.bin, w1.c2, w1.n2, w1.c1, w1.n1, g.n0,
+         sum(coalesce(x.n, 0)) OVER (PARTITION BY g.lang, g.source, w1.metric ORDER BY w1.bin) AS c0
+  FROM (SELECT lang, source, metric, count(*) AS n0 FROM b GROUP BY ALL) g
+  JOIN w1 ON w1.lang IS NOT DISTINCT FROM g.lang AND w1.metric = g.metric
+  LEFT JOIN (SELECT lang, source, metric, bin, count(*) AS n FROM b GROUP BY ALL) x
+    ON x.lang IS NOT DISTINCT FROM g.lang AND x.source IS NOT DISTINCT FROM g.source AND x.metric = g.metric AND x.bin = w1.bin
 ), f AS (
   SELECT * FROM (VALUES ('symbols', 25, false), ('dup_lines', 50, false), ('repeats', 50, false),
                         ('upper_', 20, false), ('word_length', 40, true)) AS f(metric, least_, below)
+), s0 AS (
+  SELECT *, 4 * (c0::HUGEINT * (n1 + 100) * n2 + 100 * (c1::HUGEINT * n2 + 100 * c2)) AS upto,
+         (n0 + 100)::HUGEINT * (n1 + 100) * n2 AS total FROM w0
 ), lim AS (
-  SELECT g.lang, g.source, g.metric, f.below,
-         CASE WHEN g.n >= 100 THEN [g.q1, g.q2, g.q3] WHEN l.n >= 100 THEN [l.q1, l.q2, l.q3]
-              ELSE [a.q1, a.q2, a.q3] END AS q, least_
-  FROM q g JOIN q l ON g.lv = 0 AND l.lv = 1 AND g.lang IS NOT DISTINCT FROM l.lang AND g.metric = l.metric
-  JOIN q a ON a.lv = 2 AND a.metric = g.metric JOIN f ON f.metric = g.metric
+  SELECT lang, source, s0.metric, below, least_,
+         [min(bin) FILTER (upto >= total), min(bin) FILTER (upto >= 2 * total), min(bin) FILTER (upto >= 3 * total)] AS q
+  FROM s0 JOIN f ON f.metric = s0.metric GROUP BY ALL
 ), v AS (
   SELECT m.r, bool_and(m.v <= q[2] + 8 * greatest(q[3] - q[2], least_)
                        AND (NOT below OR m.v >= q[2] - 8 * greatest(q[2] - q[1], least_))) AS ok
