@@ -68,3 +68,21 @@ def test_first_per_key_limits_before_the_exchange(spark):
     li = load(spark, SF001, "lineitem")
     plan = _plan(first_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"]))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_the_plan_table_of_the_readme(spark):
+    """Every row of it is what is planned now."""
+    from pathlib import Path
+
+    from conftest import SF01
+    from plan_report import HEAD, rows
+
+    readme = (Path(__file__).parent.parent / "README.md").read_text().split("\n")
+    at = readme.index(HEAD) + 2
+    table = readme[at : readme.index("", at)]
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        assert rows(spark, SF01) == table
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
