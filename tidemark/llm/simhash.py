@@ -28,8 +28,9 @@ links grow in proportion to the classes whatever their groups look like.
 Nulls and edge cases: a text without words (null, empty, blank) has fingerprint
 zero, which links like any other; rows without doc_id get their fingerprint, no
 component, and link nothing; rows that repeat a doc_id are judged one by one,
-each by its own fingerprint; an empty table gives an empty table; other columns are ignored. A text is read
-in pieces, so a very long one needs no list of all its words.
+each by its own fingerprint; an empty table gives an empty table; other columns
+are ignored. A text is read in pieces, so a very long one needs no list of all
+its words.
 """
 
 from __future__ import annotations
