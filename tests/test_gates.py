@@ -206,3 +206,30 @@ def test_the_erasure_reaches_every_layer(spark, tmp_path):
     again = ER.erase_everywhere(spark, layers, subjects, "r2", "2026-07-03 00:00:00", audit)
     assert {r.layer: r.rows_removed for r in again.collect()} == {"market": 0, "store": 0, "log": 0, "bronze": 0}
     assert spark.read.parquet(audit).count() == 8
+
+
+@pytest.mark.parametrize("moved", [0, 1])
+def test_an_erasure_that_died_among_its_files_is_finished(spark, tmp_path, monkeypatch, moved):
+    log = str(tmp_path / "log")
+    lines = [json.dumps({"asset_id": n, "v": i}) for i in range(20) for n in "abc"]
+    spark.createDataFrame([(x,) for x in lines], "value string").repartition(4).write.text(log)
+    layer, subjects = ER.Layer("log", "lines", log), spark.createDataFrame([("b",)], "asset_id string")
+    finish = ER._finish
+
+    def dying(spark, path):
+        fs, done = S._fs(spark, f"{path}/{ER.JOURNAL}/_SUCCESS")
+        if not fs.exists(done):
+            return finish(spark, path)
+        staged = spark.read.parquet(f"{path}/{ER.JOURNAL}").first()["staging"]
+        names = [st.getPath() for st in fs.listStatus(S._fs(spark, staged)[1]) if st.getPath().getName().startswith("part-")]
+        for p in names[:moved]:
+            fs.rename(p, S._fs(spark, f"{path}/{p.getName()}")[1])
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(ER, "_finish", dying)
+    with pytest.raises(RuntimeError):
+        ER._erase_files(spark, layer, subjects)
+    monkeypatch.setattr(ER, "_finish", finish)
+    ER._erase_files(spark, layer, subjects)
+    assert sorted(r.value for r in spark.read.text(log).collect()) == sorted(x for x in lines if '"b"' not in x)
+    assert not ER._left(spark, layer, subjects)

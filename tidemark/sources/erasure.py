@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import broadcast_if_small
 from tidemark.sources import store as S
 
+JOURNAL = "_erasing"
 AUDIT = "request_id string, layer string, rows_removed long, erased_at timestamp"
 
 
@@ -63,21 +64,37 @@ def _files(spark: SparkSession, path: str, hits: DataFrame) -> list[str]:
 
 
 def _replace_files(spark: SparkSession, rows: DataFrame, path: str, files: Sequence[str], fmt: str) -> None:
-    """Write ``rows``, what is kept of ``files``, beside them and drop those."""
+    """Put ``rows``, what is kept of ``files``, in their place. Once the new files
+    are staged a journal beside them (reads skip it) says what is to be moved
+    and deleted; a job that dies after that is finished by the next one."""
     staging = S.scratch_path(spark, "erase-files")
     rows.write.format(fmt).save(staging)
-    fs, _ = S._fs(spark, path)
-    for st in fs.listStatus(S._fs(spark, staging)[1]):
-        name = st.getPath().getName()
-        if not name.startswith(("_", ".")):
-            fs.rename(st.getPath(), S._fs(spark, f"{path}/{name}")[1])
-    for f in files:
-        fs.delete(S._fs(spark, f)[1], False)
-    S.drop_folder(spark, staging)
+    todo = spark.createDataFrame([(staging, f) for f in files], "staging string, old string")
+    todo.coalesce(1).write.mode("overwrite").parquet(f"{path}/{JOURNAL}")
+    _finish(spark, path)
+
+
+def _finish(spark: SparkSession, path: str) -> None:
+    """Carry out a journal that was written whole; drop one that wasn't."""
+    fs, done = S._fs(spark, f"{path}/{JOURNAL}/_SUCCESS")
+    if fs.exists(done):
+        todo = spark.read.parquet(f"{path}/{JOURNAL}").collect()  # a row per replaced file
+        for staging in {r["staging"] for r in todo}:
+            folder = S._fs(spark, staging)[1]
+            for st in fs.listStatus(folder) if fs.exists(folder) else ():
+                name = st.getPath().getName()
+                if not name.startswith(("_", ".")):
+                    fs.rename(st.getPath(), S._fs(spark, f"{path}/{name}")[1])
+        for r in todo:
+            fs.delete(S._fs(spark, r["old"])[1], False)
+        for staging in {r["staging"] for r in todo}:
+            S.drop_folder(spark, staging)
+    S.drop_folder(spark, f"{path}/{JOURNAL}")
 
 
 def _erase_files(spark: SparkSession, layer: Layer, subjects: DataFrame) -> int:
     """Rewrite the files that hold a subject; the number of lines or payloads changed."""
+    _finish(spark, layer.path)
     subj = subjects.select(F.col(layer.key).cast("string").alias("_s")).distinct()
     if layer.kind == "lines":
         rows = spark.read.text(layer.path).select("*", F.col("_metadata.file_path").alias("_file"))
