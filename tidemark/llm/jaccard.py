@@ -19,9 +19,7 @@ components is lost. The smaller set of a pair must share more than t of its
 tokens, 2 * percent / (100 + percent) of them, so only the first
 ``n - that + l`` of its prefix count: where many documents share a passage and
 each has enough of its own not to be a copy, those are its own, and no pair
-meets at the passage. Components that meet at a token are paired first, then
-their members, so members of one component aren't held against each other. In
-(4) and (5) a pair is only built if bounds on what two sets can share, from the
+meets at the passage. In (4) and (5) a pair is only built if bounds on what two sets can share, from the
 places of a shared token and from parity bits of the whole sets, allow a link.
 
 Nulls and edge cases: null or empty texts and texts without words have the
@@ -279,18 +277,13 @@ def jaccard_components(
     # the smaller of two sets, of equal ones that with the smaller key, is met in
     # the first part of its prefix, the other one in all of its prefix
     first = F.expr(f"pos < n - ({2 * percent}L * n + {99 + percent}L) div {100 + percent}L + l")
-    met_at = placed.groupBy("token", "component").agg(F.max(first).alias("first"))
     open_ = placed.groupBy("token").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(first).alias("first")).where("lo < hi AND first")
-    met_at = written(met_at.join(open_.select("token"), "token", "left_semi"), "met-components")
-    c, d = met_at.alias("c"), met_at.alias("d")
-    facing = c.join(d, F.expr("c.token = d.token AND c.component <> d.component AND c.first")).select(
-        "c.token", F.col("c.component").alias("component"), F.col("d.component").alias("other"))
-    left = written(placed.join(met_at.select("token").distinct(), "token", "left_semi"), "open")
-    a, b = left.where(first).join(facing, ["token", "component"]).alias("a"), left.alias("b")
+    left = placed.join(open_.select("token"), "token")
+    a, b = left.where(first).alias("a"), left.alias("b")
     pairs = (
         a.join(b, F.expr(
-            "a.token = b.token AND a.other = b.component AND (a.n < b.n OR a.n = b.n AND a.key < b.key)"
+            "a.token = b.token AND (a.n < b.n OR a.n = b.n AND a.key < b.key) AND a.component <> b.component"
             f" AND {can_link('a.', 'b.')}"))
         .groupBy(F.col("a.key").alias("x"), F.col("b.key").alias("y"), F.col("a.n").alias("xn"), F.col("b.n").alias("yn"))
         .agg(F.count("*").alias("c"), F.min(F.least("a.l", "b.l")).alias("l"),
