@@ -37,3 +37,15 @@ def test_time_buckets_spread_a_hot_asset(spark):
     # without buckets the hot asset's 40,000 rows sit in one task
     assert top_w >= 40_000
     assert top_b < 0.6 * top_w and top_b < 2.0 * mean_b
+
+
+def test_each_window_has_buckets_of_its_own_width(spark):
+    """A day of one asset beside three hours of it: the widest window's bucket must not hold the whole month."""
+    ids = spark.range(30 * 24 * 60)
+    t = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60)
+    ticks = ids.select(F.lit("hot").alias("asset_id"), t.alias("ts"), t.alias("ingested_at"),
+                       (F.col("id") % 97 + 1).cast("double").alias("price"))
+    stats = trailing_stats(ticks, [3 * 3600, 24 * 3600], ["price"])
+    top, mean = _partition_loads(stats)
+    assert stats.count() == 2 * 30 * 24 * 60
+    assert top < 2.0 * mean  # twelve days of the hot asset in a task: 3.0 times the mean and more

@@ -60,6 +60,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def partitions_for(df: DataFrame, part_bytes: int) -> int:
+    """Partitions for an exchange of ``df``: the session's, or up to eight times as
+    many so that each has about ``part_bytes`` of the estimated (compressed)
+    size. Give the number to ``repartition``: AQE merges partitions by their
+    compressed bytes, a small part of what sorts and hash tables hold of them."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(least, (estimated_bytes(df) or 0) // part_bytes), 8 * least)
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only when the side's estimated size is proven small."""
     est = estimated_bytes(df)

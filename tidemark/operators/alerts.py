@@ -22,11 +22,15 @@ Plan (no join, one exchange):
   evicted reading. Values are only ever added, so a reading that has left the
   window, however large or infinite, leaves nothing behind, and the work is
   O(rows). Counts are differences of running integer counts.
-* time is also cut into buckets of width ``bucket_s >= window`` and each row
-  is copied into the next bucket when its window reaches it (a halo of
-  about ``window / bucket_s`` of the rows). Windows then partition by
-  ``(key, bucket)``, so a key holding a third of all rows is spread over as
-  many tasks as it has buckets; only rows of their home bucket are kept.
+* time is also cut into buckets, those of each window as wide as the window
+  itself (an hour at least, or ``bucket_s``), and each row is copied into the
+  next bucket when its window reaches it (a halo of about ``window / bucket``
+  of the rows). Windows then partition by ``(key, window, bucket)``, so a task
+  holds the ticks of two windows of a key at most per group, however many ticks
+  the key has; only rows of their home bucket are kept.
+* the exchange carries a row per tick, window and bucket, in more partitions
+  than the session's when the input's size asks for it, as AQE would merge them
+  by their compressed size, a small part of what the sorts hold.
 """
 
 from __future__ import annotations
@@ -38,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import micros
+from tidemark.functions.columns import micros, partitions_for
 
 # Reference detector defaults: 300 s window, 2 % threshold, 30 s warm-up.
 DEFAULT_WINDOW_S = 300
@@ -48,11 +52,12 @@ DEFAULT_WARMUP_S = 30
 DEFAULT_METRICS = {"price": "price", "volume": "volume_24h"}
 
 _US = 1_000_000
+_PART_BYTES = 6 * 1024 * 1024  # of stored ticks and their copies, for a task
 
 
 def auto_bucket_s(window_s: int) -> int:
-    """Halo bucket width: 12 windows, at least one hour (halo about 1/12)."""
-    return max(12 * int(window_s), 3600)
+    """Halo bucket width: the window, at least one hour."""
+    return max(int(window_s), 3600)
 
 
 def _metric_map(metrics) -> dict[str, str]:
@@ -87,28 +92,33 @@ def trailing_stats(ticks: DataFrame, windows_s: Sequence[int], columns: Sequence
     df = ticks.withColumns({
         "_t": micros(time), "_age": micros(age or time),
         **{f"_x_{c}": F.when(~F.isnan(v), v) for c, v in numbers.items()}})
-    pk = list(keys)
+    pk = [*keys, *(["_w"] if windows[1:] else [])]
     origin = F.lit(0)
-    if bucket_s:
-        if int(bucket_s) < wmax:
-            raise ValueError("bucket_s must be at least the largest window")
-        b_us = F.lit(int(bucket_s) * _US)
-        home = F.floor(F.col("_t") / b_us)
-        reach = F.floor((F.col("_t") + F.lit(wmax * _US)) / b_us)
-        df = (df.withColumn("_home", home)
-                .withColumn("_bk", F.explode(F.when(reach != F.col("_home"),
-                                                    F.array(F.col("_home"), reach))
-                                             .otherwise(F.array(F.col("_home"))))))
+    if bucket_s and bucket_s != "auto" and int(bucket_s) < wmax:
+        raise ValueError("bucket_s must be at least the largest window")
+    widths = {w: (auto_bucket_s(w) if bucket_s == "auto" else int(bucket_s)) for w in windows} if bucket_s else {}
+    df = df.withColumn("_w", F.explode(F.array(*map(F.lit, windows))) if windows[1:] else F.lit(windows[0]))
+    if widths:
+        b_us = F.lit(widths[wmax] * _US)
+        for w in windows[:-1]:
+            b_us = F.when(F.col("_w") == w, F.lit(widths[w] * _US)).otherwise(b_us)
+        df = df.withColumn("_home", F.floor(F.col("_t") / b_us))
+        reach = F.floor((F.col("_t") + F.col("_w").cast("long") * _US) / b_us)
+        df = df.withColumn("_bk", F.explode(F.when(reach != F.col("_home"), F.array(F.col("_home"), reach))
+                                             .otherwise(F.array(F.col("_home")))))
         pk = pk + ["_bk"]
         origin = F.col("_bk") * b_us
 
-    # Hash on (key, bucket) satisfies every window distribution below: one exchange.
-    df = df.repartition(*pk)
+    # Hash on (key, window, bucket) satisfies every window distribution below: one exchange.
+    copies = (2 if widths else 1) * len(windows)
+    df = df.repartition(partitions_for(ticks, _PART_BYTES // copies), *pk)
     out = None
-    for some in _one_scale(windows, int(bucket_s) if bucket_s else None):
-        part = _block_stats(df, pk, some, columns, arrival, moments, int(warmup_s) * _US, origin)
+    groups = _one_scale(windows, max(widths.values()) if widths else None)
+    for some in groups:
+        own = df.where(F.col("_w").isin(some)) if groups[1:] else df
+        part = _block_stats(own, pk, some, columns, arrival, moments, int(warmup_s) * _US, origin)
         out = part if out is None else out.unionByName(part)
-    if bucket_s:
+    if widths:
         out = out.where(F.col("_bk") == F.col("_home")).drop("_bk", "_home")
     return out.drop("_age")
 
@@ -132,17 +142,14 @@ def _block_stats(df, pk, windows, columns, arrival, moments, warm_us, origin):
     start, here = Window.unboundedPreceding, Window.currentRow
     wide = math.lcm(*windows)
     kept = df.columns
-    df = df.withColumn("_w", F.explode(F.array(*map(F.lit, windows)))) if windows[1:] else df.withColumn(
-        "_w", F.lit(windows[0]))
     df = df.withColumns({
         "_blk": F.expr(f"(_t - pmod(_t, _w * {_US}L)) div (_w * {_US}L)"),
         "_u": (F.col("_t") - origin) * F.expr(f"{wide}L div _w") if windows[1:] else F.col("_t")})
-    by = [*pk, "_w"]
-    block = Window.partitionBy(*by, "_blk")
+    block = Window.partitionBy(*pk, "_blk")
     ordered = block.orderBy("_t", *arrival)
-    in_order = Window.partitionBy(*by).orderBy("_blk", "_t", *arrival)
+    in_order = Window.partitionBy(*pk).orderBy("_blk", "_t", *arrival)
     # readings that have left: with times below those of the window
-    gone = Window.partitionBy(*by).orderBy("_u").rangeBetween(start, -(wide * _US + 1))
+    gone = Window.partitionBy(*pk).orderBy("_u").rangeBetween(start, -(wide * _US + 1))
 
     def parts(over):
         """The aggregates of every column over one frame."""
@@ -194,7 +201,7 @@ def _block_stats(df, pk, windows, columns, arrival, moments, warm_us, origin):
             new[f"_v_{c}"] = F.when(same, F.lit(0.0)).otherwise(
                 F.col(f"_head.v_{c}") + _zero(F.col(f"_tail.v_{c}"))
                 + F.when(n > 0, apart * apart * ka * kb / n).otherwise(F.lit(0.0)))
-    return df.withColumns(new).select(*kept, "_w", *new)
+    return df.withColumns(new).select(*kept, *new)
 
 
 def trailing_alerts(ticks: DataFrame, window_s: int = DEFAULT_WINDOW_S,
