@@ -87,6 +87,20 @@ def test_outages_are_told_once_across_restarts(spark, tmp_path):
     assert sorted((r.feed_id, r.outage_start) for r in rows if r.event == "opened") == sorted((r.feed_id, r.outage_start) for r in want)
 
 
+def test_outage_state_takes_one_number_a_poll(spark, tmp_path):
+    """Timestamps converted for every feed and batch were most of the job's time."""
+    schema = spark.createDataFrame([], POLL).schema
+    stream = H.stream_outages(spark.readStream.schema(schema).parquet(str(tmp_path)))
+    plan = stream._jdf.queryExecution().analyzed()
+    while plan.nodeName() != "FlatMapGroupsInPandasWithState":
+        plan = plan.children().head()
+    types = [plan.output().apply(i).dataType().simpleString() for i in range(plan.output().size())]
+    taken = plan.children().head()
+    assert "timestamp" not in types and [f.dataType.simpleString() for f in stream.schema].count("timestamp") == 3
+    kinds = [taken.output().apply(i).dataType().simpleString() for i in range(taken.output().size())]
+    assert "timestamp" not in kinds and kinds.count("bigint") == 1
+
+
 def test_a_feed_that_stops_sending_is_down(spark, tmp_path):
     src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
     schema = spark.createDataFrame([], POLL).schema

@@ -286,7 +286,8 @@ def stream_outages(spark, sf):
     polls = FX.event_polls(spark, sf).withColumn("ingested_at", F.col("polled_at"))
     _land_in_order(spark, polls, path=landing)
     stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 2).parquet(landing)
-    with J.state_partitions(spark, STATE_PARTITIONS):
+    # state is spread by feed, of which there are many: a partition for every core
+    with J.state_partitions(spark, max(STATE_PARTITIONS, spark.sparkContext.defaultParallelism)):
         q = (H.stream_outages(stream).writeStream.format("parquet").option("path", out)
               .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
