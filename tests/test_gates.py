@@ -188,6 +188,27 @@ def test_a_kpi_report_scans_its_facts_once(spark):
     assert plan.count("FileScan") == 5  # one of each table of the star
 
 
+def test_a_kpi_report_deals_its_facts_by_order(spark):
+    """In a fixed number of parts: AQE merged them by compressed bytes, and a task held millions of orders."""
+    from conftest import SF001
+
+    from tidemark.plans.registry import QUERIES, load_all
+
+    load_all()
+    for query in ("kpi_report", "kpis"):
+        plan = QUERIES[query](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan
+
+
+def test_only_a_grain_that_counts_values_carries_them(spark):
+    df = spark.range(1000).selectExpr("id", "timestamp'2024-01-01' + make_interval(0, id % 12) AS t", "1 AS g")
+    defs = [M.Kpi("n", 1, "o", M.Measure("count"), "month"), M.Kpi("d", 1, "o", M.Measure("distinct", F.col("id")), "year")]
+    out = M.kpi_report(df, defs, "t", ["g"])
+    assert sorted((r.grain, r.period.month, r.value) for r in out.collect() if r.kpi == "d") == [("year", 1, 1000.0)]
+    assert sum(r.value for r in out.collect() if r.kpi == "n") == 1000
+    assert "CASE WHEN" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_the_erasure_reaches_every_layer(spark, tmp_path):
     store, market, log, bronze, audit = (str(tmp_path / n) for n in ("store", "market", "log", "bronze", "audit"))
     ticks = make_ticks(spark, [(i * 600, 100 + i, 1.0, "abc"[i % 3]) for i in range(300)] + [(86400 * 9, 5, 1.0, "b")])

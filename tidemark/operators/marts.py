@@ -172,7 +172,9 @@ def _measured_report(df: DataFrame, definitions: Sequence[Kpi], time: str, by: S
     base = df.groupBy(*by, F.date_trunc(finest, F.col(time)).alias("_at"), *counted.values()).agg(
         F.count(F.lit(1)).alias("_n"), *[m.partial().alias(f"_k{i}") for i, m in sums])
     periods = F.array(*[F.struct(F.lit(g).alias("grain"), F.date_trunc(g, "_at").alias("period")) for g in grains])
-    wide = base.withColumn("_g", F.explode(periods)).groupBy(*by, "_g").agg(
+    # a grain carries the values that one of its own measures counts, and no others
+    own = {f"_d{i}": F.when(F.col("_g.grain") == definitions[i].grain, F.col(f"_d{i}")) for i in counted}
+    wide = base.withColumn("_g", F.explode(periods)).withColumns(own).groupBy(*by, "_g").agg(
         *[m.merged(f"_k{i}").cast("double").alias(f"_k{i}") for i, m in sums],
         *[F.count_distinct(f"_d{i}").cast("double").alias(f"_k{i}") for i in counted])
     entries = F.array(*[
