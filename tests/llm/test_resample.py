@@ -92,3 +92,20 @@ def test_odd_rows(make_docs):
 def test_empty_tables(make_docs):
     assert R.resample(make_docs([]), make_docs([])).count() == 0
     assert R.resample(make_docs(ODD), make_docs([])).count() == len(ODD)
+
+
+def test_a_task_holds_few_texts_and_features():
+    """Beside the batch itself, whatever its size and however many words differ."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    batch = pa.array([f"w{i} " * 500 if i % 7 else None for i in range(5000)])
+    features = R.Features(100, 1)
+    tracemalloc.start()
+    n = sum(len(features.of(R.feature_words(t))) for t in R.each_text(batch))
+    held = tracemalloc.get_traced_memory()[1]
+    features.of([b"x%d" % i for i in range(300_000)])
+    tracemalloc.stop()
+    assert n == 500 * sum(i % 7 != 0 for i in range(5000))
+    assert held < 3e6 and len(features) <= R.MEMORY <= 100_000

@@ -38,7 +38,8 @@ from tidemark.llm.common import written
 BUCKETS, PERCENT, LEAST_WORDS, SEED = 10_000, 10, 20, 2024
 #: Segments of a sort, and rows sampled for each (beside one per run).
 SEGMENTS, SAMPLES = 1024, 16
-MEMORY = 500_000
+#: Features kept in a task, and texts taken from a batch at once: what they hold lies beside the heap.
+MEMORY, TEXTS = 100_000, 128
 
 _KEY = ["score", "doc_id", "n_features", "place"]
 #: Bytes of words as they are (A-Z lower-cased), all others spaces.
@@ -50,6 +51,12 @@ def feature_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8").translate(_BYTES).split() if text else []
 
 
+def each_text(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a batch; only a few are held beside it."""
+    for i in range(0, len(column), TEXTS):
+        yield from column.slice(i, TEXTS).to_pylist()
+
+
 class Features(dict):
     """feature -> bucket, kept between texts and emptied when it is large."""
 
@@ -79,7 +86,7 @@ def bucket_counts(texts: DataFrame, buckets: int = BUCKETS, width: int = 1) -> n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, total = Features(buckets, width), np.zeros(buckets, np.int64)
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t in each_text(b.column(0)):
                 total += np.bincount(features.of(feature_words(t)), minlength=buckets)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["bucket", "n"])
@@ -107,7 +114,7 @@ def weigh(docs: DataFrame, gain: np.ndarray, width: int = 1) -> DataFrame:
         features = Features(len(gain), width)
         for b in batches:
             words, many, weight = [], [], []
-            for t in b.column("text").to_pylist():
+            for t in each_text(b.column("text")):
                 w = feature_words(t)
                 x = features.of(w)
                 words.append(len(w))
